@@ -327,6 +327,15 @@ def book(entries: DataFrame, rules: LedgerRules = LedgerRules(), opening: DataFr
     return stage(_describe(entries.join(kept, "seq")), "ledger-postings")
 
 
+def credit_legs(posted: DataFrame) -> DataFrame:
+    """The credit leg each posted transfer sends to the other account: ids linked, accounts swapped."""
+    return posted.where(F.col("type") == "TRANSFER").select(
+        "seq", F.concat("transactionId", F.lit("-IN")).alias("transactionId"),
+        F.col("counterpartyAccountId").alias("accountId"), F.lit("TRANSFER_IN").alias("type"), "amount", "currency",
+        F.col("accountId").alias("counterpartyAccountId"), "channel", "country", "merchant", "timestamp",
+        F.lit("VALIDATED").alias("status"))
+
+
 def _describe(rows: DataFrame) -> DataFrame:
     """Turn outcomes back into full transactions; a credit leg swaps the two accounts."""
     leg = F.col("leg") == 1

@@ -88,6 +88,6 @@ def commit_prefix(receipts: DataFrame, batch: tuple[str, ...], order: str, faile
     key = F.concat_ws("~", *batch)
     first = (receipts.where(failed).groupBy(key.alias("_batch")).agg(F.min(order).alias("failedAt")))
     stops = Lookup(stage(first, "failed-batches"), "_batch")
-    return (lookup_join(receipts.withColumn("_key", key), stops, "_key", "_stop", spread_by=order)
+    return (lookup_join(receipts.withColumn("_of", key), stops, "_of", "_stop", spread_by=order)
             .withColumn("committed", F.coalesce(F.col(order) < F.col("_stop.failedAt"), F.lit(True)))
-            .drop("_key", "_stop"))
+            .drop("_of", "_stop"))

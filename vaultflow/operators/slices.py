@@ -69,3 +69,19 @@ def running_max_before(df: DataFrame, key: str, order: str, value: Column, out:
         result = (result.join(carried, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_slice") == F.col("_s")), "left")
                   .withColumn(out, F.greatest(out, "_carry")).drop("_k", "_s", "_carry"))
     return result.drop("_value", "_slice")
+
+
+def running_count(df: DataFrame, key: str, order: str, out: str, slice_rows: int = 1_000_000) -> DataFrame:
+    """Add the number of rows of the key up to and including this one, hot keys slice by slice."""
+    hot = hot_keys(df, key, slice_rows)
+    sliced = with_slice(df, key, order, hot, slice_rows, "_slice")
+    within = Window.partitionBy(key, "_slice").orderBy(order)
+    result = sliced.withColumn(out, F.row_number().over(within).cast("bigint"))
+    if hot is not None:
+        earlier = Window.partitionBy("_k").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+        before = (sliced.where(F.col("_slice") != WHOLE)
+                  .groupBy(F.col(key).alias("_k"), F.col("_slice").alias("_s")).agg(F.count("*").alias("_n"))
+                  .withColumn("_before", F.sum("_n").over(earlier)).drop("_n"))
+        result = (result.join(before, (F.col(key) == F.col("_k")) & (F.col("_slice") == F.col("_s")), "left")
+                  .withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0))).drop("_k", "_s", "_before"))
+    return result.drop("_slice")

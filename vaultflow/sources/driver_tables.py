@@ -125,3 +125,55 @@ def request_records(requests: DataFrame) -> DataFrame:
         F.lit(REQUESTED).alias("topic"), partition_of(F.col("accountId")).alias("partition"),
         seq.alias("offset"), "timestamp",
         F.when(seq % 7 == 0, no_headers).otherwise(stamped).alias("headers"))
+
+
+# -- commands, as channels send them --------------------------------------------------------------
+
+def transaction_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transaction commands, some without an id, some with a blank account or currency; 20 per batch."""
+    seq = F.col("seq")
+    return (requests(spark, sf_dir)
+            .withColumn("transactionId", F.when(seq % 5 != 0, F.col("transactionId")))
+            .withColumn("accountId", F.when(seq % 97 == 11, F.lit(" ")).otherwise(F.col("accountId")))
+            .withColumn("currency", F.when(seq % 89 == 13, F.lit("")).otherwise(F.col("currency")))
+            .withColumn("batchId", F.expr("seq div 20")))
+
+
+def transfer_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (requests(spark, sf_dir).where(F.col("type") == "TRANSFER")
+            .withColumn("transactionId", F.when(F.col("seq") % 5 != 0, F.col("transactionId")))
+            .withColumnsRenamed({"accountId": "fromAccountId", "counterpartyAccountId": "toAccountId"}))
+
+
+def customer_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.regexp_extract("customerId", "([0-9]+)", 1).cast("bigint")
+    return (customers(spark, sf_dir).drop("erased").withColumn("seq", key)
+            .withColumn("customerId", F.when(F.col("seq") % 4 != 0, F.col("customerId")))
+            .withColumn("email", F.when(F.col("seq") % 13 == 5, F.lit("no-at-sign")).otherwise(F.col("email")))
+            .withColumn("homeCountry", F.when(F.col("seq") % 19 != 4, F.col("homeCountry")))
+            .withColumn("tier", F.when(F.col("seq") % 3 != 0, F.col("tier"))))
+
+
+def account_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.regexp_extract("accountId", "([0-9]+)", 1).cast("bigint")
+    return (accounts(spark, sf_dir).withColumn("seq", key)
+            .withColumn("accountId", F.when(F.col("seq") % 4 != 0, F.col("accountId")))
+            .withColumn("accountType", F.when(F.col("seq") % 17 == 2, F.lit("")).otherwise(F.col("accountType")))
+            .withColumn("timestamp", F.timestamp_seconds(F.lit(1_767_261_600) + F.col("seq"))))
+
+
+def account_opens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts that were opened here; one in seven was not."""
+    return (accounts(spark, sf_dir)
+            .where(F.regexp_extract("accountId", "([0-9]+)", 1).cast("bigint") % 7 != 0)
+            .withColumn("seq", F.lit(0).cast("bigint")))
+
+
+def status_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freeze and close commands, and some unfreeze commands after them."""
+    stopped = accounts(spark, sf_dir).where(F.col("status") != "ACTIVE")
+    first = stopped.select("accountId", "status", (F.lit(500) + F.length("accountId")).cast("bigint").alias("seq"))
+    even = F.regexp_extract("accountId", "([0-9]+)", 1).cast("bigint") % 2 == 0
+    again = stopped.where(even).select("accountId", F.lit("ACTIVE").alias("status"),
+                                       (F.lit(600) + F.length("accountId")).cast("bigint").alias("seq"))
+    return first.unionByName(again)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vaultflow.operators.slices import running_count
 from vaultflow.schemas import ENVELOPE_DDL
 
 
@@ -55,3 +56,17 @@ def keyed_layout(df: DataFrame, key: str, order: str, partition) -> DataFrame:
     """
     placed = df.withColumn("partition", partition)
     return placed.repartitionByRange("partition", key, order).sortWithinPartitions("partition", key, order)
+
+
+def place_in_key(df: DataFrame, key: str, order: str) -> DataFrame:
+    """Add ``place``: how many rows of the key come up to and including this one.
+
+    A count adds up from parts: the window runs inside slices of a hot key, and each slice adds the
+    number of rows in the slices before it.
+    """
+    return running_count(df, key, order, "place")
+
+
+def encode(*fields: str) -> Column:
+    """JSON text of a record: ISO times in milliseconds, nulls kept."""
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSX"})
