@@ -103,9 +103,10 @@ def money_mule(posted: DataFrame, rules: FraudRules = FraudRules()) -> DataFrame
 
     deposits = deposits.withColumn("d_bin", F.explode(F.array(bin_of("d_ts"), bin_of("d_ts") + 1)))
     debits = debits.withColumn("bin", bin_of("timestamp"))
-    gap = F.unix_millis("timestamp") - F.unix_millis("d_ts")
+    # Plain comparisons of the two event times: a stream-stream join derives its state bound from them.
+    latest = F.col("d_ts") + F.expr(f"INTERVAL {rules.mule_minutes} MINUTES")
     pairs = debits.join(deposits, (F.col("accountId") == F.col("d_account")) & (F.col("bin") == F.col("d_bin"))
-                        & gap.between(0, span))
+                        & (F.col("timestamp") >= F.col("d_ts")) & (F.col("timestamp") <= latest))
     return mule_alerts(pairs, rules)
 
 

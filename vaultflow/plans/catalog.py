@@ -13,7 +13,10 @@ from vaultflow.plans import oracles as o
 from vaultflow.plans.pipeline import Pipeline, balance_changes, balances_of
 from vaultflow.schemas import (ALERT_RETRY, HEADER_CORRELATION, HEADER_SOURCE, REQUESTED, STREAM_RETENTION_DAYS,
                                TRANSACTION_DDL, TRANSACTION_FIELDS, FraudRules, LedgerRules)
+from vaultflow.session import new_folder
 from vaultflow.sources import decode, driver_tables, streams, tables
+from vaultflow.streaming import jobs
+from vaultflow.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -663,3 +666,84 @@ def delivery_prefix_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.conv(F.substring(F.md5("transactionId"), 1, 8), 16, 10).cast("bigint") % 50 == 0).alias("failed"))
     done = notify.commit_prefix(rows, ("partition", "batch"), "place", F.col("failed"))
     return done.select("seq", "leg", "partition", "batch", "committed")
+
+
+# -- the same jobs as streams: the table arrives in three pieces ------------------------------------
+
+def _posted_stream(spark: SparkSession, sf_dir: str, job) -> DataFrame:
+    home = new_folder(spark, "stream-job")
+    return replay(Pipeline.of(spark, sf_dir).posted(), "seq", lambda stream: job(stream, home))
+
+
+@query(o.q(o.LEDGER + o.SUMMARY, f"""
+SELECT {_SUMMARY} FROM summary
+WHERE windowEnd + INTERVAL '5 minutes' <= (SELECT max("timestamp") FROM posted)"""))
+def activity_summary_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final summaries of the windows that have closed by the end of the stream."""
+    return _posted_stream(spark, sf_dir, jobs.activity_summaries)
+
+
+@query(o.q(o.LEDGER + o.ALERTS, f"""
+SELECT {o.ALERT} FROM alert WHERE rule = 'VELOCITY' AND detectedAt <= (SELECT max("timestamp") FROM posted)"""))
+def fraud_velocity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Velocity alerts of the windows that have closed by the end of the stream."""
+    return _posted_stream(spark, sf_dir, lambda stream, home: jobs.velocity_alerts(stream, home, SPARSE))
+
+
+@query(_alert_sql("MONEY_MULE"))
+def fraud_money_mule_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deposits and debits joined as two streams."""
+    return _posted_stream(spark, sf_dir, jobs.mule_alerts)
+
+
+@query(_alert_sql("IMPOSSIBLE_TRAVEL"))
+def fraud_travel_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last locations carried from micro-batch to micro-batch."""
+    return _posted_stream(spark, sf_dir, jobs.travel_alerts).select(*fraud.ALERT)
+
+
+@query(_alert_sql("LARGE_AMOUNT"))
+def fraud_large_amount_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _posted_stream(spark, sf_dir, jobs.large_amount_alerts)
+
+
+@query(ORACLES["enriched"])
+def enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches joined with the account and customer tables of the moment."""
+    p = Pipeline.of(spark, sf_dir)
+    rows = _posted_stream(spark, sf_dir, lambda stream, home: jobs.enrich_posted(
+        stream, p.accounts(), p.customers(), home))
+    return rows.drop("batch_id")
+
+
+@query(ORACLES["dedup_requests"])
+def dedup_requests_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests judged and de-duplicated with the ids that earlier micro-batches saw."""
+    p = Pipeline.of(spark, sf_dir)
+    home = new_folder(spark, "stream-job")
+    rows = replay(p.requests(), "seq", lambda stream: jobs.validate(stream, p.accounts(), home))
+    return rows.select("seq", "transactionId", "outcome", "reason")
+
+
+@query(ORACLES["ledger_with_transfers"])
+def ledger_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger booked micro-batch by micro-batch on the balances carried over."""
+    home = new_folder(spark, "stream-job")
+    rows = replay(Pipeline.of(spark, sf_dir).validated(), "seq", lambda stream: jobs.book(stream, home))
+    return rows.select(*BOOKING)
+
+
+@query(ORACLES["validation_verdicts"])
+def pending_lookup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One account in five becomes known a micro-batch late: its requests wait, then get their verdict."""
+    p = Pipeline.of(spark, sf_dir)
+    home = new_folder(spark, "stream-job")
+    late = F.regexp_extract("accountId", "([0-9]+)", 1).cast("bigint") % 5 == 0
+
+    def accounts_at(batch_id: int) -> DataFrame:
+        return p.accounts() if batch_id > 0 else p.accounts().where(~late)
+
+    requests = p.requests()
+    job = jobs.RetryingValidator(accounts_at, home)
+    replay(requests, "seq", job.run)
+    return job.finish(spark, requests.schema).select("seq", "transactionId", "outcome", "reason")
