@@ -21,17 +21,22 @@ def signed_amount(type_: Column, amount: Column) -> Column:
     return F.when(is_credit(type_), amount).otherwise(-amount)
 
 
+def _mantissa(raw: Column) -> Column:
+    return F.substring_index(F.lower(raw), "e", 1)
+
+
 def written_scale(raw: Column) -> Column:
     """Decimal places of a number as written: ``1.100`` has 3, ``1.10E+3`` has -1."""
-    fraction = F.length(F.regexp_extract(raw, r"\.([0-9]+)", 1))
-    exponent = F.regexp_extract(raw, r"[eE]([+-]?[0-9]+)$", 1)
-    return fraction - F.when(exponent == "", 0).otherwise(exponent.try_cast("int"))
+    mantissa = _mantissa(raw)
+    point = F.instr(mantissa, ".")
+    places = F.when(point > 0, F.length(mantissa) - point).otherwise(0)
+    exponent = F.when(F.length(raw) > F.length(mantissa), F.substring_index(F.lower(raw), "e", -1).try_cast("int"))
+    return places - F.coalesce(exponent, F.lit(0))
 
 
 def written_positive(raw: Column) -> Column:
     """Whether a written number is above zero, whatever its size."""
-    mantissa = F.regexp_extract(raw, r"^([^eE]*)", 1)
-    return ~raw.startswith("-") & mantissa.rlike("[1-9]")
+    return ~raw.startswith("-") & (F.translate(_mantissa(raw), "0.", "") != "")
 
 
 def parse_amount(raw: Column) -> Column:

@@ -31,6 +31,7 @@ from vaultflow.functions import money
 from vaultflow.operators.slices import WHOLE, hot_keys, with_slice
 from vaultflow.schemas import LedgerRules
 from vaultflow.session import stage
+from vaultflow.sources.tables import latest
 
 # Kinds of rows in a fold: controls sort before the booking row they refer to.
 _OPENING, _DEBIT_OFF, _LEG_OFF, _BOOKING = 0, 1, 2, 3
@@ -108,14 +109,15 @@ class _Book:
         self.opening = _opening_controls(opening, plain) if opening is not None else None
         self.outcomes: list[DataFrame] = []
         self.refolded: list[DataFrame] = []
-        self.flips: list[DataFrame] = []
+        self.missing: DataFrame | None = None  # transfers not booked as of the last round
+        self.closings: DataFrame | None = None  # what the last fold of every slice did
         self.slices = self._guess_slices() if self.hot is not None else None
 
     def run(self) -> None:
         todo = None
         while True:
             self._fold_round(todo)
-            todo = self._next_round()
+            todo = self._next_round(todo)
             if todo is None:
                 return
             self.refolded.append(todo)
@@ -143,48 +145,48 @@ class _Book:
             if self.hot is not None:
                 start = start.join(F.broadcast(self.hot), F.col("accountId") == F.col("_hot"), "left_anti")
             controls.append(start)
-        if self.flips:
-            off = self._missing()
-            for kind, leg, account, part in ((_DEBIT_OFF, 0, "source", "sourceSlice"),
-                                             (_LEG_OFF, 1, "target", "targetSlice")):
-                nothing = F.lit(None)
-                controls.append(off.select(
-                    F.col(account).alias("accountId"), F.col(part).alias("slice"),
-                    *_control(kind, nothing, nothing, nothing, nothing, F.col("seq"), leg)))
+        if self.missing is not None:
+            nothing = F.lit(None)
+            sides = F.explode(F.array(
+                F.struct(F.col("source").alias("accountId"), F.col("sourceSlice").alias("slice"),
+                         *_control(_DEBIT_OFF, nothing, nothing, nothing, nothing, F.col("seq"), 0)),
+                F.struct(F.col("target").alias("accountId"), F.col("targetSlice").alias("slice"),
+                         *_control(_LEG_OFF, nothing, nothing, nothing, nothing, F.col("seq"), 1))))
+            controls.append(self.missing.select(sides.alias("c")).select("c.*"))
         return controls
 
-    def _missing(self) -> DataFrame:
-        """Transfers that are not booked as of the last round."""
-        tagged = [flip.withColumn("round", F.lit(i)) for i, flip in enumerate(self.flips)]
-        state = (reduce(DataFrame.unionByName, tagged)
-                 .groupBy("seq", "source", "sourceSlice", "target", "targetSlice")
-                 .agg(F.max_by("booked", "round").alias("booked")))
-        return state.where(~F.col("booked"))
-
-    def _next_round(self) -> DataFrame | None:
-        """Chunks to fold again, or None when every supposition held."""
+    def _next_round(self, folded: DataFrame | None) -> DataFrame | None:
+        """Chunks to fold again after ``folded`` were, or None when every supposition held."""
         changed = []
         if self.rules.transfers:
-            booked = F.col("outcome") == POSTED
-            flips = (self.outcomes[-1]
-                     .where(F.col("target").isNotNull() & (booked != F.col("supposed")))
-                     .select("seq", F.col("accountId").alias("source"), F.col("slice").alias("sourceSlice"),
-                             "target", booked.alias("booked")))
-            flips = stage(with_slice(flips, "target", "seq", self.hot, self.rules.slice_rows, "targetSlice"),
-                          f"ledger-flips-{len(self.flips)}")
-            self.flips.append(flips)
-            changed.append(flips.select(F.col("target").alias("accountId"), F.col("targetSlice").alias("slice")))
-            # The debit's own chunk keeps its outcome; the new marker is read when it is next folded.
+            flips = self._flips()
+            if not flips.isEmpty():
+                self._note(flips)
+                changed.append(flips.select(F.col("target").alias("accountId"), F.col("targetSlice").alias("slice")))
         if self.slices is not None:
-            before, self.slices = self.slices, stage(self._chain_slices(), f"ledger-slices-{len(self.outcomes)}")
-            was = before.select("accountId", "slice", F.struct("open", "openCurrency", "openLast").alias("was"))
-            changed.append(self.slices.join(was, ["accountId", "slice"])
-                           .where(~F.struct("open", "openCurrency", "openLast").eqNullSafe(F.col("was")))
-                           .select("accountId", "slice"))
+            moved = self._move_slices(folded)
+            if not moved.isEmpty():
+                changed.append(moved)
         if not changed:
             return None
-        todo = stage(reduce(DataFrame.unionByName, changed).distinct(), f"ledger-todo-{len(self.outcomes)}")
-        return None if todo.isEmpty() else todo
+        return stage(reduce(DataFrame.unionByName, changed).distinct(), "ledger-todo")
+
+    def _flips(self) -> DataFrame:
+        """Transfers whose outcome differs from what the last fold supposed."""
+        booked = F.col("outcome") == POSTED
+        flips = (self.outcomes[-1].where(F.col("target").isNotNull() & (booked != F.col("supposed")))
+                 .select("seq", F.col("accountId").alias("source"), F.col("slice").alias("sourceSlice"),
+                         "target", booked.alias("booked")))
+        return stage(with_slice(flips, "target", "seq", self.hot, self.rules.slice_rows, "targetSlice"),
+                     "ledger-flips")
+
+    def _note(self, flips: DataFrame) -> None:
+        """Bring the list of missing transfers up to date."""
+        lost = flips.where(~F.col("booked")).drop("booked")
+        if self.missing is not None:
+            found = flips.where("booked").select("seq")
+            lost = self.missing.join(found, "seq", "left_anti").unionByName(lost)
+        self.missing = stage(lost, "ledger-missing")
 
     # -- slices of hot accounts ------------------------------------------------------------------
     def _first_opening(self) -> DataFrame:
@@ -213,16 +215,25 @@ class _Book:
             .select(*_SLICE_COLUMNS),
             "ledger-slices")
 
-    def _closings(self) -> DataFrame:
-        """What the latest fold of every slice did to its balance."""
+    def _move_slices(self, folded: DataFrame | None) -> DataFrame:
+        """New openings of all slices; returns the slices whose opening is another one now."""
         done = F.col("outcome") == POSTED
         place = F.struct("seq", "leg")
-        return (self.settled().where(F.col("slice") != WHOLE).groupBy("accountId", "slice")
-                .agg(F.max_by("after", place).alias("close"),
-                     F.max_by(F.when(done, F.col("transactionId")), F.when(done, place)).alias("closeLast"),
-                     F.min_by(F.when(done, F.col("currency")), F.when(done, place)).alias("firstCurrency"),
-                     F.count_if(done).alias("posted"),
-                     F.bool_or(F.col("outcome") == REJECTED).alias("pinned")))
+        closings = (self.outcomes[-1].where(F.col("slice") != WHOLE).groupBy("accountId", "slice")
+                    .agg(F.max_by("after", place).alias("close"),
+                         F.max_by(F.when(done, F.col("transactionId")), F.when(done, place)).alias("closeLast"),
+                         F.min_by(F.when(done, F.col("currency")), F.when(done, place)).alias("firstCurrency"),
+                         F.count_if(done).alias("posted"),
+                         F.bool_or(F.col("outcome") == REJECTED).alias("pinned")))
+        if folded is not None:
+            kept = self.closings.join(folded, ["accountId", "slice"], "left_anti")
+            closings = kept.unionByName(closings)
+        self.closings = stage(closings, "ledger-closings")
+        before, self.slices = self.slices, stage(self._chain_slices(), "ledger-slices")
+        opening = F.struct("open", "openCurrency", "openLast")
+        was = before.select("accountId", "slice", opening.alias("was"))
+        return stage(self.slices.join(was, ["accountId", "slice"]).where(~opening.eqNullSafe(F.col("was")))
+                     .select("accountId", "slice"), "ledger-moved")
 
     def _chain_slices(self) -> DataFrame:
         """Openings for the next round.
@@ -233,7 +244,7 @@ class _Book:
         """
         earlier = Window.partitionBy("accountId").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
         since = Window.partitionBy("accountId", "run").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-        state = (self.slices.join(self._closings(), ["accountId", "slice"], "left")
+        state = (self.slices.join(self.closings, ["accountId", "slice"], "left")
                  .withColumn("delta", F.coalesce(F.col("close") - F.col("open"), F.lit(0))))
         runs = (state
                 .withColumn("run", F.coalesce(F.sum(F.col("pinned").cast("int")).over(earlier), F.lit(0)))
@@ -266,7 +277,7 @@ class _Book:
         if self.slices is None:
             return rows
         earlier = Window.partitionBy("accountId").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-        before = (self._closings().join(self.slices.select("accountId", "slice", "baseN"), ["accountId", "slice"])
+        before = (self.closings.join(self.slices.select("accountId", "slice", "baseN"), ["accountId", "slice"])
                   .select("accountId", "slice",
                           (F.col("baseN") + F.coalesce(F.sum("posted").over(earlier), F.lit(0))).alias("earlierN")))
         return (rows.join(before, ["accountId", "slice"], "left")
@@ -327,6 +338,40 @@ def book(entries: DataFrame, rules: LedgerRules = LedgerRules(), opening: DataFr
     return stage(_describe(entries.join(kept, "seq")), "ledger-postings")
 
 
+def book_in_periods(entries: DataFrame, period_rows: int, rules: LedgerRules = LedgerRules()) -> DataFrame:
+    """Book a long history period by period, each on the balances of the one before.
+
+    Same result as ``book``. A period of ``period_rows`` sequence numbers needs few rounds, so most
+    rows are folded once or twice however long the history is.
+    """
+    low, high = entries.agg(F.min("seq"), F.max("seq")).first()
+    opening, parts = None, []
+    for start in range(low, high + 1, period_rows):
+        part = entries.where((F.col("seq") >= start) & (F.col("seq") < start + period_rows))
+        postings = book(part, rules, opening)
+        parts.append(postings)
+        closing = balances_of(postings.where(F.col("status") == POSTED)).withColumn("period", F.lit(len(parts)))
+        if opening is not None:
+            closing = closing.unionByName(opening.withColumn("period", F.lit(0)))
+        fields = [c for c in closing.columns if c != "period"]
+        opening = stage(latest(closing, "accountId", F.struct(*fields), "period"), "ledger-closing")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def balance_changes(posted: DataFrame) -> DataFrame:
+    """One balance snapshot per posted row: the state right after it."""
+    return posted.select(
+        "seq", "leg", "accountId", F.col("balanceAfter").alias("balance"), F.col("accountCurrency").alias("currency"),
+        "transactionCount", F.col("transactionId").alias("lastTransactionId"), F.col("timestamp").alias("updatedAt"))
+
+
+def balances_of(posted: DataFrame) -> DataFrame:
+    """Latest balance per account."""
+    fields = ("accountId", "balance", "currency", "transactionCount", "lastTransactionId", "updatedAt")
+    changes = balance_changes(posted).withColumn("_place", F.struct("seq", "leg"))
+    return latest(changes, "accountId", F.struct(*fields), "_place")
+
+
 def credit_legs(posted: DataFrame) -> DataFrame:
     """The credit leg each posted transfer sends to the other account: ids linked, accounts swapped."""
     return posted.where(F.col("type") == "TRANSFER").select(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from copy import copy
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A lookup table is broadcast only when counting it proved at most this many rows
@@ -21,6 +23,12 @@ class Lookup:
         self.salts = salts
         self.small = df.count() <= broadcast_rows
 
+    def only(self, *columns: str | Column) -> "Lookup":
+        """The same keys with other columns, not counted again."""
+        narrow = copy(self)
+        narrow.df = self.df.select(self.key, *columns)
+        return narrow
+
 
 def lookup_join(facts: DataFrame, lookup: Lookup, fact_key: str, alias: str,
                 how: str = "left", spread_by: str = "seq") -> DataFrame:

@@ -15,83 +15,104 @@ VALIDATED, REJECTED, DEAD, DUPLICATE = "VALIDATED", "REJECTED", "DEAD_LETTER", "
 
 
 def channel_limit(channel: Column, rules: ValidationRules) -> Column:
-    limits = F.create_map(*[F.lit(x) for pair in rules.channel_limits.items() for x in pair])
-    return F.coalesce(F.element_at(limits, F.upper(channel)), F.lit(rules.default_limit))
+    given, limit = F.upper(channel), F
+    for name, most in rules.channel_limits.items():
+        limit = limit.when(given == name, most)
+    return F.lit(rules.default_limit) if limit is F else limit.otherwise(rules.default_limit)
+
+
+def _first_match(cases: list[tuple[Column, object]]) -> Column:
+    chosen = F
+    for condition, result in cases:
+        chosen = chosen.when(condition, result)
+    return chosen
 
 
 def verdicts(requests: DataFrame, accounts: Lookup, rules: ValidationRules = ValidationRules()) -> DataFrame:
     """Add ``outcome`` (VALIDATED, REJECTED or DEAD_LETTER), ``reason`` and ``amount``.
 
     The first failing rule decides. Rules on the request alone come before any account is looked
-    up; an unknown account is a technical error, not a rejection.
+    up; an unknown account is a technical error, not a rejection. The rules first give a number,
+    the text follows from it: small expressions in separate steps stay within what the JVM compiles.
     """
-    facts = lookup_join(requests, accounts, "accountId", "account")
-    facts = facts.withColumn("_other", F.when(F.col("type") == "TRANSFER", F.col("counterpartyAccountId")))
-    facts = lookup_join(facts, accounts, "_other", "other")
     raw, currency, channel = F.col("amountRaw"), F.col("currency"), F.col("channel")
-    amount = money.parse_amount(raw)
-    limit = channel_limit(channel, rules)
-
-    def refuse(*parts) -> Column:
-        words = [p if isinstance(p, Column) else F.lit(p) for p in parts]
-        return F.struct(F.lit(REJECTED).alias("outcome"), F.concat(*words).alias("reason"))
-
-    def missing(account: str) -> Column:
-        return F.struct(F.lit(DEAD).alias("outcome"),
-                        F.concat(F.lit("Account "), F.col(account), F.lit(" not (yet) known")).alias("reason"))
-
-    def account_rules(side: str, prefix: str) -> list[tuple[Column, Column]]:
-        return [
-            (~F.col(f"{side}.status").eqNullSafe("ACTIVE"),
-             refuse(f"{prefix}ACCOUNT_", text(F.col(f"{side}.status")), ": ", F.col(f"{side}.accountId"))),
-            (~F.col(f"{side}.currency").eqNullSafe(currency),
-             refuse(f"{prefix}CURRENCY_MISMATCH: account ", F.col(f"{side}.accountId"), " is in ",
-                    text(F.col(f"{side}.currency")))),
-        ]
-
     transfer = F.col("type") == "TRANSFER"
-
-    def on_transfer(cases):
-        return [(transfer & condition, result) for condition, result in cases]
-
-    cases = [
-        (F.col("accountId").isNull() | F.col("type").isNull() | raw.isNull(),
-         refuse("MALFORMED: accountId, type and amount are mandatory")),
-        (~money.written_positive(raw), refuse("INVALID_AMOUNT: amount must be positive")),
-        (money.written_scale(raw) > 2, refuse("INVALID_AMOUNT: more than 2 decimal places")),
-        (~F.coalesce(currency.isin(*rules.currencies), F.lit(False)),
-         refuse("UNSUPPORTED_CURRENCY: ", text(currency))),
-        # A number too long for the amount type is above every limit.
-        (amount.isNull() | (amount > limit),
-         refuse("LIMIT_EXCEEDED: ", text(channel), " limit is ", limit.cast("string"))),
-        (F.col("account").isNull(), missing("accountId")),
-        *account_rules("account", ""),
-        *on_transfer([
-            (F.col("_other").isNull() | (F.col("_other") == F.col("accountId")),
-             refuse("INVALID_TRANSFER: counterparty must be a different account")),
-            (F.col("other").isNull(), missing("_other")),
-            *account_rules("other", "COUNTERPARTY_"),
-        ]),
-        (F.col("type") == "TRANSFER_IN", refuse("INVALID_TYPE: TRANSFER_IN is generated by the ledger only")),
+    own = (requests.drop("outcome", "reason", "amount")
+           .withColumn("amount", money.parse_amount(raw))
+           .withColumn("_limit", channel_limit(channel, rules))
+           .withColumn("_other", F.when(transfer, F.col("counterpartyAccountId"))))
+    # A number too long for the amount type is above every limit.
+    alone = own.withColumn("_alone", _first_match([
+        (F.col("accountId").isNull() | F.col("type").isNull() | raw.isNull(), 1),
+        (~money.written_positive(raw), 2),
+        (money.written_scale(raw) > 2, 3),
+        (~F.coalesce(currency.isin(*rules.currencies), F.lit(False)), 4),
+        (F.col("amount").isNull() | (F.col("amount") > F.col("_limit")), 5),
+    ]))
+    # Null tests are done once per account here, not once per request below.
+    needed = accounts.only(F.when(~F.col("status").eqNullSafe("ACTIVE"), text(F.col("status"))).alias("blocked"),
+                           text(F.col("currency")).alias("currency"))
+    facts = lookup_join(alone, needed, "accountId", "_account")
+    facts = lookup_join(facts, needed, "_other", "_counter")
+    judged = facts.withColumn("_rule", F.coalesce("_alone", _first_match([
+        (F.col("_account").isNull(), 6),
+        (F.col("_account.blocked").isNotNull(), 7),
+        (F.col("_account.currency") != currency, 8),
+        (transfer & (F.col("_other").isNull() | (F.col("_other") == F.col("accountId"))), 9),
+        (transfer & F.col("_counter").isNull(), 10),
+        (transfer & F.col("_counter.blocked").isNotNull(), 11),
+        (transfer & (F.col("_counter.currency") != currency), 12),
+        (F.col("type") == "TRANSFER_IN", 13),
+    ])))
+
+    first, second = F.col("accountId"), F.col("_other")
+    # Per rule: text, value, text, value.
+    messages = [
+        ("MALFORMED: accountId, type and amount are mandatory",),
+        ("INVALID_AMOUNT: amount must be positive",),
+        ("INVALID_AMOUNT: more than 2 decimal places",),
+        ("UNSUPPORTED_CURRENCY: ", currency),
+        ("LIMIT_EXCEEDED: ", channel, " limit is ", F.col("_limit").cast("string")),
+        ("Account ", first, " not (yet) known"),
+        ("ACCOUNT_", F.col("_account.blocked"), ": ", first),
+        ("CURRENCY_MISMATCH: account ", first, " is in ", F.col("_account.currency")),
+        ("INVALID_TRANSFER: counterparty must be a different account",),
+        ("Account ", second, " not (yet) known"),
+        ("COUNTERPARTY_ACCOUNT_", F.col("_counter.blocked"), ": ", second),
+        ("COUNTERPARTY_CURRENCY_MISMATCH: account ", second, " is in ", F.col("_counter.currency")),
+        ("INVALID_TYPE: TRANSFER_IN is generated by the ledger only",),
     ]
-    verdict = F
-    for condition, result in cases:
-        verdict = verdict.when(condition, result)
-    verdict = verdict.otherwise(F.struct(F.lit(VALIDATED).alias("outcome"), F.lit(None).cast("string").alias("reason")))
-    return (facts.drop("reason", "amount").withColumn("_verdict", verdict).withColumn("amount", amount)
-            .select("*", "_verdict.outcome", "_verdict.reason")
-            .drop("_verdict", "account", "other", "_other"))
+    rule = F.col("_rule")
+    outcome = F.when(rule.isNull(), VALIDATED).when(rule.isin(6, 10), DEAD).otherwise(REJECTED)
+    return (judged.withColumn("outcome", outcome).withColumn("reason", _message(rule, messages))
+            .drop("_alone", "_limit", "_other", "_account", "_counter", "_rule"))
+
+
+def _message(rule: Column, messages: list[tuple]) -> Column:
+    """Message number ``rule``. Its texts come from constant arrays, which keeps the expression small."""
+    parts = []
+    for place in range(4):
+        given = [(i + 1, m[place]) for i, m in enumerate(messages) if len(m) > place]
+        if place % 2 == 0:
+            words = dict(given)
+            parts.append(F.element_at(F.array(*[F.lit(words.get(i + 1, "")) for i in range(len(messages))]), rule))
+        else:
+            value = _first_match([(rule == i, text(column)) for i, column in given])
+            parts.append(value.otherwise(""))
+    return F.when(rule.isNotNull(), F.concat(*parts))
 
 
 def first_processed(judged: DataFrame) -> DataFrame:
     """Validated and rejected requests, each transaction id once, in its first occurrence.
 
-    Dead letters do not count as processed. The ranking filter lets Spark keep one row per id on
-    every map task, so an id sent very often does not pile up in one reducer.
+    Dead letters do not count as processed: they rank last and leave at the end. The ranking filter
+    lets Spark keep one row per id on every map task, so an id sent very often does not pile up in
+    one reducer.
     """
-    first = Window.partitionBy("transactionId").orderBy("seq")
-    return (judged.where(F.col("outcome") != DEAD)
-            .withColumn("_n", F.row_number().over(first)).where(F.col("_n") == 1).drop("_n"))
+    dead = F.col("outcome") == DEAD
+    first = Window.partitionBy("transactionId").orderBy(dead, "seq")
+    return (judged.withColumn("_n", F.row_number().over(first)).where(F.col("_n") == 1).drop("_n")
+            .where(~dead))
 
 
 def dispositions(judged: DataFrame) -> DataFrame:

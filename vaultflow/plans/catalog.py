@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vaultflow.functions import headers, money
 from vaultflow.operators import activity, enrich, fraud, ingest, ledger, notify, validation
 from vaultflow.plans import oracles as o
-from vaultflow.plans.pipeline import Pipeline, balance_changes, balances_of
+from vaultflow.plans.pipeline import Pipeline
 from vaultflow.schemas import (ALERT_RETRY, HEADER_CORRELATION, HEADER_SOURCE, REQUESTED, STREAM_RETENTION_DAYS,
                                TRANSACTION_DDL, TRANSACTION_FIELDS, FraudRules, LedgerRules)
 from vaultflow.session import new_folder
@@ -183,7 +183,7 @@ SELECT seq, leg, accountId, balanceAfter AS balance, accountCurrency AS currency
        transactionId AS lastTransactionId, "timestamp" AS updatedAt FROM posted"""))
 def balance_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One balance snapshot per posted row."""
-    return balance_changes(Pipeline.of(spark, sf_dir).posted())
+    return ledger.balance_changes(Pipeline.of(spark, sf_dir).posted())
 
 
 _BALANCES = """
@@ -595,7 +595,7 @@ def fraud_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(o.q(o.LEDGER, f"SELECT * FROM ({_BALANCES}) WHERE accountId = '{_ACCOUNT}'"))
 def balance_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balance of one account: the filter reaches the scan, the rest of the table is not aggregated."""
-    return balances_of(Pipeline.of(spark, sf_dir).posted().where(F.col("accountId") == _ACCOUNT))
+    return ledger.balances_of(Pipeline.of(spark, sf_dir).posted().where(F.col("accountId") == _ACCOUNT))
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """The platform end to end: requests -> verdicts -> ledger -> everything that reads posted rows.
 
-Like the streams between services, the results that several jobs read (`processed` and `postings`) are
-written once per session and data folder and then read as tables.
+Like the streams between services, the tables that several jobs read
+(`request_table`, `processed` and `postings`) are written once per session and data folder and then read as tables.
 """
 
 from __future__ import annotations
@@ -36,8 +36,13 @@ class Pipeline:
         return _open[key]
 
     # -- inputs ----------------------------------------------------------------------------------
+    @cached_property
+    def request_table(self) -> DataFrame:
+        """The requested stream as ingest leaves it (written)."""
+        return stage(driver_tables.requests(self.spark, self.sf_dir), "requests")
+
     def requests(self) -> DataFrame:
-        return driver_tables.requests(self.spark, self.sf_dir)
+        return self.request_table
 
     def records(self) -> DataFrame:
         return driver_tables.request_records(self.requests())
@@ -90,21 +95,7 @@ class Pipeline:
         return self.postings.where(~F.coalesce(F.col("status") == "POSTED", F.lit(False)))
 
     def balances(self) -> DataFrame:
-        return balances_of(self.posted())
+        return ledger.balances_of(self.posted())
 
     def enriched(self) -> DataFrame:
         return enrich.enrich(self.posted(), self.account_lookup, self.customer_lookup)
-
-
-def balance_changes(posted: DataFrame) -> DataFrame:
-    """One balance snapshot per posted row: the state right after it."""
-    return posted.select(
-        "seq", "leg", "accountId", F.col("balanceAfter").alias("balance"), F.col("accountCurrency").alias("currency"),
-        "transactionCount", F.col("transactionId").alias("lastTransactionId"), F.col("timestamp").alias("updatedAt"))
-
-
-def balances_of(posted: DataFrame) -> DataFrame:
-    """Latest balance per account."""
-    fields = ("accountId", "balance", "currency", "transactionCount", "lastTransactionId", "updatedAt")
-    changes = balance_changes(posted).withColumn("_place", F.struct("seq", "leg"))
-    return tables.latest(changes, "accountId", F.struct(*fields), "_place")

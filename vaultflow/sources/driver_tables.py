@@ -80,26 +80,26 @@ def requests_from_events(events: DataFrame) -> DataFrame:
         F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"))
     seq, user, kind, k = F.col("seq"), F.col("user_id"), F.col("event_type"), F.col("k")
 
-    def money_text(value: Column) -> Column:
-        return F.round(value, 2).cast("decimal(18,2)").cast("string")
-
+    three_places = seq % 223 == 8
+    money = F.round(F.col("value") * F.when(three_places, 1).otherwise(100), 2).cast("decimal(18,2)").cast("string")
+    named = F.create_map(*map(F.lit, ("signup", "DEPOSIT", "purchase", "PAYMENT", "click", "WITHDRAWAL",
+                                      "view", "TRANSFER")))
     number = F.when(seq % 50 == 49, seq - 1).otherwise(seq)
     account = F.concat(F.when(user % 29 == 13, "ACC-X").otherwise("ACC-"), user.cast("string"))
     return e.select(
         "seq",
         F.concat(F.lit("T-"), number.cast("string")).alias("transactionId"),
         account.alias("accountId"),
-        F.when(kind == "signup", "DEPOSIT").when(kind == "purchase", "PAYMENT").when(kind == "click", "WITHDRAWAL")
-        .when(kind == "view", "TRANSFER").when(k % 10 == 0, "TRANSFER_IN").otherwise("REFUND").alias("type"),
+        F.coalesce(F.element_at(named, kind), F.when(k % 10 == 0, "TRANSFER_IN").otherwise("REFUND")).alias("type"),
         F.when(seq % 199 == 5, F.lit(None).cast("string"))
         .when(seq % 211 == 6, "0.00")
-        .when(seq % 223 == 8, F.concat(money_text(F.col("value")), F.lit("1")))
-        .otherwise(money_text(F.col("value") * 100)).alias("amountRaw"),
+        .otherwise(F.concat(money, F.when(three_places, "1").otherwise(""))).alias("amountRaw"),
         F.when(k >= 97, "JPY").when(k >= 92, "EUR").otherwise("USD").alias("currency"),
         F.when((kind == "view") & (k % 20 != 19), F.concat(F.lit("ACC-"), (user + k % 7).cast("string")))
         .alias("counterpartyAccountId"),
         F.element_at(F.array(*map(F.lit, ("ATM", "MOBILE", "ONLINE", "BRANCH", None))), k % 5 + 1).alias("channel"),
-        F.when(k % 4 == 0, "US").when(k % 4 == 1, "GB").when(k % 4 == 2, "SG").when(k % 3 != 0, "FR").alias("country"),
+        F.when((k % 4 != 3) | (k % 3 != 0), F.element_at(F.array(*map(F.lit, ("US", "GB", "SG", "FR"))), k % 4 + 1))
+        .alias("country"),
         F.lit(None).cast("string").alias("merchant"),
         "timestamp")
 

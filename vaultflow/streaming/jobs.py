@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from vaultflow.operators import activity, enrich, fraud, ledger, validation
 from vaultflow.operators.lookups import Lookup, lookup_join
 from vaultflow.operators.slices import running_max_before
-from vaultflow.plans.pipeline import balances_of
 from vaultflow.schemas import (BALANCE_DDL, VALIDATION_RETRY, ActivityRules, FraudRules, LedgerRules, RetryPolicy,
                                ValidationRules)
 from vaultflow.session import stage
@@ -89,7 +88,7 @@ def book(validated: DataFrame, home: str, rules: LedgerRules = LedgerRules()) ->
         opening = balances.before(spark, batch_id, BALANCE_DDL)
         postings = ledger.book(batch, rules, opening)
         write_batch(postings, f"{home}/postings", batch_id)
-        balances.save(spark, batch_id, BALANCE_DDL, balances_of(postings.where(F.col("status") == "POSTED")))
+        balances.save(spark, batch_id, BALANCE_DDL, ledger.balances_of(postings.where(F.col("status") == "POSTED")))
 
     run_batches(validated, step, f"{home}/checkpoint")
     return read_output(validated.sparkSession, f"{home}/postings")
