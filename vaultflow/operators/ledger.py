@@ -169,7 +169,8 @@ class _Book:
                 changed.append(moved)
         if not changed:
             return None
-        return stage(reduce(DataFrame.unionByName, changed).distinct(), "ledger-todo")
+        # Both parts are written tables, so this small list is cheap to derive again.
+        return reduce(DataFrame.unionByName, changed).distinct()
 
     def _flips(self) -> DataFrame:
         """Transfers whose outcome differs from what the last fold supposed."""

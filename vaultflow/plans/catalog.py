@@ -13,7 +13,7 @@ from vaultflow.plans import oracles as o
 from vaultflow.plans.pipeline import Pipeline
 from vaultflow.schemas import (ALERT_RETRY, HEADER_CORRELATION, HEADER_SOURCE, REQUESTED, STREAM_RETENTION_DAYS,
                                TRANSACTION_DDL, TRANSACTION_FIELDS, FraudRules, LedgerRules)
-from vaultflow.session import new_folder
+from vaultflow.session import new_folder, stage
 from vaultflow.sources import decode, driver_tables, streams, tables
 from vaultflow.streaming import jobs
 from vaultflow.streaming.replay import replay
@@ -103,8 +103,8 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = decode.drop_undecodable(decoded).where(F.col("payload").isNotNull())
     requests = good.select(F.col("offset").alias("seq"), "payload.*",
                            F.struct("key", "value", "topic", "partition", "offset").alias("record"))
-    judged = validation.dispositions(validation.verdicts(requests, p.account_lookup, p.validation_rules))
-    lost = judged.where(F.col("outcome") == validation.DEAD).select("record.*", "reason")
+    judged = stage(validation.verdicts(requests, p.account_lookup, p.validation_rules), "judged-records")
+    lost = validation.dispositions(judged).where(F.col("outcome") == validation.DEAD).select("record.*", "reason")
     unknown = validation.dead_letters(lost, F.lit("AccountNotFoundException"), F.col("reason"))
     return poison.unionByName(unknown).withColumn("value", F.col("value").cast("string"))
 
