@@ -24,7 +24,8 @@ from decimal import Decimal
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultflow.functions import money
@@ -40,58 +41,79 @@ _FIRST = -(2 ** 63)
 _FOLD_COLUMNS = ("accountId", "slice", "seq", "leg", "kind", "transactionId", "cents", "currency", "target", "n")
 _OUTCOME_DDL = ("accountId STRING, slice BIGINT, seq BIGINT, leg INT, target STRING, supposed BOOLEAN, "
                 "outcome STRING, before BIGINT, after BIGINT, transactionId STRING, currency STRING, n BIGINT")
-_SLICE_COLUMNS = ("accountId", "slice", "base", "baseCurrency", "baseLast", "baseN", "open", "openCurrency",
-                  "openLast")
+_SLICE_COLUMNS = ("accountId", "slice", "base", "baseCurrency", "baseLast", "baseN", "open", "openLast",
+                  "openCurrency", "stale")
 POSTED, REJECTED, REPEATED, ABSENT = "POSTED", "REJECTED", "REPEATED", "ABSENT"
 
 
 def _folder(overdraft_cents: int):
-    """Arrow function that books a stream of rows sorted by (account, slice, seq, leg, kind)."""
-    schema = pa.schema([
-        ("accountId", pa.string()), ("slice", pa.int64()), ("seq", pa.int64()), ("leg", pa.int32()),
-        ("target", pa.string()), ("supposed", pa.bool_()), ("outcome", pa.string()),
-        ("before", pa.int64()), ("after", pa.int64()), ("transactionId", pa.string()),
-        ("currency", pa.string()), ("n", pa.int64()),
-    ])
+    """Arrow function that books a stream of rows sorted by (account, slice, seq, leg, kind).
+
+    Columns that do not change pass through as they are; the loop sees plain numbers and ids. For a
+    rejected row ``after`` is the balance it would have left.
+    """
     floor = -overdraft_cents
+    names = pa.array([POSTED, REJECTED, REPEATED, ABSENT])
+
+    def values(batch: pa.RecordBatch, column: str) -> list:
+        return batch.column(column).to_numpy(zero_copy_only=False).tolist()
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = None
+        chunk = (None, None)
         balance, currency, count, last = 0, None, 0, None
         debit_off = leg_off = None
         for batch in batches:
-            rows = zip(*(batch.column(name).to_pylist() for name in _FOLD_COLUMNS))
-            out: list[tuple] = []
-            for account, part, seq, leg, kind, txn, amount, ccy, target, carried in rows:
-                if chunk != (account, part):
-                    chunk = (account, part)
+            if batch.num_rows == 0:
+                continue
+            account, part = batch.column("accountId"), batch.column("slice")
+            same = pc.and_(pc.equal(account[1:], account[:-1]), pc.equal(part[1:], part[:-1]))
+            starts = [chunk != (account[0].as_py(), part[0].as_py()),
+                      *pc.invert(pc.fill_null(same, False)).to_numpy(zero_copy_only=False).tolist()]
+            chunk = (account[-1].as_py(), part[-1].as_py())
+            kinds = values(batch, "kind")
+            carried = batch.column("n").to_pylist() if _OPENING in kinds else kinds
+            supposed, outcomes, befores, afters, currencies, counts = [], [], [], [], [], []
+            for start, kind, seq, leg, txn, amount, ccy, n in zip(
+                    starts, kinds, values(batch, "seq"), values(batch, "leg"), values(batch, "transactionId"),
+                    values(batch, "cents"), values(batch, "currency"), carried):
+                if start:
                     balance, currency, count, last = 0, None, 0, None
                     debit_off = leg_off = None
-                if kind == _OPENING:
-                    balance, currency, count, last = amount, ccy, carried, txn
-                elif kind == _DEBIT_OFF:
-                    debit_off = seq
-                elif kind == _LEG_OFF:
-                    leg_off = seq
-                else:
-                    before = balance
+                if kind == _BOOKING:
+                    after = balance + amount
+                    befores.append(balance)
                     if leg == 1 and leg_off == seq:
-                        outcome = ABSENT
+                        outcome = 3
                     elif txn is not None and txn == last:
-                        outcome = REPEATED
-                    elif amount < 0 and balance + amount < floor:
-                        outcome = REJECTED
+                        outcome = 2
+                    elif amount < 0 and after < floor:
+                        outcome = 1
                     else:
-                        outcome = POSTED
-                        balance += amount
+                        outcome = 0
+                        balance = after
                         currency = currency or ccy
                         count += 1
                         last = txn
-                    out.append((account, part, seq, leg, target, debit_off != seq, outcome, before,
-                                balance, txn, currency or ccy, count))
-            columns = zip(*out) if out else [()] * len(schema)
+                    outcomes.append(outcome)
+                    afters.append(after)
+                    supposed.append(debit_off != seq)
+                    currencies.append(currency or ccy)
+                    counts.append(count)
+                elif kind == _OPENING:
+                    balance, currency, count, last = amount, ccy, n, txn
+                elif kind == _DEBIT_OFF:
+                    debit_off = seq
+                else:
+                    leg_off = seq
+            if len(outcomes) < batch.num_rows:
+                batch = batch.filter(pc.equal(batch.column("kind"), _BOOKING))
+            kept = [batch.column(c) for c in ("accountId", "slice", "seq", "leg", "target")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values, field.type) for values, field in zip(columns, schema)], schema=schema)
+                [*kept, pa.array(supposed, pa.bool_()), names.take(pa.array(outcomes, pa.int32())),
+                 pa.array(befores, pa.int64()), pa.array(afters, pa.int64()), batch.column("transactionId"),
+                 pa.array(currencies, pa.string()), pa.array(counts, pa.int64())],
+                names=["accountId", "slice", "seq", "leg", "target", "supposed", "outcome", "before", "after",
+                       "transactionId", "currency", "n"])
 
     return fold
 
@@ -139,7 +161,7 @@ class _Book:
         if self.slices is not None:
             controls.append(self.slices.select(
                 "accountId", "slice",
-                *_control(_OPENING, F.col("openLast"), F.col("open"), F.col("openCurrency"), F.lit(0))))
+                *_control(_OPENING, F.col("openLast"), F.col("open"), F.lit(None), F.lit(0))))
         if self.opening is not None:
             start = self.opening
             if self.hot is not None:
@@ -213,52 +235,73 @@ class _Book:
             sums.join(F.broadcast(self._first_opening()), "accountId")
             .withColumn("open", F.col("base") + F.coalesce(F.sum("delta").over(earlier), F.lit(0)))
             .withColumn("openCurrency", F.col("baseCurrency")).withColumn("openLast", F.col("baseLast"))
+            .withColumn("stale", F.lit(True))
             .select(*_SLICE_COLUMNS),
             "ledger-slices")
 
     def _move_slices(self, folded: DataFrame | None) -> DataFrame:
-        """New openings of all slices; returns the slices whose opening is another one now."""
+        """New openings of all slices; returns the slices that must be folded again for theirs."""
         done = F.col("outcome") == POSTED
         place = F.struct("seq", "leg")
+        there = F.when(F.col("outcome") != ABSENT, place)
         closings = (self.outcomes[-1].where(F.col("slice") != WHOLE).groupBy("accountId", "slice")
-                    .agg(F.max_by("after", place).alias("close"),
+                    .agg(F.max_by(F.when(done, F.col("after")), F.when(done, place)).alias("close"),
                          F.max_by(F.when(done, F.col("transactionId")), F.when(done, place)).alias("closeLast"),
                          F.min_by(F.when(done, F.col("currency")), F.when(done, place)).alias("firstCurrency"),
+                         F.min_by("transactionId", there).alias("firstId"),
+                         F.min_by(done, there).alias("firstPosted"),
                          F.count_if(done).alias("posted"),
-                         F.bool_or(F.col("outcome") == REJECTED).alias("pinned")))
+                         F.min(F.when(done & (F.col("after") < F.col("before")), F.col("after"))).alias("lowest"),
+                         F.max(F.when(F.col("outcome") == REJECTED, F.col("after"))).alias("short"))
+                    .join(self.slices.select("accountId", "slice", F.col("open").alias("used"),
+                                             F.col("openLast").alias("usedLast")), ["accountId", "slice"])
+                    .withColumn("delta", F.coalesce(F.col("close") - F.col("used"), F.lit(0).cast("bigint"))))
         if folded is not None:
             kept = self.closings.join(folded, ["accountId", "slice"], "left_anti")
             closings = kept.unionByName(closings)
         self.closings = stage(closings, "ledger-closings")
-        before, self.slices = self.slices, stage(self._chain_slices(), "ledger-slices")
-        opening = F.struct("open", "openCurrency", "openLast")
-        was = before.select("accountId", "slice", opening.alias("was"))
-        return stage(self.slices.join(was, ["accountId", "slice"]).where(~opening.eqNullSafe(F.col("was")))
-                     .select("accountId", "slice"), "ledger-moved")
+        self.slices = stage(self._chain_slices(), "ledger-slices")
+        return self.slices.where("stale").select("accountId", "slice")
 
     def _chain_slices(self) -> DataFrame:
-        """Openings for the next round.
+        """Openings for the next round, and which slices are stale with theirs.
 
-        After a rejection the closing balance hardly depends on the opening, so such a slice passes
-        on its closing; a slice without one passes on its opening plus what it added. Either is
-        exact once the slice's own opening is.
+        A slice folded from another opening still stands if the shift turns no posted debit below
+        the floor and no rejected one above it; only its balances move. So openings add up along
+        the account as far as slices stand. Behind one that does not stand they are guesses: after
+        a rejection its closing balance is taken to stay as it was.
         """
+        floor = -int(Decimal(self.rules.overdraft) * 100)
         earlier = Window.partitionBy("accountId").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
         since = Window.partitionBy("accountId", "run").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-        state = (self.slices.join(self.closings, ["accountId", "slice"], "left")
-                 .withColumn("delta", F.coalesce(F.col("close") - F.col("open"), F.lit(0))))
+        none = F.lit(0).cast("bigint")
+
+        def stands(opening) -> Column:
+            shift = opening - F.col("used")
+            return (F.coalesce(F.col("lowest") + shift >= floor, F.lit(True))
+                    & F.coalesce(F.col("short") + shift < floor, F.lit(True)))
+
+        state = (self.slices.drop("open", "openLast", "openCurrency", "stale")
+                 .join(self.closings, ["accountId", "slice"])
+                 .withColumn("sum", F.col("base") + F.coalesce(F.sum("delta").over(earlier), none))
+                 .withColumn("forgets", F.col("short").isNotNull() & ~stands(F.col("sum"))))
         runs = (state
-                .withColumn("run", F.coalesce(F.sum(F.col("pinned").cast("int")).over(earlier), F.lit(0)))
+                .withColumn("run", F.coalesce(F.sum(F.col("forgets").cast("int")).over(earlier), F.lit(0)))
                 .withColumn("anchor", F.coalesce(
-                    F.last(F.when(F.col("pinned"), F.col("close")), ignorenulls=True).over(earlier), F.col("base"))))
-        # The slice right after a pinned one starts its run, so deltas add up from the pinned closing.
-        return (runs
-                .withColumn("open", F.col("anchor") + F.coalesce(F.sum("delta").over(since), F.lit(0)))
-                .withColumn("openLast", F.coalesce(
-                    F.last("closeLast", ignorenulls=True).over(earlier), F.col("baseLast")))
-                .withColumn("openCurrency", F.coalesce(
-                    F.col("baseCurrency"), F.first("firstCurrency", ignorenulls=True).over(earlier)))
-                .select(*_SLICE_COLUMNS))
+                    F.last(F.when(F.col("forgets"), F.col("used") + F.col("delta")), ignorenulls=True).over(earlier),
+                    F.col("base"))))
+        # The slice right after a forgetting one starts its run, so changes add up from that closing.
+        opened = (runs
+                  .withColumn("open", F.col("anchor") + F.coalesce(F.sum("delta").over(since), none))
+                  .withColumn("openLast", F.coalesce(
+                      F.last("closeLast", ignorenulls=True).over(earlier), F.col("baseLast")))
+                  .withColumn("openCurrency", F.coalesce(
+                      F.col("baseCurrency"), F.first("firstCurrency", ignorenulls=True).over(earlier))))
+        # The last id before the slice can only matter to its rows up to the first one posted.
+        other_id = ~F.col("openLast").eqNullSafe(F.col("usedLast")) & F.col("firstPosted").isNotNull()
+        harmless = (F.col("firstPosted") & ~F.col("firstId").eqNullSafe(F.col("openLast"))
+                    & ~F.col("firstId").eqNullSafe(F.col("usedLast")))
+        return opened.withColumn("stale", ~stands(F.col("open")) | (other_id & ~harmless)).select(*_SLICE_COLUMNS)
 
     # -- result ----------------------------------------------------------------------------------
     def settled(self) -> DataFrame:
@@ -272,24 +315,29 @@ class _Book:
         return (reduce(DataFrame.unionByName, tagged).join(last, ["accountId", "slice"], "left")
                 .where(F.col("round") == F.coalesce("lastRound", F.lit(0))).drop("round", "lastRound"))
 
-    def counted(self) -> DataFrame:
-        """Settled rows with the number of postings of the account up to each row."""
+    def placed(self) -> DataFrame:
+        """Settled rows; those of a slice get the balance, count and currency the account brought along."""
         rows = self.settled()
         if self.slices is None:
             return rows
         earlier = Window.partitionBy("accountId").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-        before = (self.closings.join(self.slices.select("accountId", "slice", "baseN"), ["accountId", "slice"])
-                  .select("accountId", "slice",
-                          (F.col("baseN") + F.coalesce(F.sum("posted").over(earlier), F.lit(0))).alias("earlierN")))
-        return (rows.join(before, ["accountId", "slice"], "left")
-                .withColumn("n", F.col("n") + F.coalesce("earlierN", F.lit(0))).drop("earlierN"))
+        brought = (self.closings.join(self.slices, ["accountId", "slice"])
+                   .select("accountId", "slice", (F.col("open") - F.col("used")).alias("shift"), "openCurrency",
+                           (F.col("baseN") + F.coalesce(F.sum("posted").over(earlier), F.lit(0))).alias("earlierN")))
+        zero = F.lit(0)
+        return (rows.join(brought, ["accountId", "slice"], "left")
+                .withColumn("before", F.col("before") + F.coalesce("shift", zero))
+                .withColumn("after", F.col("after") + F.coalesce("shift", zero))
+                .withColumn("currency", F.coalesce("openCurrency", "currency"))
+                .withColumn("n", F.col("n") + F.coalesce("earlierN", zero))
+                .drop("shift", "openCurrency", "earlierN"))
 
 
 def _control(kind: int, txn, amount, currency, n, seq=None, leg: int = -1) -> list:
     """Columns of a control row after account and slice; without a ``seq`` it sorts first."""
     seq = F.lit(_FIRST) if seq is None else seq
     return [seq.cast("bigint").alias("seq"), F.lit(leg).alias("leg"), F.lit(kind).alias("kind"),
-            txn.cast("string").alias("transactionId"), amount.cast("bigint").alias("cents"),
+            txn.cast("string").alias("transactionId"), F.coalesce(amount.cast("bigint"), F.lit(0)).alias("cents"),
             currency.cast("string").alias("currency"), F.lit(None).cast("string").alias("target"),
             n.cast("bigint").alias("n")]
 
@@ -333,7 +381,7 @@ def book(entries: DataFrame, rules: LedgerRules = LedgerRules(), opening: DataFr
     """
     run = _Book(entries, opening, rules)
     run.run()
-    kept = run.counted().where(F.col("outcome").isin(POSTED, REJECTED)).select(
+    kept = run.placed().where(F.col("outcome").isin(POSTED, REJECTED)).select(
         "seq", "leg", "outcome", "before", "after", F.col("currency").alias("accountCurrency"),
         F.col("n").alias("booked"))
     return stage(_describe(entries.join(kept, "seq")), "ledger-postings")
