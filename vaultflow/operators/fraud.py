@@ -1,4 +1,7 @@
-"""Fraud rules over posted transactions; each returns rows of the alert schema."""
+"""Fraud rules over posted transactions; each returns rows of the alert schema.
+
+Rule names, severities and description texts are fixed values.
+"""
 
 from __future__ import annotations
 

@@ -21,6 +21,8 @@ def _message(rows: DataFrame, channel: str, sent: Column, *parts) -> DataFrame:
                        "accountId", words.alias("message"), sent.alias("sentAt"))
 
 
+# Channels and texts of the four messages.
+
 def receipts(posted: DataFrame) -> DataFrame:
     c = F.col
     return _message(posted, "PUSH", c("timestamp"), c("type"), " of ", c("amount"), " ", c("currency"),

@@ -66,7 +66,7 @@ def verdicts(requests: DataFrame, accounts: Lookup, rules: ValidationRules = Val
     ])))
 
     first, second = F.col("accountId"), F.col("_other")
-    # Per rule: text, value, text, value.
+    # The reason texts. Per rule: text, value, text, value.
     messages = [
         ("MALFORMED: accountId, type and amount are mandatory",),
         ("INVALID_AMOUNT: amount must be positive",),
@@ -124,8 +124,10 @@ def dispositions(judged: DataFrame) -> DataFrame:
     seen = (judged.groupBy("transactionId")
             .agg(F.count("*").alias("n"), F.min(F.when(F.col("outcome") != DEAD, F.col("seq"))).alias("firstSeq"))
             .where(F.col("n") > 1))
-    resent = Lookup(stage(seen, "resent-ids").withColumn("_id", F.coalesce("transactionId", F.lit(""))), "_id")
-    rows = lookup_join(judged.withColumn("_id", F.coalesce("transactionId", F.lit(""))), resent, "_id", "resent")
+    # Requests without an id count as one id, different from every written one.
+    id_ = F.coalesce(F.concat(F.lit("="), F.col("transactionId")), F.lit("none"))
+    resent = Lookup(stage(seen, "resent-ids").withColumn("_id", id_), "_id")
+    rows = lookup_join(judged.withColumn("_id", id_), resent, "_id", "resent")
     repeat = F.coalesce(F.col("seq") > F.col("resent.firstSeq"), F.lit(False))
     return (rows.withColumn("outcome", F.when(repeat, F.lit(DUPLICATE)).otherwise(F.col("outcome")))
             .withColumn("reason", F.when(~repeat, F.col("reason"))).drop("_id", "resent"))

@@ -10,13 +10,10 @@ from vaultflow.functions import money
 from vaultflow.operators.slices import running_max_before
 from vaultflow.schemas import (ACCOUNT_STATUSES, SEVERITIES, TRANSACTION_STATUSES, TRANSACTION_TYPES)
 
-# Allowed texts of enumerated fields.
-ENUMS = {
-    "type": TRANSACTION_TYPES,
-    "severity": SEVERITIES,
-}
+# Allowed texts of enumerated fields, per record type.
 TRANSACTION_ENUMS = {"type": TRANSACTION_TYPES, "status": TRANSACTION_STATUSES}
 ACCOUNT_ENUMS = {"status": ACCOUNT_STATUSES}
+ALERT_ENUMS = {"severity": SEVERITIES}
 
 _RAW_AMOUNT = r'"amount"\s*:\s*"?(-?[0-9][0-9.eE+-]*)'
 
