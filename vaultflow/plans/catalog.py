@@ -78,7 +78,7 @@ SELECT part AS "partition", count(*) FILTER (json_valid(value)) AS kept,
        count(*) FILTER (NOT json_valid(value)) AS dropped FROM record GROUP BY part"""))
 def decode_drop_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The skipping policy: good records go on, dropped ones are counted per stream partition."""
-    rows = decode.decode(Pipeline.of(spark, sf_dir).records(), TRANSACTION_DDL, decode.TRANSACTION_ENUMS)
+    rows = Pipeline.of(spark, sf_dir).decoded
     return rows.groupBy("partition").agg(F.count_if(F.col("decodeError").isNull()).alias("kept"),
                                          F.count_if(F.col("decodeError").isNotNull()).alias("dropped"))
 
@@ -97,10 +97,9 @@ WHERE (NOT good OR outcome = 'DEAD_LETTER') AND ok.first IS NULL""".strip()))
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Poison records and requests on unknown accounts, bytes untouched (shown as text)."""
     p = Pipeline.of(spark, sf_dir)
-    decoded = decode.decode(p.records(), TRANSACTION_DDL, decode.TRANSACTION_ENUMS)
-    poison = validation.dead_letters(decode.undecodable(decoded), F.coalesce("decodeError", F.lit("NullPointerException")),
+    poison = validation.dead_letters(decode.undecodable(p.decoded), F.coalesce("decodeError", F.lit("NullPointerException")),
                                      F.lit("Cannot deserialize record"))
-    good = decode.drop_undecodable(decoded).where(F.col("payload").isNotNull())
+    good = decode.drop_undecodable(p.decoded).where(F.col("payload").isNotNull())
     requests = good.select(F.col("offset").alias("seq"), "payload.*",
                            F.struct("key", "value", "topic", "partition", "offset").alias("record"))
     judged = stage(validation.verdicts(requests, p.account_lookup, p.validation_rules), "judged-records")

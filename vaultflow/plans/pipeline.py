@@ -1,7 +1,8 @@
 """The platform end to end: requests -> verdicts -> ledger -> everything that reads posted rows.
 
 Like the streams between services, the tables that several jobs read
-(`request_table`, `processed` and `postings`) are written once per session and data folder and then read as tables.
+(`request_table`, `decoded`, `processed` and `postings`) are written once per session and data folder
+and then read as tables.
 """
 
 from __future__ import annotations
@@ -13,9 +14,9 @@ from pyspark.sql import functions as F
 
 from vaultflow.operators import enrich, ledger, validation
 from vaultflow.operators.lookups import Lookup
-from vaultflow.schemas import LedgerRules, ValidationRules
+from vaultflow.schemas import TRANSACTION_DDL, LedgerRules, ValidationRules
 from vaultflow.session import stage
-from vaultflow.sources import driver_tables, tables
+from vaultflow.sources import decode, driver_tables, tables
 
 _open: dict[tuple[str, str], "Pipeline"] = {}
 
@@ -47,6 +48,11 @@ class Pipeline:
     def records(self) -> DataFrame:
         return driver_tables.request_records(self.requests())
 
+    @cached_property
+    def decoded(self) -> DataFrame:
+        """Request records with their payload or decode error, JSON parsed once (written)."""
+        return stage(decode.decode(self.records(), TRANSACTION_DDL, decode.TRANSACTION_ENUMS), "decoded")
+
     def accounts(self) -> DataFrame:
         """Latest state per account, from the change log."""
         fields = ("accountId", "customerId", "accountType", "currency", "status")

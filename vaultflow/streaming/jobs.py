@@ -66,8 +66,8 @@ def validate(requests: DataFrame, accounts: DataFrame, home: str, rules: Validat
         since = F.lit(first.agg(F.min("timestamp")).first()[0]) - F.expr(f"INTERVAL {memory}")
         remembered = F.col("seenAt") >= since
         ids = judged.select("transactionId").distinct()
-        known = Lookup(stage(seen.before(spark, batch_id, _SEEN_DDL).where(remembered)
-                             .join(ids, "transactionId", "left_semi"), "stream-known"), "transactionId")
+        known = Lookup(stage(seen.before(spark, batch_id, _SEEN_DDL, ids).where(remembered), "stream-known"),
+                       "transactionId")
         fresh = stage(lookup_join(first, known, "transactionId", "known", "left_anti"), "stream-fresh")
         write_batch(fresh, f"{home}/processed", batch_id)
         dead = validation.dispositions(judged).where(F.col("outcome") == validation.DEAD)
@@ -85,7 +85,9 @@ def book(validated: DataFrame, home: str, rules: LedgerRules = LedgerRules()) ->
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        opening = balances.before(spark, batch_id, BALANCE_DDL)
+        accounts = (batch.select("accountId")
+                    .union(batch.where(F.col("type") == "TRANSFER").select("counterpartyAccountId")).distinct())
+        opening = balances.before(spark, batch_id, BALANCE_DDL, accounts)
         postings = ledger.book(batch, rules, opening)
         write_batch(postings, f"{home}/postings", batch_id)
         balances.save(spark, batch_id, BALANCE_DDL, ledger.balances_of(postings.where(F.col("status") == "POSTED")))
@@ -102,9 +104,8 @@ def travel_alerts(posted: DataFrame, home: str, rules: FraudRules = FraudRules()
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = fraud.located(batch)
-        known = places.before(spark, batch_id, _PLACE_DDL)
-        carried = Lookup(stage(known.join(rows.select("accountId").distinct(), "accountId", "left_semi"),
-                               "stream-places"), "accountId")
+        known = places.before(spark, batch_id, _PLACE_DDL, rows.select("accountId").distinct())
+        carried = Lookup(stage(known, "stream-places"), "accountId")
         inside = running_max_before(rows, "accountId", "seq", fraud.location(), "_inside", slice_rows)
         looked = lookup_join(inside, carried, "accountId", "_state")
         earlier = F.when(F.col("_state").isNotNull(), F.struct("_state.ts", "_state.seq", "_state.country"))

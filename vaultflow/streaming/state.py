@@ -41,8 +41,12 @@ class StateTable:
         last = batch_id // self.compact_every * self.compact_every - 1
         return last if last >= 0 else None
 
-    def before(self, spark: SparkSession, batch_id: int, schema: str) -> DataFrame:
-        """State left by all batches before ``batch_id``."""
+    def before(self, spark: SparkSession, batch_id: int, schema: str, keys: DataFrame | None = None) -> DataFrame:
+        """State left by all batches before ``batch_id``, for ``keys`` only if given.
+
+        With keys the rest of the state is dropped where it is read; it takes no part in a shuffle
+        as long as Spark finds the keys of one batch small enough to broadcast.
+        """
         copy = self._copy_before(batch_id)
         first = 0 if copy is None else copy + 1
         paths = [f"{self.folder}/changes/{i}" for i in range(first, batch_id)]
@@ -50,6 +54,8 @@ class StateTable:
             paths.append(f"{self.folder}/copy/{copy}")
         versioned = f"{schema}, version BIGINT"
         rows = spark.read.schema(versioned).parquet(*paths) if paths else spark.createDataFrame([], versioned)
+        if keys is not None:
+            rows = rows.join(keys, self.key, "left_semi")
         fields = [f for f in rows.columns if f != "version"]
         return latest(rows, self.key, F.struct(*fields), "version")
 
