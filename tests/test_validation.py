@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from helpers import T0, entry
+from helpers import ENTRY_DDL, entry
 from pyspark.sql import functions as F
 
 from vaultflow.functions import headers, money
@@ -10,7 +10,6 @@ from vaultflow.operators.lookups import Lookup
 from vaultflow.schemas import TRANSACTION_DDL, ValidationRules
 from vaultflow.sources import decode
 
-from helpers import ENTRY_DDL
 
 RULES = ValidationRules(currencies=("USD", "EUR"), channel_limits={"ATM": 2000})
 ACCOUNTS = [("ACC-1", "USD", "ACTIVE"), ("ACC-2", "USD", "ACTIVE"), ("ACC-EUR", "EUR", "ACTIVE"),
