@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vaultflow.llm import simhash
+from vaultflow.llm import decontaminate, quality_classifier, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +25,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op7_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of near copies of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels outside the held-out fold."""
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain benchmark items, with the item and how much of it."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document with the forest's verdict; the source stands for the path."""
+    docs = table(spark, sf_dir, "documents")
+    forest = secret_scan.train(secret_scan.silver_findings(docs, path_col="source"), secret_scan.dictionary_of(docs))
+    return secret_scan.findings(docs, forest, path_col="source")
