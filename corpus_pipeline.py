@@ -1,4 +1,10 @@
-"""The stages of a training corpus, one after another over what the stage before kept."""
+"""The stages of a training corpus, one after another over what the stage before kept.
+
+``quality_classifier`` rejects poor documents, ``simhash_near_duplicates`` keeps one document of each group of near copies,
+``decontamination`` removes documents that hold benchmark items, ``secret_scan`` blanks out secrets, and ``packing`` deals the rest
+into batches. Each stage reads what the one before wrote. All but the last return the columns of ``documents``; empty tables,
+null texts and extra columns pass through.
+"""
 
 from __future__ import annotations
 
@@ -7,22 +13,56 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.llm import simhash
+from vaultflow.llm import decontaminate, packing, quality_classifier, secret_scan, simhash
 from vaultflow.session import stage
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts; labels of the held-out fold are not learned from."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality_classifier.fit(docs, labels, quality_classifier.crc("doc_id", 3) != 1)
+    return docs.where(quality_classifier.scored(F.col("text"), model) >= 0.5)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id."""
-    found = simhash.near_duplicates(docs, shingle=4, distance=4)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group of near copies stays, the one with the smallest id.
+
+    A document without an id stays only where its whole group has none, once per distinct text.
+    """
+    found = stage(simhash.near_duplicates(docs, shingle=4, distance=4), "near_duplicates")
+    # rows to keep are few columns; texts move once, by id
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
+    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+            .withColumn("_same", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+            .dropDuplicates(["doc_id", "_same"]).drop("_same"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts blanked out and ``n_chars`` brought up to date."""
+    forest = secret_scan.train(secret_scan.silver_findings(docs, path_col="source"), secret_scan.dictionary_of(docs))
+    clean = secret_scan.redact(docs, forest, path_col="source")
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bucket, batch and slot of every document that is left."""
+    return packing.pack(docs, packing.n_words(F.col("text")))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", good_quality),
     ("simhash_near_duplicates", near_duplicates),
+    ("decontamination", without_benchmark),
+    ("secret_scan", without_secrets),
+    ("packing", packed),
 ]
 
-#: Models are trained along the way, which SQL cannot express.
+#: Models are trained along the way, which SQL cannot express; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 

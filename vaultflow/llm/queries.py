@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vaultflow.llm import decontaminate, quality_classifier, secret_scan, simhash
+from vaultflow.llm import decontaminate, packing, quality_classifier, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +46,13 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     forest = secret_scan.train(secret_scan.silver_findings(docs, path_col="source"), secret_scan.dictionary_of(docs))
     return secret_scan.findings(docs, forest, path_col="source")
+
+
+@query
+def op3_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket, batch and slot of every document; a token is a word."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, packing.n_words(F.col("text")))
+
+
+ORACLES["op3_length_bucket_packing"] = packing.oracle()
