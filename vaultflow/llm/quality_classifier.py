@@ -37,20 +37,6 @@ def _among(chars: str) -> np.ndarray:
 _POINT, _SYMBOL, _LOUD, _END = _among(".,;:"), _among("#*$%&|<>"), _among("!?"), _among(".!?")
 
 
-def _sums(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> np.ndarray:
-    """How many bytes of a kind each text has, a piece at a time."""
-    out = np.zeros(len(offsets) - 1)
-    for low, high in T.groups_of_rows(offsets):
-        if offsets[high] - offsets[low] > 2 * T.PIECE:
-            steps = range(int(offsets[low]), int(offsets[high]), T.PIECE)
-            out[low] = sum(np.count_nonzero(kind[data[a:min(a + T.PIECE, int(offsets[high]))]]) for a in steps)
-        else:
-            upto = np.zeros(offsets[high] - offsets[low] + 1, np.int64)
-            np.cumsum(kind[data[offsets[low]:offsets[high]]], out=upto[1:])
-            out[low:high] = np.diff(upto[offsets[low:high + 1] - offsets[low]])
-    return out
-
-
 def statistics(column: pa.Array) -> np.ndarray:
     """A row of statistics for each text; null and empty texts give zeros."""
     data, offsets = T.flat(column)
@@ -68,9 +54,9 @@ def _statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     length = (w.end - w.start).astype(float)
     mean = T.per_row(w.row, rows, length) / some
     spread = np.sqrt(np.maximum(T.per_row(w.row, rows, length ** 2) / some - mean ** 2, 0))
-    upper, lower = _sums(data, offsets, _UPPER), _sums(data, offsets, _LOWER)
+    upper, lower = T.sums(data, offsets, _UPPER), T.sums(data, offsets, _LOWER)
 
-    key = T.mixed(w.hash + w.row.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+    key = T.within(w.hash, w.row)
     order = np.argsort(key, kind="stable")
     new = np.ones(len(key), bool)
     new[1:] = key[order][1:] != key[order][:-1]
@@ -82,21 +68,17 @@ def _statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     np.maximum.at(top, of, times)
     entropy = np.log(some) - T.per_row(of, rows, times * np.log(times)) / some
 
-    runs, first = T.windows(w, 3)
-    twice, _ = T.repeated(T.mixed(runs + w.row[first].astype(np.uint64) * np.uint64(0xA24BAED4963EE407)))
-    covered = np.zeros(len(w.row), bool)
-    for k in range(3):
-        covered[first[twice] + k] = True
-    _, again = T.repeated(T.mixed(lines.hash + lines.row.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)))
+    covered = T.repeated_windows(w, 3)
+    _, again = T.repeated(T.within(lines.hash, lines.row))
     n_lines = T.per_row(lines.row, rows)
 
     last = data[w.end - 1] if len(w.end) else np.zeros(0, np.uint8)
     begins = data[w.start] if len(w.end) else np.zeros(0, np.uint8)
     of_words = lambda flag: T.per_row(w.row, rows, flag.astype(float)) / some
     columns = [
-        np.log1p(n), mean, spread, _sums(data, offsets, _LETTER) / size, upper / np.maximum(upper + lower, 1),
-        _sums(data, offsets, _DIGIT) / size, _sums(data, offsets, _POINT) / size,
-        np.sqrt(_sums(data, offsets, _SYMBOL) / size), np.sqrt(_sums(data, offsets, _LOUD) / size),
+        np.log1p(n), mean, spread, T.sums(data, offsets, _LETTER) / size, upper / np.maximum(upper + lower, 1),
+        T.sums(data, offsets, _DIGIT) / size, T.sums(data, offsets, _POINT) / size,
+        np.sqrt(T.sums(data, offsets, _SYMBOL) / size), np.sqrt(T.sums(data, offsets, _LOUD) / size),
         np.log1p(n / np.maximum(n_lines, 1)), distinct / some, np.sqrt(top / some),
         entropy / np.maximum(np.log(some), 1), of_words(covered),
         T.per_row(lines.row, rows, again.astype(float)) / np.maximum(n_lines, 1),

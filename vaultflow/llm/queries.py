@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.llm import decontaminate, packing, quality_classifier, secret_scan, simhash
+from vaultflow.llm import decontaminate, packing, quality_classifier, quality_rules, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +56,9 @@ def op3_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op3_length_bucket_packing"] = packing.oracle()
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, rules and the classifier's verdict for every document."""
+    return quality_rules.apply(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -136,3 +136,32 @@ def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def per_row(row: np.ndarray, rows: int, weights: np.ndarray | None = None) -> np.ndarray:
     """Count, or sum of weights, by index of the text."""
     return np.bincount(row, weights, rows)
+
+
+def within(keys: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Keys that differ where the texts differ, so that equal ones of two texts are told apart."""
+    return mixed(keys + row.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+
+
+def repeated_windows(w: Words, size: int) -> np.ndarray:
+    """For each word: is it in a run of ``size`` words that its text has more than once."""
+    runs, first = windows(w, size)
+    twice, _ = repeated(within(runs, w.row[first]))
+    covered = np.zeros(len(w.row), bool)
+    for k in range(size):
+        covered[first[twice] + k] = True
+    return covered
+
+
+def sums(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """How many bytes of a kind each text has, a piece at a time."""
+    out = np.zeros(len(offsets) - 1)
+    for low, high in groups_of_rows(offsets):
+        if offsets[high] - offsets[low] > 2 * PIECE:
+            steps = range(int(offsets[low]), int(offsets[high]), PIECE)
+            out[low] = sum(np.count_nonzero(kind[data[a:min(a + PIECE, int(offsets[high]))]]) for a in steps)
+        else:
+            upto = np.zeros(offsets[high] - offsets[low] + 1, np.int64)
+            np.cumsum(kind[data[offsets[low]:offsets[high]]], out=upto[1:])
+            out[low:high] = np.diff(upto[offsets[low:high + 1] - offsets[low]])
+    return out
