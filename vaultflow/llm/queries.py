@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.llm import decontaminate, packing, quality_classifier, quality_rules, secret_scan, simhash
+from vaultflow.llm import decontaminate, packing, quality_classifier, quality_rules, secret_scan, simhash, warc_store
+from vaultflow.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +63,14 @@ ORACLES["op3_length_bucket_packing"] = packing.oracle()
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, rules and the classifier's verdict for every document."""
     return quality_rules.apply(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive of all pages, written and read back."""
+    path = new_folder(spark, "warc")
+    warc_store.write(table(spark, sf_dir, "pages"), path)
+    return warc_store.summary(spark, path)
+
+
+ORACLES["op8_warc_archive"] = warc_store.ORACLE
