@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.llm import decontaminate, language_id, packing, quality_classifier, quality_rules, secret_scan, simhash, warc_store
+from vaultflow.llm import chunk_dedup, decontaminate, language_id, packing, quality_classifier, quality_rules, secret_scan, simhash, warc_store
 from vaultflow.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,9 @@ ORACLES["op8_warc_archive"] = warc_store.ORACLE
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the documents outside the held-out fold."""
     return language_id.classify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every later copy of a passage that documents repeat."""
+    return chunk_dedup.spans(table(spark, sf_dir, "documents"))
