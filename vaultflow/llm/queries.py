@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.llm import chunk_dedup, decontaminate, language_id, packing, quality_classifier, quality_rules, secret_scan, simhash, warc_store
+from vaultflow.llm import chunk_dedup, decontaminate, language_id, packing, quality_classifier, quality_rules, secret_scan, simhash, token_files, warc_store
 from vaultflow.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every later copy of a passage that documents repeat."""
     return chunk_dedup.spans(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, found by scanning the token files that hold them."""
+    return token_files.counts(table(spark, sf_dir, "documents"), new_folder(spark, "tokens"))
