@@ -31,10 +31,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     found = stage(simhash.near_duplicates(docs, shingle=4, distance=4), "near_duplicates")
     # rows to keep are few columns; texts move once, by id
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-            .withColumn("_same", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
-            .dropDuplicates(["doc_id", "_same"]).drop("_same"))
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.select(F.col("doc_id").alias("_id"), F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("_text"), F.struct("*").alias("_row"))
+    return (rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["_id", "_text"]).select("_row.*"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

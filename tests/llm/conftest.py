@@ -1,0 +1,31 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+TEXT = "doc_id long, text string, lang string, source string, n_chars long, score double, id long, _row string"
+
+
+@pytest.fixture(scope="session")
+def prose():
+    """Invented words, a fixed sequence per seed."""
+    def make(seed: int, n: int, syllables=("ka", "lo", "mi", "ren", "tu", "sa", "vor", "el", "ba", "ni")) -> str:
+        rng = random.Random(seed)
+        words = ["".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(n)]
+        return " ".join(w.capitalize() + "." if k % 11 == 10 else w for k, w in enumerate(words))
+    return make
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """Documents with columns that operators might also use, and one partition per few rows."""
+    def make(rows):
+        full = [(i, t, "en", f"src{k % 3}", len(t or ""), 0.5, 7, "x") for k, (i, t) in enumerate(rows)]
+        return spark.createDataFrame(full, TEXT).repartition(3)
+    return make
+
+
+@pytest.fixture(scope="session")
+def sf():
+    return "/root/testdata/sf0.001"

@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__
+import corpus_pipeline
+from test_simhash import plain_fingerprint, plain_groups
+from vaultflow.llm import queries
+from vaultflow.session import stage
+
+
+@pytest.fixture(scope="module")
+def steps(spark, sf):
+    """Rows after each stage, the input first."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    out = [docs]
+    for name, function in corpus_pipeline.STAGES:
+        docs = stage(function(spark, docs, sf), name)
+        out.append(docs)
+    return out
+
+
+def test_stages_keep_the_columns_of_documents(steps):
+    for docs in steps[:-1]:
+        assert docs.dtypes == steps[0].dtypes
+    assert steps[-1].columns[0] == "doc_id"
+
+
+def test_quality_stage_follows_the_labels(spark, sf, steps):
+    kept = {r["doc_id"] for r in steps[1].collect()}
+    labels = spark.read.parquet(f"{sf}/labels.parquet").collect()
+    assert sum((r["doc_id"] in kept) == (r["quality"] == 1) for r in labels) >= 0.95 * len(labels)
+
+
+def test_one_of_each_group_stays(steps):
+    before = sorted((r["doc_id"], r["text"]) for r in steps[1].collect())
+    groups = plain_groups([plain_fingerprint(t) for _, t in before], 4)
+    assert sorted(r["doc_id"] for r in steps[2].collect()) == sorted({before[g][0] for g in groups})
+
+
+def test_no_benchmark_item_is_left(spark, sf, steps):
+    plain = lambda t: " ".join(re.findall(r"[^\W_]+", t.lower()))
+    items = [plain(r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    before, after = ({r["doc_id"]: r["text"] for r in steps[k].collect()} for k in (2, 3))
+    holds = {i for i, t in before.items() if any(x in plain(t) for x in items)}
+    assert holds and set(before) - set(after) >= holds and set(before) - holds == set(after)
+
+
+def test_secrets_are_blanked_and_nothing_else(steps):
+    before, after = ({r["doc_id"]: r for r in steps[k].collect()} for k in (3, 4))
+    assert set(before) == set(after)
+    for i, r in after.items():
+        assert r["text"] == re.sub(r'(?<=token = ")[0-9a-f]{40}(?=")', "[SECRET]", before[i]["text"], flags=re.I) and r["n_chars"] == len(r["text"])
+
+
+def test_everything_left_is_packed(steps):
+    assert sorted(r["doc_id"] for r in steps[5].collect()) == sorted(r["doc_id"] for r in steps[4].collect())
+
+
+def test_odd_rows_pass_through(spark, tmp_path, sf, documents, prose):
+    rows = [(1, prose(1, 200)), (2, None), (3, ""), (4, prose(2, 100)), (4, prose(2, 100)), (None, prose(3, 100)), (None, prose(3, 100)), (5, "long words " * 100000)]
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").where("false").write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = documents(rows)
+    for k, (name, function) in enumerate(corpus_pipeline.STAGES):
+        docs = stage(function(spark, docs, str(tmp_path)), name)
+        assert k == 4 or docs.columns == documents([]).columns
+    assert sorted((r["doc_id"] or 0 for r in docs.collect())) == [0, 1, 2, 4, 5]  # 2 and 3 are both empty
+    nothing = documents([])
+    for name, function in corpus_pipeline.STAGES:
+        nothing = stage(function(spark, nothing, str(tmp_path)), name)
+    assert nothing.count() == 0
+
+
+def test_all_ten_are_registered():
+    names = __spark_entry__.queries()
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert set(queries.ORACLES) <= set(queries.QUERIES)
+
+
+def test_queries_return_a_row_per_document(spark, sf):
+    n = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id")).distinct().count()
+    for name in ("op1_token_counts", "op2_quality_rules", "op7_simhash_near_duplicates", "op9_quality_classifier", "op10_language_id"):
+        assert queries.QUERIES[name](spark, sf).select("doc_id").distinct().count() == n

@@ -167,6 +167,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out.append(b"".join([*kept, raw[at:]]).decode("utf-8"))
         return pa.array(out, pa.string())
 
-    joined = docs.join(removed, F.col(id_col) == F.col("_id"), "left")
-    return joined.withColumn(text_col, F.when(F.col("_spans").isNotNull(), without(F.col(text_col), F.coalesce("_spans", F.array())))
-                             .otherwise(F.col(text_col))).drop("_id", "_spans")
+    joined = (docs.select(F.struct("*").alias("_row")).join(removed, F.col("_row")[id_col] == F.col("_id"), "left")
+              .withColumn("_text", F.col("_row")[text_col]))
+    text = F.when(F.col("_spans").isNotNull(), without(F.coalesce("_text", F.lit("")), F.coalesce("_spans", F.array()))).otherwise(F.col("_text"))
+    return joined.select(*[text.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns])

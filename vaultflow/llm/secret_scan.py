@@ -77,16 +77,18 @@ def _feature_struct(c: Column, before: Column, after: Column, path: Column, dict
 
 
 def with_candidates(docs: DataFrame, text_col: str = "text", path_col: str | None = None, dictionary: str = "") -> DataFrame:
-    """Add ``_found``: an array of (start, candidate, before, after, f) in order of place; ``start`` counts characters from 0.
+    """(_row, _runs, _rest, _found): the row as a struct, its candidates, the text between them, and what is known about each.
 
-    Null and empty texts have no candidates. A candidate may be of any length.
+    ``_found`` is an array of (start, candidate, before, after, f) in order of place; ``start`` counts characters from 0. Null and
+    empty texts have no candidates. A candidate may be of any length.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     words = F.lit(dictionary or NO_WORD)
     runs = F.regexp_extract_all(text, F.lit(_RUN), F.lit(0))
+    runs = F.coalesce(runs, F.array().cast("array<string>"))
     rest = F.when(F.size(runs) > 0, F.split(text, _RUN)).otherwise(F.array(text))
-    found = docs.withColumn("_runs", runs).withColumn("_rest", rest)
+    found = docs.select(F.struct("*").alias("_row"), path.alias("_path"), runs.alias("_runs"), rest.alias("_rest"))
     run, others = F.col("_runs"), F.col("_rest")
     # where each run begins: what is left of it, runs and rest, added up
     starts = F.aggregate(
@@ -102,8 +104,7 @@ def with_candidates(docs: DataFrame, text_col: str = "text", path_col: str | Non
     known = F.transform(F.col("_near"), lambda x: F.struct(
         x["start"].alias("start"), x["candidate"].alias("candidate"), x["before"].alias("before"), x["after"].alias("after"),
         _feature_struct(x["candidate"], x["before"], x["after"], F.col("_path"), words).alias("f")))
-    return (found.withColumn("_near", near).withColumn("_path", path)
-            .withColumn("_found", known).drop("_near", "_path"))
+    return found.withColumn("_near", near).withColumn("_found", known).drop("_near", "_path")
 
 
 def sampled(docs: DataFrame, id_col: str, most: int) -> DataFrame:
@@ -159,7 +160,8 @@ def _read_tree(lines: list[str], leaf: str = "Predict: "):
 def train(findings: DataFrame, dictionary: str, trees: int = 20, depth: int = 5, most: int = TRAIN_ROWS, seed: int = 6) -> Forest:
     """Forest from labelled findings: (candidate, before, after, path, label), label 1 for a real secret.
 
-    Uses at most ``most`` rows, those with the smallest hash; rows with a null are left out.
+    Uses at most ``most`` rows, those with the smallest hash; rows with a null are left out. Without any, every candidate
+    scores 0.5 and stays a finding: there is nothing to remove false positives by.
     """
     words = F.lit(dictionary or NO_WORD)
     rows = (findings.select("candidate", "before", "after", F.coalesce("path", F.lit("")).alias("path"), F.col("label").cast("double"))
@@ -184,7 +186,7 @@ def train(findings: DataFrame, dictionary: str, trees: int = 20, depth: int = 5,
 
 def scan(docs: DataFrame, forest: Forest, text_col: str = "text", path_col: str | None = None,
          threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` plus ``_found`` with ``score`` and ``is_secret`` for each candidate."""
+    """(_row, _rest, _found): as ``with_candidates``, with ``score`` and ``is_secret`` for each candidate."""
     scored = F.transform("_found", lambda x: F.struct(x["start"].alias("start"), x["candidate"].alias("candidate"),
                                                       forest.score(x["f"]).alias("score")))
     judged = F.transform("_scored", lambda x: F.struct(x["start"].alias("start"), x["candidate"].alias("candidate"), x["score"].alias("score"),
@@ -196,8 +198,9 @@ def scan(docs: DataFrame, forest: Forest, text_col: str = "text", path_col: str
 def findings(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None,
              threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, start, length, sha256, score, is_secret) for every candidate; the candidate itself is not shown."""
-    only = docs.select(F.col(id_col), F.col(text_col), *([F.col(path_col)] if path_col and path_col not in (id_col, text_col) else []))
-    return (scan(only, forest, text_col, path_col, threshold).select(F.col(id_col), F.explode("_found").alias("_f"))
+    path = F.col(path_col).cast("string") if path_col else F.lit("")
+    only = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), path.alias("path"))
+    return (scan(only, forest, "text", "path", threshold).select(F.col("_row.id").alias(id_col), F.explode("_found").alias("_f"))
             .select(id_col, "_f.start", F.length("_f.candidate").alias("length"), F.sha2("_f.candidate", 256).alias("sha256"),
                     F.col("_f.score").alias("score"), "_f.is_secret"))
 
@@ -208,8 +211,8 @@ def redact(docs: DataFrame, forest: Forest, text_col: str = "text", path_col: st
     found = scan(docs, forest, text_col, path_col, threshold)
     shown = F.transform("_found", lambda x: F.when(x["is_secret"], F.lit(mark)).otherwise(x["candidate"]))
     pieces = F.zip_with("_rest", shown, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    text = F.when(F.exists("_found", lambda x: x["is_secret"]), F.array_join(pieces, "")).otherwise(F.col(text_col))
-    return found.withColumn(text_col, text).drop("_found", "_rest")
+    text = F.when(F.exists("_found", lambda x: x["is_secret"]), F.array_join(pieces, "")).otherwise(F.col("_row")[text_col])
+    return found.select(*[text.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def silver_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None,
@@ -222,7 +225,7 @@ def silver_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     path = F.col(path_col).cast("string") if path_col else F.lit("")
     some = sampled(docs, id_col, most).select(F.col(text_col).alias("_t"), F.coalesce(path, F.lit("")).alias("path"))
-    near = (with_candidates(some, "_t").select("path", F.explode("_found").alias("x"))
+    near = (with_candidates(some, "_t").select(F.col("_row.path").alias("path"), F.explode("_found").alias("x"))
             .select("path", "x.candidate", "x.before", "x.after"))
     real = (F.col("candidate").rlike("^[0-9a-fA-F]{32,}$|^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_=-]{24,}$")
             & F.lower("before").rlike(rf"({SECRET_NAMES})\s*[=:]\s*[\"'`]$"))

@@ -44,8 +44,9 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), at
 
 
-def groups_of_rows(offsets: np.ndarray, most: int = PIECE) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive rows with at most ``most`` bytes, or one longer row."""
+def groups_of_rows(offsets: np.ndarray, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive rows with at most ``most`` bytes (``PIECE``), or one longer row."""
+    most = most or PIECE
     low, rows = 0, len(offsets) - 1
     while low < rows:
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + most, "right")) - 1)
@@ -82,12 +83,12 @@ def _cut(data: np.ndarray, offsets: np.ndarray, to: int, end: int, separators: n
     return limit
 
 
-def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES, piece: int = PIECE) -> Words:
+def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES) -> Words:
     """Words of the texts between ``offsets``: index of the text, first byte, byte after the last, 64-bit hash."""
     found = []
     at, end = int(offsets[0]), int(offsets[-1])
     while at < end:
-        to = _cut(data, offsets, min(at + piece, end), end, separators)
+        to = _cut(data, offsets, min(at + PIECE, end), end, separators)
         part = data[at:to]
         apart = separators[part]
         edge = np.zeros(len(part) + 1, bool)
@@ -157,7 +158,7 @@ def sums(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> np.ndarray:
     """How many bytes of a kind each text has, a piece at a time."""
     out = np.zeros(len(offsets) - 1)
     for low, high in groups_of_rows(offsets):
-        if offsets[high] - offsets[low] > 2 * PIECE:
+        if high == low + 1 and offsets[high] - offsets[low] > PIECE:
             steps = range(int(offsets[low]), int(offsets[high]), PIECE)
             out[low] = sum(np.count_nonzero(kind[data[a:min(a + PIECE, int(offsets[high]))]]) for a in steps)
         else:
