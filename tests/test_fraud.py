@@ -112,3 +112,15 @@ def test_rules_are_parameters(spark):
     rows = send([("v", "PAYMENT", "60", i * 3600, "US") for i in range(3)])
     assert found(fraud.velocity(posted(spark, rows), rules)) == [("v", "VELOCITY", None)]
     assert len(found(fraud.large_amount(posted(spark, rows), rules))) == 3
+
+
+def test_mule_pairs_of_a_busy_bin(spark):
+    """One account holds most rows of one half hour; its bin is dealt to several tasks and no pair is lost."""
+    r = random.Random(8)
+    rows = [entry(i, f"t{i}", "A0" if i % 5 else f"A{i % 3}", r.choice(["DEPOSIT", "PAYMENT"]), "6000", at=r.randrange(5400)) for i in range(240)]
+    want = sorted((d[1], p[1]) for d in rows for p in rows if d[2] == p[2] and d[3] == "DEPOSIT" and p[3] == "PAYMENT"
+                  and 0 <= (p[11] - d[11]).total_seconds() <= FraudRules().mule_minutes * 60)
+    whole = fraud.money_mule(posted(spark, rows))
+    split = fraud.money_mule(posted(spark, rows), spread_rows=7)
+    assert sorted(x.transactionId for x in split.collect()) == sorted(p for _, p in want)
+    assert sorted(x.alertId for x in split.collect()) == sorted(x.alertId for x in whole.collect())

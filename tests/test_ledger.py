@@ -140,3 +140,18 @@ def test_periods_give_the_same_ledger(spark):
     rows = random_entries(9, 400, 7, hot=0.3)
     got = booked(ledger.book_in_periods(entries(spark, rows), 600, LedgerRules(slice_rows=300)))
     assert got == replay_ledger(rows)[0]
+
+
+def test_tied_order_is_refused(spark):
+    rows = [entry(1, "a", "A", "DEPOSIT", "10"), entry(1, "b", "B", "DEPOSIT", "20")]
+    with pytest.raises(ValueError, match="seq 1 is missing or not unique"):
+        ledger.book(entries(spark, rows))
+
+
+def test_equal_offsets_of_two_partitions(spark):
+    from vaultflow.sources import streams
+    rows = [entry(7, "a", "A", "DEPOSIT", "10"), entry(7, "b", "B", "DEPOSIT", "20"), entry(8, "c", "A", "PAYMENT", "3")]
+    placed = entries(spark, rows).withColumn("partition", F.when(F.col("accountId") == "A", 0).otherwise(2))
+    ordered = placed.withColumn("seq", streams.sequence(F.col("partition"), F.col("seq"), 3))
+    got = {(r.transactionId, r.balanceAfter, r.partition) for r in ledger.book(ordered).collect()}
+    assert got == {("a", Decimal(10), 0), ("b", Decimal(20), 2), ("c", Decimal(7), 0)}

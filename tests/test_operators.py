@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -14,6 +15,7 @@ from vaultflow.operators import activity, enrich, ingest, notify
 from vaultflow.operators.lookups import Lookup, lookup_join
 from vaultflow.operators.slices import hot_keys, running_max_before
 from vaultflow.schemas import ALERT_RETRY, RECEIPT_RETRY, VALIDATION_RETRY
+from vaultflow.session import new_folder
 from vaultflow.sources import decode, driver_tables, streams, tables
 
 
@@ -48,16 +50,35 @@ def test_place_in_key(spark, slice_rows):
     assert got == want
 
 
-def test_hot_keys_are_bounded(spark):
-    df = spark.createDataFrame([(f"k{i % 10}",) for i in range(200)] + [("hot",)] * 50, "k STRING")
-    assert [r[0] for r in hot_keys(df, "k", 19, max_keys=1).collect()] == ["hot"]
+def test_every_hot_key_is_found(spark):
+    df = spark.createDataFrame([(f"k{i % 10}",) for i in range(200)] + [("hot",)] * 50 + [(None,)] * 90, "k STRING")
+    assert sorted(r[0] for r in hot_keys(df, "k", 19).collect()) == sorted(["hot", *(f"k{i}" for i in range(10))])
+    assert [r[0] for r in hot_keys(df, "k", 20).collect()] == ["hot"]
     assert hot_keys(df, "k", 100) is None
 
 
-@pytest.mark.parametrize("broadcast_rows", [100, 0])
-def test_lookup_join(spark, broadcast_rows):
+def test_no_task_of_a_lookup_holds_a_hot_key(spark):
+    """Four fifths of the facts have no key, most others one key; the table counts as too large to broadcast."""
+    facts = spark.createDataFrame([(i, None if i % 5 else ("hot" if i % 50 else f"k{i}")) for i in range(20000)], "seq BIGINT, f STRING")
+    keys = ["hot", *(f"k{i}" for i in range(0, 20000, 50))]
+    table = Lookup(spark.createDataFrame([(k, 1) for k in keys], "k STRING, v INT"), "k", 0, spread_rows=100)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    for c, v in zip(before, ("20", "false", "-1")):
+        spark.conf.set(c, v)
+    try:
+        joined = lookup_join(facts, table, "f", "hit")
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 20000 and max(sizes) < 20000 / 20 * 1.5
+        assert joined.where("hit is not null").count() == 4000
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1000, 0])
+def test_lookup_join(spark, broadcast_bytes):
     facts = spark.createDataFrame([(i, None if i % 4 == 0 else f"k{i % 7}") for i in range(300)], "seq BIGINT, k STRING")
-    table = Lookup(spark.createDataFrame([(f"k{i}", i) for i in range(5)], "k STRING, v INT"), "k", broadcast_rows, 4)
+    table = Lookup(spark.createDataFrame([(f"k{i}", i) for i in range(5)], "k STRING, v INT"), "k", broadcast_bytes, 20)
     rows = lookup_join(facts.withColumnRenamed("k", "f"), table, "f", "hit").collect()
     assert len(rows) == 300
     assert all((r.hit.v if r.hit else None) == (int(r.f[1]) if r.f and int(r.f[1]) < 5 else None) for r in rows)
@@ -225,3 +246,43 @@ def test_prefix_commit(spark):
     df = spark.createDataFrame(rows, "p INT, o BIGINT, failed BOOLEAN")
     done = {(r.p, r.o) for r in notify.commit_prefix(df, ("p",), "o", F.col("failed")).where("committed").collect()}
     assert done == {(0, i) for i in range(4)} | {(1, i) for i in range(8)}
+
+
+@pytest.mark.parametrize("text, raw", [
+    ('{"meta":{"amount":1.001},"amount":5.00}', "5.00"), ('{"amount":5.10,"meta":{"amount":1}}', "5.10"),
+    ('{"note":"\\"amount\\": 9","amount":2.500}', "2.500"), ('{"list":[{"amount":3}],"amount":"4.0"}', "4.0"),
+    ('{"amount" : 7.0 }', "7.0"), ('{"amount":1.0,"amount":2.00}', "2.00"), ('{"a":"{","amount":6.0,"b":{"amount":8}}', "6.0"),
+    ('{"meta":{"amount":1.001}}', None)])
+def test_written_amount_is_the_outer_one(spark, text, raw):
+    from vaultflow.schemas import TRANSACTION_DDL
+    rows = spark.createDataFrame([(bytearray(text.encode()),)], "value BINARY")
+    assert decode.decode(rows, TRANSACTION_DDL).select("payload.amountRaw").first()[0] == raw
+
+
+def test_records_under_another_key_are_set_aside(spark):
+    from vaultflow.schemas import ENVELOPE_DDL, TRANSACTION_DDL
+    text = '{"transactionId":"t","accountId":"A","type":"DEPOSIT","amount":1,"currency":"USD"}'
+    rows = spark.createDataFrame([(k, bytearray(v.encode()) if v else None, "t", 0, i, T0, []) for i, (k, v) in
+                                  enumerate([("A", text), ("B", text), ("A", "{"), ("A", None)])], ENVELOPE_DDL)
+    decoded = decode.decode(rows, TRANSACTION_DDL)
+    assert [(r.seq, r.timestamp) for r in decode.requests_of(decoded).collect()] == [(0, T0)]
+    assert {(r.origOffset, r.errorClass) for r in decode.poison_letters(decoded).collect()} == {
+        (1, "KeyMismatchException"), (2, "DeserializationException"), (3, "NullPointerException")}
+
+
+def test_keyed_tables_open_one_folder(spark):
+    path = new_folder(spark, "t")
+    df = spark.createDataFrame([(f"k{i}", i) for i in range(200)], "k STRING, v INT")
+    tables.write_keyed(df, "k", path)
+    one = tables.one_key(spark, path, df.schema, "k", "k7")
+    assert [tuple(r) for r in one.collect()] == [("k7", 7)]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*part#\d+ = \d+", plan) and "EqualTo(k,k7)" in plan
+
+
+def test_look_back_bounds_reach_the_files(spark):
+    path = new_folder(spark, "t")
+    posted(spark, [entry(1, "a", "A", "DEPOSIT", "1")]).write.parquet(path)
+    rows = activity.look_back(spark.read.parquet(path), "A", F.lit(T0), F.expr("INTERVAL 1 HOUR"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(timestamp" in plan

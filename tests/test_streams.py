@@ -95,7 +95,9 @@ def test_resubmissions_across_batches(spark):
     accounts = spark.createDataFrame([("A", "USD", "ACTIVE")], "accountId STRING, currency STRING, status STRING")
     df = spark.createDataFrame(rows, ENTRY_DDL)
     home = new_folder(spark, "t")
-    out = replay(df, "seq", lambda s: jobs.validate(s, accounts, home), 2)
+    job = jobs.Validation(lambda _: accounts, home)
+    replay(df, "seq", job.run, 2)
+    out = job.finish(spark).output(spark, "processed")
     batch = validation.first_processed(validation.verdicts(df, Lookup(accounts, "accountId")))
     want = {(1, "VALIDATED"), (2, "REJECTED"), (20, "VALIDATED"), (21, "VALIDATED")}
     assert {(r.seq, r.outcome) for r in out.collect()} == want == {(r.seq, r.outcome) for r in batch.collect()}
@@ -113,13 +115,50 @@ def test_waiting_requests_keep_their_order(spark):
     known = spark.createDataFrame([("A", "USD", "ACTIVE"), ("B", "USD", "ACTIVE")],
                                   "accountId STRING, currency STRING, status STRING")
     home = new_folder(spark, "t")
-    job = jobs.RetryingValidator(lambda batch: known if batch > 0 else known.where("accountId = 'A'"), home)
+    job = jobs.Validation(lambda batch: known if batch > 0 else known.where("accountId = 'A'"), home)
     df = spark.createDataFrame(rows, ENTRY_DDL)
     first = {r.seq for r in replay(df.where("seq < 10"), "seq", job.run, 1).collect()}
     assert first == {0}
     home2 = new_folder(spark, "t")
-    job = jobs.RetryingValidator(lambda batch: known if batch > 0 else known.where("accountId = 'A'"), home2)
+    job = jobs.Validation(lambda batch: known if batch > 0 else known.where("accountId = 'A'"), home2)
     replay(df, "seq", job.run, 2)
-    out = {r.seq: (r.batch_id, r.outcome, r.attempt) for r in job.finish(spark, df.schema).collect()}
+    out = {r.seq: (r.batch_id, r.outcome, r.attempt) for r in job.finish(spark).output(spark, "settled").collect()}
     assert out == {0: (0, "VALIDATED", 0), 1: (1, "VALIDATED", 1), 3: (1, "VALIDATED", 1), 10: (1, "VALIDATED", 0),
                    11: (1, "VALIDATED", 0), 2: (3, "DEAD_LETTER", 4)}
+
+
+def test_a_batch_of_dead_letters_stops_nothing(spark):
+    """Valid, then only dead letters, then a resubmission and rows without an id."""
+    def request(seq, id, account):
+        row = list(entry(seq, id, account, "DEPOSIT", "0", at=seq))
+        row[4], row[5] = None, "5"
+        return tuple(row)
+
+    rows = [request(0, "x", "A"), request(10, "g", "GHOST"), request(20, "x", "A"), request(21, None, "A"), request(22, None, "A"), request(25, "g", "A")]
+    accounts = spark.createDataFrame([("A", "USD", "ACTIVE")], "accountId STRING, currency STRING, status STRING")
+    df = spark.createDataFrame(rows, ENTRY_DDL)
+    for memory in (None, "1 day"):
+        job = jobs.Validation(lambda _: accounts, new_folder(spark, "t"), memory=memory)
+        replay(df, "seq", job.run, 3)
+        job.finish(spark)
+        assert sorted(r.seq for r in job.output(spark, "processed").collect()) == [0, 25]
+        assert sorted(r.seq for r in job.output(spark, "dead").collect()) == [10, 21, 22]
+    batch = validation.verdicts(df, Lookup(accounts, "accountId"))
+    assert sorted(r.seq for r in validation.first_processed(batch).collect()) == [0, 25]
+    assert sorted(r.seq for r in validation.dispositions(batch).where("outcome = 'DEAD_LETTER'").collect()) == [10, 21, 22]
+
+
+def test_a_burst_over_batches_alerts_at_the_crossing(spark):
+    rows = [entry(i, f"t{i}", "A", "PAYMENT", "10", at=i) for i in range(9)]
+    home = new_folder(spark, "t")
+    out = replay(posted(spark, rows), "seq", lambda s: jobs.velocity_alerts(s, home), 3).collect()
+    assert [(r.accountId, r.batch_id) for r in out] == [("A", 1)]
+
+
+def test_state_opens_only_the_folders_of_its_keys(spark):
+    table = StateTable(new_folder(spark, "t"), "k")
+    ddl = "k STRING, v BIGINT"
+    table.save(spark, 0, ddl, spark.createDataFrame([(f"k{i}", i) for i in range(100)], ddl))
+    some = table.before(spark, 1, ddl, spark.createDataFrame([("k5",), ("new",)], "k STRING"))
+    assert [tuple(r) for r in some.collect()] == [("k5", 5)]
+    assert "part#" in some._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]

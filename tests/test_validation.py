@@ -66,10 +66,10 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_rules_in_order(spark, accounts, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [100000, 0])
+def test_rules_in_order(spark, accounts, broadcast_bytes):
     """The same with a broadcast table and with salted keys."""
-    table = Lookup(accounts.df, "accountId", broadcast_rows=broadcast_rows, salts=3)
+    table = Lookup(accounts.df, "accountId", broadcast_bytes=broadcast_bytes, spread_rows=3)
     rows = validation.verdicts(spark.createDataFrame([c[0] for c in CASES], ENTRY_DDL), table, RULES).collect()
     got = {r.seq: (r.outcome, r.reason) for r in rows}
     assert got == {c[0][0]: c[1:] for c in CASES}

@@ -29,10 +29,19 @@ def with_net_flow(summary: DataFrame) -> DataFrame:
     return summary.withColumn("netFlow", (F.col("totalCredits") - F.col("totalDebits")).cast("decimal(38,2)"))
 
 
+def final(summary: DataFrame, clock, rules: ActivityRules = ActivityRules()) -> DataFrame:
+    """Summaries whose window and grace have passed at ``clock``; none if there is no clock yet."""
+    return summary.where(F.col("windowEnd") + F.expr(f"INTERVAL {rules.grace}") <= F.lit(clock).cast("timestamp"))
+
+
 def look_back(posted: DataFrame, account: str, now: Column, span: Column,
               rules: ActivityRules = ActivityRules()) -> DataFrame:
-    """Windows of one account that start in [now - span, now], open ones too; their end is not given."""
-    rows = summarize(posted.where(F.col("accountId") == account), rules)
+    """Windows of one account that start in [now - span, now], open ones too; their end is not given.
+
+    Rows of such windows lie in [now - span, now + window): plain bounds, which reach the files.
+    """
+    near = (F.col("timestamp") >= now - span) & (F.col("timestamp") < now + F.expr(f"INTERVAL {rules.window}"))
+    rows = summarize(posted.where((F.col("accountId") == account) & near), rules)
     return (rows.where(F.col("windowStart").between(now - span, now))
             .withColumn("windowEnd", F.lit(None).cast("timestamp")))
 

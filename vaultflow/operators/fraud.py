@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from vaultflow.functions import money, times
 from vaultflow.functions.money import text
+from vaultflow.operators.lookups import SPREAD_ROWS, hot_table, with_copies, with_salt
 from vaultflow.operators.slices import running_max_before
 from vaultflow.schemas import CASE_SEVERITIES, FraudRules
 
@@ -38,20 +39,26 @@ def large_amount(posted: DataFrame, rules: FraudRules = FraudRules()) -> DataFra
     return alerts_of(big, "LARGE_AMOUNT", "HIGH", words, F.col("timestamp"), F.col("transactionId"))
 
 
-def velocity(posted: DataFrame, rules: FraudRules = FraudRules()) -> DataFrame:
-    """One alert per account and window with more than the allowed number of debits."""
-    counted = (posted.where(~money.is_credit(F.col("type")))
-               .groupBy("accountId", F.window("timestamp", rules.velocity_window).alias("w"))
-               .agg(F.count("*").alias("n"))
-               .where(F.col("n") > rules.velocity_max)
-               .select("accountId", F.col("w.start").alias("start"), F.col("w.end").alias("end")))
+def debits_per_window(posted: DataFrame, rules: FraudRules) -> DataFrame:
+    """(accountId, start, end, n): debits of each account and window."""
+    return (posted.where(~money.is_credit(F.col("type")))
+            .groupBy("accountId", F.window("timestamp", rules.velocity_window).alias("w")).agg(F.count("*").alias("n"))
+            .select("accountId", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n"))
+
+
+def velocity_of(windows: DataFrame, rules: FraudRules) -> DataFrame:
     words = F.concat(F.lit(f"{rules.velocity_max + 1} debits between "), times.iso(F.col("start")), F.lit(" and "),
                      times.iso(F.col("end")))
-    return alerts_of(counted, "VELOCITY", "MEDIUM", words, F.col("end"))
+    return alerts_of(windows, "VELOCITY", "MEDIUM", words, F.col("end"))
+
+
+def velocity(posted: DataFrame, rules: FraudRules = FraudRules()) -> DataFrame:
+    """One alert per account and window with more than the allowed number of debits."""
+    return velocity_of(debits_per_window(posted, rules).where(F.col("n") > rules.velocity_max), rules)
 
 
 def located(posted: DataFrame) -> DataFrame:
-    """Rows that say where the owner is: a credit leg carries the sender's country, not theirs."""
+    """Rows with a country of the account's own; that of a credit leg belongs to whoever paid."""
     return posted.where(F.col("country").isNotNull() & (F.col("type") != "TRANSFER_IN"))
 
 
@@ -92,11 +99,12 @@ def mule_alerts(pairs: DataFrame, rules: FraudRules) -> DataFrame:
                      (F.col("d_id"),))
 
 
-def money_mule(posted: DataFrame, rules: FraudRules = FraudRules()) -> DataFrame:
+def money_mule(posted: DataFrame, rules: FraudRules = FraudRules(), spread_rows: int = SPREAD_ROWS) -> DataFrame:
     """A large deposit, then a large debit of the same account within the limit; one alert per pair.
 
     The join key is (account, time bin) with bins as long as the limit: a debit meets deposits of
-    its own bin and the one before. A busy account spreads over its bins.
+    its own bin and the one before. A busy account spreads over its bins, and in a table the debits of a bin with more
+    than ``spread_rows`` of them over several tasks, each with its own copy of the bin's deposits.
     """
     deposits, debits = mule_sides(posted, rules)
     span = rules.mule_minutes * 60_000
@@ -106,10 +114,16 @@ def money_mule(posted: DataFrame, rules: FraudRules = FraudRules()) -> DataFrame
 
     deposits = deposits.withColumn("d_bin", F.explode(F.array(bin_of("d_ts"), bin_of("d_ts") + 1)))
     debits = debits.withColumn("bin", bin_of("timestamp"))
+    same = (F.col("accountId") == F.col("d_account")) & (F.col("bin") == F.col("d_bin"))
+    if not posted.isStreaming:
+        keys, names = [F.col("accountId"), F.col("bin")], ["_hotAccount", "_hotBin"]
+        hot = hot_table(debits, keys, names, spread_rows)
+        debits = with_salt(debits, keys, hot, names, F.col("transactionId"))
+        deposits = with_copies(deposits, [F.col("d_account"), F.col("d_bin")], hot, names)
+        same = same & (F.col("_salt") == F.col("_copy"))
     # Plain comparisons of the two event times: a stream-stream join derives its state bound from them.
     latest = F.col("d_ts") + F.expr(f"INTERVAL {rules.mule_minutes} MINUTES")
-    pairs = debits.join(deposits, (F.col("accountId") == F.col("d_account")) & (F.col("bin") == F.col("d_bin"))
-                        & (F.col("timestamp") >= F.col("d_ts")) & (F.col("timestamp") <= latest))
+    pairs = debits.join(deposits, same & (F.col("timestamp") >= F.col("d_ts")) & (F.col("timestamp") <= latest))
     return mule_alerts(pairs, rules)
 
 

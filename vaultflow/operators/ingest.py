@@ -60,8 +60,12 @@ def check(commands: DataFrame, constraints: list[Column]) -> DataFrame:
             .withColumn("accepted", F.size("violations") == 0))
 
 
+#: Name of the source whose commands are numbered by ``seq``, where a caller has only one.
+SOURCE = "web"
+
+
 def stable_id(source: str, *parts: str) -> Column:
-    """32 hex digits that a replay of the same command produces again."""
+    """32 hex digits that a replay of the same command produces again; ``source`` says what is named, and by whom."""
     return F.substring(F.sha2(F.concat_ws("~", F.lit(source), *[F.col(p).cast("string") for p in parts]), 256), 1, 32)
 
 
@@ -69,33 +73,34 @@ def short_id(prefix: str, source: str, *parts: str) -> Column:
     return F.concat(F.lit(prefix), F.upper(F.substring(stable_id(source, *parts), 1, 8)))
 
 
-def transaction_events(commands: DataFrame, order: str = "seq") -> DataFrame:
+def transaction_events(commands: DataFrame, order: str = "seq", source: str = SOURCE) -> DataFrame:
     """Transaction commands as REQUESTED events; a missing id is derived, the channel defaults to ONLINE."""
     return commands.select(
-        order, F.coalesce("transactionId", stable_id("transaction", order)).alias("transactionId"), "accountId",
+        order, F.coalesce("transactionId", stable_id(f"transaction~{source}", order)).alias("transactionId"), "accountId",
         "type", "amountRaw", "currency", F.lit(None).cast("string").alias("counterpartyAccountId"),
         F.coalesce("channel", F.lit("ONLINE")).alias("channel"), "country", "merchant", "timestamp",
         F.lit("REQUESTED").alias("status"))
 
 
-def transfer_events(commands: DataFrame, order: str = "seq") -> DataFrame:
+def transfer_events(commands: DataFrame, order: str = "seq", source: str = SOURCE) -> DataFrame:
     """Transfer commands as TRANSFER events of the paying account."""
     return commands.select(
-        order, F.coalesce("transactionId", stable_id("transfer", order)).alias("transactionId"),
+        order, F.coalesce("transactionId", stable_id(f"transfer~{source}", order)).alias("transactionId"),
         F.col("fromAccountId").alias("accountId"), F.lit("TRANSFER").alias("type"), "amountRaw", "currency",
         F.col("toAccountId").alias("counterpartyAccountId"), F.coalesce("channel", F.lit("ONLINE")).alias("channel"),
         "country", F.lit(None).cast("string").alias("merchant"), "timestamp", F.lit("REQUESTED").alias("status"))
 
 
-def customer_events(commands: DataFrame, order: str = "seq") -> DataFrame:
+def customer_events(commands: DataFrame, order: str = "seq", source: str = SOURCE) -> DataFrame:
+    said = [F.array_join("violations", "; ").alias("violations")] if "violations" in commands.columns else []
     return commands.select(
-        order, F.coalesce("customerId", short_id("CUST-", "customer", order)).alias("customerId"), "fullName",
+        *said, order, F.coalesce("customerId", short_id("CUST-", f"customer~{source}", order)).alias("customerId"), "fullName",
         "email", "phone", "homeCountry", F.coalesce("tier", F.lit("STANDARD")).alias("tier"))
 
 
-def account_events(commands: DataFrame, order: str = "seq") -> DataFrame:
+def account_events(commands: DataFrame, order: str = "seq", source: str = SOURCE) -> DataFrame:
     return commands.select(
-        order, F.coalesce("accountId", short_id("ACC-", "account", order)).alias("accountId"), "customerId",
+        order, F.coalesce("accountId", short_id("ACC-", f"account~{source}", order)).alias("accountId"), "customerId",
         "accountType", "currency", F.lit("ACTIVE").alias("status"), F.col("timestamp").alias("updatedAt"))
 
 

@@ -38,6 +38,9 @@ from vaultflow.sources.tables import latest
 _OPENING, _DEBIT_OFF, _LEG_OFF, _BOOKING = 0, 1, 2, 3
 _FIRST = -(2 ** 63)
 
+# The place of a row's record in its stream, and the record's headers.
+CARRIED = ("partition", "headers")
+
 _FOLD_COLUMNS = ("accountId", "slice", "seq", "leg", "kind", "transactionId", "cents", "currency", "target", "n")
 _OUTCOME_DDL = ("accountId STRING, slice BIGINT, seq BIGINT, leg INT, target STRING, supposed BOOLEAN, "
                 "outcome STRING, before BIGINT, after BIGINT, transactionId STRING, currency STRING, n BIGINT")
@@ -126,6 +129,7 @@ class _Book:
         self.fold = _folder(int(Decimal(rules.overdraft) * 100))
         rows = _booking_rows(entries, rules.transfers)
         plain = stage(rows, "ledger-rows")
+        _reject_ties(plain)
         self.hot = hot_keys(plain, "accountId", rules.slice_rows)
         self.rows = with_slice(plain, "accountId", "seq", self.hot, rules.slice_rows)
         self.opening = _opening_controls(opening, plain) if opening is not None else None
@@ -165,7 +169,7 @@ class _Book:
         if self.opening is not None:
             start = self.opening
             if self.hot is not None:
-                start = start.join(F.broadcast(self.hot), F.col("accountId") == F.col("_hot"), "left_anti")
+                start = start.join(self.hot, F.col("accountId") == F.col("_hot"), "left_anti")
             controls.append(start)
         if self.missing is not None:
             nothing = F.lit(None)
@@ -359,6 +363,14 @@ def _booking_rows(entries: DataFrame, transfers: bool) -> DataFrame:
     return rows.unionByName(legs)
 
 
+def _reject_ties(rows: DataFrame) -> None:
+    """Booking order has to be total: two entries with one ``seq`` would take each other's balances."""
+    tied = (rows.where(F.col("leg") == 0).groupBy("seq").agg(F.count("*").alias("n"))
+            .where((F.col("n") > 1) | F.col("seq").isNull()).limit(1).collect())
+    if tied:
+        raise ValueError(f"seq {tied[0]['seq']} is missing or not unique; derive it with streams.sequence from partition and offset")
+
+
 def _opening_controls(opening: DataFrame, rows: DataFrame) -> DataFrame:
     """Balances carried in from earlier, for the accounts that have rows now."""
     accounts = rows.select("accountId").distinct()
@@ -430,6 +442,11 @@ def credit_legs(posted: DataFrame) -> DataFrame:
         F.lit("VALIDATED").alias("status"))
 
 
+def carried_columns(rows: DataFrame) -> list[str]:
+    """Columns that a row takes along from its record, where it has them."""
+    return [c for c in CARRIED if c in rows.columns]
+
+
 def _describe(rows: DataFrame) -> DataFrame:
     """Turn outcomes back into full transactions; a credit leg swaps the two accounts."""
     leg = F.col("leg") == 1
@@ -450,4 +467,4 @@ def _describe(rows: DataFrame) -> DataFrame:
         F.when(~posted, refusal).alias("reason"),
         F.when(posted, money.from_cents(F.col("after"))).otherwise(kept_balance).alias("balanceAfter"),
         money.from_cents(F.col("before")).alias("balanceBefore"),
-        F.col("booked").alias("transactionCount"), "accountCurrency")
+        F.col("booked").alias("transactionCount"), "accountCurrency", *carried_columns(rows))

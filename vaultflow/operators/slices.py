@@ -9,22 +9,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# At most this many keys are split. Any other key then holds less than 1/10,000 of all rows, and the
-# broadcast table of split keys has at most this many rows.
-MAX_HOT_KEYS = 10_000
+from vaultflow.operators.lookups import hot_table
+
 WHOLE = -1  # slice number of a key that is not split
 
 
-def hot_keys(df: DataFrame, key: str, slice_rows: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame | None:
-    """Keys with more than ``slice_rows`` rows, largest first; None if there are none.
+def hot_keys(df: DataFrame, key: str, slice_rows: int) -> DataFrame | None:
+    """All keys with more than ``slice_rows`` rows, as column ``_hot``; None if there are none.
 
-    Counting pre-aggregates before its shuffle, and at most ``max_keys`` rows come back.
+    Every one of them is split, however many there are (fewer than rows / ``slice_rows``).
     """
-    counted = (df.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("n"))
-               .where((F.col("n") > slice_rows) & F.col("_hot").isNotNull())
-               .orderBy(F.desc("n"), "_hot").limit(max_keys).select("_hot"))
-    rows = counted.collect()
-    return df.sparkSession.createDataFrame(rows, counted.schema) if rows else None
+    hot = hot_table(df, [F.col(key)], ["_hot"], slice_rows)
+    return None if hot is None else hot.select("_hot")
 
 
 def slice_of(order: str, slice_rows: int) -> Column:
@@ -36,7 +32,7 @@ def with_slice(df: DataFrame, key: str, order: str, hot: DataFrame | None, slice
     """Add the slice number of every row."""
     if hot is None:
         return df.withColumn(out, F.lit(WHOLE).cast("bigint"))
-    return (df.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    return (df.join(hot, F.col(key) == F.col("_hot"), "left")
             .withColumn(out, F.when(F.col("_hot").isNotNull(), slice_of(order, slice_rows))
                         .otherwise(F.lit(WHOLE)).cast("bigint"))
             .drop("_hot"))

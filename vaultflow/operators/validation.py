@@ -31,7 +31,8 @@ def _first_match(cases: list[tuple[Column, object]]) -> Column:
 def verdicts(requests: DataFrame, accounts: Lookup, rules: ValidationRules = ValidationRules()) -> DataFrame:
     """Add ``outcome`` (VALIDATED, REJECTED or DEAD_LETTER), ``reason`` and ``amount``.
 
-    The first failing rule decides. Rules on the request alone come before any account is looked
+    The first failing rule decides. A request without a transaction id cannot be told from its own resubmission and is
+    set aside as a dead letter before any other rule. Rules on the request alone come before any account is looked
     up; an unknown account is a technical error, not a rejection. The rules first give a number,
     the text follows from it: small expressions in separate steps stay within what the JVM compiles.
     """
@@ -43,6 +44,7 @@ def verdicts(requests: DataFrame, accounts: Lookup, rules: ValidationRules = Val
            .withColumn("_other", F.when(transfer, F.col("counterpartyAccountId"))))
     # A number too long for the amount type is above every limit.
     alone = own.withColumn("_alone", _first_match([
+        (F.col("transactionId").isNull(), 14),
         (F.col("accountId").isNull() | F.col("type").isNull() | raw.isNull(), 1),
         (~money.written_positive(raw), 2),
         (money.written_scale(raw) > 2, 3),
@@ -81,9 +83,10 @@ def verdicts(requests: DataFrame, accounts: Lookup, rules: ValidationRules = Val
         ("COUNTERPARTY_ACCOUNT_", F.col("_counter.blocked"), ": ", second),
         ("COUNTERPARTY_CURRENCY_MISMATCH: account ", second, " is in ", F.col("_counter.currency")),
         ("INVALID_TYPE: TRANSFER_IN is generated by the ledger only",),
+        ("MISSING_ID: transactionId is mandatory",),
     ]
     rule = F.col("_rule")
-    outcome = F.when(rule.isNull(), VALIDATED).when(rule.isin(6, 10), DEAD).otherwise(REJECTED)
+    outcome = F.when(rule.isNull(), VALIDATED).when(rule.isin(6, 10, 14), DEAD).otherwise(REJECTED)
     return (judged.withColumn("outcome", outcome).withColumn("reason", _message(rule, messages))
             .drop("_alone", "_limit", "_other", "_account", "_counter", "_rule"))
 
@@ -124,13 +127,11 @@ def dispositions(judged: DataFrame) -> DataFrame:
     seen = (judged.groupBy("transactionId")
             .agg(F.count("*").alias("n"), F.min(F.when(F.col("outcome") != DEAD, F.col("seq"))).alias("firstSeq"))
             .where(F.col("n") > 1))
-    # Requests without an id count as one id, different from every written one.
-    id_ = F.coalesce(F.concat(F.lit("="), F.col("transactionId")), F.lit("none"))
-    resent = Lookup(stage(seen, "resent-ids").withColumn("_id", id_), "_id")
-    rows = lookup_join(judged.withColumn("_id", id_), resent, "_id", "resent")
+    resent = Lookup(stage(seen.where("transactionId is not null"), "resent-ids"), "transactionId")
+    rows = lookup_join(judged, resent, "transactionId", "resent")
     repeat = F.coalesce(F.col("seq") > F.col("resent.firstSeq"), F.lit(False))
     return (rows.withColumn("outcome", F.when(repeat, F.lit(DUPLICATE)).otherwise(F.col("outcome")))
-            .withColumn("reason", F.when(~repeat, F.col("reason"))).drop("_id", "resent"))
+            .withColumn("reason", F.when(~repeat, F.col("reason"))).drop("resent"))
 
 
 def validated(processed: DataFrame) -> DataFrame:
@@ -146,7 +147,7 @@ def _as_transaction(rows: DataFrame, status: str) -> DataFrame:
     return rows.select(
         "seq", "transactionId", "accountId", "type", "amount", "amountRaw", "currency", "counterpartyAccountId",
         "channel", "country", "merchant", "timestamp", F.lit(status).alias("status"), "reason",
-        F.lit(None).cast("decimal(38,2)").alias("balanceAfter"))
+        F.lit(None).cast("decimal(38,2)").alias("balanceAfter"), *[c for c in ("partition", "headers") if c in rows.columns])
 
 
 def unknown_accounts(requests: DataFrame, accounts: Lookup) -> DataFrame:

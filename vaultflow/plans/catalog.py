@@ -97,11 +97,8 @@ WHERE (NOT good OR outcome = 'DEAD_LETTER') AND ok.first IS NULL""".strip()))
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Poison records and requests on unknown accounts, bytes untouched (shown as text)."""
     p = Pipeline.of(spark, sf_dir)
-    poison = validation.dead_letters(decode.undecodable(p.decoded), F.coalesce("decodeError", F.lit("NullPointerException")),
-                                     F.lit("Cannot deserialize record"))
-    good = decode.drop_undecodable(p.decoded).where(F.col("payload").isNotNull())
-    requests = good.select(F.col("offset").alias("seq"), "payload.*",
-                           F.struct("key", "value", "topic", "partition", "offset").alias("record"))
+    poison = decode.poison_letters(p.decoded)
+    requests = decode.requests_of(p.decoded)
     judged = stage(validation.verdicts(requests, p.account_lookup, p.validation_rules), "judged-records")
     lost = validation.dispositions(judged).where(F.col("outcome") == validation.DEAD).select("record.*", "reason")
     unknown = validation.dead_letters(lost, F.lit("AccountNotFoundException"), F.col("reason"))
@@ -141,13 +138,17 @@ def latest_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Pipeline.of(spark, sf_dir).customers()
 
 
-@query(o.q(o.VERDICTS, f"""
+@query(o.q(o.LEDGER, f"""
 SELECT accountId AS key, {o.PART.format('accountId')} AS "partition", seq AS "offset",
        CASE WHEN seq % 7 = 0 THEN '-' ELSE 'C-' || seq END AS correlation, transactionId, reason
-FROM processed WHERE outcome = 'REJECTED'"""))
+FROM (SELECT seq, accountId, transactionId, reason FROM processed WHERE outcome = 'REJECTED'
+      UNION ALL SELECT seq, accountId, transactionId, reason FROM postings WHERE status = 'REJECTED')"""))
 def rejection_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rejections with the key, partition, offset and correlation id of their record."""
-    return _outcome_headers(spark, sf_dir).where(F.col("status") == "REJECTED").select(
+    """Rejections of the rules and of the ledger with the key, partition, offset and correlation id of their record."""
+    p = Pipeline.of(spark, sf_dir)
+    fields = ("accountId", "partition", "seq", "headers", "transactionId", "reason")
+    both = p.rejected_by_rules().select(*fields).unionByName(p.rejected_by_ledger().select(*fields))
+    return both.select(
         F.col("accountId").alias("key"), "partition", F.col("seq").alias("offset"),
         F.coalesce(headers.last_text(F.col("headers"), HEADER_CORRELATION), F.lit("-")).alias("correlation"),
         "transactionId", "reason")
@@ -156,9 +157,7 @@ def rejection_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _outcome_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validated and rejected records with the headers they inherit from their request record."""
     p = Pipeline.of(spark, sf_dir)
-    outcomes = p.validated().unionByName(p.rejected_by_rules())
-    carried = p.records().select(F.col("offset").alias("seq"), "partition", "headers")
-    return validation.outcome_records(outcomes.join(carried, "seq"))
+    return validation.outcome_records(p.validated().unionByName(p.rejected_by_rules()))
 
 
 _NOW = "2024-01-20 00:00:00"
@@ -220,11 +219,12 @@ def encode_posted(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT {o.PART.format('accountId')} AS "partition", accountId, seq, transactionId,
        row_number() OVER (PARTITION BY accountId ORDER BY seq) AS place FROM processed"""))
 def keyed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows laid out by stream partition, key and order; ``place`` counts the rows of a key in file order."""
-    rows = Pipeline.of(spark, sf_dir).processed
-    laid = streams.keyed_layout(rows, "accountId", "seq", driver_tables.partition_of(F.col("accountId")))
-    numbered = streams.place_in_key(laid, "accountId", "seq")
-    return numbered.select("partition", "accountId", "seq", "transactionId", "place")
+    """Rows written by stream partition, key and order; ``place`` counts the rows of a key as they lie in the files."""
+    rows = Pipeline.of(spark, sf_dir).processed.select("accountId", "seq", "transactionId")
+    path = new_folder(spark, "keyed-layout")
+    streams.keyed_layout(rows, "accountId", "seq", driver_tables.partition_of(F.col("accountId"))).write.parquet(path)
+    read = spark.read.parquet(path).select("*", streams.place_in_files().alias("_at"))
+    return streams.place_in_key(read, "accountId", "_at").drop("_at").select("partition", "accountId", "seq", "transactionId", "place")
 
 
 @query(o.q(o.VERDICTS, """
@@ -268,7 +268,7 @@ def ingest_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(o.q(_COMMANDS, """
-SELECT seq, coalesce(transactionId, sha256('transaction~' || seq)[1:32]) AS transactionId, accountId, type, amountRaw,
+SELECT seq, coalesce(transactionId, sha256('transaction~web~' || seq)[1:32]) AS transactionId, accountId, type, amountRaw,
        currency, cast(NULL AS varchar) AS counterpartyAccountId, coalesce(channel, 'ONLINE') AS channel, country,
        merchant, "timestamp", 'REQUESTED' AS status
 FROM checked WHERE violations = ''"""))
@@ -286,7 +286,7 @@ def ingest_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
          CASE WHEN c_custkey % 19 <> 4 THEN homeCountry END AS homeCountry,
          CASE WHEN c_custkey % 3 <> 0 THEN tier END AS tier
   FROM bank_customer_all)
-SELECT seq, coalesce(customerId, 'CUST-' || upper(sha256('customer~' || seq)[1:8])) AS customerId, fullName, email,
+SELECT seq, coalesce(customerId, 'CUST-' || upper(sha256('customer~web~' || seq)[1:8])) AS customerId, fullName, email,
        phone, homeCountry, coalesce(tier, 'STANDARD') AS tier,
        concat_ws('; ', CASE WHEN email NOT LIKE '%@%' THEN 'email: must be a well-formed email address' END,
                  CASE WHEN homeCountry IS NULL THEN 'homeCountry: must not be blank' END) AS violations
@@ -294,8 +294,7 @@ FROM command"""))
 def ingest_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer commands: violations, and the event each one would publish."""
     checked = ingest.check(driver_tables.customer_commands(spark, sf_dir), ingest.customer_constraints())
-    said = checked.select(F.col("seq").alias("_seq"), F.array_join("violations", "; ").alias("violations"))
-    return ingest.customer_events(checked).join(said, F.col("seq") == F.col("_seq")).drop("_seq")
+    return ingest.customer_events(checked)
 
 
 @query(o.q(o.INPUTS, """
@@ -303,7 +302,7 @@ def ingest_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT c_custkey AS seq, CASE WHEN c_custkey % 4 <> 0 THEN accountId END AS accountId, customerId,
          CASE WHEN c_custkey % 17 = 2 THEN '' ELSE accountType END AS accountType, currency
   FROM bank_account)
-SELECT seq, coalesce(accountId, 'ACC-' || upper(sha256('account~' || seq)[1:8])) AS accountId, customerId, accountType,
+SELECT seq, coalesce(accountId, 'ACC-' || upper(sha256('account~web~' || seq)[1:8])) AS accountId, customerId, accountType,
        currency, 'ACTIVE' AS status, TIMESTAMP '2026-01-01 10:00:00' + seq * INTERVAL '1 second' AS updatedAt
 FROM command WHERE accountType <> ''"""))
 def ingest_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +312,7 @@ def ingest_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(o.q(o.INPUTS, """
-SELECT seq, CASE WHEN seq % 5 <> 0 THEN transactionId ELSE sha256('transfer~' || seq)[1:32] END AS transactionId,
+SELECT seq, CASE WHEN seq % 5 <> 0 THEN transactionId ELSE sha256('transfer~web~' || seq)[1:32] END AS transactionId,
        accountId, 'TRANSFER' AS type, amountRaw, currency, counterpartyAccountId, coalesce(channel, 'ONLINE') AS channel,
        country, cast(NULL AS varchar) AS merchant, "timestamp", 'REQUESTED' AS status
 FROM bank_request
@@ -593,14 +592,15 @@ def fraud_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(o.q(o.LEDGER, f"SELECT * FROM ({_BALANCES}) WHERE accountId = '{_ACCOUNT}'"))
 def balance_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Balance of one account: the filter reaches the scan, the rest of the table is not aggregated."""
-    return ledger.balances_of(Pipeline.of(spark, sf_dir).posted().where(F.col("accountId") == _ACCOUNT))
+    """Balance of one account, from the kept balances: one folder is opened."""
+    return Pipeline.of(spark, sf_dir).balance_of(_ACCOUNT)
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = Pipeline.of(spark, sf_dir).posted()
+    clock = rows.agg(F.max("timestamp")).first()[0]
     return notify.all_messages(rows, _rejected_all(spark, sf_dir), fraud.all_alerts(rows, SPARSE),
-                               activity.summarize(rows))
+                               activity.final(activity.summarize(rows), clock))
 
 
 @query(o.q(o.LEDGER + o.MESSAGES, "SELECT channel, recipient, accountId, message, sentAt FROM message"))
@@ -682,11 +682,10 @@ def activity_summary_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _posted_stream(spark, sf_dir, jobs.activity_summaries)
 
 
-@query(o.q(o.LEDGER + o.ALERTS, f"""
-SELECT {o.ALERT} FROM alert WHERE rule = 'VELOCITY' AND detectedAt <= (SELECT max("timestamp") FROM posted)"""))
+@query(_alert_sql("VELOCITY"))
 def fraud_velocity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Velocity alerts of the windows that have closed by the end of the stream."""
-    return _posted_stream(spark, sf_dir, lambda stream, home: jobs.velocity_alerts(stream, home, SPARSE))
+    """Velocity alerts, each in the micro-batch that crosses the limit."""
+    return _posted_stream(spark, sf_dir, lambda stream, home: jobs.velocity_alerts(stream, home, SPARSE)).select(*fraud.ALERT)
 
 
 @query(_alert_sql("MONEY_MULE"))
@@ -719,9 +718,52 @@ def enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_requests_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests judged and de-duplicated with the ids that earlier micro-batches saw."""
     p = Pipeline.of(spark, sf_dir)
+    job = jobs.Validation(lambda _: p.accounts(), new_folder(spark, "stream-job"))
+    replay(p.requests(), "seq", job.run)
+    return job.finish(spark).output(spark, "processed").select("seq", "transactionId", "outcome", "reason")
+
+
+@query(ORACLES["dead_letters"])
+def dead_letters_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records through the same job: poison and requests on unknown accounts, bytes untouched (shown as text)."""
+    job = _records_job(spark, sf_dir)
+    letters = job.output(spark, "dead").unionByName(job.output(spark, "poison")).drop("batch_id")
+    return letters.withColumn("value", F.col("value").cast("string"))
+
+
+def _records_job(spark: SparkSession, sf_dir: str) -> jobs.Validation:
+    p = Pipeline.of(spark, sf_dir)
+    job = jobs.Validation(lambda _: p.accounts(), new_folder(spark, "stream-job"))
+    replay(p.records(), "offset", job.run_records)
+    return job.finish(spark)
+
+
+_SOUND = o.VERDICTS.replace("FROM bank_request q", "FROM (SELECT * FROM bank_request WHERE seq % 101 <> 7) q")
+
+
+@query(o.q(_SOUND, """
+, ok AS (SELECT transactionId, min(seq) AS first FROM verdict WHERE outcome <> 'DEAD_LETTER' GROUP BY 1)
+SELECT CASE WHEN v.seq > ok.first THEN 'DUPLICATE' ELSE outcome END AS outcome, count(*) AS n
+FROM verdict v LEFT JOIN ok ON ok.transactionId = v.transactionId GROUP BY 1
+UNION ALL SELECT 'POISON', count(*) FROM bank_request WHERE seq % 101 = 7
+UNION ALL SELECT 'RECORDS', count(*) FROM bank_request"""))
+def record_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of the records: validated, rejected, duplicate, dead letter and poison add up to all of them."""
+    p = Pipeline.of(spark, sf_dir)
+    requests = decode.requests_of(p.decoded)
+    judged = stage(validation.verdicts(requests, p.account_lookup, p.validation_rules), "judged-records")
+    counted = validation.dispositions(judged).groupBy("outcome").agg(F.count("*").alias("n"))
+    poison = decode.poison_letters(p.decoded).agg(F.lit("POISON").alias("outcome"), F.count("*").alias("n"))
+    return counted.unionByName(poison).unionByName(p.records().agg(F.lit("RECORDS").alias("outcome"), F.count("*").alias("n")))
+
+
+@query(o.q(o.ledger_of(_SOUND), f"SELECT {o.BOOKING} FROM postings"))
+def records_to_ledger_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From key, JSON value and headers to postings: poison leaves before validation and is never booked."""
+    done = _records_job(spark, sf_dir).output(spark, "processed").drop("batch_id")
     home = new_folder(spark, "stream-job")
-    rows = replay(p.requests(), "seq", lambda stream: jobs.validate(stream, p.accounts(), home))
-    return rows.select("seq", "transactionId", "outcome", "reason")
+    rows = replay(stage(validation.validated(done), "validated-records"), "seq", lambda stream: jobs.book(stream, home))
+    return rows.select(*BOOKING)
 
 
 @query(ORACLES["ledger_with_transfers"])
@@ -742,7 +784,6 @@ def pending_lookup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     def accounts_at(batch_id: int) -> DataFrame:
         return p.accounts() if batch_id > 0 else p.accounts().where(~late)
 
-    requests = p.requests()
-    job = jobs.RetryingValidator(accounts_at, home)
-    replay(requests, "seq", job.run)
-    return job.finish(spark, requests.schema).select("seq", "transactionId", "outcome", "reason")
+    job = jobs.Validation(accounts_at, home)
+    replay(p.requests(), "seq", job.run)
+    return job.finish(spark).output(spark, "settled").select("seq", "transactionId", "outcome", "reason")

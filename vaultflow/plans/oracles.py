@@ -150,7 +150,12 @@ postings AS MATERIALIZED (
 posted AS (SELECT * FROM postings WHERE status = 'POSTED')"""
 
 
-LEDGER = VERDICTS + _ledger("(SELECT * FROM processed WHERE outcome = 'VALIDATED')", transfers=True)
+def ledger_of(verdicts: str) -> str:
+    """Booking of what ``verdicts`` let through."""
+    return verdicts + _ledger("(SELECT * FROM processed WHERE outcome = 'VALIDATED')", transfers=True)
+
+
+LEDGER = ledger_of(VERDICTS)
 LEDGER_ALONE = VERDICTS + _ledger("(SELECT * FROM verdict WHERE outcome = 'VALIDATED')", transfers=False)
 
 SUMMARY = """,
@@ -226,7 +231,8 @@ message AS (
   SELECT 'EMAIL', 'owner-of-' || accountId, accountId, 'Activity ' || strftime(windowStart, '%Y-%m-%dT%H:%M:%SZ')
            || ' - ' || strftime(windowEnd, '%Y-%m-%dT%H:%M:%SZ') || ': ' || transactionCount || ' transactions, in '
            || totalCredits || ', out ' || totalDebits || ', net ' || cast(totalCredits - totalDebits AS decimal(38,2)),
-         windowEnd FROM summary)"""
+         windowEnd FROM summary
+  WHERE windowEnd + INTERVAL '5 minutes' <= (SELECT max("timestamp") FROM posted))"""
 
 TXN = ('transactionId, accountId, type, amount, currency, counterpartyAccountId, channel, country, merchant, '
        '"timestamp", status, reason, balanceAfter')

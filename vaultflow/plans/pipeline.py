@@ -11,11 +11,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vaultflow.operators import enrich, ledger, validation
 from vaultflow.operators.lookups import Lookup
 from vaultflow.schemas import TRANSACTION_DDL, LedgerRules, ValidationRules
-from vaultflow.session import stage
+from vaultflow.session import new_folder, stage
 from vaultflow.sources import decode, driver_tables, tables
 
 _open: dict[tuple[str, str], "Pipeline"] = {}
@@ -40,7 +41,7 @@ class Pipeline:
     @cached_property
     def request_table(self) -> DataFrame:
         """The requested stream as ingest leaves it (written)."""
-        return stage(driver_tables.requests(self.spark, self.sf_dir), "requests")
+        return stage(driver_tables.carried(driver_tables.requests(self.spark, self.sf_dir)), "requests")
 
     def requests(self) -> DataFrame:
         return self.request_table
@@ -103,5 +104,17 @@ class Pipeline:
     def balances(self) -> DataFrame:
         return ledger.balances_of(self.posted())
 
+    @cached_property
+    def balance_table(self) -> tuple[str, StructType]:
+        """Folder and columns of the balances, in folders by account hash (written)."""
+        rows, path = self.balances(), new_folder(self.spark, "balances")
+        tables.write_keyed(rows, "accountId", path)
+        return path, rows.schema
+
+    def balance_of(self, account: str) -> DataFrame:
+        """Served from the kept state: one folder is opened, nothing is aggregated."""
+        path, schema = self.balance_table
+        return tables.one_key(self.spark, path, schema, "accountId", account)
+
     def enriched(self) -> DataFrame:
         return enrich.enrich(self.posted(), self.account_lookup, self.customer_lookup)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from vaultflow.functions import money
 from vaultflow.operators.slices import running_max_before
+from vaultflow.operators.validation import dead_letters
 from vaultflow.schemas import (ACCOUNT_STATUSES, SEVERITIES, TRANSACTION_STATUSES, TRANSACTION_TYPES)
 
 # Allowed texts of enumerated fields, per record type.
@@ -16,6 +17,24 @@ ACCOUNT_ENUMS = {"status": ACCOUNT_STATUSES}
 ALERT_ENUMS = {"severity": SEVERITIES}
 
 _RAW_AMOUNT = r'"amount"\s*:\s*"?(-?[0-9][0-9.eE+-]*)'
+# A text, with the number or text behind it if it is a key, or a bracket.
+_STRING = r'"(?:[^"\\]|\\.)*"'
+_TOKEN = rf'{_STRING}(?:\s*:\s*(?:-?[0-9][0-9.eE+-]*|{_STRING}))?|[{{}}\[\]]'
+
+
+def written_amount(text: Column) -> Column:
+    """The ``amount`` of the outermost object as it is written, the last one if it is there twice.
+
+    A text with one "amount" needs no more than a pattern; otherwise the brackets are counted, and texts are skipped whole.
+    """
+    def step(state: Column, token: Column) -> Column:
+        depth = state["depth"] + F.when(token.isin("{", "["), 1).when(token.isin("}", "]"), -1).otherwise(0)
+        here = (state["depth"] == 1) & token.rlike("^" + _RAW_AMOUNT)
+        return F.struct(depth.alias("depth"), F.when(here, F.regexp_extract(token, _RAW_AMOUNT, 1)).otherwise(state["amount"]).alias("amount"))
+
+    walked = F.aggregate(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)),
+                         F.struct(F.lit(0).alias("depth"), F.lit(None).cast("string").alias("amount")), step)["amount"]
+    return F.when(F.regexp_count(text, F.lit('"amount"')) > 1, walked).otherwise(F.regexp_extract(text, _RAW_AMOUNT, 1))
 
 
 def decode(records: DataFrame, ddl: str, enums: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
@@ -44,7 +63,7 @@ def decode(records: DataFrame, ddl: str, enums: dict[str, tuple[str, ...]] | Non
         else:
             fields.append(value.alias(f.name))
     if "amount" in wanted.fieldNames():
-        written = F.when(F.col("_p.amount").isNotNull(), F.regexp_extract(text, _RAW_AMOUNT, 1))
+        written = F.when(F.col("_p.amount").isNotNull(), written_amount(text))
         fields.append(written.alias("amountRaw"))
     bad = F.lit(False)
     for problem in problems:
@@ -66,6 +85,30 @@ def undecodable(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("decodeError").isNotNull() | F.col("payload").isNull())
 
 
+def requests_of(decoded: DataFrame) -> DataFrame:
+    """Typed requests of the good records, with what they carry along; ``seq`` is the record's place in its stream.
+
+    The time is the payload's, else the record's. A record whose key is not its account would be booked under one and
+    alerted under the other, so it is none.
+    """
+    good = drop_undecodable(decoded).where(F.col("payload").isNotNull() & ~misplaced())
+    fields = [F.col(f"payload.{f}").alias(f) for f in decoded.schema["payload"].dataType.fieldNames() if f != "timestamp"]
+    return good.select(F.col("offset").alias("seq"), *fields, F.coalesce("payload.timestamp", "timestamp").alias("timestamp"),
+                       F.struct("key", "value", "topic", "partition", "offset").alias("record"))
+
+
+def misplaced() -> Column:
+    return F.coalesce(F.col("payload.accountId") != F.col("key"), F.lit(False))
+
+
+def poison_letters(decoded: DataFrame) -> DataFrame:
+    """Dead letters of the records that are no requests, bytes untouched."""
+    wrong = F.when(F.col("decodeError").isNull() & F.col("payload").isNotNull(), F.lit("KeyMismatchException"))
+    bad = decoded.where(F.col("decodeError").isNotNull() | F.col("payload").isNull() | misplaced())
+    return dead_letters(bad, F.coalesce("decodeError", wrong, F.lit("NullPointerException")),
+                        F.when(wrong.isNotNull(), F.lit("Record key is not its account")).otherwise(F.lit("Cannot deserialize record")))
+
+
 def event_time(records: DataFrame, payload_ts: Column, record_ts: Column, partition: str = "partition",
                order: str = "offset", slice_rows: int = 1_000_000) -> DataFrame:
     """Add ``eventTime``: payload time, else record time, else the latest time seen in the partition."""

@@ -104,6 +104,15 @@ def requests_from_events(events: DataFrame) -> DataFrame:
         "timestamp")
 
 
+def carried(requests: DataFrame) -> DataFrame:
+    """Requests with the stream partition and the headers of their records, which outcomes take along."""
+    seq = F.col("seq")
+    no_headers = F.array().cast("array<struct<key:string,value:binary>>")
+    stamped = headers.stamp(F.concat(F.lit("C-"), seq.cast("string")), F.lit("web"), F.lit("TransactionRequested"))
+    return requests.withColumns({"partition": partition_of(F.col("accountId")),
+                                 "headers": F.when(seq % 7 == 0, no_headers).otherwise(stamped)})
+
+
 def request_records(requests: DataFrame) -> DataFrame:
     """Requests as stream records: JSON bytes, headers, partition and offset. Some are broken."""
 
@@ -117,14 +126,10 @@ def request_records(requests: DataFrame) -> DataFrame:
         quoted("counterpartyAccountId"), F.lit(',"channel":'), quoted("channel"), F.lit(',"country":'),
         quoted("country"), F.lit(',"unknownField":1}'))
     seq = F.col("seq")
-    no_headers = F.array().cast("array<struct<key:string,value:binary>>")
-    stamped = headers.stamp(F.concat(F.lit("C-"), seq.cast("string")), F.lit("web"), F.lit("TransactionRequested"))
-    return requests.select(
+    return carried(requests).select(
         F.col("accountId").alias("key"),
         F.when(seq % 101 == 7, F.lit("{not json")).otherwise(json).cast("binary").alias("value"),
-        F.lit(REQUESTED).alias("topic"), partition_of(F.col("accountId")).alias("partition"),
-        seq.alias("offset"), "timestamp",
-        F.when(seq % 7 == 0, no_headers).otherwise(stamped).alias("headers"))
+        F.lit(REQUESTED).alias("topic"), "partition", seq.alias("offset"), "timestamp", "headers")
 
 
 # -- commands, as channels send them --------------------------------------------------------------

@@ -48,6 +48,14 @@ def kafka_table(spark: SparkSession, servers: str, topic: str) -> DataFrame:
                       "timestamp", "headers")
 
 
+def sequence(partition: Column, offset: Column, partitions: int) -> Column:
+    """A total order of the records of a stream that keeps the order within each partition.
+
+    Offsets are unique within a partition only; there is no order between partitions, so they take turns.
+    """
+    return (offset.cast("bigint") * partitions + partition).cast("bigint")
+
+
 def keyed_layout(df: DataFrame, key: str, order: str, partition) -> DataFrame:
     """Rows of a key together and in order, as a keyed stream stores them.
 
@@ -58,6 +66,12 @@ def keyed_layout(df: DataFrame, key: str, order: str, partition) -> DataFrame:
     return placed.repartitionByRange("partition", key, order).sortWithinPartitions("partition", key, order)
 
 
+def place_in_files() -> Column:
+    """Order of the rows of a written table, file by file; the parts of a file's name number the tasks that wrote it."""
+    file = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("bigint")
+    return F.shiftleft(file, 40) + F.col("_metadata.row_index")
+
+
 def place_in_key(df: DataFrame, key: str, order: str) -> DataFrame:
     """Add ``place``: how many rows of the key come up to and including this one.
 

@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vaultflow.operators.slices import running_max_before
 
 
+# Folders that a keyed table is spread over by the hash of its key.
+PARTS = 16
+
+
+def part_of(key: Column, parts: int = PARTS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
+def write_keyed(df: DataFrame, key: str, path: str, parts: int = PARTS, mode: str = "error") -> None:
+    """Write a table in folders by the hash of its key, so that a lookup opens the folder of its key only."""
+    df.withColumn("part", part_of(F.col(key), parts)).write.mode(mode).partitionBy("part").parquet(path)
+
+
+def one_key(spark: SparkSession, path: str, schema, key: str, value: str, parts: int = PARTS) -> DataFrame:
+    """The row of one key of a keyed table; folder and key are both pushed down to the scan."""
+    rows = spark.read.schema(T.StructType(list(schema.fields) + [T.StructField("part", T.IntegerType())])).parquet(path)
+    part = spark.range(1).select(part_of(F.lit(value), parts)).first()[0]
+    return rows.where((F.col("part") == part) & (F.col(key) == value)).drop("part")
+
+
 def latest(changelog: DataFrame, key: str, value: Column, order: str) -> DataFrame:
     """Last value per key; a key whose last value is null (a tombstone) is gone.
 

@@ -8,18 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultflow.operators import activity, enrich, fraud, ledger, validation
 from vaultflow.operators.lookups import Lookup, lookup_join
 from vaultflow.operators.slices import running_max_before
-from vaultflow.schemas import (BALANCE_DDL, VALIDATION_RETRY, ActivityRules, FraudRules, LedgerRules, RetryPolicy,
-                               ValidationRules)
+from vaultflow.schemas import (BALANCE_DDL, TRANSACTION_DDL, VALIDATION_RETRY, ActivityRules, FraudRules, LedgerRules,
+                               RetryPolicy, ValidationRules)
 from vaultflow.session import stage
+from vaultflow.sources import decode
 from vaultflow.streaming.state import StateTable, read_output, run_append, run_batches, write_batch
 
-_SEEN_DDL = "transactionId STRING, seenAt TIMESTAMP"
+_SEEN_DDL = "transactionId STRING, firstSeq BIGINT, seenAt TIMESTAMP"
+_BURST_DDL = "burst STRING, n BIGINT"
 _PLACE_DDL = "accountId STRING, ts TIMESTAMP, seq BIGINT, country STRING"
 
 
@@ -31,13 +33,6 @@ def activity_summaries(posted: DataFrame, home: str, rules: ActivityRules = Acti
     return run_append(final, f"{home}/output", f"{home}/checkpoint")
 
 
-def velocity_alerts(posted: DataFrame, home: str, rules: FraudRules = FraudRules(),
-                    grace: str = "0 seconds") -> DataFrame:
-    """One alert per window, raised when the window is final, so a burst inside one batch counts once."""
-    return run_append(fraud.velocity(posted.withWatermark("timestamp", grace), rules),
-                      f"{home}/output", f"{home}/checkpoint")
-
-
 def mule_alerts(posted: DataFrame, home: str, rules: FraudRules = FraudRules(),
                 grace: str = "0 seconds") -> DataFrame:
     """Stream-stream join of deposits and debits; the time range lets Spark drop what can no longer match."""
@@ -51,34 +46,6 @@ def large_amount_alerts(posted: DataFrame, home: str, rules: FraudRules = FraudR
 
 # -- micro-batches with state in tables -----------------------------------------------------------
 
-def validate(requests: DataFrame, accounts: DataFrame, home: str, rules: ValidationRules = ValidationRules(),
-             memory: str = "1 day") -> DataFrame:
-    """Judge and de-duplicate requests; ids are remembered for ``memory`` of event time.
-
-    ``accounts`` is the latest-state table, evaluated again for every micro-batch.
-    """
-    seen = StateTable(f"{home}/seen", "transactionId")
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        judged = validation.verdicts(batch, Lookup(accounts, "accountId"), rules)
-        first = stage(validation.first_processed(judged), "stream-first")
-        since = F.lit(first.agg(F.min("timestamp")).first()[0]) - F.expr(f"INTERVAL {memory}")
-        remembered = F.col("seenAt") >= since
-        ids = judged.select("transactionId").distinct()
-        known = Lookup(stage(seen.before(spark, batch_id, _SEEN_DDL, ids).where(remembered), "stream-known"),
-                       "transactionId")
-        fresh = stage(lookup_join(first, known, "transactionId", "known", "left_anti"), "stream-fresh")
-        write_batch(fresh, f"{home}/processed", batch_id)
-        dead = validation.dispositions(judged).where(F.col("outcome") == validation.DEAD)
-        write_batch(lookup_join(dead, known, "transactionId", "known", "left_anti"), f"{home}/dead", batch_id)
-        seen.save(spark, batch_id, _SEEN_DDL,
-                  fresh.select("transactionId", F.col("timestamp").alias("seenAt")), keep=remembered)
-
-    run_batches(requests, step, f"{home}/checkpoint")
-    return read_output(requests.sparkSession, f"{home}/processed")
-
-
 def book(validated: DataFrame, home: str, rules: LedgerRules = LedgerRules()) -> DataFrame:
     """Book each micro-batch on the balances the earlier ones left."""
     balances = StateTable(f"{home}/balances", "accountId")
@@ -120,6 +87,28 @@ def travel_alerts(posted: DataFrame, home: str, rules: FraudRules = FraudRules()
     return read_output(posted.sparkSession, f"{home}/alerts")
 
 
+def velocity_alerts(posted: DataFrame, home: str, rules: FraudRules = FraudRules()) -> DataFrame:
+    """One alert per account and window, in the micro-batch that takes its debits over the limit.
+
+    Counts per account and window are kept in a table; a window alerts once, however its debits are spread over batches.
+    """
+    counts = StateTable(f"{home}/counts", "burst")
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        burst = F.concat_ws("~", F.unix_millis("start").cast("string"), "accountId")
+        here = stage(fraud.debits_per_window(batch, rules).withColumn("burst", burst), "stream-bursts")
+        before = stage(counts.before(spark, batch_id, _BURST_DDL, here.select("burst")), "stream-counted")
+        rows = stage(lookup_join(here, Lookup(before, "burst"), "burst", "_state", spread_by="burst")
+                     .withColumn("earlier", F.coalesce("_state.n", F.lit(0).cast("bigint"))), "stream-counts")
+        crossed = rows.where((F.col("earlier") <= rules.velocity_max) & (F.col("earlier") + F.col("n") > rules.velocity_max))
+        write_batch(fraud.velocity_of(crossed, rules), f"{home}/alerts", batch_id)
+        counts.save(spark, batch_id, _BURST_DDL, rows.select("burst", (F.col("earlier") + F.col("n")).alias("n")))
+
+    run_batches(posted, step, f"{home}/checkpoint")
+    return read_output(posted.sparkSession, f"{home}/alerts")
+
+
 def enrich_posted(posted: DataFrame, accounts: DataFrame, customers: DataFrame, home: str) -> DataFrame:
     """Join each micro-batch with the account and customer tables as they are when it is processed."""
 
@@ -131,51 +120,99 @@ def enrich_posted(posted: DataFrame, accounts: DataFrame, customers: DataFrame,
     return read_output(posted.sparkSession, f"{home}/enriched")
 
 
-class RetryingValidator:
-    """Requests on an account not known yet wait and are tried again with the next micro-batch.
+class Validation:
+    """Requests or their JSON records: judged, retried, de-duplicated, and set aside as dead letters.
+
+    Requests on an account not known yet wait and are tried again with the next micro-batch; after ``policy.attempts``
+    tries a request becomes a dead letter. Order per account is kept: requests behind a waiting one wait too.
+    ``accounts_at(batch_id)`` gives the account table as of a micro-batch. Every micro-batch is judged once.
 
-    After ``policy.attempts`` tries a request becomes a dead letter. Order per account is kept:
-    requests behind a waiting one wait too. ``accounts_at(batch_id)`` gives the account table as of
-    a micro-batch.
+    Three output tables: ``settled`` has the verdict on every request, resubmissions judged like any other; ``processed`` has
+    each id once, in its first validated or rejected occurrence; ``dead`` has the dead letters, as the bytes that arrived where
+    the input is records. Ids are remembered for good, or for ``memory`` of event time.
     """
 
-    _SETTLED = ("seq", "transactionId", "accountId", "outcome", "reason", "attempt")
+    _VERDICT = ("seq", "transactionId", "accountId", "outcome", "reason", "attempt")
 
-    def __init__(self, accounts_at: Callable[[int], DataFrame], home: str,
-                 rules: ValidationRules = ValidationRules(), policy: RetryPolicy = VALIDATION_RETRY):
+    def __init__(self, accounts_at: Callable[[int], DataFrame], home: str, rules: ValidationRules = ValidationRules(),
+                 policy: RetryPolicy = VALIDATION_RETRY, memory: str | None = None):
         self.accounts_at = accounts_at
         self.home = home
         self.rules = rules
         self.policy = policy
+        self.memory = memory
+        self.seen = StateTable(f"{home}/seen", "transactionId")
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         arrived = batch.withColumn("attempt", F.lit(0))
         if batch_id > 0:
-            arrived = arrived.unionByName(batch.sparkSession.read.schema(arrived.schema)
-                                          .parquet(f"{self.home}/waiting/batch_id={batch_id - 1}"))
+            arrived = arrived.unionByName(spark.read.schema(arrived.schema).parquet(f"{self.home}/waiting/batch_id={batch_id - 1}"))
         accounts = Lookup(self.accounts_at(batch_id), "accountId")
-        judged = stage(validation.verdicts(arrived, accounts, self.rules)
-                       .withColumn("lost", F.col("outcome") == validation.DEAD)
+        # a request that lacks its id will not get one by waiting
+        lost = (F.col("outcome") == validation.DEAD) & F.col("transactionId").isNotNull()
+        judged = stage(validation.verdicts(arrived, accounts, self.rules).withColumn("lost", lost)
                        .withColumn("attempt", F.col("attempt") + F.col("lost").cast("int")), "stream-judged")
         again = F.col("lost") & (F.col("attempt") < self.policy.attempts)
-        stops = (judged.where(again).groupBy(F.col("accountId").alias("_account"))
-                 .agg(F.min("seq").alias("stopAt")))
-        held = lookup_join(judged, Lookup(stage(stops, "stream-stops"), "_account"), "accountId", "stop")
+        stops = stage(judged.where(again).groupBy(F.col("accountId").alias("_account")).agg(F.min("seq").alias("stopAt")), "stream-stops")
+        held = lookup_join(judged, Lookup(stops, "_account"), "accountId", "stop")
         free = F.coalesce(F.col("seq") < F.col("stop.stopAt"), F.lit(True))
-        write_batch(held.where(free).select(*self._SETTLED), f"{self.home}/settled", batch_id)
+        settled = stage(held.where(free).drop("stop"), "stream-settled")
         write_batch(held.where(~free).select(*arrived.columns), f"{self.home}/waiting", batch_id)
+        write_batch(settled.select(*self._VERDICT), f"{self.home}/settled", batch_id)
+        self._deduplicate(settled, batch_id)
+
+    def _deduplicate(self, settled: DataFrame, batch_id: int) -> None:
+        spark = settled.sparkSession
+        ids = settled.select("transactionId").distinct()
+        remembered = self._remembered(settled)
+        known = Lookup(stage(self.seen.before(spark, batch_id, _SEEN_DDL, ids).where(remembered), "stream-known"), "transactionId")
+        first = validation.first_processed(settled)
+        fresh = stage(lookup_join(first, known, "transactionId", "known", "left_anti"), "stream-fresh")
+        write_batch(fresh.drop("record", "lost", "attempt"), f"{self.home}/processed", batch_id)
+        dead = validation.dispositions(settled).where(F.col("outcome") == validation.DEAD)
+        # a request that waited may come before the one that was processed under its id
+        dead = lookup_join(dead, known, "transactionId", "known").where(~F.coalesce(F.col("known.firstSeq") < F.col("seq"), F.lit(False))).drop("known")
+        if "record" in dead.columns:
+            missing = F.col("reason").startswith("MISSING_ID")
+            dead = validation.dead_letters(dead.select("record.*", "reason"),
+                                           F.when(missing, "IllegalArgumentException").otherwise("AccountNotFoundException"), F.col("reason"))
+        write_batch(dead, f"{self.home}/dead", batch_id)
+        self.seen.save(spark, batch_id, _SEEN_DDL, fresh.select("transactionId", F.col("seq").alias("firstSeq"), F.col("timestamp").alias("seenAt")), keep=remembered)
+
+    def _remembered(self, settled: DataFrame) -> Column:
+        """Which ids still count; an empty batch moves no time."""
+        oldest = settled.agg(F.min("timestamp")).first()[0] if self.memory else None
+        if oldest is None:
+            return F.lit(True)
+        return F.col("seenAt") >= F.lit(oldest) - F.expr(f"INTERVAL {self.memory}")
+
+    def record_step(self, batch: DataFrame, batch_id: int) -> None:
+        """A micro-batch of JSON records: broken ones, and those whose key is not their account, are dead letters at once."""
+        decoded = stage(decode.decode(batch, TRANSACTION_DDL, decode.TRANSACTION_ENUMS), "stream-decoded")
+        write_batch(decode.poison_letters(decoded), f"{self.home}/poison", batch_id)
+        self.step(decode.requests_of(decoded), batch_id)
 
     def run(self, requests: DataFrame) -> DataFrame:
         """Work off what has arrived; requests may be left waiting."""
         run_batches(requests, self.step, f"{self.home}/checkpoint")
         return read_output(requests.sparkSession, f"{self.home}/settled")
 
-    def finish(self, spark: SparkSession, schema) -> DataFrame:
+    def run_records(self, records: DataFrame) -> DataFrame:
+        run_batches(records, self.record_step, f"{self.home}/checkpoint")
+        return read_output(records.sparkSession, f"{self.home}/settled")
+
+    def finish(self, spark: SparkSession, records: bool = False) -> "Validation":
         """After the stream has ended for good: empty rounds until nothing waits."""
         both = [read_output(spark, f"{self.home}/{part}").select("batch_id") for part in ("settled", "waiting")]
         batch_id = both[0].unionByName(both[1]).agg(F.max("batch_id")).first()[0]
-        nothing = spark.createDataFrame([], schema)
-        while not spark.read.parquet(f"{self.home}/waiting/batch_id={batch_id}").isEmpty():
+        if batch_id is None:
+            return self
+        while not (waiting := spark.read.parquet(f"{self.home}/waiting/batch_id={batch_id}")).isEmpty():
             batch_id += 1
-            self.step(nothing, batch_id)
-        return read_output(spark, f"{self.home}/settled")
+            self.step(waiting.drop("attempt").where("false"), batch_id)
+        return self
+
+    def output(self, spark: SparkSession, table: str) -> DataFrame:
+        """``settled``, ``processed``, ``dead`` or ``poison``."""
+        return read_output(spark, f"{self.home}/{table}")

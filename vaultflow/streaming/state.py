@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.sources.tables import latest
+from vaultflow.sources.tables import latest, part_of, write_keyed
 
 # One full copy of the state per this many micro-batches; between copies only changes are written.
 COMPACT_EVERY = 20
@@ -36,6 +36,9 @@ class StateTable:
         self.key = key
         self.compact_every = compact_every
 
+    def _path(self, kind: str, batch_id: int) -> str:
+        return f"{self.folder}/kind={kind}/batch={batch_id}"
+
     def _copy_before(self, batch_id: int) -> int | None:
         """Batch of the last full copy that batch ``batch_id`` may read."""
         last = batch_id // self.compact_every * self.compact_every - 1
@@ -44,33 +47,36 @@ class StateTable:
     def before(self, spark: SparkSession, batch_id: int, schema: str, keys: DataFrame | None = None) -> DataFrame:
         """State left by all batches before ``batch_id``, for ``keys`` only if given.
 
-        With keys the rest of the state is dropped where it is read; it takes no part in a shuffle
-        as long as Spark finds the keys of one batch small enough to broadcast.
+        State lies in folders by the hash of its key. With keys only the folders that they fall into are opened, and the
+        rest of those is dropped where it is read; it takes no part in a shuffle as long as Spark finds the keys of one
+        batch small enough to broadcast.
         """
         copy = self._copy_before(batch_id)
         first = 0 if copy is None else copy + 1
-        paths = [f"{self.folder}/changes/{i}" for i in range(first, batch_id)]
+        paths = [self._path("changes", i) for i in range(first, batch_id)]
         if copy is not None:
-            paths.append(f"{self.folder}/copy/{copy}")
-        versioned = f"{schema}, version BIGINT"
-        rows = spark.read.schema(versioned).parquet(*paths) if paths else spark.createDataFrame([], versioned)
-        if keys is not None:
-            rows = rows.join(keys, self.key, "left_semi")
-        fields = [f for f in rows.columns if f != "version"]
+            paths.append(self._path("copy", copy))
+        stored = f"{schema}, version BIGINT, kind STRING, batch BIGINT, part INT"
+        rows = (spark.read.schema(stored).option("basePath", self.folder).parquet(*paths) if paths
+                else spark.createDataFrame([], stored)).drop("kind", "batch")
+        if keys is not None and paths:
+            touched = [r[0] for r in keys.select(part_of(F.col(self.key))).distinct().collect()]  # at most PARTS numbers
+            rows = rows.where(F.col("part").isin(touched)).join(keys, self.key, "left_semi")
+        fields = [f for f in rows.columns if f not in ("version", "part")]
         return latest(rows, self.key, F.struct(*fields), "version")
 
     def save(self, spark: SparkSession, batch_id: int, schema: str, changes: DataFrame,
              keep: Column | None = None) -> None:
         """Write the rows that changed in ``batch_id``; a full copy keeps the rows where ``keep`` holds."""
         stamped = changes.withColumn("version", F.lit(batch_id).cast("bigint"))
-        stamped.write.mode("overwrite").parquet(f"{self.folder}/changes/{batch_id}")
+        write_keyed(stamped, self.key, self._path("changes", batch_id), mode="overwrite")
         if (batch_id + 1) % self.compact_every:
             return
-        written = spark.read.schema(f"{schema}, version BIGINT").parquet(f"{self.folder}/changes/{batch_id}")
+        written = spark.read.schema(f"{schema}, version BIGINT, part INT").parquet(self._path("changes", batch_id)).drop("part")
         earlier = self.before(spark, batch_id, schema).withColumn("version", F.lit(-1).cast("bigint"))
         merged = latest(earlier.unionByName(written), self.key, F.struct(*written.columns), "version")
         kept = merged if keep is None else merged.where(keep)
-        kept.write.mode("overwrite").parquet(f"{self.folder}/copy/{batch_id}")
+        write_keyed(kept, self.key, self._path("copy", batch_id), mode="overwrite")
 
 
 def run_batches(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> None:
