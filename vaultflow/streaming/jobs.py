@@ -124,7 +124,8 @@ class Validation:
     """Requests or their JSON records: judged, retried, de-duplicated, and set aside as dead letters.
 
     Requests on an account not known yet wait and are tried again with the next micro-batch; after ``policy.attempts``
-    tries a request becomes a dead letter. Order per account is kept: requests behind a waiting one wait too.
+    tries a request becomes a dead letter. Order per account is kept: requests behind a waiting one wait too, and so does a
+    resubmission of one that waits.
     ``accounts_at(batch_id)`` gives the account table as of a micro-batch. Every micro-batch is judged once.
 
     Three output tables: ``settled`` has the verdict on every request, resubmissions judged like any other; ``processed`` has
@@ -153,15 +154,32 @@ class Validation:
         lost = (F.col("outcome") == validation.DEAD) & F.col("transactionId").isNotNull()
         judged = stage(validation.verdicts(arrived, accounts, self.rules).withColumn("lost", lost)
                        .withColumn("attempt", F.col("attempt") + F.col("lost").cast("int")), "stream-judged")
-        again = F.col("lost") & (F.col("attempt") < self.policy.attempts)
-        stops = stage(judged.where(again).groupBy(F.col("accountId").alias("_account")).agg(F.min("seq").alias("stopAt")), "stream-stops")
-        held = lookup_join(judged, Lookup(stops, "_account"), "accountId", "stop")
-        free = F.coalesce(F.col("seq") < F.col("stop.stopAt"), F.lit(True))
-        settled = stage(held.where(free).drop("stop"), "stream-settled")
+        held = self._held(judged)
+        free = ~F.col("waits")
+        settled = stage(held.where(free).drop("waits"), "stream-settled")
         write_batch(held.where(~free).select(*arrived.columns), f"{self.home}/waiting", batch_id)
         write_batch(settled.select(*self._VERDICT), f"{self.home}/settled", batch_id)
         self._deduplicate(settled, batch_id)
 
+    def _held(self, judged: DataFrame) -> DataFrame:
+        """Add ``waits``: the request is to be tried again, or comes after such a one of its account, or repeats the id of one
+        that waits. Each round finds the resubmissions that wait for an earlier request, until there are no more.
+        """
+        again = F.col("lost") & (F.col("attempt") < self.policy.attempts)
+        first = F.min("seq").alias("stopAt")
+        stops = stage(judged.where(again & F.col("accountId").isNotNull()).groupBy(F.col("accountId").alias("_account")).agg(first), "stream-stops")
+        if stops.isEmpty():
+            return judged.withColumn("waits", F.lit(False))
+        while True:
+            stopped = lookup_join(judged, Lookup(stops, "_account"), "accountId", "stop")
+            held = stage(stopped.withColumn("waits", F.coalesce(F.col("seq") >= F.col("stop.stopAt"), F.lit(False))).drop("stop"), "stream-held")
+            ids = stage(held.where(F.col("waits") & F.col("transactionId").isNotNull()).groupBy(F.col("transactionId").alias("_id")).agg(first), "stream-ids")
+            repeats = lookup_join(held.where(~F.col("waits") & F.col("accountId").isNotNull()), Lookup(ids, "_id"), "transactionId", "first")
+            more = stage(repeats.where(F.col("seq") > F.col("first.stopAt")).groupBy(F.col("accountId").alias("_account")).agg(first), "stream-more")
+            if more.isEmpty():
+                return held
+            stops = stage(stops.unionByName(more).groupBy("_account").agg(F.min("stopAt").alias("stopAt")), "stream-stops")
+
     def _deduplicate(self, settled: DataFrame, batch_id: int) -> None:
         spark = settled.sparkSession
         ids = settled.select("transactionId").distinct()
