@@ -20,6 +20,9 @@ HEADLINE = (
     "late_rows", "fraud_large_amount", "fraud_velocity", "fraud_travel", "fraud_money_mule", "fraud_alerts",
     "notifications", "recent_notifications",
 )
+# Streams run their table in three pieces, each with its own checkpoint; once is enough.
+STREAMS = ("activity_summary_stream", "fraud_large_amount_stream", "fraud_velocity_stream", "fraud_travel_stream",
+           "fraud_money_mule_stream", "enriched_stream")
 
 
 def timed(action) -> float:
@@ -49,6 +52,8 @@ def main() -> None:
         if name not in ("ledger_with_transfers", "ledger_postings"):  # the ledger is warm from write_postings
             run()
         seconds[name] = min(timed(run), timed(run))
+    for name in STREAMS:
+        seconds[name] = timed(lambda name=name: catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": {k: round(v, 3) for k, v in seconds.items()}, "sf": sf_dir.rsplit("sf", 1)[-1],
