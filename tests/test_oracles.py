@@ -24,7 +24,7 @@ def con():
     return check.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_same_as_sql(spark, con, name):
     assert name in entry.oracle_sql()
     assert check.difference(spark, con, name, SF) is None
