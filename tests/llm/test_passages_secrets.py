@@ -42,6 +42,27 @@ def test_tiling_equals_trying_every_place():
         assert [(g["covered_words"], g["longest_tile"]) for g in got] == ([(covered, longest)] if covered else [])
 
 
+def test_tiling_does_not_depend_on_how_many_pairs_are_formed_at_a_time(monkeypatch):
+    rng = random.Random(15)
+    texts = [[" ".join(rng.choice("abc") for _ in range(rng.randint(1, most))) for _ in range(25)] for most in (60, 20)]
+    items = decontaminate.items_of(pa.table({"id": range(25), "text": texts[1]}), 3)
+    want = decontaminate.found_in(pa.array(texts[0]), items, 3, 0.5)
+    monkeypatch.setattr(decontaminate, "PAIRS", 5)
+    monkeypatch.setattr(decontaminate, "FRUITLESS", 1)
+    assert decontaminate.found_in(pa.array(texts[0]), items, 3, 0.5) == want and any(want)
+    for k, q in ((k, q) for k in range(25) for q in range(25)):
+        item = texts[1][q].split()
+        covered, longest = plain_tiling(texts[0][k].split(), item, 3)
+        got = [(g["covered_words"], g["longest_tile"]) for g in want[k] if g["item_id"] == q]
+        assert got == ([(covered, longest)] if covered >= 0.5 * len(item) and covered else [])
+
+
+def test_text_and_item_that_repeat_one_word():
+    items = decontaminate.items_of(pa.table({"id": [1, 2], "text": ["a " * 400 + "b c d e f g h", "a " * 300 + "b " * 300]}), 5)
+    got = decontaminate.found_in(pa.array(["a " * 100_000, "a " * 100_000 + "c d e f g h"]), items, 5, 0.6)
+    assert [[(g["item_id"], g["covered_words"], g["longest_tile"]) for g in x] for x in got] == [[(1, 400, 400)], [(1, 406, 400)]]
+
+
 def test_contaminated_documents(spark, documents, prose):
     items = [(k, prose(500 + k, 40)) for k in range(12)] + [(20, None), (21, "too short"), (22, prose(500, 40)), (None, prose(530, 30))]
     parts = items[3][1].split()

@@ -30,6 +30,9 @@ MIN_MATCH = 5
 COVERAGE = 0.6
 #: Bytes of benchmark text sent to the tasks at a time.
 BLOCK_BYTES = 4 << 20
+#: Pairs of places formed at a time, and matches without room after which the rest are looked through.
+PAIRS = 1 << 20
+FRUITLESS = 1024
 
 
 @dataclass
@@ -76,44 +79,71 @@ def items_of(table: pa.Table, min_match: int) -> Items:
                  joined(places, np.int64)[order], small)
 
 
-def _matches(i: np.ndarray, j: np.ndarray, size: int) -> list[tuple[int, int, int]]:
-    """Longest runs along diagonals, (-length, i, j), from the places where seeds of ``size`` words are equal."""
-    order = np.lexsort((i, i - j))
-    i, j = i[order], j[order]
+def _diagonals(i: np.ndarray, j: np.ndarray, n: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of ``n`` seeds that begin at (i, j); those that continue one another on a diagonal of one item are joined."""
+    diagonal = i - j - np.searchsorted(first, j, "right")
+    order = np.argsort((diagonal << 32) + i)
+    i, j, n, diagonal = i[order], j[order], n[order], diagonal[order]
     new = np.ones(len(i), bool)
-    new[1:] = (np.diff(i) != 1) | (np.diff(i - j) != 0)
+    new[1:] = (i[1:] != i[:-1] + n[:-1]) | (np.diff(diagonal) != 0)
     heads = np.flatnonzero(new)
-    long = np.diff(np.append(heads, len(i))) + size - 1
-    return list(zip((-long).tolist(), i[heads].tolist(), j[heads].tolist()))
+    return i[heads], j[heads], np.add.reduceat(n, heads) if len(heads) else n
 
 
-def tile(matches: list[tuple[int, int, int]], n_item: int, size: int) -> tuple[int, int]:
+def _matches(hits: np.ndarray, seeds: np.ndarray, w: T.Words, items: Items, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Longest matches (place in the text, place in the items, words) from the places of seeds in a text.
+
+    Pairs of places are formed ``PAIRS`` at a time and only their runs are kept, so a text and an item that both repeat a few
+    words very often need memory by their lengths, not by their product.
+    """
+    count = items.seed_at[seeds + 1] - items.seed_at[seeds]
+    upto = np.append(0, np.cumsum(count))
+    found, low = [], 0
+    while low < len(hits):
+        high = max(low + 1, int(np.searchsorted(upto, upto[low] + PAIRS, "right")) - 1)
+        times = count[low:high]
+        i = np.repeat(hits[low:high], times)
+        j = items.places[np.repeat(items.seed_at[seeds[low:high]], times) + np.arange(len(i)) - np.repeat(upto[low:high] - upto[low], times)]
+        # word by word, in case two runs have one hash
+        sure = np.ones(len(i), bool)
+        for step in range(size):
+            sure &= w.hash[i + step] == items.hashes[j + step]
+        found.append(_diagonals(i[sure], j[sure], np.ones(int(sure.sum()), np.int64), items.first))
+        low = high
+    i, j, n = _diagonals(*(np.concatenate(x) for x in zip(*found)), items.first)
+    return i, j, n + size - 1
+
+
+def tile(i: np.ndarray, j: np.ndarray, n: np.ndarray, n_item: int, size: int) -> tuple[int, int]:
     """Words of the item under tiles, and the longest tile: the longest unmarked match first, ties by place."""
-    heapq.heapify(matches)
-    in_doc: set[int] = set()
-    in_item = np.zeros(n_item, bool)
-    longest = 0
-    while matches:
-        n, i, j = heapq.heappop(matches)
-        n = -n
-        free = [not (in_item[j + k] or i + k in in_doc) for k in range(n)]
-        if all(free):
-            in_doc.update(range(i, i + n))
-            in_item[j:j + n] = True
-            longest = max(longest, n)
+    order = np.lexsort((j, i, -n))
+    i, j, n = i[order] - i.min(), j[order], n[order]
+    in_doc, in_item = np.zeros(int((i + n).max()), bool), np.zeros(n_item, bool)
+    pieces: list[tuple[int, int, int]] = []  # what is left of matches that are partly marked
+    at = longest = fruitless = 0
+    while at < len(n) or pieces:
+        whole = (-int(n[at]), int(i[at]), int(j[at])) if at < len(n) else None
+        if whole is None or (pieces and pieces[0] < whole):
+            whole = heapq.heappop(pieces)
+        else:
+            at += 1
+        m, a, b = -whole[0], whole[1], whole[2]
+        marked = in_doc[a:a + m] | in_item[b:b + m]
+        if not marked.any():
+            in_doc[a:a + m] = in_item[b:b + m] = True
+            longest = max(longest, m)
             if in_item.all():
                 break
-        else:  # what is left of it comes back in its place
-            k = 0
-            while k < n:
-                if free[k]:
-                    to = k
-                    while to < n and free[to]:
-                        to += 1
-                    if to - k >= size:
-                        heapq.heappush(matches, (k - to, i + k, j + k))
-                    k = to
-                k += 1
+            continue
+        edges = np.flatnonzero(np.diff(np.concatenate([[True], marked, [True]]).astype(np.int8))).reshape(-1, 2)
+        left = edges[edges[:, 1] - edges[:, 0] >= size].tolist()
+        for low, high in left:  # comes back in its place
+            heapq.heappush(pieces, (low - high, a + low, b + low))
+        fruitless += not left
+        if fruitless == FRUITLESS:  # put aside all that have too few unmarked words by now
+            room = np.append(0, np.cumsum(~in_item))
+            keep = room[j[at:] + n[at:]] - room[j[at:]] >= size
+            i, j, n, at, fruitless = i[at:][keep], j[at:][keep], n[at:][keep], 0, 0
     return int(in_item.sum()), longest
 
 
@@ -131,21 +161,18 @@ def found_in(column: pa.Array, items: Items, size: int, coverage: float) -> list
         rows = w.row[hits]
         for k in np.unique(rows):  # only texts that share a seed
             mine = slice(np.searchsorted(rows, k), np.searchsorted(rows, k, "right"))
-            count = items.seed_at[at[mine] + 1] - items.seed_at[at[mine]]
-            i = np.repeat(hits[mine], count)
-            j = items.places[np.repeat(items.seed_at[at[mine]], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
-            # word by word, in case two runs have one hash
-            sure = np.ones(len(i), bool)
-            for step in range(size):
-                sure &= w.hash[i + step] == items.hashes[j + step]
-            i, j = i[sure], j[sure]
+            i, j, n = _matches(hits[mine], at[mine], w, items, size)
             item = np.searchsorted(items.first, j, "right") - 1
-            for q in np.unique(item):
-                which = item == q
-                start, n = int(items.first[q]), int(items.first[q + 1] - items.first[q])
-                covered, longest = tile(_matches(i[which], j[which] - start, size), n, size)
-                if covered >= coverage * n:
-                    out[low + int(k)].append({"item_id": items.ids[q], "item_words": n, "covered_words": covered, "longest_tile": longest})
+            order = np.argsort(item, kind="stable")
+            i, j, n, item = i[order], j[order], n[order], item[order]
+            for q, head in zip(*np.unique(item, return_index=True)):
+                which = slice(head, np.searchsorted(item, q, "right"))
+                start, words = int(items.first[q]), int(items.first[q + 1] - items.first[q])
+                if n[which].sum() < coverage * words:
+                    continue  # tiles cover no more than the matches together
+                covered, longest = tile(i[which], j[which] - start, n[which], words, size)
+                if covered >= coverage * words:
+                    out[low + int(k)].append({"item_id": items.ids[q], "item_words": words, "covered_words": covered, "longest_tile": longest})
     return out
 
 
