@@ -27,13 +27,15 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id.
 
-    A document without an id stays only where its whole group has none, once per distinct text.
+    An id counts together with its text: texts of one id that are no near copies all stay, rows that repeat both stay once. A
+    document without an id comes after all that have one, so it stays only where its whole group has none.
     """
-    found = stage(simhash.near_duplicates(docs, shingle=4, distance=4), "near_duplicates")
-    # rows to keep are few columns; texts move once, by id
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.select(F.col("doc_id").alias("_id"), F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("_text"), F.struct("*").alias("_row"))
-    return (rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["_id", "_text"]).select("_row.*"))
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    found = stage(simhash.near_duplicates(docs.select(key.alias("key"), "text"), "key", "text", shingle=4, distance=4), "near_duplicates")
+    # rows to keep are few columns; texts move once, by key
+    kept = found.where(F.col("key") == F.col("component_id")).select(F.col("key").alias("_kept")).distinct()
+    rows = docs.select(key.alias("_key"), F.struct("*").alias("_row"))
+    return rows.join(kept, F.col("_key") == F.col("_kept"), "left_semi").dropDuplicates(["_key"]).select("_row.*")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

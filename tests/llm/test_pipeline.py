@@ -75,6 +75,15 @@ def test_odd_rows_pass_through(spark, tmp_path, sf, documents, prose):
     assert nothing.count() == 0
 
 
+def test_near_duplicates_by_id_and_text(spark, documents, prose):
+    near = prose(2, 300)
+    rows = [(4, prose(1, 200)), (4, prose(5, 200)), (4, prose(5, 200)), (7, near), (None, near), (None, prose(3, 200)), (9, near.replace(" ", "  ")),
+            (None, prose(3, 200).replace(" ", "\n")), (None, prose(6, 200)), (2, None), (1, "")]
+    kept = corpus_pipeline.near_duplicates(spark, documents(rows), "").collect()
+    got = sorted(((r["doc_id"] or 0), " ".join((r["text"] or "").split())) for r in kept)
+    assert got == sorted([(4, prose(1, 200)), (4, prose(5, 200)), (7, near), (0, prose(3, 200)), (0, prose(6, 200)), (1, "")])
+
+
 def test_all_ten_are_registered():
     names = __spark_entry__.queries()
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
