@@ -11,6 +11,7 @@ Equal texts share a fingerprint and are handled as one, so groups of copies of a
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -29,6 +30,7 @@ LEAD = 20
 #: Variants formed at a time in a task, and words hashed at a time.
 AT_ONCE = 1 << 21
 WORDS = 1 << 17
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def _pieces(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
@@ -36,8 +38,8 @@ def _pieces(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
     at = 0
     while at < len(text):
         to = at + size
-        while to < len(text) and text[to] not in b" \t\n\v\f\r":
-            to += 1
+        gap = _SPACE.search(text, to)
+        to = gap.start() if gap else len(text)
         yield text[at:to].split()
         at = to
 
