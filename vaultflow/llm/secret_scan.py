@@ -8,6 +8,7 @@ redaction happen inside the row that holds the text and nothing is shuffled.
 
 from __future__ import annotations
 
+import string
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import RandomForestClassifier
@@ -21,9 +22,8 @@ from vaultflow.session import stage
 SHORTEST = 16
 #: Labelled findings used at most, those with the smallest hash.
 TRAIN_ROWS = 20_000
-#: Most frequent words kept as the dictionary, and documents that they are counted in at most.
+#: Most frequent words kept as the dictionary.
 DICTIONARY = 400
-DICTIONARY_DOCS = 2_000
 THRESHOLD = 0.5
 REDACTED = "[SECRET]"
 #: A pattern that matches nothing.
@@ -35,6 +35,7 @@ OTHER_NAMES = "sha.?1|sha.?256|sha.?512|md5|commit|checksum|digest|hash|uuid|gui
 EXAMPLE_PATHS = "test|example|sample|fixture|mock|readme|docs?/"
 CONFIG_PATHS = r"\.env|config|settings|\.pem|\.key|credential|deploy"
 
+KEY_CHARS = string.ascii_letters + string.digits + "+/_=-"
 _RUN = rf"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
 FEATURES = ("length", "transitions", "digits", "uppers", "others", "distinct", "entropy", "hex", "words", "assigned", "quoted",
             "secret_name", "other_name", "name_words", "example_path", "config_path", "path_depth")
@@ -44,10 +45,14 @@ def _per(c: Column, pattern: str) -> Column:
     return F.regexp_count(c, F.lit(pattern)) / F.length(c)
 
 
+def _chars(c: Column) -> Column:
+    """Key characters that occur in a candidate, which may be too long to be split into an array."""
+    return F.filter(F.array(*[F.lit(x) for x in KEY_CHARS]), lambda x: F.contains(c, x))
+
+
 def _entropy(c: Column) -> Column:
     n = F.length(c)
-    chars = F.array_distinct(F.split(c, ""))
-    bits = F.transform(chars, lambda x: (n - F.length(F.replace(c, x, F.lit("")))) / n)
+    bits = F.transform(_chars(c), lambda x: (n - F.length(F.replace(c, x, F.lit("")))) / n)
     return F.aggregate(bits, F.lit(0.0), lambda s, p: s - F.when(p > 0, p * F.log2(p)).otherwise(0.0))
 
 
@@ -63,7 +68,7 @@ def _feature_struct(c: Column, before: Column, after: Column, path: Column, dict
         F.length(c).cast("double").alias("length"),
         _per(c, "(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])|(?<=[^A-Za-z0-9])(?=[A-Za-z0-9])").alias("transitions"),
         _per(c, "[0-9]").alias("digits"), _per(c, "[A-Z]").alias("uppers"), _per(c, "[^A-Za-z0-9]").alias("others"),
-        (F.size(F.array_distinct(F.split(c, ""))) / F.length(c)).alias("distinct"),
+        (F.size(_chars(c)) / F.length(c)).alias("distinct"),
         _entropy(c).alias("entropy"), word(c.rlike("^[0-9a-fA-F]+$")).alias("hex"),
         _covered(c, dictionary).alias("words"),
         word(before.rlike(r"[=:]\s*[\"'`]?$")).alias("assigned"),
@@ -113,12 +118,13 @@ def sampled(docs: DataFrame, id_col: str, most: int) -> DataFrame:
     return docs.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(6)), F.lit(1 << 20)) < int(share * (1 << 20)))
 
 
-def dictionary_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = DICTIONARY,
-                  most: int = DICTIONARY_DOCS) -> str:
-    """A pattern of the most frequent words of three to twelve letters, longest first; ``words`` bounds its size."""
-    some = sampled(docs, id_col, most).select(F.col(text_col).alias("_t"))
-    counted = (some.select(F.explode(F.array_distinct(F.split(F.lower("_t"), r"[^\p{L}]+"))).alias("w")).where("length(w) between 3 and 12")
-               .groupBy("w").count().orderBy(F.desc("count"), "w").limit(words))
+def dictionary_of(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY) -> str:
+    """A pattern of the words of three to twelve letters that most texts have, longest first; ``words`` bounds its size.
+
+    All texts count; ties go to the word first in the alphabet.
+    """
+    counted = (docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text_col)), r"[^\p{L}]+"))).alias("w"))
+               .where("length(w) between 3 and 12").groupBy("w").count().orderBy(F.desc("count"), "w").limit(words))
     found = [r["w"] for r in counted.collect()]
     return "|".join(sorted(found, key=lambda w: (-len(w), w)))
 
