@@ -72,8 +72,8 @@ def pack(rows: DataFrame, length: Column, id_col: str = "doc_id", buckets: int =
     An empty table gives an empty one. Other columns, whatever their names, are not read.
     """
     narrow = rows.select(F.col(id_col).alias("_id"), F.coalesce(length.cast("bigint"), F.lit(0).cast("bigint")).alias("length"))
-    # ranges of ids: a bucket of any size is numbered range by range
-    placed = stage(narrow.repartitionByRange("_id").withColumn("_range", F.spark_partition_id()), "lengths")
+    # ranges of ids, and of lengths where an id repeats: a bucket of any size is numbered range by range
+    placed = stage(narrow.repartitionByRange("_id", "length").withColumn("_range", F.spark_partition_id()), "lengths")
     cells = (placed.groupBy(cell(F.col("length")).alias("c")).agg(F.count("*").alias("n"), F.sum("length").alias("s"), F.max("length").alias("top"))
              .orderBy("c").toArrow())
     ends = boundaries(*(cells[c].to_numpy().astype(np.int64) for c in ("n", "s", "top")), buckets) if cells.num_rows else []
