@@ -170,8 +170,10 @@ def train(findings: DataFrame, dictionary: str, trees: int = 20, depth: int = 5,
     scores 0.5 and stays a finding: there is nothing to remove false positives by.
     """
     words = F.lit(dictionary or NO_WORD)
-    rows = (findings.select("candidate", "before", "after", F.coalesce("path", F.lit("")).alias("path"), F.col("label").cast("double"))
-            .dropna().withColumn("_h", F.xxhash64("candidate", "before", "after", "path")).orderBy("_h", "label").limit(most))
+    # written before the sort, which reads its input twice
+    every = stage(findings.select("candidate", "before", "after", F.coalesce("path", F.lit("")).alias("path"), F.col("label").cast("double"))
+                  .dropna().withColumn("_h", F.xxhash64("candidate", "before", "after", "path")), "labelled")
+    rows = every.orderBy("_h", "label").limit(most)
     known = stage(rows.select(
         _feature_struct(F.col("candidate"), F.col("before"), F.col("after"), F.col("path"), words).alias("f"), "label")
         .select("f.*", "label").repartition(4), "findings")
@@ -240,5 +242,6 @@ def silver_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other = F.element_at(F.split(F.lit("commit |sha1: |md5 = \"|checksum |etag: \"|uuid "), r"\|"),
                          (F.pmod(F.xxhash64("candidate"), F.lit(6)) + 1).cast("int"))
     named = F.regexp_replace("before", rf"(?i)({SECRET_NAMES})\s*[=:]\s*[\"'`]$", "")
-    counter = known.where("label = 1").select("path", "candidate", F.concat(named, other).alias("before"), "after", F.lit(0).alias("label"))
-    return known.unionByName(counter)
+    shown = lambda b, label: F.struct(b.alias("before"), F.lit(label).alias("label"))
+    both = F.when(F.col("label") == 1, F.array(shown(F.col("before"), 1), shown(F.concat(named, other), 0))).otherwise(F.array(shown(F.col("before"), 0)))
+    return known.select("path", "candidate", "after", F.explode(both).alias("_x")).select("path", "candidate", "_x.before", "after", "_x.label")
