@@ -71,7 +71,8 @@ def pack(rows: DataFrame, length: Column, id_col: str = "doc_id", buckets: int =
     many rows as fit the budget at the padded length, at least one. Null lengths count as 0; rows of equal id are in order of length.
     An empty table gives an empty one. Other columns, whatever their names, are not read.
     """
-    narrow = rows.select(F.col(id_col).alias("_id"), F.coalesce(length.cast("bigint"), F.lit(0).cast("bigint")).alias("length"))
+    # written before the ranges are drawn, which reads the input twice
+    narrow = stage(rows.select(F.col(id_col).alias("_id"), F.coalesce(length.cast("bigint"), F.lit(0).cast("bigint")).alias("length")), "measured")
     # ranges of ids, and of lengths where an id repeats: a bucket of any size is numbered range by range
     placed = stage(narrow.repartitionByRange("_id", "length").withColumn("_range", F.spark_partition_id()), "lengths")
     cells = (placed.groupBy(cell(F.col("length")).alias("c")).agg(F.count("*").alias("n"), F.sum("length").alias("s"), F.max("length").alias("top"))
