@@ -131,3 +131,19 @@ def test_scores_are_those_of_the_model(spark):
     f = secret_scan._feature_struct(F.col("candidate"), F.col("before"), F.col("after"), F.coalesce("path", F.lit("")), F.lit("the|and")).alias("f")
     got = labelled.select("label", f).select("label", forest.score(F.col("f")).alias("s")).toPandas()
     assert got["s"].between(0, 1).all() and got[got["label"] == 1]["s"].mean() > got[got["label"] == 0]["s"].mean() + 0.3
+
+
+def test_secrets_without_quotes_behind_bearer_and_of_providers(spark, documents, prose):
+    rng = random.Random(16)
+    rows = [(k, f'{prose(k, 30)} token = "{hexes(rng)}" {prose(k + 1, 30)}') for k in range(60)]
+    rows += [(100 + k, f"{prose(k, 20)} commit {hexes(rng)} here, checksum={hexes(rng)} and order {rng.randrange(10 ** 15, 10 ** 16)}") for k in range(60)]
+    values = {200: hexes(rng), 201: "wJalr7UtnFEMI/K7MDENG/bPxRfiCYzEXAMPLEKEY", 202: hexes(rng), 203: hexes(rng), 204: "ghp_" + hexes(rng, 36), 205: hexes(rng, 24)}
+    rows += [(200, f"token={values[200]}"), (201, f"x\nexport AWS_SECRET_ACCESS_KEY={values[201]}\ny"), (202, f"https://a.b/c?token={values[202]}&x=1"),
+             (203, f"Authorization: Bearer {values[203]}"), (204, f"{prose(1, 9)} {values[204]} {prose(2, 9)}"), (205, f"OAUTH2_CLIENT_SECRET = {values[205]}")]
+    docs = documents(rows)
+    forest = secret_scan.train(secret_scan.silver_findings(docs, path_col="source"), secret_scan.dictionary_of(docs))
+    got = secret_scan.findings(docs, forest, path_col="source").collect()
+    texts = dict(rows)
+    secrets = {(r["doc_id"], texts[r["doc_id"]][r["start"]:r["start"] + r["length"]]) for r in got if r["is_secret"]}
+    assert set(values.items()) <= secrets and not {k for k, _ in secrets if 100 <= k < 200}
+    assert {r["doc_id"]: r["text"] for r in secret_scan.redact(docs, forest, path_col="source").collect()}[201] == "x\nexport AWS_SECRET_ACCESS_KEY=[SECRET]\ny"

@@ -1,6 +1,6 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest. DataFrame operations only.
 
-A candidate is a run of key characters with a digit in it. What is known about it becomes a struct of numbers: length, character
+A candidate is a run of key characters with a digit in it; a name and ``=`` in front of it are no part of it. What is known about it becomes a struct of numbers: length, character
 classes and how often they change, share of letters that dictionary words cover, words next to it, and the path of the text. A
 random forest (Spark ML) is trained on labelled findings; its trees are then written out as one SQL expression, so scoring and
 redaction happen inside the row that holds the text and nothing is shuffled.
@@ -36,9 +36,18 @@ EXAMPLE_PATHS = "test|example|sample|fixture|mock|readme|docs?/"
 CONFIG_PATHS = r"\.env|config|settings|\.pem|\.key|credential|deploy"
 
 KEY_CHARS = string.ascii_letters + string.digits + "+/_=-"
+#: Shortest value that a name is split off from.
+SHORTEST_VALUE = 8
+# The names and ``=`` that begin a run. A name that may itself be a key (long, with a digit, none of the known names) stays.
+_NAME = (rf"^(?:(?=[A-Za-z+/_-]+=|[A-Za-z0-9+/_-]{{1,{SHORTEST - 1}}}=|(?i:[a-z0-9+/_-]*?(?:{SECRET_NAMES}|{OTHER_NAMES})))"
+         rf"[A-Za-z0-9+/_-]+=)+(?=[^=].{{{SHORTEST_VALUE - 1},}}\z)")
+# What ends right before a value that is assigned to a secret's name, in quotes or not, or follows ``Bearer``.
+_TO_SECRET = rf"(?i)({SECRET_NAMES})[a-z0-9_.-]{{0,24}}[\"'`]?\s*(=>|:=|[=:])\s*[\"'`]?$|bearer\s+$"
+_PROVIDERS = (r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}"
+              r"|[rsp]k_(?:live|test)_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})$")
 _RUN = rf"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
 FEATURES = ("length", "transitions", "digits", "uppers", "others", "distinct", "entropy", "hex", "words", "assigned", "quoted",
-            "secret_name", "other_name", "name_words", "example_path", "config_path", "path_depth")
+            "secret_name", "other_name", "name_words", "example_path", "config_path", "path_depth", "provider")
 
 
 def _per(c: Column, pattern: str) -> Column:
@@ -78,38 +87,53 @@ def _feature_struct(c: Column, before: Column, after: Column, path: Column, dict
         _covered(F.concat(F.lit(" "), near), dictionary).alias("name_words"),
         word(path.rlike(f"(?i){EXAMPLE_PATHS}")).alias("example_path"),
         word(path.rlike(f"(?i){CONFIG_PATHS}")).alias("config_path"),
-        (F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit("")))).cast("double").alias("path_depth"))
+        (F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit("")))).cast("double").alias("path_depth"),
+        word(c.rlike(_PROVIDERS)).alias("provider"))
 
 
-def with_candidates(docs: DataFrame, text_col: str = "text", path_col: str | None = None, dictionary: str = "") -> DataFrame:
-    """(_row, _runs, _rest, _found): the row as a struct, its candidates, the text between them, and what is known about each.
-
-    ``_found`` is an array of (start, candidate, before, after, f) in order of place; ``start`` counts characters from 0. Null and
-    empty texts have no candidates. A candidate may be of any length.
-    """
+def _located(docs: DataFrame, text_col: str, path_col: str | None) -> DataFrame:
+    """(_row, _path, _runs, _rest, _near): as ``with_candidates``, ``_near`` without what is known about the candidates."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
-    words = F.lit(dictionary or NO_WORD)
     runs = F.regexp_extract_all(text, F.lit(_RUN), F.lit(0))
     runs = F.coalesce(runs, F.array().cast("array<string>"))
     rest = F.when(F.size(runs) > 0, F.split(text, _RUN)).otherwise(F.array(text))
-    found = docs.select(F.struct("*").alias("_row"), path.alias("_path"), runs.alias("_runs"), rest.alias("_rest"))
+    # names in front of values go to the text before them; nothing follows the last rest
+    names = F.concat(F.transform("_all", lambda x: F.regexp_extract(x, _NAME, 0)), F.array(F.lit("")))
+    found = (docs.select(F.struct("*").alias("_row"), path.alias("_path"), runs.alias("_all"), rest.alias("_between"))
+             .withColumn("_names", names)
+             .select("_row", "_path", F.zip_with("_all", F.slice("_names", F.lit(1), F.size("_all")), lambda x, n: x.substr(F.length(n) + 1, F.length(x))).alias("_runs"),
+                     F.zip_with("_between", "_names", lambda x, n: F.concat(x, n)).alias("_rest")))
     run, others = F.col("_runs"), F.col("_rest")
     # where each run begins: what is left of it, runs and rest, added up
     starts = F.aggregate(
         F.arrays_zip(F.transform(run, F.length).alias("n"), F.slice(F.transform(others, F.length), F.lit(1), F.size(run)).alias("m")),
         F.struct(F.array().cast("array<int>").alias("at"), F.lit(0).alias("end")),
         lambda s, x: F.struct(F.concat(s["at"], F.array(s["end"] + x["m"])).alias("at"), (s["end"] + x["m"] + x["n"]).alias("end")))["at"]
+    between = lambda k: F.get(others, k)
+    # a long name may be a candidate itself; the value behind it still has it in front
+    named = lambda k: F.when((k > 0) & between(k).rlike(r"^[\"'`]?\s{0,3}(=>|:=|[=:])\s{0,3}[\"'`]?$"),
+                             F.concat(F.get(run, k - 1), between(k))).otherwise(between(k))
     near = F.transform(F.arrays_zip(run.alias("c"), starts.alias("at"), F.sequence(F.lit(0), F.size(run) - 1).alias("k")),
                        lambda x: F.struct(x["at"].alias("start"), x["c"].alias("candidate"),
-                                          F.substring(F.get(others, x["k"]), -48, 48).alias("before"),
-                                          F.substring(F.get(others, x["k"] + 1), 1, 16).alias("after")))
+                                          F.substring(named(x["k"]), -48, 48).alias("before"),
+                                          F.substring(between(x["k"] + 1), 1, 16).alias("after")))
     near = F.when(F.size(run) > 0, near).otherwise(
         F.array().cast("array<struct<start:int,candidate:string,before:string,after:string>>"))
+    return found.withColumn("_near", near)
+
+
+def with_candidates(docs: DataFrame, text_col: str = "text", path_col: str | None = None, dictionary: str = "") -> DataFrame:
+    """(_row, _runs, _rest, _found): the row as a struct, its candidates, the text between them, and what is known about each.
+
+    ``_found`` is an array of (start, candidate, before, after, f) in order of place; ``start`` counts characters from 0. Null and
+    empty texts have no candidates. A candidate may be of any length.
+    """
+    words = F.lit(dictionary or NO_WORD)
     known = F.transform(F.col("_near"), lambda x: F.struct(
         x["start"].alias("start"), x["candidate"].alias("candidate"), x["before"].alias("before"), x["after"].alias("after"),
         _feature_struct(x["candidate"], x["before"], x["after"], F.col("_path"), words).alias("f")))
-    return found.withColumn("_near", near).withColumn("_found", known).drop("_near", "_path")
+    return _located(docs, text_col, path_col).withColumn("_found", known).drop("_near", "_path")
 
 
 def sampled(docs: DataFrame, id_col: str, most: int) -> DataFrame:
@@ -227,21 +251,41 @@ def silver_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     most: int = TRAIN_ROWS) -> DataFrame:
     """Labelled findings from the texts themselves, where no hand-labelled ones are given.
 
-    A run of 32 hexadecimal or 24 mixed characters that is assigned, in quotes, to the name of a secret is one; candidates that
-    are assigned to nothing are none. Each true one also gives a counterexample: the same run behind the name of something
-    that only looks like a secret. About ``most`` documents are read for it, by hash of the id.
+    A run of 32 hexadecimal or 24 mixed characters that is assigned to the name of a secret, in quotes or not, or follows ``Bearer``,
+    is one, and so is a key in the form of a known provider; candidates that are assigned to nothing and have no secret's name
+    near are none. Each true one also gives counterexamples, the same run behind the name of something that only looks like a secret,
+    and examples of other forms: without quotes, behind ``Bearer``, shorter, as a provider's key. About ``most`` documents are
+    read for it, by hash of the id.
     """
     path = F.col(path_col).cast("string") if path_col else F.lit("")
     some = sampled(docs, id_col, most).select(F.col(text_col).alias("_t"), F.coalesce(path, F.lit("")).alias("path"))
-    near = (with_candidates(some, "_t").select(F.col("_row.path").alias("path"), F.explode("_found").alias("x"))
+    near = (_located(some, "_t", None).select(F.col("_row.path").alias("path"), F.explode("_near").alias("x"))
             .select("path", "x.candidate", "x.before", "x.after"))
-    real = (F.col("candidate").rlike("^[0-9a-fA-F]{32,}$|^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_=-]{24,}$")
-            & F.lower("before").rlike(rf"({SECRET_NAMES})\s*[=:]\s*[\"'`]$"))
-    loose = ~F.col("before").rlike(r"[=:]\s*[\"'`]?$")
+    provider = F.col("candidate").rlike(_PROVIDERS)
+    real = provider | (F.col("candidate").rlike("^[0-9a-fA-F]{32,}$|^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])[A-Za-z0-9+/_=-]{24,}$")
+                       & F.col("before").rlike(_TO_SECRET))
+    loose = ~F.col("before").rlike(r"[=:]\s*[\"'`]?$") & ~F.col("before").rlike(f"(?i){SECRET_NAMES}")
     known = near.withColumn("label", F.when(real, 1).when(loose, 0)).where("label is not null")
-    other = F.element_at(F.split(F.lit("commit |sha1: |md5 = \"|checksum |etag: \"|uuid "), r"\|"),
-                         (F.pmod(F.xxhash64("candidate"), F.lit(6)) + 1).cast("int"))
-    named = F.regexp_replace("before", rf"(?i)({SECRET_NAMES})\s*[=:]\s*[\"'`]$", "")
-    shown = lambda b, label: F.struct(b.alias("before"), F.lit(label).alias("label"))
-    both = F.when(F.col("label") == 1, F.array(shown(F.col("before"), 1), shown(F.concat(named, other), 0))).otherwise(F.array(shown(F.col("before"), 0)))
-    return known.select("path", "candidate", "after", F.explode(both).alias("_x")).select("path", "candidate", "_x.before", "after", "_x.label")
+    return _examples(known)
+
+
+def _examples(known: DataFrame) -> DataFrame:
+    """Labelled findings with the counterexamples and other forms of each true one."""
+    c, before = F.col("candidate"), F.col("before")
+
+    def one_of(*texts: str, seed: int) -> Column:
+        return F.element_at(F.array(*[F.lit(t) for t in texts]), (F.pmod(F.xxhash64(c, F.lit(seed)), F.lit(len(texts))) + 1).cast("int"))
+
+    other = one_of("commit ", "sha1: ", 'md5 = "', 'checksum "', "etag: ", 'uuid ', "revision=", "digest=", seed=1)
+    loose = one_of("commit ", "order ", "the ", "checksum=", "see ", "invoice: ", seed=2)
+    form = one_of("export ACCESS_KEY=", "password=", "?token=", "Authorization: Bearer ", '"secret": "', "api_key: ", "PRIVATE_KEY=", seed=3)
+    named = F.regexp_replace("before", _TO_SECRET, "")
+    short = F.substring(c, 1, 16)
+    provider = F.concat(F.lit("ghp_"), F.substring(F.concat(F.sha1(c), c), 1, 36))
+    shown = lambda text, front, after, label: F.struct(text.alias("candidate"), front.alias("before"), after.alias("after"), F.lit(label).alias("label"))
+    after = F.when(form.endswith('"'), F.lit('"')).otherwise(F.lit("\n"))
+    true = F.array(shown(c, before, F.col("after"), 1), shown(c, F.concat(named, other), F.col("after"), 0), shown(c, form, after, 1),
+                   shown(short, form, after, 1), shown(short, loose, F.lit(" "), 0), shown(c, loose, F.lit(" "), 0),
+                   shown(provider, loose, F.lit(" "), 1))
+    both = F.when(F.col("label") == 1, true).otherwise(F.array(shown(c, before, F.col("after"), 0)))
+    return known.select("path", F.explode(both).alias("_x")).select("path", "_x.candidate", "_x.before", "_x.after", "_x.label")
