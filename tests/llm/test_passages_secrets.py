@@ -147,3 +147,16 @@ def test_secrets_without_quotes_behind_bearer_and_of_providers(spark, documents,
     secrets = {(r["doc_id"], texts[r["doc_id"]][r["start"]:r["start"] + r["length"]]) for r in got if r["is_secret"]}
     assert set(values.items()) <= secrets and not {k for k, _ in secrets if 100 <= k < 200}
     assert {r["doc_id"]: r["text"] for r in secret_scan.redact(docs, forest, path_col="source").collect()}[201] == "x\nexport AWS_SECRET_ACCESS_KEY=[SECRET]\ny"
+
+
+def test_rare_secrets_are_learned_and_kept(spark, documents):
+    rng = random.Random(26)
+    rows = [(k, f"see commit {hexes(rng)} there") for k in range(400)] + [(1000, f'token = "{hexes(rng)}"'), (1001, f'secret = "{hexes(rng)}"')]
+    docs = documents(rows)
+    labelled = secret_scan.silver_findings(docs, most=20).cache()
+    assert labelled.where("label = 1").count() > 0 and labelled.where("label = 0").count() <= 20 + 2 * 7
+    forest = secret_scan.train(labelled, "", most=30)
+    got = {r["doc_id"]: r["is_secret"] for r in secret_scan.findings(docs, forest).collect()}
+    assert got[1000] and got[1001] and not any(got[k] for k in range(400))
+    only = secret_scan.train(labelled.where("label = 0"), "")
+    assert all(r["is_secret"] for r in secret_scan.findings(docs, only).collect())

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import string
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -20,7 +21,7 @@ from vaultflow.session import stage
 
 #: Shortest candidate.
 SHORTEST = 16
-#: Labelled findings used at most, those with the smallest hash.
+#: Labelled findings used at most, half of them of either label, those with the smallest hash; all documents are looked through for them.
 TRAIN_ROWS = 20_000
 #: Most frequent words kept as the dictionary.
 DICTIONARY = 400
@@ -136,10 +137,21 @@ def with_candidates(docs: DataFrame, text_col: str = "text", path_col: str | Non
     return _located(docs, text_col, path_col).withColumn("_found", known).drop("_near", "_path")
 
 
-def sampled(docs: DataFrame, id_col: str, most: int) -> DataFrame:
-    """About ``most`` rows, by hash of the id."""
-    share = min(1.0, most / max(1, docs.count()))
-    return docs.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(6)), F.lit(1 << 20)) < int(share * (1 << 20)))
+def sampled(rows: DataFrame, most: dict[int, int]) -> DataFrame:
+    """Of each label at most ``most[label]`` rows, those with the smallest hash ``_h``; ``rows`` are read twice.
+
+    Only about the share of rows that is needed is sorted, so what goes to one task does not grow with the input.
+    """
+    counts = {int(r["label"]): r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+
+    def of(label: int, n: int) -> DataFrame:
+        own = rows.where(F.col("label") == label)
+        if counts.get(label, 0) <= n:
+            return own
+        share = min(1.0, 1.2 * n / counts[label] + 1000 / counts[label])
+        return own.where(F.pmod("_h", F.lit(1 << 40)) <= int(share * (1 << 40))).orderBy(F.pmod("_h", F.lit(1 << 40)), "_h").limit(n)
+
+    return reduce(DataFrame.unionByName, [of(label, n) for label, n in most.items()])
 
 
 def dictionary_of(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY) -> str:
@@ -190,19 +202,19 @@ def _read_tree(lines: list[str], leaf: str = "Predict: "):
 def train(findings: DataFrame, dictionary: str, trees: int = 20, depth: int = 5, most: int = TRAIN_ROWS, seed: int = 6) -> Forest:
     """Forest from labelled findings: (candidate, before, after, path, label), label 1 for a real secret.
 
-    Uses at most ``most`` rows, those with the smallest hash; rows with a null are left out. Without any, every candidate
-    scores 0.5 and stays a finding: there is nothing to remove false positives by.
+    Uses at most ``most`` rows, half of them of either label, those with the smallest hash; rows with a null are left out. Without any,
+    or without a real secret among them, every candidate scores 0.5 and stays a finding: there is nothing to tell secrets by.
     """
     words = F.lit(dictionary or NO_WORD)
-    # written before the sort, which reads its input twice
+    # written before it is counted and sampled
     every = stage(findings.select("candidate", "before", "after", F.coalesce("path", F.lit("")).alias("path"), F.col("label").cast("double"))
                   .dropna().withColumn("_h", F.xxhash64("candidate", "before", "after", "path")), "labelled")
-    rows = every.orderBy("_h", "label").limit(most)
+    rows = sampled(every, {0: most - most // 2, 1: most // 2})
     known = stage(rows.select(
         _feature_struct(F.col("candidate"), F.col("before"), F.col("after"), F.col("path"), words).alias("f"), "label")
         .select("f.*", "label").repartition(4), "findings")
     kinds = {r["label"] for r in known.select("label").distinct().collect()}
-    if not kinds:
+    if not kinds or kinds == {0.0}:
         return Forest(dictionary)
     if len(kinds) == 1:
         return Forest(dictionary, [kinds.pop()])
@@ -254,11 +266,11 @@ def silver_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A run of 32 hexadecimal or 24 mixed characters that is assigned to the name of a secret, in quotes or not, or follows ``Bearer``,
     is one, and so is a key in the form of a known provider; candidates that are assigned to nothing and have no secret's name
     near are none. Each true one also gives counterexamples, the same run behind the name of something that only looks like a secret,
-    and examples of other forms: without quotes, behind ``Bearer``, shorter, as a provider's key. About ``most`` documents are
-    read for it, by hash of the id.
+    and examples of other forms: without quotes, behind ``Bearer``, shorter, as a provider's key. All texts are
+    looked through; about ``most`` findings of either label are kept, those with the smallest hash.
     """
     path = F.col(path_col).cast("string") if path_col else F.lit("")
-    some = sampled(docs, id_col, most).select(F.col(text_col).alias("_t"), F.coalesce(path, F.lit("")).alias("path"))
+    some = docs.select(F.col(text_col).alias("_t"), F.coalesce(path, F.lit("")).alias("path"))
     near = (_located(some, "_t", None).select(F.col("_row.path").alias("path"), F.explode("_near").alias("x"))
             .select("path", "x.candidate", "x.before", "x.after"))
     provider = F.col("candidate").rlike(_PROVIDERS)
@@ -266,7 +278,8 @@ def silver_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        & F.col("before").rlike(_TO_SECRET))
     loose = ~F.col("before").rlike(r"[=:]\s*[\"'`]?$") & ~F.col("before").rlike(f"(?i){SECRET_NAMES}")
     known = near.withColumn("label", F.when(real, 1).when(loose, 0)).where("label is not null")
-    return _examples(known)
+    every = stage(known.withColumn("_h", F.xxhash64("candidate", "before", "after", "path")), "silver")
+    return _examples(sampled(every, {0: most, 1: most}).drop("_h"))
 
 
 def _examples(known: DataFrame) -> DataFrame:
