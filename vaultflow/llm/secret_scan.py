@@ -1,6 +1,7 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest. DataFrame operations only.
 
-A candidate is a run of key characters with a digit in it; a name and ``=`` in front of it are no part of it. What is known about it becomes a struct of numbers: length, character
+A candidate is a run of key characters with a digit in it, or any value of 8 characters or more that is assigned to a secret's name
+or follows ``Bearer``; names and ``=`` in front are no part of it. What is known about it becomes a struct of numbers: length, character
 classes and how often they change, share of letters that dictionary words cover, words next to it, and the path of the text. A
 random forest (Spark ML) is trained on labelled findings; its trees are then written out as one SQL expression, so scoring and
 redaction happen inside the row that holds the text and nothing is shuffled.
@@ -46,7 +47,15 @@ _NAME = (rf"^(?:(?=[A-Za-z+/_-]+=|[A-Za-z0-9+/_-]{{1,{SHORTEST - 1}}}=|(?i:[a-z0
 _TO_SECRET = rf"(?i)({SECRET_NAMES})[a-z0-9_.-]{{0,24}}[\"'`]?\s*(=>|:=|[=:])\s*[\"'`]?$|bearer\s+$"
 _PROVIDERS = (r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}"
               r"|[rsp]k_(?:live|test)_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})$")
-_RUN = rf"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
+# What names a value as a secret, up to the value, and such a value: in quotes, or without up to a space, a quote or the next field of a query.
+_NAMED = (rf"(?:[A-Za-z0-9+/_=-]{{0,48}}?(?i:{SECRET_NAMES.replace('auth', 'auth(?!ors?[^a-z])')})[A-Za-z0-9_.-]{{0,24}}+\\{{0,2}}[\"'`]?+\s{{0,3}}+(?:=>|:=|[=:])\s{{0,3}}+\\{{0,2}}"
+          r"|(?i:bearer)\s{1,3}+)")
+_QUOTED = "|".join(rf"{q}[^{q}\s]{{{SHORTEST_VALUE},}}+(?={q})|{q}(?=\S)[^{q}\r\n]{{{SHORTEST_VALUE},128}}+(?={q})" for q in "\"'`")
+_BARE = (rf"[\"'`]?+[^\s\"'`&]{{{SHORTEST_VALUE - 1},}}[^\s\"'`&,;.)\]}}](?:&(?![A-Za-z0-9_.-]+=)[^\s\"'`&]*[^\s\"'`&,;.)\]}}]){{0,8}}")
+_RUN = (rf"(?<![A-Za-z0-9+/_=-])(?:{_NAMED}(?:{_QUOTED}|{_BARE})"
+        rf"|(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{{{SHORTEST},}})")
+# What is split off the front of a match.
+_FRONT = rf"^{_NAMED}[\"'`]?(?=.{{{SHORTEST_VALUE},}}\z)|{_NAME}"
 FEATURES = ("length", "transitions", "digits", "uppers", "others", "distinct", "entropy", "hex", "words", "assigned", "quoted",
             "secret_name", "other_name", "name_words", "example_path", "config_path", "path_depth", "provider")
 
@@ -100,7 +109,7 @@ def _located(docs: DataFrame, text_col: str, path_col: str | None) -> DataFrame:
     runs = F.coalesce(runs, F.array().cast("array<string>"))
     rest = F.when(F.size(runs) > 0, F.split(text, _RUN)).otherwise(F.array(text))
     # names in front of values go to the text before them; nothing follows the last rest
-    names = F.concat(F.transform("_all", lambda x: F.regexp_extract(x, _NAME, 0)), F.array(F.lit("")))
+    names = F.concat(F.transform("_all", lambda x: F.regexp_extract(x, _FRONT, 0)), F.array(F.lit("")))
     found = (docs.select(F.struct("*").alias("_row"), path.alias("_path"), runs.alias("_all"), rest.alias("_between"))
              .withColumn("_names", names)
              .select("_row", "_path", F.zip_with("_all", F.slice("_names", F.lit(1), F.size("_all")), lambda x, n: x.substr(F.length(n) + 1, F.length(x))).alias("_runs"),
@@ -244,7 +253,9 @@ def findings(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col:
     """(doc_id, start, length, sha256, score, is_secret) for every candidate; the candidate itself is not shown."""
     path = F.col(path_col).cast("string") if path_col else F.lit("")
     only = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), path.alias("path"))
-    return (scan(only, forest, "text", "path", threshold).select(F.col("_row.id").alias(id_col), F.explode("_found").alias("_f"))
+    return (scan(only, forest, "text", "path", threshold).select(F.col("_row.id").alias(id_col), F.explode_outer("_found").alias("_f"))
+            # an inner explode makes Spark work out all candidates again in a filter before it
+            .where("_f is not null")
             .select(id_col, "_f.start", F.length("_f.candidate").alias("length"), F.sha2("_f.candidate", 256).alias("sha256"),
                     F.col("_f.score").alias("score"), "_f.is_secret"))
 
@@ -265,19 +276,21 @@ def silver_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A run of 32 hexadecimal or 24 mixed characters that is assigned to the name of a secret, in quotes or not, or follows ``Bearer``,
     is one, and so is a key in the form of a known provider; candidates that are assigned to nothing and have no secret's name
-    near are none. Each true one also gives counterexamples, the same run behind the name of something that only looks like a secret,
-    and examples of other forms: without quotes, behind ``Bearer``, shorter, as a provider's key. All texts are
+    near are none, and neither is a reference such as ``${TOKEN}`` or a call. Each true one also gives counterexamples, the same run behind the name of something that only looks like a secret,
+    and examples of other forms: without quotes, behind ``Bearer``, shorter, letters only, with other characters, as a provider's key. All texts are
     looked through; about ``most`` findings of either label are kept, those with the smallest hash.
     """
     path = F.col(path_col).cast("string") if path_col else F.lit("")
     some = docs.select(F.col(text_col).alias("_t"), F.coalesce(path, F.lit("")).alias("path"))
-    near = (_located(some, "_t", None).select(F.col("_row.path").alias("path"), F.explode("_near").alias("x"))
+    near = (_located(some, "_t", None).select(F.col("_row.path").alias("path"), F.explode_outer("_near").alias("x"))
+            .where("x is not null")
             .select("path", "x.candidate", "x.before", "x.after"))
     provider = F.col("candidate").rlike(_PROVIDERS)
     real = provider | (F.col("candidate").rlike("^[0-9a-fA-F]{32,}$|^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])[A-Za-z0-9+/_=-]{24,}$")
                        & F.col("before").rlike(_TO_SECRET))
     loose = ~F.col("before").rlike(r"[=:]\s*[\"'`]?$") & ~F.col("before").rlike(f"(?i){SECRET_NAMES}")
-    known = near.withColumn("label", F.when(real, 1).when(loose, 0)).where("label is not null")
+    reference = F.col("candidate").rlike(r"^(?:\$|<|\{\{|%[A-Za-z(]|https?://)|^[A-Za-z_.]+[(\[]")
+    known = near.withColumn("label", F.when(real, 1).when(loose | reference, 0)).where("label is not null")
     every = stage(known.withColumn("_h", F.xxhash64("candidate", "before", "after", "path")), "silver")
     return _examples(sampled(every, {0: most, 1: most}).drop("_h"))
 
@@ -294,11 +307,13 @@ def _examples(known: DataFrame) -> DataFrame:
     form = one_of("export ACCESS_KEY=", "password=", "?token=", "Authorization: Bearer ", '"secret": "', "api_key: ", "PRIVATE_KEY=", seed=3)
     named = F.regexp_replace("before", _TO_SECRET, "")
     short = F.substring(c, 1, 16)
+    word = F.substring(F.translate(c, "0123456789+/_=-", "qwxzkvjgpfhmrst"), 1, 20)
+    mixed = F.concat(F.substring(c, 1, 5), F.lit("!"), F.substring(c, 6, 4), F.lit("@#"))
     provider = F.concat(F.lit("ghp_"), F.substring(F.concat(F.sha1(c), c), 1, 36))
     shown = lambda text, front, after, label: F.struct(text.alias("candidate"), front.alias("before"), after.alias("after"), F.lit(label).alias("label"))
     after = F.when(form.endswith('"'), F.lit('"')).otherwise(F.lit("\n"))
     true = F.array(shown(c, before, F.col("after"), 1), shown(c, F.concat(named, other), F.col("after"), 0), shown(c, form, after, 1),
                    shown(short, form, after, 1), shown(short, loose, F.lit(" "), 0), shown(c, loose, F.lit(" "), 0),
-                   shown(provider, loose, F.lit(" "), 1))
+                   shown(provider, loose, F.lit(" "), 1), shown(word, form, after, 1), shown(mixed, form, after, 1))
     both = F.when(F.col("label") == 1, true).otherwise(F.array(shown(c, before, F.col("after"), 0)))
     return known.select("path", F.explode(both).alias("_x")).select("path", "_x.candidate", "_x.before", "_x.after", "_x.label")
