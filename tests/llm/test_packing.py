@@ -47,3 +47,15 @@ def test_every_row_is_packed(spark, documents):
         inside = bucket[bucket["doc_id"].notna()].sort_values(["batch", "slot"])["doc_id"].tolist()
         assert inside == sorted(inside)
     assert packing.pack(documents([]), packing.n_words(F.col("text"))).count() == 0
+
+
+def test_long_texts_are_padded_nearly_as_by_the_exact_optimum():
+    rng = np.random.default_rng(3)
+    lengths = np.sort(np.exp(rng.uniform(np.log(3000), np.log(400_000), 3000)).astype(np.int64))
+    drop = np.maximum(np.floor(np.log2(lengths)).astype(np.int64) + 1 - 12, 0)
+    padded = []
+    for cells in (lengths, lengths >> drop << drop):
+        _, first, count = np.unique(cells, return_index=True, return_counts=True)
+        ends = packing.boundaries(count, np.add.reduceat(lengths, first), lengths[first + count - 1], 4)
+        padded.append(int(np.array(ends)[np.searchsorted(ends, lengths)].sum()))
+    assert padded[0] <= padded[1] <= padded[0] * (1 + 1 / 2048)
