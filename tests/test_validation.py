@@ -1,11 +1,11 @@
 from __future__ import annotations
 
 import pytest
-from helpers import ENTRY_DDL, entry
+from helpers import ENTRY_DDL, T0, entry
 from pyspark.sql import functions as F
 
 from vaultflow.functions import headers, money
-from vaultflow.operators import validation
+from vaultflow.operators import ingest, validation
 from vaultflow.operators.lookups import Lookup
 from vaultflow.schemas import TRANSACTION_DDL, ValidationRules
 from vaultflow.sources import decode
@@ -141,3 +141,25 @@ def test_written_scale(spark):
                                               money.written_positive(F.col("t")).alias("p")).collect()}
     assert got == {"1.100": (3, True), "100": (0, True), "1.10E+3": (-1, True), "1e-3": (3, True),
                    "0.0e0": (1, False), "-1.5": (1, False), "000.10": (2, True)}
+
+
+def test_long_and_heavily_escaped_records_decode(spark):
+    long = "m" * 1_000_000
+    escaped = "\\\\\\\"" * 100_000
+    texts = ['{"amount": 1.10, "merchant": "%s", "amount": 2.50}' % long,
+             '{"merchant": "%s", "amount": 3.00, "x": {"amount": 9}}' % escaped,
+             '{"amount": 4.0, "amount": 5, "merchant": "%s' % long,
+             '{"amount": 6, "merchant": %s, "amount": 7.0}' % ('["' + '", "'.join(["a"] * 100_000) + '"]')]
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING").select(decode.written_amount(F.col("t")).alias("a"))
+    assert [r.a for r in rows.collect()][:2] == ["2.50", "3.00"] and rows.collect()[3].a == "7.0"
+    records = spark.createDataFrame(
+        [(None, f'{{"transactionId": "{k}", "accountId": "A1", "merchant": "{m}", "amount": 1, "amount": 2.0}}'.encode(), "t", 0, k, T0)
+         for k, m in enumerate((long, escaped, "a"))],
+        "key STRING, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP")
+    got = decode.decode(records, TRANSACTION_DDL, decode.TRANSACTION_ENUMS).select("offset", "decodeError", "payload.amountRaw").collect()
+    assert {r.offset: (r.decodeError, r.amountRaw) for r in got} == {k: (None, "2.0") for k in range(3)}
+
+
+def test_email_with_very_many_host_parts(spark):
+    rows = spark.createDataFrame([("a@" + "b." * 100_000 + "c",), ("a@" + "b." * 100_000,), ("a@b-.c",), ("a@b-c.d",)], "email STRING")
+    assert [r.v is None for r in rows.select(ingest.email_form("email").alias("v")).collect()] == [True, False, False, True]

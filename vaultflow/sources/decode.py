@@ -17,8 +17,9 @@ ACCOUNT_ENUMS = {"status": ACCOUNT_STATUSES}
 ALERT_ENUMS = {"severity": SEVERITIES}
 
 _RAW_AMOUNT = r'"amount"\s*:\s*"?(-?[0-9][0-9.eE+-]*)'
-# A text, with the number or text behind it if it is a key, or a bracket.
-_STRING = r'"(?:[^"\\]|\\.)*"'
+# A text, with the number or text behind it if it is a key, or a bracket. Possessive, as Java recurses for each repetition of
+# a group that it may have to give back, and a long text would overflow the stack.
+_STRING = r'"[^"\\]*+(?:\\(?s:.)[^"\\]*+)*+"'
 _TOKEN = rf'{_STRING}(?:\s*:\s*(?:-?[0-9][0-9.eE+-]*|{_STRING}))?|[{{}}\[\]]'
 
 
