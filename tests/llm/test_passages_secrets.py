@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from vaultflow.llm import decontaminate, secret_scan
@@ -179,3 +180,28 @@ def test_values_of_any_characters_behind_a_secrets_name(spark, documents, prose)
     assert all(found[x] for x in values.items()) and not {k for (k, _), s in found.items() if s and 100 <= k < 200}
     clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs, forest, path_col="source").collect()}
     assert clean[202] == "?pwd=[SECRET]&user=bob" and clean[204] == "my passwd: [SECRET], then"
+
+
+def test_very_long_chains_tokens_and_quotes(spark, documents):
+    rows = [(1, "q " + "ab=c1" * 100_000), (2, "a1" * 500_000), (3, '"' * 100_000), (4, "ab=" * 100_000 + "x1y2z3w4v5x1y2z3w4v5"), (5, 'token = "' + "a=1b" * 50_000 + '"'),
+            (6, "\\\"" * 100_000), (7, "x=" + "A" * 1_000_000), (8, "a=" * 200_000 + "=" * 200_000)]
+    docs = documents(rows)
+    forest = secret_scan.train(secret_scan.silver_findings(docs, path_col="source"), secret_scan.dictionary_of(docs))
+    got = secret_scan.findings(docs, forest, path_col="source").collect()
+    texts = dict(rows)
+    pieces = {(r["doc_id"], texts[r["doc_id"]][r["start"]:r["start"] + r["length"]]) for r in got}
+    assert (4, "x1y2z3w4v5x1y2z3w4v5") in pieces and (2, "a1" * 500_000) in pieces
+    assert {r["doc_id"]: len(r["text"]) for r in secret_scan.redact(docs, forest, path_col="source").collect()}[3] == 100_000
+
+
+@pytest.mark.parametrize("size, secrets", [("sf0.001", 0), ("sf0.01", 13)])
+def test_secrets_found_in_small_tables(spark, size, secrets):
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet")
+    forest = secret_scan.train(secret_scan.silver_findings(docs, path_col="source"), secret_scan.dictionary_of(docs))
+    assert secret_scan.findings(docs, forest, path_col="source").where("is_secret").count() == secrets
+
+
+def test_made_findings_need_rows(spark, documents):
+    assert secret_scan.silver_findings(documents([])).count() == 0
+    labels = {r["label"] for r in secret_scan.silver_findings(documents([(1, None)])).select("label").distinct().collect()}
+    assert labels == {0, 1}

@@ -26,6 +26,8 @@ SHORTEST = 16
 TRAIN_ROWS = 20_000
 #: Most frequent words kept as the dictionary.
 DICTIONARY = 400
+#: Made-up keys, and as many made-up numbers, that every training set from a table with rows holds (an eighth of its bound, if that is less).
+MADE = 64
 THRESHOLD = 0.5
 REDACTED = "[SECRET]"
 #: A pattern that matches nothing.
@@ -40,9 +42,11 @@ CONFIG_PATHS = r"\.env|config|settings|\.pem|\.key|credential|deploy"
 KEY_CHARS = string.ascii_letters + string.digits + "+/_=-"
 #: Shortest value that a name is split off from.
 SHORTEST_VALUE = 8
-# The names and ``=`` that begin a run. A name that may itself be a key (long, with a digit, none of the known names) stays.
+# The names and ``=`` that begin a run, with a value behind them. A name that may itself be a key (long, with a digit, none of the
+# known names) stays. Possessive, as Java recurses for each repetition of a group that it may have to give back; for that, each
+# repetition looks for the value itself.
 _NAME = (rf"^(?:(?=[A-Za-z+/_-]+=|[A-Za-z0-9+/_-]{{1,{SHORTEST - 1}}}=|(?i:[a-z0-9+/_-]*?(?:{SECRET_NAMES}|{OTHER_NAMES})))"
-         rf"[A-Za-z0-9+/_-]+=)+(?=[^=].{{{SHORTEST_VALUE - 1},}}\z)")
+         rf"[A-Za-z0-9+/_-]+=(?=[^=].{{{SHORTEST_VALUE - 1}}}))++")
 # What ends right before a value that is assigned to a secret's name, in quotes or not, or follows ``Bearer``.
 _TO_SECRET = rf"(?i)({SECRET_NAMES})[a-z0-9_.-]{{0,24}}[\"'`]?\s*(=>|:=|[=:])\s*[\"'`]?$|bearer\s+$"
 _PROVIDERS = (r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}"
@@ -213,6 +217,7 @@ def train(findings: DataFrame, dictionary: str, trees: int = 20, depth: int = 5,
 
     Uses at most ``most`` rows, half of them of either label, those with the smallest hash; rows with a null are left out. Without any,
     or without a real secret among them, every candidate scores 0.5 and stays a finding: there is nothing to tell secrets by.
+    ``silver_findings`` of a table with rows always has both labels.
     """
     words = F.lit(dictionary or NO_WORD)
     # written before it is counted and sampled
@@ -278,7 +283,8 @@ def silver_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     is one, and so is a key in the form of a known provider; candidates that are assigned to nothing and have no secret's name
     near are none, and neither is a reference such as ``${TOKEN}`` or a call. Each true one also gives counterexamples, the same run behind the name of something that only looks like a secret,
     and examples of other forms: without quotes, behind ``Bearer``, shorter, letters only, with other characters, as a provider's key. All texts are
-    looked through; about ``most`` findings of either label are kept, those with the smallest hash.
+    looked through; about ``most`` findings of either label are kept, those with the smallest hash. ``MADE`` made-up keys and numbers
+    come on top, so a table without any secret still teaches what one looks like; a table without rows gives no findings.
     """
     path = F.col(path_col).cast("string") if path_col else F.lit("")
     some = docs.select(F.col(text_col).alias("_t"), F.coalesce(path, F.lit("")).alias("path"))
@@ -292,7 +298,22 @@ def silver_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reference = F.col("candidate").rlike(r"^(?:\$|<|\{\{|%[A-Za-z(]|https?://)|^[A-Za-z_.]+[(\[]")
     known = near.withColumn("label", F.when(real, 1).when(loose | reference, 0)).where("label is not null")
     every = stage(known.withColumn("_h", F.xxhash64("candidate", "before", "after", "path")), "silver")
-    return _examples(sampled(every, {0: most, 1: most}).drop("_h"))
+    return _examples(sampled(every, {0: most, 1: most}).drop("_h").unionByName(_made(docs, max(1, min(MADE, most // 8)))))
+
+
+def _made(docs: DataFrame, pairs: int) -> DataFrame:
+    """The same made-up findings for every table that has rows: keys assigned to a secret's name, and numbers in running text."""
+    digest = F.sha2(F.col("_k").cast("string").cast("binary"), 256)
+    mixed = F.substring(F.base64(F.unhex(digest)), 1, 40)
+    number = F.rpad(F.conv(F.substring(digest, 1, 13), 16, 10), 16, "7")
+    front = F.element_at(F.array(*[F.lit(x) for x in ("paid by card ", "order ", "see number ", "and ", "Call ")]), (F.col("_k") % 5 + 1).cast("int"))
+    none = F.lit("")
+    pair = F.array(
+        F.struct(none.alias("path"), F.when(F.col("_k") % 2 == 0, F.substring(digest, 1, 40)).otherwise(mixed).alias("candidate"),
+                 F.lit('token = "').alias("before"), F.lit('"').alias("after"), F.lit(1).alias("label")),
+        F.struct(none.alias("path"), number.alias("candidate"), front.alias("before"), F.lit(" ").alias("after"), F.lit(0).alias("label")))
+    return (docs.limit(1).select(F.explode(F.sequence(F.lit(1), F.lit(pairs))).alias("_k"))
+            .select(F.explode(pair).alias("_x")).select("_x.*"))
 
 
 def _examples(known: DataFrame) -> DataFrame:
