@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from vaultflow.llm import hard_negatives as hn
+
+DDL = "vec_id long, embedding array<float>, label int, id int, v string"
+
+
+def plain(rows, positives=5, negatives=5, anchor=100, every=7):
+    """Every anchor with every row."""
+    rows = [(i, (l + 1) % 10 if i % every == 0 else l, [math.floor(256 * float(np.float32(x))) for x in e]) for i, e, l in rows
+            if i is not None and l is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)]
+    out = set()
+    for a, la, ea in rows:
+        if a % anchor:
+            continue
+        scores = sorted(((-sum(x * y for x, y in zip(ea, e)), i, l) for i, l, e in rows if i != a))
+        for s, p, _ in [x for x in scores if x[2] == la][:positives]:
+            fits = [x for x in scores if x[2] != la and 80 * -s <= 100 * -x[0] <= 100 * -s][:negatives]
+            out |= {(a, p, k + 1, n, -s, -t) for k, (t, n, _) in enumerate(fits)}
+    return out
+
+
+def mined(spark, rows, parts=3, unique=True, **bounds):
+    table = spark.createDataFrame([(*r, 1, "x") for r in rows], DDL).repartition(parts)
+    vectors = hn.with_noise(hn.whole_vectors(table))
+    got = hn.mine(vectors, vectors.where("id % 100 = 0"), **bounds).collect()
+    assert not unique or len(set(got)) == len(got)
+    return {tuple(r) for r in got}
+
+
+def made(seed, n, dim, spread=0.0):
+    rng = np.random.default_rng(seed)
+    e = rng.normal(size=(n, dim)) * np.exp(spread * rng.normal(size=(n, 1)))
+    return [(int(i * 10 + seed), row.tolist(), int(rng.integers(0, 4))) for i, row in enumerate(e)]
+
+
+@pytest.mark.parametrize("dim, spread, bounds", [(8, 0.0, {}), (8, 1.0, {"bucket": 16, "block": 5, "pilot": 2}), (3, 0.5, {"bucket": 7, "pilot": 1}), (1, 0.2, {})])
+def test_mined_equals_comparing_all(spark, dim, spread, bounds):
+    rows = made(0, 300, dim, spread)
+    rows += [(3000 + i, rows[5][1], i % 3) for i in range(40)]  # ties
+    want = plain(rows)
+    assert want and mined(spark, rows, **bounds) == want
+
+
+def test_odd_rows(spark):
+    ok = made(0, 60, 4)
+    odd = [(None, [1.0] * 4, 1), (5001, None, 1), (5002, [1.0, None, 1.0, 1.0], 1), (5003, [float("nan")] * 4, 1), (5004, [float("inf"), 0.0, 0.0, 0.0], 1),
+           (5005, [9.0] * 4, None), (5100, [0.0] * 4, 2), (5101, [2.0, 2.0], 2), (5200, [], 3), (5201, [0.5] * 4, 9), (5300, [-3.0] * 4, 2)]
+    assert mined(spark, ok + odd, bucket=8) == plain(ok + odd)
+    assert mined(spark, []) == set() and mined(spark, odd[:6]) == set()
+    # rows of one id are no partners; anchors that repeat count once
+    again = [ok[0]] * 3 + ok[1:]
+    assert mined(spark, again, unique=False) == plain(again)
+
+
+def test_scores_beyond_floating_point(spark):
+    rows = [(k * 50, [2.0 ** 22 + k, 2.0 ** 21 - 3 * k, float(k)], k % 3) for k in range(60)]
+    assert mined(spark, rows) == plain(rows)
+    with pytest.raises(Exception, match="64 bits"):
+        mined(spark, [(k * 100, [2.0 ** 30, 1.0], k % 2) for k in range(8)])
+
+
+def test_ranges_leave_out_only_what_cannot_reach():
+    rng = np.random.default_rng(4)
+    pruned = 0
+    for _ in range(300):
+        q = rng.integers(-20, 20, 5)
+        m = rng.integers(-20, 20, (50, 5))
+        order = np.argsort(m.T, axis=1, kind="stable").astype(np.int32)
+        length = float(np.sqrt((m ** 2).sum(1).max()))
+        b = hn.Bucket(length, 20, np.arange(50).tobytes(), np.zeros(50, np.int64).tobytes(), m.astype(np.int64).tobytes(), order.tobytes())
+        scores = m @ q
+        least = int(np.sort(scores)[-rng.integers(1, 8)])
+        r = hn.feasible(q, float(np.sqrt((q ** 2).sum())), np.argsort(-np.abs(q))[:4], length, least)
+        at = hn.candidates(b, r) if r else np.zeros(0, int)
+        kept = set(range(50)) if at is None else set(at.tolist())
+        assert set(np.flatnonzero(scores >= least).tolist()) <= kept
+        pruned += 50 - len(kept)
+    assert pruned > 1000
+
+
+def test_matrix_fills_up():
+    assert hn._matrix(pa.array([[1, 2], [], [3]], pa.list_(pa.int64()))).tolist() == [[1, 2], [0, 0], [3, 0]]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.llm import chunk_dedup, decontaminate, language_id, packing, quality_classifier, quality_rules, secret_scan, simhash, token_files, warc_store
+from vaultflow.llm import chunk_dedup, decontaminate, hard_negatives, language_id, packing, paragraph_sketch, quality_classifier, quality_rules, secret_scan, simhash, spelling, token_files, warc_store
 from vaultflow.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,25 @@ def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, found by scanning the token files that hold them."""
     return token_files.counts(table(spark, sf_dir, "documents"), new_folder(spark, "tokens"))
+
+
+@query
+def op11_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how near they are."""
+    return paragraph_sketch.next_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive."""
+    vectors = hard_negatives.with_noise(hard_negatives.whole_vectors(table(spark, sf_dir, "embeddings")))
+    return hard_negatives.mine(vectors, vectors.where(F.col("id") % 100 == 0))
+
+
+ORACLES["op12_hard_negatives"] = hard_negatives.ORACLE
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with the word that it is most likely a variant of."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
