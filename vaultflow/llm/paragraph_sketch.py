@@ -34,7 +34,8 @@ AT_ONCE = 1 << 20
 #: Bytes of text that are worked on at a time.
 BYTES = 8 << 20
 
-CELL = np.dtype([("count", "<i4"), ("key", "<u8"), ("check", "<u4")])
+# counts are kept modulo 2^16, which is enough to see that one digest is left
+CELL = np.dtype([("count", "<i2"), ("key", "<u8"), ("check", "<u4")])
 #: Bytes that end a paragraph: line feed and the ends of sentences.
 ENDS = np.zeros(256, bool)
 ENDS[[0x0A, *b".!?"]] = True
@@ -174,10 +175,10 @@ def likeness(a: Texts, ia: np.ndarray, b: Texts, ib: np.ndarray, cells: int = CE
     return np.where(both > 0, (both - apart) / np.maximum(both + apart, 1), 1.0), used
 
 
-def written(cells: np.ndarray) -> list[str]:
-    """Sketches in base 64."""
+def written(cells: np.ndarray) -> list[bytes]:
+    """Sketches as bytes."""
     raw = np.ascontiguousarray(cells).view(np.uint8).reshape(len(cells), -1)
-    return [base64.b64encode(r.tobytes()).decode() for r in raw]
+    return [r.tobytes() for r in raw]
 
 
 def read(fingerprints: list[str]) -> np.ndarray:
@@ -209,10 +210,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             for b in _pieces(batch, 1):
                 t = Texts(b.column(1))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(t.sizes().astype(np.int64)), pa.array(written(t.sketches(np.arange(len(t)), cells)), pa.string())],
+                    [b.column(0), pa.array(t.sizes().astype(np.int64)), pa.array(written(t.sketches(np.arange(len(t)), cells)), pa.binary())],
                     ["id", "n_paragraphs", "fingerprint"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_paragraphs bigint, fingerprint string")
+    made = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_paragraphs bigint, fingerprint binary")
+    return made.withColumn("fingerprint", F.base64("fingerprint"))
 
 
 def changed_paragraphs(versions: DataFrame, old_col: str = "old", new_col: str = "new", id_col: str = "doc_id", cells: int = CELLS) -> DataFrame:
@@ -257,7 +259,7 @@ def _compared(cells: int):
 
 
 def _schema(kind: str) -> str:
-    return (f"id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, "
+    return (f"id {kind}, n_chars bigint, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, "
             "cells_edited bigint")
 
 
@@ -281,7 +283,7 @@ def next_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         def rows(role: str, columns: list, texts: list) -> pa.RecordBatch:
             n = len(columns[0])
             tail = [pa.array([role] * n, pa.string()), pa.array([part] * n, pa.int32()), pa.array(texts, pa.string())]
-            kinds = [None, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
+            kinds = [None, pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.int64()]
             own = [pa.array(c, k or id_type) for c, k in zip(columns, kinds)]
             return pa.RecordBatch.from_arrays(own + tail, ["id", *_NAMES, *arrow.names])
 
@@ -317,11 +319,12 @@ def next_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for b in _pieces(batch, 1):
                 if b.num_rows:
                     out = done(b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()], [t or "" for t in b.column(2).to_pylist()])
-                    own = [pa.array(c, k) for c, k in zip(out[1:], [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()])]
+                    own = [pa.array(c, k) for c, k in zip(out[1:], [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.int64()])]
                     yield pa.RecordBatch.from_arrays([b.column(0), *own], ["id", *_NAMES])
 
     inner = first_step.where("role = 'done'").select("id", *_NAMES)
-    return inner.unionByName(seams.mapInArrow(close, _schema(kind))).withColumnRenamed("id", id_col)
+    return (inner.unionByName(seams.mapInArrow(close, _schema(kind))).withColumnRenamed("id", id_col)
+            .withColumns({c: F.base64(c) for c in ("fingerprint", "edited_fingerprint")}))
 
 
 _NAMES = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "cells_edited")
