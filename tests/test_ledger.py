@@ -3,11 +3,11 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
-from helpers import booked, entries, entry, random_entries, replay_ledger
+from helpers import T0, booked, entries, entry, random_entries, replay_ledger
 from pyspark.sql import functions as F
 
 from vaultflow.operators import ledger
-from vaultflow.schemas import LedgerRules
+from vaultflow.schemas import BALANCE_DDL, LedgerRules
 
 # Every scenario uses its own accounts, so one run books them all.
 SCENARIOS = [
@@ -155,3 +155,47 @@ def test_equal_offsets_of_two_partitions(spark):
     ordered = placed.withColumn("seq", streams.sequence(F.col("partition"), F.col("seq"), 3))
     got = {(r.transactionId, r.balanceAfter, r.partition) for r in ledger.book(ordered).collect()}
     assert got == {("a", Decimal(10), 0), ("b", Decimal(20), 2), ("c", Decimal(7), 0)}
+
+
+def _rich(n):
+    """A account that is never short, one that is short half-way, one that starts short and then is rich, and repeats."""
+    rows = []
+    for k in range(n):
+        rows.append(entry(10 * k, f"a{k - k % 3 % 2}", "RICH", "DEPOSIT" if k % 2 == 0 else "PAYMENT", 100 if k % 2 == 0 else 40))
+        rows.append(entry(10 * k + 1, f"b{k}", "HALF", "DEPOSIT" if k < n // 2 else "WITHDRAWAL", 10 if k < n // 2 else 30))
+        rows.append(entry(10 * k + 2, f"c{k}", "LATE", "WITHDRAWAL" if k < 3 else "DEPOSIT", 5))
+        rows.append(entry(10 * k + 3, None, "NOID", "DEPOSIT" if k else "PAYMENT", 1))
+    return rows
+
+
+@pytest.mark.parametrize("overdraft, opening", [(0, False), (25, True)])
+def test_accounts_that_are_never_short_are_not_folded(spark, overdraft, opening):
+    rows = _rich(40)
+    carried = {"HALF": Decimal("50.00"), "RICH": Decimal("-3.00")} if opening else None
+    start = spark.createDataFrame([(a, b, "USD", 4, "a0" if a == "RICH" else "zz", T0) for a, b in (carried or {}).items()], BALANCE_DDL) if opening else None
+    book = ledger._Book(entries(spark, rows), start, LedgerRules(overdraft=Decimal(overdraft)))
+    book.run()
+    assert book.walked[0].where("accountId = 'RICH'").isEmpty()
+    every, folded = book.rows_folded()[0]
+    assert every == len(rows) and 0 < folded < 0.6 * every
+    got = {(r.seq, r.leg): (r.outcome, r.before, r.after if r.outcome == "POSTED" else None) for r in book.placed().collect() if r.outcome in ("POSTED", "REJECTED")}
+    balance, last, want = dict(carried or {}), {"RICH": "a0", "HALF": "zz"} if opening else {}, {}
+    for r in sorted(rows):
+        seq, id, account, kind, amount = r[0], r[1], r[2], r[3], r[4]
+        if id is not None and last.get(account) == id:
+            continue
+        before = balance.get(account, Decimal(0))
+        after = before + (amount if kind == "DEPOSIT" else -amount)
+        if kind != "DEPOSIT" and after < -overdraft:
+            want[seq, 0] = ("REJECTED", int(before * 100), None)
+            continue
+        balance[account], last[account] = after, id
+        want[seq, 0] = ("POSTED", int(before * 100), int(after * 100))
+    assert got == want
+
+
+@pytest.mark.parametrize("seed, hot, slice_rows", [(1, 0.0, 10 ** 6), (2, 0.5, 60), (3, 0.3, 10 ** 6)])
+def test_window_path_and_fold_together_equal_the_replay(spark, seed, hot, slice_rows):
+    rows = random_entries(seed, 400, 5, hot, repeats=True, rich=True)
+    got = ledger.book(entries(spark, rows), LedgerRules(slice_rows=slice_rows))
+    assert booked(got) == replay_ledger(rows)[0]

@@ -5,9 +5,13 @@ rejected and changes nothing, so a balance is not a plain running sum. A booked
 credit leg to its counterparty, placed right after the debit, so accounts depend on each other.
 
 How it runs on Spark
-* All rows of an account, including the credit leg of every transfer that might be booked, are
-  shuffled and sorted once per round; ``mapInArrow`` walks the sorted stream with one balance in
-  hand. Nothing is grouped into memory. Only the columns the decision needs take part.
+* As long as no debit of an account is refused its balance is a running sum. The first round takes
+  that from a window: rows before the first debit that would be refused are settled there, and an
+  account (or slice) without one never leaves the JVM.
+* The rows from there on, and chunks that a later round takes up again, are walked in ``mapInArrow``:
+  rows of an account, including the credit leg of every transfer that might be booked, are shuffled and
+  sorted, and the sorted stream is walked with one balance in hand. Nothing is grouped into memory.
+  Only the columns the decision needs take part.
 * Transfers: the first round supposes that every transfer is booked. Each later round folds again
   only the chunks whose incoming legs turned out different. The outcome of a row depends on
   earlier rows alone, so every round settles at least the earliest unsettled row; when nothing
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from vaultflow.functions import money
 from vaultflow.operators.slices import WHOLE, hot_keys, with_slice
 from vaultflow.schemas import LedgerRules
-from vaultflow.session import stage
+from vaultflow.session import new_folder, stage
 from vaultflow.sources.tables import latest
 
 # Kinds of rows in a fold: controls sort before the booking row they refer to.
@@ -121,12 +125,59 @@ def _folder(overdraft_cents: int):
     return fold
 
 
+def _window_path(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Settle what a running balance can settle: (outcomes, rows that still have to be folded).
+
+    ``rows`` are the booking rows and openings of a first round, where no transfer is known to be missing. A row is settled if
+    no debit up to it, itself included, falls below ``floor`` (a column): then every row so far was booked, or repeats the id right
+    before it. The first other row of a chunk takes along, as an opening, the state that the window left.
+    """
+    chunk = Window.partitionBy("accountId", "slice").orderBy("seq", "leg", "kind")
+    booking = F.col("kind") == _BOOKING
+    last_id = F.lag("transactionId").over(chunk)
+    repeat = booking & F.coalesce(F.col("transactionId") == last_id, F.lit(False))
+    marked = rows.withColumn("lastId", last_id).withColumn("repeat", repeat).withColumn(
+        "moved", F.when(F.col("repeat"), F.lit(0)).otherwise(F.col("cents")).cast("bigint"))
+    own = F.when(F.col("currency") != "", F.col("currency"))
+    counted = F.when(~booking, F.coalesce("n", F.lit(0))).when(F.col("repeat"), 0).otherwise(1).cast("bigint")
+    summed = (marked.withColumn("before", F.sum("moved").over(chunk) - F.col("moved"))
+              .withColumn("stateCurrency", F.first(own, ignorenulls=True).over(chunk))
+              .withColumn("stateN", F.sum(counted).over(chunk))
+              .withColumn("earlierN", F.col("stateN") - counted)
+              .withColumn("after", F.col("before") + F.col("cents")))
+    short = booking & ~F.col("repeat") & (F.col("cents") < 0) & (F.col("after") < F.col("floor"))
+    split = (summed.withColumn("short", short)
+             .withColumn("shorts", F.sum(F.col("short").cast("bigint")).over(chunk))
+             # the currency before this row; its own does not count yet
+             .withColumn("earlierCurrency", F.lag("stateCurrency").over(chunk))
+             .withColumn("clean", F.col("shorts") == 0)
+             .where(booking | ~F.col("clean"))
+             .select("accountId", "slice", "seq", "leg", "kind", "target", "transactionId", "cents", "currency", "repeat", "before", "after",
+                     "stateCurrency", "stateN", "lastId", "earlierCurrency", "earlierN",
+                     (F.col("short") & (F.col("shorts") == 1)).alias("first"), "clean"))
+    path = new_folder(rows.sparkSession, "ledger-window")
+    split.write.partitionBy("clean").parquet(path)
+    done = rows.sparkSession.read.schema(split.schema).parquet(path)
+    settled = done.where("clean").select(
+        "accountId", "slice", "seq", "leg", "target", F.lit(True).alias("supposed"),
+        F.when(F.col("repeat"), REPEATED).otherwise(POSTED).alias("outcome"), "before", "after", "transactionId",
+        F.col("stateCurrency").alias("currency"), F.col("stateN").alias("n"))
+    nothing = F.lit(None)
+    row = F.struct("seq", "leg", "kind", "transactionId", "cents", "currency", "target", nothing.cast("bigint").alias("n"))
+    opening = F.struct(*_control(_OPENING, F.col("lastId"), F.col("before"), F.col("earlierCurrency"), F.col("earlierN")))
+    left = (done.where(~F.col("clean"))
+            .select("accountId", "slice", F.explode(F.when(F.col("first"), F.array(opening, row)).otherwise(F.array(row))).alias("r"))
+            .select("accountId", "slice", "r.*"))
+    return settled, left
+
+
 class _Book:
     """One ledger run: the narrow booking rows, and what the rounds so far have settled."""
 
     def __init__(self, entries: DataFrame, opening: DataFrame | None, rules: LedgerRules):
         self.rules = rules
-        self.fold = _folder(int(Decimal(rules.overdraft) * 100))
+        self.floor = -int(Decimal(rules.overdraft) * 100)
+        self.fold = _folder(-self.floor)
         rows = _booking_rows(entries, rules.transfers)
         plain = stage(rows, "ledger-rows")
         _reject_ties(plain)
@@ -134,6 +185,7 @@ class _Book:
         self.rows = with_slice(plain, "accountId", "seq", self.hot, rules.slice_rows)
         self.opening = _opening_controls(opening, plain) if opening is not None else None
         self.outcomes: list[DataFrame] = []
+        self.walked: list[DataFrame] = []  # of each round, the outcomes that were folded row by row
         self.refolded: list[DataFrame] = []
         self.missing: DataFrame | None = None  # transfers not booked as of the last round
         self.closings: DataFrame | None = None  # what the last fold of every slice did
@@ -152,12 +204,20 @@ class _Book:
     def _fold_round(self, todo: DataFrame | None) -> None:
         parts = [self.rows, *self._controls()]
         everything = reduce(DataFrame.unionByName, parts)
-        if todo is not None:
+        settled = None
+        if todo is None:
+            settled, everything = _window_path(everything.select(*_FOLD_COLUMNS).withColumn("floor", F.lit(self.floor).cast("bigint")))
+        else:
             everything = everything.join(todo, ["accountId", "slice"], "left_semi")
         order = ("accountId", "slice", "seq", "leg", "kind")
         folded = (everything.select(*_FOLD_COLUMNS).repartition("accountId", "slice")
                   .sortWithinPartitions(*order).mapInArrow(self.fold, _OUTCOME_DDL))
-        self.outcomes.append(stage(folded, f"ledger-outcomes-{len(self.outcomes)}"))
+        self.walked.append(stage(folded, f"ledger-outcomes-{len(self.outcomes)}"))
+        self.outcomes.append(self.walked[-1] if settled is None else settled.unionByName(self.walked[-1]))
+
+    def rows_folded(self) -> list[tuple[int, int]]:
+        """Of each round: rows that got an outcome, and how many of them had to be folded row by row."""
+        return [(o.count(), w.count()) for o, w in zip(self.outcomes, self.walked)]
 
     def _controls(self) -> list[DataFrame]:
         """Opening balances and the legs known to be missing, as rows of the fold."""
@@ -275,7 +335,7 @@ class _Book:
         the account as far as slices stand. Behind one that does not stand they are guesses: after
         a rejection its closing balance is taken to stay as it was.
         """
-        floor = -int(Decimal(self.rules.overdraft) * 100)
+        floor = self.floor
         earlier = Window.partitionBy("accountId").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
         since = Window.partitionBy("accountId", "run").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
         none = F.lit(0).cast("bigint")

@@ -81,3 +81,20 @@ def running_count(df: DataFrame, key: str, order: str, out: str, slice_rows: int
         result = (result.join(before, (F.col(key) == F.col("_k")) & (F.col("_slice") == F.col("_s")), "left")
                   .withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0))).drop("_k", "_s", "_before"))
     return result.drop("_slice")
+
+
+def running_sum_before(df: DataFrame, order: str, value: Column, out: str, slice_rows: int = 1_000_000, key: str | None = None) -> DataFrame:
+    """Add the sum of ``value`` over all rows that come earlier, of the same ``key`` if there is one (not null).
+
+    One sum per slice of ``order``, a running sum over those few, and a window inside each slice, so neither the whole table nor a
+    hot key is in one task. ``df`` is read twice.
+    """
+    keyed = df.withColumn("_key", F.lit(0) if key is None else F.col(key))
+    sliced = keyed.withColumn("_value", value.cast("bigint")).withColumn("_slice", slice_of(order, slice_rows))
+    earlier = Window.partitionBy("_k").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (sliced.groupBy(F.col("_key").alias("_k"), F.col("_slice").alias("_s")).agg(F.sum("_value").alias("_n"))
+               .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n"))
+    within = Window.partitionBy("_key", "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (sliced.withColumn(out, F.coalesce(F.sum("_value").over(within), F.lit(0)))
+            .join(carried, (F.col("_key") == F.col("_k")) & (F.col("_slice") == F.col("_s")))
+            .withColumn(out, F.col(out) + F.col("_before")).drop("_value", "_slice", "_s", "_before", "_key", "_k"))
