@@ -10,7 +10,7 @@ from vaultflow.schemas import TRANSACTION_FIELDS
 from vaultflow.sources.tables import as_of
 
 
-def _with_customer(rows: DataFrame, customers: Lookup) -> DataFrame:
+def with_customer(rows: DataFrame, customers: Lookup) -> DataFrame:
     """Look the owner up by foreign key; without a match the customer columns stay null."""
     joined = lookup_join(rows.withColumn("_owner", F.col("account.customerId")), customers, "_owner", "customer")
     return joined.select(
@@ -22,7 +22,7 @@ def _with_customer(rows: DataFrame, customers: Lookup) -> DataFrame:
 def enrich(posted: DataFrame, accounts: Lookup, customers: Lookup) -> DataFrame:
     """Inner join with the account, left join with its customer, both in their latest state."""
     known = lookup_join(posted, accounts, "accountId", "account").where(F.col("account").isNotNull())
-    return _with_customer(known, customers)
+    return with_customer(known, customers)
 
 
 def enrich_as_of(posted: DataFrame, account_changes: DataFrame, customers: Lookup,
@@ -31,7 +31,7 @@ def enrich_as_of(posted: DataFrame, account_changes: DataFrame, customers: Looku
     fields = ("accountId", "customerId", "accountType", "currency", "status")
     known = as_of(posted, account_changes, "accountId", "seq", fields, "account", slice_rows)
     rows = known.where(F.col("account").isNotNull())
-    return _with_customer(rows, customers)
+    return with_customer(rows, customers)
 
 
 def flat(enriched: DataFrame) -> DataFrame:

@@ -1,49 +1,73 @@
 """Resubmitted ids with a memory of a bounded number of ids.
 
 A request is a repeat while its id is among the ``most`` ids that were marked last; an id is marked when a request with it
-is validated or rejected and is no repeat, and a repeat does not make it any younger. A dead letter is only looked up. With ``a`` the mark number of the id's last mark
-and ``m`` the number of marks so far, the id is remembered as long as ``m - a < most``.
+is validated or rejected and is no repeat, and a repeat does not make it any younger. A dead letter is only looked up.
 
-Which requests are marked depends on how many were marked before, and so on to the first. But ids that come once are always
-marked, and a running count settles them. Only requests whose id comes again are open: they are walked per id in order, with the running
-counts of the round before, until no mark changes. A request depends on earlier ones alone, so every round settles at least the earliest
-open one and the end result equals doing it request by request.
+Which requests are marked depends on which were before, and so on to the first, but only through the ids that are remembered, and
+those are at most ``most``. So the sequence is cut into slices that are walked in parallel, each from a supposed memory: the one that the
+slice before it closed with in the round before. Slices whose memory turns out different are walked again, until none is. What a slice
+closes with depends little on what it opened with once it has marked more than ``most`` ids, so slices far longer than that settle in two or
+three rounds; in the worst case every round settles one more slice. No task holds more than one memory.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultflow.operators.slices import WHOLE, hot_keys, running_sum_before, with_slice
+from vaultflow.operators.slices import running_sum_before, slice_of
 from vaultflow.session import stage
 
-_CARRIED, _OPEN = -2, -1  # kinds of rows that bring the last mark of an id along: from earlier requests, from earlier slices; requests are 0
+# Kinds of rows that a walk reads and writes: what a slice opens with, its requests, what it closes with.
+_OPENING, _REQUEST, _CLOSING = 0, 1, 2
+_WALKED_DDL = "slice bigint, kind int, seq bigint, id string, repeat boolean, mark boolean"
 
 
 def _walk(most: int):
-    """Arrow function over rows sorted by (id, slice, kind, seq): which of them repeat and which are marked, one last mark in hand."""
+    """Arrow function over rows sorted by (slice, kind, seq). The ``seq`` of a remembered id is its age: 1 for the one marked last."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, last = (None, None), None
+        here, marks, number, order = None, 0, {}, deque()
+
+        def closing() -> list[tuple]:
+            return [(here, _CLOSING, marks - n, id, None, None) for id, n in number.items() if marks - n <= most]
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.bool_(), pa.bool_())
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["slice", "kind", "seq", "id", "repeat", "mark"])
+
         for b in batches:
-            seqs, repeats, marks = [], [], []
-            for id, part, kind, seq, at, dead in zip(*(b.column(c).to_pylist() for c in ("id", "slice", "kind", "seq", "at", "dead"))):
-                if (id, part) != chunk:
-                    chunk, last = (id, part), None
-                if kind < 0:
-                    last = at
+            out = []
+            for part, kind, seq, id, dead in zip(*(b.column(c).to_pylist() for c in ("slice", "kind", "seq", "id", "dead"))):
+                if part != here:
+                    if here is not None:
+                        out += closing()
+                    here, marks, number, order = part, 0, {}, deque()
+                if kind == _OPENING:
+                    number[id] = -seq
                     continue
-                repeat = last is not None and at - last < most
+                if not order and number:
+                    order.extend(sorted((n, id_) for id_, n in number.items()))
+                # the n-th mark is remembered while fewer than ``most`` came after it
+                while order and marks - order[0][0] > most:
+                    n, old = order.popleft()
+                    if number.get(old) == n:
+                        del number[old]
+                repeat = id is not None and id in number
                 mark = not repeat and not dead
                 if mark:
-                    last = at + 1  # its own number
-                seqs.append(seq)
-                repeats.append(repeat)
-                marks.append(mark)
-            yield pa.RecordBatch.from_arrays([pa.array(seqs, pa.int64()), pa.array(repeats, pa.bool_()), pa.array(marks, pa.bool_())], ["seq", "repeat", "mark"])
+                    if id is not None:
+                        number[id] = marks
+                        order.append((marks, id))
+                    marks += 1
+                out.append((part, _REQUEST, seq, id, repeat, mark))
+            yield batch_of(out)
+        if here is not None:
+            yield batch_of(closing())
 
     return run
 
@@ -54,53 +78,50 @@ def marked(requests: DataFrame, most: int, known: DataFrame | None = None, befor
     ``requests`` (seq, transactionId, dead) are in the order of a unique ``seq``; ``dead`` ones are never marked. Earlier ones left ``before``
     marks and ``known`` (transactionId, number), the last mark of each id that is still remembered. A request without an id is no repeat.
     """
-    rows = stage(requests.select("seq", "transactionId", "dead"), "memory-rows")
-    again = (rows.where("transactionId is not null").groupBy(F.col("transactionId").alias("_id")).agg(F.count("*").alias("_n")).where("_n > 1").select("_id"))
+    rows = stage(requests.select(slice_of("seq", slice_rows).cast("bigint").alias("slice"), F.lit(_REQUEST).alias("kind"), "seq",
+                                 F.col("transactionId").alias("id"), "dead"), "memory-rows")
+    order = Window.orderBy("slice")
+    chain = stage(rows.select("slice").distinct().withColumn("follows", F.lag("slice").over(order)), "memory-slices")
+
+    def openings(memory: DataFrame) -> DataFrame:
+        return memory.select("slice", F.lit(_OPENING).alias("kind"), "seq", "id", F.lit(False).alias("dead"))
+
+    def signed(memory: DataFrame) -> DataFrame:
+        """One number for the memory of each slice."""
+        return memory.groupBy("slice").agg(F.sum(F.xxhash64("id", "seq").cast("decimal(38,0)")).alias("sign"))
+
+    carried = rows.select("slice", "seq", "id").where("false")
     if known is not None:
-        known = stage(known.select(F.col("transactionId").alias("_id"), "number"), "memory-known")
-        again = again.unionByName(known.select("_id")).distinct()
-    split = stage(rows.join(again.withColumn("_open", F.lit(True)), F.col("transactionId") == F.col("_id"), "left")
-                  .select("seq", "transactionId", "dead", F.col("_open").isNotNull().alias("open")), "memory-split")
-    alone = ~F.col("open") & ~F.col("dead")
-    counted = stage(running_sum_before(split, "seq", alone.cast("bigint"), "alone", slice_rows), "memory-counted")
-    hot = hot_keys(counted.where("open"), "transactionId", slice_rows)
-    # at first, every open request is taken to repeat
-    state = with_slice(counted.where("open"), "transactionId", "seq", hot, slice_rows).withColumn("mark", F.lit(False))
+        first = chain.where("follows is null").first()
+        age = F.lit(before + 1) - F.col("number")
+        old = known.where(age <= most).select(age.cast("bigint").alias("seq"), F.col("transactionId").alias("id"))
+        carried = stage(old.withColumn("slice", F.lit(first["slice"] if first else None).cast("bigint")).where("slice is not null"), "memory-known").select("slice", "seq", "id")
+    used, todo, rounds = carried, chain.select("slice"), []
     while True:
-        state = stage(state, "memory-round")
-        placed = running_sum_before(state, "seq", F.col("mark").cast("bigint"), "among", slice_rows)
-        placed = stage(placed.withColumn("at", F.col("alone") + F.col("among") + F.lit(before)), "memory-placed")
-        walk = (placed.select(F.col("transactionId").alias("id"), "slice", F.lit(0).alias("kind"), "seq", "at", "dead")
-                .unionByName(_openings(placed, known, hot is not None)))
-        judged = (walk.repartition("id", "slice").sortWithinPartitions("id", "slice", "kind", "seq")
-                  .mapInArrow(_walk(most), "seq bigint, repeat boolean, mark boolean"))
-        judged = judged.select(F.col("seq").alias("_seq"), "repeat", F.col("mark").alias("_mark"))
-        both = stage(placed.join(judged, F.col("seq") == F.col("_seq")), "memory-judged")
-        if both.where(F.col("mark") != F.col("_mark")).isEmpty():
+        some = rows.unionByName(openings(used)).join(todo, "slice", "left_semi")
+        rounds.append(stage(some.repartition("slice").sortWithinPartitions("slice", "kind", "seq").mapInArrow(_walk(most), _WALKED_DDL), "memory-walked"))
+        settled = _last_walk(rounds)
+        closed = settled.where(F.col("kind") == _CLOSING)
+        memory = stage(closed.select(F.col("slice").alias("follows"), "seq", "id").join(chain, "follows").select("slice", "seq", "id")
+                       .unionByName(carried), "memory-opened")
+        was, now = signed(used).withColumnRenamed("sign", "was"), signed(memory)
+        stale = stage(chain.select("slice").join(now, "slice", "left").join(was, "slice", "left")
+                      .where(~F.col("sign").eqNullSafe(F.col("was"))).select("slice"), "memory-stale")
+        if stale.isEmpty():
             break
-        state = both.withColumn("mark", F.col("_mark")).select("seq", "transactionId", "dead", "open", "alone", "slice", "mark")
-    settled = both.select("_seq", F.col("mark").alias("_mark"), "repeat")
-    everything = (counted.join(settled, F.col("seq") == F.col("_seq"), "left")
-                  .select("seq", "transactionId", F.coalesce("repeat", F.lit(False)).alias("repeat"), F.coalesce("_mark", alone).alias("mark")))
-    numbered = running_sum_before(stage(everything, "memory-marks"), "seq", F.col("mark").cast("bigint"), "number", slice_rows)
+        used, todo = memory, stale
+    asked = settled.where(F.col("kind") == _REQUEST).select("seq", F.col("id").alias("transactionId"), "repeat", "mark")
+    numbered = running_sum_before(asked, "seq", F.col("mark").cast("bigint"), "number", slice_rows)
     return stage(numbered.withColumn("number", F.when(F.col("mark"), F.col("number") + F.lit(before) + 1)), "memory-marked")
 
 
-def _openings(placed: DataFrame, known: DataFrame | None, sliced: bool) -> DataFrame:
-    """Last mark that an id, or a slice of a hot id, starts from: of this round's earlier slices, else of earlier requests."""
-    def rows(df: DataFrame, kind: int) -> DataFrame:
-        return df.select("id", "slice", F.lit(kind).alias("kind"), F.lit(-1).cast("bigint").alias("seq"), "at", F.lit(False).alias("dead"))
-
-    placed = placed.withColumn("id", F.col("transactionId"))
-    out = rows(placed.where("false"), _OPEN)
-    if known is not None:
-        out = out.unionByName(rows(placed.select("id", "slice").distinct().join(known, F.col("id") == F.col("_id")).withColumn("at", F.col("number")), _CARRIED))
-    if sliced:
-        earlier = Window.partitionBy("id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-        last = (placed.where(F.col("slice") != WHOLE).groupBy("id", "slice").agg(F.max(F.when(F.col("mark"), F.col("at") + 1)).alias("top"))
-                .withColumn("at", F.max("top").over(earlier)).where("at is not null"))
-        out = out.unionByName(rows(last, _OPEN))
-    return out
+def _last_walk(rounds: list[DataFrame]) -> DataFrame:
+    """Of every slice the rows of its last walk."""
+    if len(rounds) == 1:
+        return rounds[0]
+    tagged = reduce(DataFrame.unionByName, [r.withColumn("round", F.lit(k)) for k, r in enumerate(rounds)])
+    last = tagged.groupBy("slice").agg(F.max("round").alias("round"))
+    return tagged.join(last, ["slice", "round"], "left_semi").drop("round")
 
 
 def dispositions(judged: DataFrame, most: int, dead: Column, duplicate: str, slice_rows: int = 1_000_000) -> DataFrame:

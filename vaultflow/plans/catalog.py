@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultflow.functions import headers, money
-from vaultflow.operators import activity, enrich, fraud, ingest, ledger, notify, validation
+from vaultflow.operators import activity, enrich, fraud, ingest, ledger, memory, notify, validation
 from vaultflow.plans import oracles as o
 from vaultflow.plans.pipeline import Pipeline
-from vaultflow.schemas import (ALERT_RETRY, HEADER_CORRELATION, HEADER_SOURCE, REQUESTED, STREAM_RETENTION_DAYS,
-                               TRANSACTION_DDL, TRANSACTION_FIELDS, FraudRules, LedgerRules)
+from vaultflow.schemas import (ALERT_RETRY, HEADER_CORRELATION, HEADER_SOURCE, RECEIPT_RETRY, REQUESTED, STREAM_RETENTION_DAYS,
+                               TRANSACTION_DDL, TRANSACTION_FIELDS, FraudRules, LedgerRules, RetryPolicy)
 from vaultflow.session import new_folder, stage
 from vaultflow.sources import decode, driver_tables, streams, tables
-from vaultflow.streaming import jobs
+from vaultflow.streaming import delivery, jobs
 from vaultflow.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -795,3 +795,154 @@ def pending_lookup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = jobs.Validation(accounts_at, home)
     replay(p.requests(), "seq", job.run)
     return job.finish(spark).output(spark, "settled").select("seq", "transactionId", "outcome", "reason")
+
+
+# -- ids remembered by their number: one id per account and kind of transaction, the last 50 count ---
+
+_LAST_IDS = 50
+_WALK = f"""
+, asked AS MATERIALIZED (
+  SELECT seq, accountId || '-' || type AS id, outcome, reason, row_number() OVER (ORDER BY seq) AS k FROM verdict),
+walk(k, recent, again) AS (
+  SELECT cast(0 AS bigint), cast([] AS varchar[]), false
+  UNION ALL
+  SELECT k, CASE WHEN again OR dead THEN recent ELSE list_slice(list_append(recent, id), -{_LAST_IDS}, -1) END, again
+  FROM (SELECT a.k, w.recent, a.id, a.outcome = 'DEAD_LETTER' AS dead, list_contains(w.recent, a.id) AS again
+        FROM walk w JOIN asked a ON a.k = w.k + 1))"""
+
+
+def _one_id_per_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Pipeline.of(spark, sf_dir).requests().withColumn("transactionId", F.concat_ws("-", "accountId", "type"))
+
+
+@query(o.q(o.VERDICTS + _WALK, """
+SELECT seq, id AS transactionId, CASE WHEN again THEN 'DUPLICATE' ELSE outcome END AS outcome,
+       CASE WHEN NOT again THEN reason END AS reason
+FROM asked JOIN walk USING (k)"""))
+def last_ids_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request, a duplicate if its id is one of the last 50 that were processed."""
+    p = Pipeline.of(spark, sf_dir)
+    judged = stage(validation.verdicts(_one_id_per_kind(spark, sf_dir), p.account_lookup, p.validation_rules), "judged")
+    rows = memory.dispositions(judged, _LAST_IDS, F.col("outcome") == validation.DEAD, validation.DUPLICATE)
+    return rows.select("seq", "transactionId", "outcome", "reason")
+
+
+@query(o.q(o.VERDICTS + _WALK, """
+SELECT seq, id AS transactionId, outcome, reason
+FROM asked JOIN walk USING (k) WHERE NOT again AND outcome <> 'DEAD_LETTER'"""))
+def last_ids_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stream, the last 50 ids carried from micro-batch to micro-batch; nothing waits for an account."""
+    p = Pipeline.of(spark, sf_dir)
+    job = jobs.Validation(lambda _: p.accounts(), new_folder(spark, "stream-job"), policy=RetryPolicy(attempts=1, first_ms=0), memory_ids=_LAST_IDS)
+    replay(_one_id_per_kind(spark, sf_dir), "seq", job.run)
+    return job.output(spark, "processed").select("seq", "transactionId", "outcome", "reason")
+
+
+# -- deliveries as streams: outcomes come from the hash of what is delivered ------------------------
+
+def _hash6(column: str):
+    return F.conv(F.substring(F.md5(column), 1, 8), 16, 10).cast("bigint")
+
+
+@query(o.q(o.LEDGER, f"""
+, receipt AS (
+  SELECT seq, leg, seq * 2 + leg AS place, {o.PART.format('accountId')} AS part,
+         CASE WHEN {o.HASH6.format('transactionId')} % 20 = 0 THEN {o.HASH6.format('transactionId')} // 20 % 6 ELSE 0 END AS fails
+  FROM posted)
+SELECT seq, leg, part AS "partition", CASE WHEN fails >= 4 THEN 'SKIPPED' ELSE 'DELIVERED' END AS outcome,
+       cast(least(fails, 3) + 1 AS int) AS attempts, row_number() OVER (PARTITION BY part ORDER BY place) AS number
+FROM receipt"""))
+def receipt_redelivery_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receipts in the order of their partition, again from the first failure on; given up after four tries."""
+    h = _hash6("transactionId")
+    fails = F.when(h % 20 == 0, F.floor(h / 20) % 6).otherwise(0)
+    rows = Pipeline.of(spark, sf_dir).posted().select(
+        "seq", "leg", (F.col("seq") * 2 + F.col("leg")).alias("place"), driver_tables.partition_of(F.col("accountId")).alias("partition"),
+        fails.cast("int").alias("fails"))
+    job = delivery.Receipts(new_folder(spark, "stream-job"), lambda n: F.when(n <= F.col("fails"), "GatewayUnavailableException"), polls=60)
+    replay(stage(rows, "receipts"), "seq", job.run)
+    return job.finish(spark).output(spark).select("seq", "leg", "partition", "outcome", "attempts", "number")
+
+
+def _tries_sql(rows: str, wait: str, last: str, fatal: str) -> str:
+    """Every try of ``rows`` (id, tried_at, fails): the failure that stands for {} in ``wait`` is followed by ``wait`` seconds."""
+    return f"""
+, to_send AS ({rows}),
+tries AS (
+  SELECT id, unnest(range(1, least(CASE WHEN {fatal} THEN 0 ELSE fails END, 3) + 2)) AS attempt, fails, tried_at AS first_at FROM to_send),
+timed AS (
+  SELECT id, cast(attempt AS int) AS attempt,
+         first_at + INTERVAL '1 second' * coalesce(list_sum([{wait.format('n')} FOR n IN range(1, attempt)]), 0) AS "at",
+         CASE WHEN {fatal} THEN 'IllegalArgumentException' WHEN attempt <= fails THEN 'GatewayUnavailableException' END AS error,
+         {wait.format('attempt')} AS wait
+  FROM tries),
+acted AS (
+  SELECT *, CASE WHEN error IS NULL THEN 'DELIVERED' WHEN attempt >= 4 OR error = 'IllegalArgumentException' THEN '{last}' ELSE 'RETRY' END AS action
+  FROM timed)
+SELECT id, attempt, "at", error, action, CASE WHEN action = 'RETRY' THEN "at" + INTERVAL '1 second' * wait END AS nextAt FROM acted"""
+
+
+@query(o.q(o.LEDGER + o.ALERTS, _tries_sql(
+    f"SELECT alertId AS id, detectedAt AS tried_at, {o.HASH6.format('alertId')} % 6 AS fails FROM alert",
+    "cast(least(pow(2, {} - 1), 10) AS bigint)", "DEAD_LETTER", "fails = 5")))
+def alert_delivery_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts tried as they arrive and again when they are due, with growing waits, without holding up others."""
+    alerts = fraud.all_alerts(Pipeline.of(spark, sf_dir).posted(), SPARSE)
+    rows = alerts.select(F.col("alertId").alias("id"), F.col("detectedAt").alias("at"), (_hash6("alertId") % 6).cast("int").alias("fails"),
+                         F.unix_millis("detectedAt").alias("place"))
+    error = lambda n: F.when(F.col("fails") == 5, "IllegalArgumentException").when(n <= F.col("fails"), "GatewayUnavailableException")
+    job = delivery.DueQueue(new_folder(spark, "stream-job"), error, ALERT_RETRY)
+    replay(stage(rows, "alerts"), "place", job.run)
+    return job.finish(spark).output(spark).select("id", "attempt", "at", "error", "action", "nextAt")
+
+
+@query(o.q(o.LEDGER, _tries_sql(
+    f"""SELECT seq || '-' || leg AS id, "timestamp" AS tried_at, {o.HASH6.format('transactionId')} % 6 AS fails FROM postings WHERE status = 'REJECTED'""",
+    "1 + 0 * {}", "SKIPPED", "false")))
+def decline_delivery_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declines of the ledger with a fixed wait between tries; the fourth failure skips the message."""
+    rows = Pipeline.of(spark, sf_dir).rejected_by_ledger().select(
+        F.concat_ws("-", "seq", "leg").alias("id"), F.col("timestamp").alias("at"), (_hash6("transactionId") % 6).cast("int").alias("fails"), "seq")
+    job = delivery.DueQueue(new_folder(spark, "stream-job"), lambda n: F.when(n <= F.col("fails"), "GatewayUnavailableException"), RECEIPT_RETRY,
+                            fatal=(), give_up=delivery.SKIPPED, bucket_seconds=3600)
+    replay(stage(rows, "declines"), "seq", job.run)
+    return job.finish(spark).output(spark).select("id", "attempt", "at", "error", "action", "nextAt")
+
+
+# -- records of the streams between services, broken ones skipped -----------------------------------
+
+def _as_records(rows: DataFrame, topic: str) -> DataFrame:
+    """Transactions as stream records, one in 101 broken."""
+    seq = F.col("seq")
+    return rows.select(
+        F.col("accountId").alias("key"), F.when(seq % 101 == 7, F.lit("{not json")).otherwise(streams.encode(*TRANSACTION_FIELDS)).cast("binary").alias("value"),
+        F.lit(topic).alias("topic"), driver_tables.partition_of(F.col("accountId")).alias("partition"), seq.alias("offset"), "timestamp",
+        F.array().cast("array<struct<key:string,value:binary>>").alias("headers"))
+
+
+@query(o.q(o.VERDICTS + o.booking_of("(SELECT * FROM processed WHERE outcome = 'VALIDATED' AND seq % 101 <> 7)"), f"SELECT {o.BOOKING} FROM postings"))
+def ledger_from_records_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger on JSON records of the validated stream: a broken one is skipped, and the job goes on."""
+    home = new_folder(spark, "stream-job")
+    records = stage(_as_records(Pipeline.of(spark, sf_dir).validated(), "bank.transactions.validated"), "validated-records")
+    return replay(records, "offset", lambda stream: jobs.book_records(stream, home)).select(*BOOKING)
+
+
+@query(o.q(o.LEDGER + o.ALERTS.replace("FROM posted WHERE amount >= 10000", "FROM posted WHERE amount >= 10000 AND leg = 0 AND seq % 101 <> 7"),
+           f"SELECT {o.ALERT} FROM alert WHERE rule = 'LARGE_AMOUNT'"))
+def fraud_from_records_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Large-amount alerts from JSON records of the posted stream (credit legs left out), broken ones skipped."""
+    home = new_folder(spark, "stream-job")
+    posted_rows = Pipeline.of(spark, sf_dir).posted().where("leg = 0")
+    records = stage(_as_records(posted_rows, "bank.transactions.posted"), "posted-records")
+    return replay(records, "offset", lambda stream: jobs.large_amount_records(stream, home)).select(*fraud.ALERT)
+
+
+@query(ORACLES["enriched_asof"])
+def enriched_moving_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posted rows and account changes as one stream: each row meets the version that was current when it arrived."""
+    p, home = Pipeline.of(spark, sf_dir), new_folder(spark, "stream-job")
+    changes = driver_tables.account_changelog(spark, sf_dir).select("accountId", "seq", "customerId", "accountType", "currency", "status")
+    facts = p.posted().select("seq", F.struct("*").alias("fact"))
+    mixed = facts.unionByName(changes.select("seq", F.struct("*").alias("version")), allowMissingColumns=True)
+    return replay(stage(mixed, "mixed"), "seq", lambda stream: jobs.enrich_moving(stream, p.customers(), home)).drop("batch_id")

@@ -150,6 +150,11 @@ postings AS MATERIALIZED (
 posted AS (SELECT * FROM postings WHERE status = 'POSTED')"""
 
 
+def booking_of(source: str) -> str:
+    """Booking of ``source``, transfers included."""
+    return _ledger(source, transfers=True)
+
+
 def ledger_of(verdicts: str) -> str:
     """Booking of what ``verdicts`` let through."""
     return verdicts + _ledger("(SELECT * FROM processed WHERE outcome = 'VALIDATED')", transfers=True)

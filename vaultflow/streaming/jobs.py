@@ -11,17 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.operators import activity, enrich, fraud, ledger, validation
+from vaultflow.operators import activity, enrich, fraud, ledger, memory, validation
 from vaultflow.operators.lookups import Lookup, lookup_join
 from vaultflow.operators.slices import running_max_before
 from vaultflow.schemas import (BALANCE_DDL, TRANSACTION_DDL, VALIDATION_RETRY, ActivityRules, FraudRules, LedgerRules,
                                RetryPolicy, ValidationRules)
 from vaultflow.session import stage
-from vaultflow.sources import decode
-from vaultflow.streaming.state import StateTable, read_output, run_append, run_batches, write_batch
+from vaultflow.sources import decode, tables
+from vaultflow.streaming.state import COMPACT_EVERY, StateTable, commit_batch, last_committed, read_output, run_append, run_batches, write_batch
 
 _SEEN_DDL = "transactionId STRING, firstSeq BIGINT, seenAt TIMESTAMP"
-_BURST_DDL = "burst STRING, n BIGINT"
+_BURST_DDL = "burst STRING, n BIGINT, endsAt TIMESTAMP"
+_MARK_DDL = "transactionId STRING, number BIGINT"
+_VERSION_DDL = "accountId STRING, seq BIGINT, customerId STRING, accountType STRING, currency STRING, status STRING"
 _PLACE_DDL = "accountId STRING, ts TIMESTAMP, seq BIGINT, country STRING"
 
 
@@ -58,9 +60,28 @@ def book(validated: DataFrame, home: str, rules: LedgerRules = LedgerRules()) ->
         postings = ledger.book(batch, rules, opening)
         write_batch(postings, f"{home}/postings", batch_id)
         balances.save(spark, batch_id, BALANCE_DDL, ledger.balances_of(postings.where(F.col("status") == "POSTED")))
+        commit_batch(spark, home, batch_id)
 
     run_batches(validated, step, f"{home}/checkpoint")
-    return read_output(validated.sparkSession, f"{home}/postings")
+    return read_output(validated.sparkSession, f"{home}/postings", home)
+
+
+def skipping(records: DataFrame) -> DataFrame:
+    """Typed rows of a stream of JSON records; a record that cannot be decoded, or whose key is not its account, is skipped.
+
+    The policy of the ledger and fraud jobs: their input was validated, so a broken record is dropped and the job goes on.
+    """
+    return decode.requests_of(decode.decode(records, TRANSACTION_DDL, decode.TRANSACTION_ENUMS)).drop("record")
+
+
+def book_records(records: DataFrame, home: str, rules: LedgerRules = LedgerRules()) -> DataFrame:
+    """``book`` on JSON records of validated transactions, broken ones skipped."""
+    return book(skipping(records), home, rules)
+
+
+def large_amount_records(records: DataFrame, home: str, rules: FraudRules = FraudRules()) -> DataFrame:
+    """``large_amount_alerts`` on JSON records of posted transactions, broken ones skipped."""
+    return large_amount_alerts(skipping(records), home, rules)
 
 
 def travel_alerts(posted: DataFrame, home: str, rules: FraudRules = FraudRules(),
@@ -87,12 +108,14 @@ def travel_alerts(posted: DataFrame, home: str, rules: FraudRules = FraudRules()
     return read_output(posted.sparkSession, f"{home}/alerts")
 
 
-def velocity_alerts(posted: DataFrame, home: str, rules: FraudRules = FraudRules()) -> DataFrame:
+def velocity_alerts(posted: DataFrame, home: str, rules: FraudRules = FraudRules(), late: str = "7 days",
+                    compact_every: int = COMPACT_EVERY) -> DataFrame:
     """One alert per account and window, in the micro-batch that takes its debits over the limit.
 
-    Counts per account and window are kept in a table; a window alerts once, however its debits are spread over batches.
+    Counts per account and window are kept in a table; a window alerts once, however its debits are spread over batches. A
+    window that ended more than ``late`` before the oldest row of a micro-batch is forgotten with the next full copy of the state.
     """
-    counts = StateTable(f"{home}/counts", "burst")
+    counts = StateTable(f"{home}/counts", "burst", compact_every)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -103,23 +126,52 @@ def velocity_alerts(posted: DataFrame, home: str, rules: FraudRules = FraudRules
                      .withColumn("earlier", F.coalesce("_state.n", F.lit(0).cast("bigint"))), "stream-counts")
         crossed = rows.where((F.col("earlier") <= rules.velocity_max) & (F.col("earlier") + F.col("n") > rules.velocity_max))
         write_batch(fraud.velocity_of(crossed, rules), f"{home}/alerts", batch_id)
-        counts.save(spark, batch_id, _BURST_DDL, rows.select("burst", (F.col("earlier") + F.col("n")).alias("n")))
+        oldest = batch.agg(F.min("timestamp")).first()[0]
+        keep = None if oldest is None else F.col("endsAt") >= F.lit(oldest) - F.expr(f"INTERVAL {late}")
+        counts.save(spark, batch_id, _BURST_DDL, rows.select("burst", (F.col("earlier") + F.col("n")).alias("n"), F.col("end").alias("endsAt")), keep)
 
     run_batches(posted, step, f"{home}/checkpoint")
     return read_output(posted.sparkSession, f"{home}/alerts")
 
 
 def enrich_posted(posted: DataFrame, accounts: DataFrame, customers: DataFrame, home: str) -> DataFrame:
-    """Join each micro-batch with the account and customer tables as they are when it is processed."""
+    """Join each micro-batch with the account and customer tables as they are when it is processed; they are measured once a run."""
+    known, owners = Lookup(accounts, "accountId"), Lookup(customers, "customerId")
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows = enrich.enrich(batch, Lookup(accounts, "accountId"), Lookup(customers, "customerId"))
+        rows = enrich.enrich(batch, known, owners)
         write_batch(enrich.flat(rows), f"{home}/enriched", batch_id)
 
     run_batches(posted, step, f"{home}/checkpoint")
     return read_output(posted.sparkSession, f"{home}/enriched")
 
 
+def enrich_moving(mixed: DataFrame, customers: DataFrame, home: str, slice_rows: int = 1_000_000) -> DataFrame:
+    """Join posted rows with the account table while it changes: each row with the version that was current when it arrived.
+
+    ``mixed`` is one stream of posted rows (``fact``) and account versions (``version``), one of the two null, in the order ``seq``; a version
+    comes before the facts of its place. Within a micro-batch both are merged in that order; the last version of each account is carried in state.
+    """
+    versions = StateTable(f"{home}/versions", "accountId")
+    owners = Lookup(customers, "customerId")
+    fields = ("customerId", "accountType", "currency", "status")
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = stage(batch, "stream-mixed")
+        facts, changes = rows.where("fact is not null").select("fact.*"), rows.where("version is not null").select("version.*")
+        touched = facts.select("accountId").unionByName(changes.select("accountId")).distinct()
+        known = versions.before(spark, batch_id, _VERSION_DDL, touched).select(*changes.columns)
+        current = tables.as_of(facts, known.unionByName(changes), "accountId", "seq", fields, "account", slice_rows)
+        write_batch(enrich.flat(enrich.with_customer(current.where("account is not null"), owners)), f"{home}/enriched", batch_id)
+        newest = tables.latest(changes, "accountId", F.struct("accountId", "seq", *fields), "seq")
+        versions.save(spark, batch_id, _VERSION_DDL, newest)
+        commit_batch(spark, home, batch_id)
+
+    run_batches(mixed, step, f"{home}/checkpoint")
+    return read_output(mixed.sparkSession, f"{home}/enriched", home)
+
+
 class Validation:
     """Requests or their JSON records: judged, retried, de-duplicated, and set aside as dead letters.
 
@@ -130,18 +182,21 @@ class Validation:
 
     Three output tables: ``settled`` has the verdict on every request, resubmissions judged like any other; ``processed`` has
     each id once, in its first validated or rejected occurrence; ``dead`` has the dead letters, as the bytes that arrived where
-    the input is records. Ids are remembered for good, or for ``memory`` of event time.
+    the input is records. Ids are remembered for good, for ``memory`` of event time, or as the last ``memory_ids`` that were processed.
+    The tables of a micro-batch become visible together, when the last of them is written.
     """
 
     _VERDICT = ("seq", "transactionId", "accountId", "outcome", "reason", "attempt")
 
     def __init__(self, accounts_at: Callable[[int], DataFrame], home: str, rules: ValidationRules = ValidationRules(),
-                 policy: RetryPolicy = VALIDATION_RETRY, memory: str | None = None):
+                 policy: RetryPolicy = VALIDATION_RETRY, memory: str | None = None, memory_ids: int | None = None):
         self.accounts_at = accounts_at
         self.home = home
         self.rules = rules
         self.policy = policy
         self.memory = memory
+        self.memory_ids = memory_ids
+        self.marks = StateTable(f"{home}/marks", "transactionId")
         self.seen = StateTable(f"{home}/seen", "transactionId")
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
@@ -159,7 +214,11 @@ class Validation:
         settled = stage(held.where(free).drop("waits"), "stream-settled")
         write_batch(held.where(~free).select(*arrived.columns), f"{self.home}/waiting", batch_id)
         write_batch(settled.select(*self._VERDICT), f"{self.home}/settled", batch_id)
-        self._deduplicate(settled, batch_id)
+        if self.memory_ids is None:
+            self._deduplicate(settled, batch_id)
+        else:
+            self._deduplicate_by_number(settled, batch_id)
+        commit_batch(spark, self.home, batch_id)
 
     def _held(self, judged: DataFrame) -> DataFrame:
         """Add ``waits``: the request is to be tried again, or comes after such a one of its account, or repeats the id of one
@@ -191,12 +250,34 @@ class Validation:
         dead = validation.dispositions(settled).where(F.col("outcome") == validation.DEAD)
         # a request that waited may come before the one that was processed under its id
         dead = lookup_join(dead, known, "transactionId", "known").where(~F.coalesce(F.col("known.firstSeq") < F.col("seq"), F.lit(False))).drop("known")
+        self._write_dead(dead, batch_id)
+        self.seen.save(spark, batch_id, _SEEN_DDL, fresh.select("transactionId", F.col("seq").alias("firstSeq"), F.col("timestamp").alias("seenAt")), keep=remembered)
+
+    def _write_dead(self, dead: DataFrame, batch_id: int) -> None:
         if "record" in dead.columns:
             missing = F.col("reason").startswith("MISSING_ID")
             dead = validation.dead_letters(dead.select("record.*", "reason"),
                                            F.when(missing, "IllegalArgumentException").otherwise("AccountNotFoundException"), F.col("reason"))
         write_batch(dead, f"{self.home}/dead", batch_id)
-        self.seen.save(spark, batch_id, _SEEN_DDL, fresh.select("transactionId", F.col("seq").alias("firstSeq"), F.col("timestamp").alias("seenAt")), keep=remembered)
+
+    def _deduplicate_by_number(self, settled: DataFrame, batch_id: int) -> None:
+        """As ``_deduplicate``, with the last ``memory_ids`` processed ids remembered; requests count in the order in which they are settled."""
+        spark = settled.sparkSession
+        before = 0
+        if batch_id > 0:
+            before = spark.read.schema("n BIGINT").parquet(f"{self.home}/marked/batch_id={batch_id - 1}").first()[0]
+        alive = F.col("number") > before - self.memory_ids
+        known = self.marks.before(spark, batch_id, _MARK_DDL, settled.select("transactionId").distinct()).where(alive)
+        dead = F.col("outcome") == validation.DEAD
+        found = memory.marked(settled.select("seq", "transactionId", dead.alias("dead")), self.memory_ids, known, before)
+        fate = found.select(F.col("seq").alias("_seq"), "repeat", "mark")
+        judged = stage(settled.join(fate, F.col("seq") == F.col("_seq")).drop("_seq"), "stream-marked")
+        write_batch(judged.where("mark").drop("record", "lost", "attempt", "repeat", "mark"), f"{self.home}/processed", batch_id)
+        self._write_dead(judged.where(dead & ~F.col("repeat")).drop("repeat", "mark"), batch_id)
+        newest = found.where("mark").groupBy("transactionId").agg(F.max("number").alias("number"))
+        after = before + found.where("mark").count()
+        self.marks.save(spark, batch_id, _MARK_DDL, newest, keep=F.col("number") > after - self.memory_ids)
+        write_batch(spark.range(1).select(F.lit(after).cast("bigint").alias("n")), f"{self.home}/marked", batch_id)
 
     def _remembered(self, settled: DataFrame) -> Column:
         """Which ids still count; an empty batch moves no time."""
@@ -214,16 +295,15 @@ class Validation:
     def run(self, requests: DataFrame) -> DataFrame:
         """Work off what has arrived; requests may be left waiting."""
         run_batches(requests, self.step, f"{self.home}/checkpoint")
-        return read_output(requests.sparkSession, f"{self.home}/settled")
+        return self.output(requests.sparkSession, "settled")
 
     def run_records(self, records: DataFrame) -> DataFrame:
         run_batches(records, self.record_step, f"{self.home}/checkpoint")
-        return read_output(records.sparkSession, f"{self.home}/settled")
+        return self.output(records.sparkSession, "settled")
 
     def finish(self, spark: SparkSession, records: bool = False) -> "Validation":
         """After the stream has ended for good: empty rounds until nothing waits."""
-        both = [read_output(spark, f"{self.home}/{part}").select("batch_id") for part in ("settled", "waiting")]
-        batch_id = both[0].unionByName(both[1]).agg(F.max("batch_id")).first()[0]
+        batch_id = last_committed(spark, self.home)
         if batch_id is None:
             return self
         while not (waiting := spark.read.parquet(f"{self.home}/waiting/batch_id={batch_id}")).isEmpty():
@@ -233,4 +313,4 @@ class Validation:
 
     def output(self, spark: SparkSession, table: str) -> DataFrame:
         """``settled``, ``processed``, ``dead`` or ``poison``."""
-        return read_output(spark, f"{self.home}/{table}")
+        return read_output(spark, f"{self.home}/{table}", self.home)

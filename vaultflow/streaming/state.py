@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +19,28 @@ def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
 
-def read_output(spark: SparkSession, folder: str) -> DataFrame:
-    """All micro-batches of an output table."""
-    return spark.read.option("basePath", folder).parquet(f"{folder}/batch_id=*")
+def commit_batch(spark: SparkSession, home: str, batch_id: int) -> None:
+    """Note, after all tables of a micro-batch are written, that they are: readers see a batch in all of its tables or in none."""
+    write_batch(spark.range(1).select(F.lit(batch_id).cast("bigint").alias("n")), f"{home}/commits", batch_id)
+
+
+def last_committed(spark: SparkSession, home: str) -> int | None:
+    """The newest micro-batch that is whole. Batches come one after another, so all before it are whole as well."""
+    try:
+        return spark.read.schema("n BIGINT").parquet(f"{home}/commits").agg(F.max("n")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def read_output(spark: SparkSession, folder: str, home: str | None = None) -> DataFrame:
+    """All micro-batches of an output table; with ``home`` those that are committed there."""
+    rows = spark.read.option("basePath", folder).parquet(f"{folder}/batch_id=*")
+    if home is None:
+        return rows
+    last = last_committed(spark, home)
+    return rows.where(F.col("batch_id") <= F.lit(-1 if last is None else last))
 
 
 class StateTable:
