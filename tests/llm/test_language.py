@@ -101,3 +101,41 @@ def test_nothing_to_learn_from(spark, rows):
     assert {r["lang_pred"] for r in L.classify(docs).collect()} == {"und"}
     assert L.classify(docs.where("false")).count() == 0
     assert L.identified(pa.array([], pa.string()), None).to_pylist() == []
+
+
+def test_many_languages_and_small_ones_beside_large_ones(spark):
+    import random
+    import zlib
+
+    from vaultflow.llm import language_id
+
+    def words(seed, n):
+        letters = random.Random(seed).sample("abcdefghijklmnopqrstuvwxyz", 7)
+        stems = ["".join(random.Random(f"{seed}-{k}").choices(letters, k=4)) for k in range(12)]
+        rng = random.Random(f"{seed}-{n}")
+        return " ".join(rng.choice(stems) for _ in range(n))
+
+    ids = iter(range(10 ** 6))
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    rows, asked = [], {}
+    for k in range(80):
+        lang = f"l{k:02d}"
+        learned, left = (40 if k < 4 else 2), 2
+        while learned or left:
+            i = next(ids)
+            if held(i) and left:
+                rows.append((i, words(k, 60 + left), lang))
+                asked[i] = lang
+                left -= 1
+            elif not held(i) and learned:
+                rows.append((i, words(k, 3000 if k < 4 else 80 + learned), lang))
+                learned -= 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.classify(docs).collect()}
+    assert all(got[i] == lang for i, lang in asked.items())
+    # a bound far below what the large languages have still leaves the small ones theirs
+    model = language_id.fit(docs, language_id.crc("doc_id", 4) != 2, train_bytes=2000, contexts=80 * 120)
+    assert len(model.languages) == 80
+    texts = pa.array([t for i, t, _ in rows if i in asked])
+    found = language_id.identified(texts, model).field("lang_pred").to_pylist()
+    assert sum(f == asked[i] for f, i in zip(found, [i for i, _, _ in rows if i in asked])) >= 0.97 * len(asked)

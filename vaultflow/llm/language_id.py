@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultflow.llm import text as T
@@ -25,9 +25,8 @@ from vaultflow.llm.quality_classifier import crc
 ORDER = 4
 #: Bytes of text learned from per language, about; documents are chosen by hash of their id.
 TRAIN_BYTES = 4 << 20
-#: Longest contexts kept over all languages, the most frequent ones; and languages, likewise.
+#: Longest contexts kept, an equal share for each language: its most frequent ones, or all that it has.
 CONTEXTS = 400_000
-LANGUAGES = 64
 UNKNOWN = "und"
 CHUNK = 1 << 18
 
@@ -159,20 +158,27 @@ def frozen(languages: list[str], language: np.ndarray, key: np.ndarray, count: n
 
 
 def fit(docs: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        train_bytes: int = TRAIN_BYTES, contexts: int = CONTEXTS, languages: int = LANGUAGES) -> Model | None:
-    """Train on about ``train_bytes`` of each language among the rows for which ``allowed`` holds; None without any."""
+        train_bytes: int = TRAIN_BYTES, contexts: int = CONTEXTS) -> Model | None:
+    """Train on about ``train_bytes`` of each language among the rows for which ``allowed`` holds; None without any.
+
+    Every language is learned, from one document at least and from all it has if that is less than ``train_bytes``; a language with
+    few texts keeps all its contexts, however much text the others have.
+    """
     rows = (docs.where(allowed & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
             .select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")))
-    sizes = (rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).where("n > 0")
-             .orderBy(F.desc("n"), "lang").limit(languages).collect())
+    place = F.pmod(F.xxhash64("id", F.lit(10)), F.lit(1 << 20))
+    sizes = (rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n"), F.min(F.when(F.octet_length("text") > 0, place)).alias("least"))
+             .where("n > 0").collect())  # a row per language
     names = sorted(r["lang"] for r in sizes)
     if not names:
         return None
-    share = F.lit(0)
-    for r in sizes:
-        share = F.when(F.col("lang") == r["lang"], int(min(1.0, train_bytes / r["n"]) * (1 << 20))).otherwise(share)
-    index = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("lang")) - 1
-    some = rows.where(F.pmod(F.xxhash64("id", F.lit(10)), F.lit(1 << 20)) < share).select(index.cast("int").alias("language"), "text")
+    # documents below this place are learned from, the first one in any case
+    upto = {r["lang"]: max(int(min(1.0, train_bytes / r["n"]) * (1 << 20)), r["least"] + 1) for r in sizes}
+    known = F.create_map(*[F.lit(x) for k, n in enumerate(names) for x in (n, k)])
+    bounds = F.array(*[F.lit(upto[n]) for n in names])
+    some = (rows.withColumn("language", F.element_at(known, F.col("lang")))
+            .where(F.col("language").isNotNull() & (place < F.get(bounds, F.col("language")))).select("language", "text"))
+    share = max(1, contexts // len(names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -187,7 +193,8 @@ def fit(docs: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str
                                                      ["language", "key", "n"])
 
     counted = (some.mapInArrow(run, "language int, key bigint, n bigint").groupBy("language", "key").agg(F.sum("n").alias("n"))
-               .orderBy(F.desc("n"), "language", "key").limit(contexts).toArrow())
+               .withColumn("_n", F.row_number().over(Window.partitionBy("language").orderBy(F.desc("n"), "key"))).where(F.col("_n") <= share)
+               .select("language", "key", "n").toArrow())
     if not counted.num_rows:
         return None
     return frozen(names, *(counted[c].to_numpy() for c in ("language",)), counted["key"].to_numpy().view(np.uint64), counted["n"].to_numpy())
