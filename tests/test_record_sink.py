@@ -1,0 +1,64 @@
+"""Records written with offsets, and read back."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from helpers import booked, entries, entry, random_entries, replay_ledger
+from pyspark.sql import functions as F
+
+from vaultflow.functions import headers
+from vaultflow.operators import ledger
+from vaultflow.schemas import HEADER_CORRELATION, TRANSACTION_FIELDS
+from vaultflow.session import new_folder
+from vaultflow.streaming import jobs
+from vaultflow.streaming.record_sink import RecordSink
+from vaultflow.streaming.replay import replay
+
+
+def part():
+    return F.pmod(F.xxhash64("accountId"), F.lit(3)).cast("int")
+
+
+def sink(spark, **more):
+    return RecordSink(new_folder(spark, "t"), "topic", "accountId", TRANSACTION_FIELDS, part(), F.col("seq"), **more)
+
+
+@pytest.mark.parametrize("pieces, slice_rows", [(1, 10 ** 6), (4, 25)])
+def test_offsets_have_no_gaps_and_keep_the_order(spark, pieces, slice_rows):
+    r = random.Random(1)
+    rows = entries(spark, [entry(k * 5, f"t{k}", r.choice(["hot", "hot", "a", "b", "c"]), "DEPOSIT", k + 1) for k in range(300)])
+    out = sink(spark, slice_rows=slice_rows)
+    replay(rows, "seq", out.run, pieces)
+    got = out.records(spark).select("partition", "offset", F.get_json_object(F.col("value").cast("string"), "$.transactionId").alias("id")).collect()
+    assert len(got) == 300
+    for part in {r.partition for r in got}:
+        own = sorted((r for r in got if r.partition == part), key=lambda r: r.offset)
+        assert [r.offset for r in own] == list(range(len(own)))
+        numbers = [int(r.id[1:]) for r in own]
+        assert numbers == sorted(numbers)
+
+
+def test_headers_tombstones_and_a_batch_run_again(spark):
+    stamped = headers.stamp(F.concat(F.lit("C-"), F.col("seq").cast("string")), F.lit("web"), F.lit("X"))
+    rows = entries(spark, [entry(k, f"t{k}", "A", "DEPOSIT", 1) for k in range(6)]).withColumn("headers", F.when(F.col("seq") != 2, stamped))
+    out = sink(spark, tombstone=F.col("seq") == 4)
+    for batch_id, low in ((0, 0), (1, 3), (1, 3)):
+        out.step(rows.where((F.col("seq") >= low) & (F.col("seq") < low + 3)), batch_id)
+    got = sorted(out.records(spark).withColumn("c", headers.last_text(F.col("headers"), HEADER_CORRELATION)).collect(), key=lambda r: r.offset)
+    assert [(r.offset, r.c, [h.key for h in r.headers].__len__(), r.value is None) for r in got] == [
+        (k, None if k == 2 else f"C-{k}", 0 if k == 2 else 2, k == 4) for k in range(6)]
+
+
+def test_records_read_back_are_booked_alike(spark):
+    rows = [r for r in random_entries(5, 200, 4) if r[3] != "TRANSFER"]  # no order between partitions, so no transfers between accounts
+    out = sink(spark)
+    replay(entries(spark, rows), "seq", out.run, 3)
+    place = F.col("offset") * 3 + F.col("partition")
+    postings = jobs.book_records
+    home = new_folder(spark, "t")
+    got = replay(out.records(spark).withColumn("offset", place), "offset", lambda s: postings(s, home), 2)
+    want, balances = replay_ledger(rows)
+    assert {r.accountId: r.balance for r in ledger.balances_of(got.where("status = 'POSTED'")).collect()} == balances
+    assert got.count() == len(booked(ledger.book(entries(spark, rows))))

@@ -16,6 +16,7 @@ from vaultflow.schemas import (ALERT_RETRY, HEADER_CORRELATION, HEADER_SOURCE, R
 from vaultflow.session import new_folder, stage
 from vaultflow.sources import decode, driver_tables, streams, tables
 from vaultflow.streaming import delivery, jobs
+from vaultflow.streaming.record_sink import RecordSink
 from vaultflow.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -865,7 +866,7 @@ def receipt_redelivery_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tries_sql(rows: str, wait: str, last: str, fatal: str) -> str:
-    """Every try of ``rows`` (id, tried_at, fails): the failure that stands for {} in ``wait`` is followed by ``wait`` seconds."""
+    """Every try of ``rows`` (id, tried_at, fails); ``wait`` gives the seconds after the failure whose number stands for {}."""
     return f"""
 , to_send AS ({rows}),
 tries AS (
@@ -946,3 +947,19 @@ def enriched_moving_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = p.posted().select("seq", F.struct("*").alias("fact"))
     mixed = facts.unionByName(changes.select("seq", F.struct("*").alias("version")), allowMissingColumns=True)
     return replay(stage(mixed, "mixed"), "seq", lambda stream: jobs.enrich_moving(stream, p.customers(), home)).drop("batch_id")
+
+
+@query(o.q(o.LEDGER, f"""
+, numbered AS (
+  SELECT *, {o.PART.format('accountId')} AS part FROM posted)
+SELECT accountId AS key, part AS "partition", row_number() OVER (PARTITION BY part ORDER BY seq, leg) - 1 AS "offset",
+       transactionId, balanceAfter, CASE WHEN seq % 7 = 0 THEN '-' ELSE 'C-' || seq END AS correlation
+FROM numbered"""))
+def record_sink_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posted rows written as records with gap-free offsets per partition and their headers, then read and decoded."""
+    sink = RecordSink(new_folder(spark, "stream-job"), "bank.transactions.posted", "accountId", TRANSACTION_FIELDS,
+                      driver_tables.partition_of(F.col("accountId")), F.col("seq") * 2 + F.col("leg"))
+    replay(Pipeline.of(spark, sf_dir).posted(), "seq", sink.run)
+    read = decode.decode(sink.records(spark), TRANSACTION_DDL, decode.TRANSACTION_ENUMS)
+    return read.select("key", "partition", "offset", "payload.transactionId", "payload.balanceAfter",
+                       F.coalesce(headers.last_text(F.col("headers"), HEADER_CORRELATION), F.lit("-")).alias("correlation"))
