@@ -84,6 +84,8 @@ def test_records_come_back_as_they_were_written(spark):
     assert kinds == sorted([("1", "<p>one</p>", "revisit", 6), ("2", "<p>one</p>", "revisit", 6), ("3", "", "revisit", 4), ("4", "", "response", None),
                             ("5", "é" * 5, "response", None), ("6", "other", "response", None), ("6", "other", "response", None),
                             ("6", "<p>one</p>", "response", None), ("None", "<p>one</p>", "revisit", 6), ("None", "alone", "response", None)])
+    whole = sorted(map(str, (tuple(r) for r in warc_store.described(spark, path).collect())))
+    assert whole == sorted(map(str, (tuple(r) for r in warc_store.summary(spark, path).collect())))
     short = {(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc_store.summary(spark, path).collect()}
     assert (1, 10, plain_digest(b"<p>one</p>"), "revisit", 6) in short and (5, 200000, plain_digest(("é" * 100000).encode()), "response", None) in short
 

@@ -67,10 +67,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive of all pages, written and read back."""
+    """Archive of all pages, written and rebuilt record by record."""
     path = new_folder(spark, "warc")
     warc_store.write(table(spark, sf_dir, "pages"), path)
-    return warc_store.summary(spark, path)
+    return warc_store.described(spark, path)
 
 
 ORACLES["op8_warc_archive"] = warc_store.ORACLE

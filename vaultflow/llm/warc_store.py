@@ -93,8 +93,12 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 
     ``payload`` is the full payload, of a revisit that of the record it refers to; ``record`` is the exact bytes.
     """
-    heads = spark.read.parquet(f"{path}/headers")
+    heads = spark.read.parquet(f"{path}/headers").drop("refers_to")
+    urn = lambda name: F.regexp_extract("head", f"\r\n{name}: <urn:uuid:([0-9a-f-]+)>\r\n", 1)
     kind = F.regexp_extract("head", "\r\nWARC-Type: ([a-z]+)\r\n", 1)
+    # a record that others refer to, found by its id as a reader of the archive would; rows that are equal in all share one
+    known = heads.where(kind == "response").select(urn("WARC-Record-ID").alias("_record"), F.col("page_id").alias("refers_to")).distinct()
+    heads = heads.withColumn("_to", F.when(kind == "revisit", urn("WARC-Refers-To"))).join(known, F.col("_to") == F.col("_record"), "left")
     body = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
     return (heads.join(payloads(spark, path), "sha256").withColumn("record_type", kind)
             .select("page_id", "refers_to", "record_type", "head", "payload",
@@ -116,6 +120,21 @@ def summary(spark: SparkSession, path: str) -> DataFrame:
                     F.regexp_extract("head", "\r\nWARC-Type: ([a-z]+)\r\n", 1).alias("record_type"), "refers_to"))
 
 
+def described(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record as it is rebuilt from the archive.
+
+    The digest is that of the rebuilt payload; a header that names another one ends the job.
+    """
+    told = F.regexp_extract("head", "\r\nWARC-Payload-Digest: sha1:([A-Z2-7]+)\r\n", 1)
+    rebuilt = F.col("record").substr(F.length(F.col("head").cast("binary")) + 1, F.length("record") - F.length(F.col("head").cast("binary")) - 4)
+    # a response is measured by the bytes behind its header, a revisit by the payload that it refers to
+    payload = F.when(F.col("record_type") == "response", rebuilt).otherwise(F.col("payload"))
+    digest = base32(F.sha1("_payload"))
+    sure = F.when(told == digest, digest).otherwise(F.raise_error(F.lit("a record header has another digest than its payload")).cast("string"))
+    return (records(spark, path).withColumn("_payload", payload)
+            .select("page_id", F.octet_length("_payload").cast("bigint").alias("payload_bytes"), sure.alias("payload_digest"), "record_type", "refers_to"))
+
+
 ORACLE = """
 with p as (select page_id, coalesce(html, '') as body from pages),
 d as (select page_id, octet_length(encode(body)) as payload_bytes, sha1(encode(body)) as hex,
