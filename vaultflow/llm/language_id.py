@@ -179,6 +179,7 @@ def fit(docs: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str
     some = (rows.withColumn("language", F.element_at(known, F.col("lang")))
             .where(F.col("language").isNotNull() & (place < F.get(bounds, F.col("language")))).select("language", "text"))
     share = max(1, contexts // len(names))
+    most = Window.orderBy(F.desc("n"), "key")  # first among a sixteenth of a language's contexts, then among what is left of all
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -193,7 +194,8 @@ def fit(docs: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str
                                                      ["language", "key", "n"])
 
     counted = (some.mapInArrow(run, "language int, key bigint, n bigint").groupBy("language", "key").agg(F.sum("n").alias("n"))
-               .withColumn("_n", F.row_number().over(Window.partitionBy("language").orderBy(F.desc("n"), "key"))).where(F.col("_n") <= share)
+               .withColumn("_n", F.row_number().over(most.partitionBy("language", F.pmod("key", F.lit(16))))).where(F.col("_n") <= share)
+               .withColumn("_n", F.row_number().over(most.partitionBy("language"))).where(F.col("_n") <= share)
                .select("language", "key", "n").toArrow())
     if not counted.num_rows:
         return None
