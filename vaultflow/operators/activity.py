@@ -6,22 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultflow.functions import money
+from vaultflow.operators.lookups import Lookup, lookup_join
 from vaultflow.operators.slices import running_max_before
 from vaultflow.schemas import ActivityRules
 
 
-def summarize(posted: DataFrame, rules: ActivityRules = ActivityRules()) -> DataFrame:
-    """Count, credits and debits per account and tumbling window, on a table or a stream."""
+def summarize(posted: DataFrame, rules: ActivityRules = ActivityRules(), *by: str) -> DataFrame:
+    """Count, credits and debits per account and tumbling window (and columns ``by``), on a table or a stream."""
     credit = money.is_credit(F.col("type"))
 
     def total(condition: Column) -> Column:
         # On the amount itself, so that partial sums run in the map tasks at the narrow type.
         return F.coalesce(F.sum(F.when(condition, F.col("amount"))), F.lit(0)).cast("decimal(38,2)")
 
-    return (posted.groupBy("accountId", F.window("timestamp", rules.window).alias("w"))
+    return (posted.groupBy(*by, "accountId", F.window("timestamp", rules.window).alias("w"))
             .agg(F.count("*").alias("transactionCount"), total(credit).alias("totalCredits"),
                  total(~credit).alias("totalDebits"))
-            .select("accountId", F.col("w.start").alias("windowStart"), F.col("w.end").alias("windowEnd"),
+            .select(*by, "accountId", F.col("w.start").alias("windowStart"), F.col("w.end").alias("windowEnd"),
                     "transactionCount", "totalCredits", "totalDebits"))
 
 
@@ -47,12 +48,16 @@ def look_back(posted: DataFrame, account: str, now: Column, span: Column,
 
 
 def late_rows(records: DataFrame, partition: str, order: str, rules: ActivityRules = ActivityRules(),
-              slice_rows: int = 1_000_000) -> DataFrame:
+              slice_rows: int = 1_000_000, clocks: Lookup | None = None) -> DataFrame:
     """Add ``late``: the row's window had closed (end + grace) before the row arrived.
 
-    Time moves with the latest timestamp seen in the row's stream partition.
+    Time moves with the latest timestamp seen in the row's stream partition. ``clocks`` (partition, ``clock``) is where it stood
+    before the first of these rows.
     """
     seen = running_max_before(records, partition, order, F.col("timestamp"), "_clock", slice_rows, split_all=True)
+    if clocks is not None:
+        seen = (lookup_join(seen, clocks, partition, "_earlier", spread_by=order)
+                .withColumn("_clock", F.greatest("_clock", "_earlier.clock")).drop("_earlier"))
     closes = F.window("timestamp", rules.window)["end"] + F.expr(f"INTERVAL {rules.grace}")
     return (seen.withColumn("_closes", closes)
             .withColumn("late", F.coalesce(F.col("_closes") <= F.col("_clock"), F.lit(False)))

@@ -15,7 +15,7 @@ from vaultflow.schemas import (ALERT_RETRY, HEADER_CORRELATION, HEADER_SOURCE, R
                                TRANSACTION_DDL, TRANSACTION_FIELDS, FraudRules, LedgerRules, RetryPolicy)
 from vaultflow.session import new_folder, stage
 from vaultflow.sources import decode, driver_tables, streams, tables
-from vaultflow.streaming import delivery, jobs
+from vaultflow.streaming import delivery, jobs, windows
 from vaultflow.streaming.record_sink import RecordSink
 from vaultflow.streaming.replay import replay
 
@@ -691,6 +691,52 @@ def activity_summary_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _posted_stream(spark, sf_dir, jobs.activity_summaries)
 
 
+def _shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posted rows, one in 13 three hours out of order."""
+    ts = F.col("timestamp")
+    late = F.when(F.col("seq") % 13 == 4, ts - F.expr("INTERVAL 3 HOURS")).otherwise(ts)
+    return Pipeline.of(spark, sf_dir).posted().withColumn("timestamp", late)
+
+
+def _kept_windows(spark: SparkSession, rows: DataFrame) -> windows.ActivityWindows:
+    """Windows kept in tables, after ``rows`` came as a stream."""
+    job = windows.ActivityWindows(new_folder(spark, "stream-job"), driver_tables.partition_of(F.col("accountId")), F.col("seq") * 2 + F.col("leg"))
+    replay(rows, "seq", job.run)
+    return job
+
+
+@query(ORACLES["activity_lookback"])
+def activity_lookback_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of one account that started lately, open ones included, served from the state of the stream."""
+    job = _kept_windows(spark, Pipeline.of(spark, sf_dir).posted())
+    return job.look_back(spark, _ACCOUNT, F.lit(_NOW).cast("timestamp"), F.expr(f"INTERVAL {_LOOK_BACK_DAYS} DAYS"))
+
+
+@query(f"SELECT seq, leg, accountId, \"timestamp\" FROM ({ORACLES['late_rows']}) WHERE late")
+def late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the stream sets aside as late, by a clock per partition."""
+    return _kept_windows(spark, _shuffled(spark, sf_dir)).output(spark, "late").select("seq", "leg", "accountId", "timestamp")
+
+
+@query(f"""
+WITH judged AS ({ORACLES['late_rows']}),
+typed AS (
+  SELECT j.*, p.type, p.amount, {o.PART.format('j.accountId')} AS part
+  FROM judged j JOIN ({o.q(o.LEDGER, 'SELECT seq, leg, type, amount FROM posted')}) p ON p.seq = j.seq AND p.leg = j.leg),
+kept AS (
+  SELECT part, accountId, time_bucket(INTERVAL '1 hour', "timestamp") AS windowStart, count(*) AS transactionCount,
+         cast(coalesce(sum(amount) FILTER (type IN ('DEPOSIT', 'REFUND', 'TRANSFER_IN')), 0) AS decimal(38,2)) AS totalCredits,
+         cast(coalesce(sum(amount) FILTER (type NOT IN ('DEPOSIT', 'REFUND', 'TRANSFER_IN')), 0) AS decimal(38,2)) AS totalDebits
+  FROM typed WHERE NOT late GROUP BY ALL),
+clock AS (SELECT part, max("timestamp") AS clock FROM typed GROUP BY part)
+SELECT accountId, windowStart, windowStart + INTERVAL '1 hour' AS windowEnd, transactionCount, totalCredits, totalDebits
+FROM kept JOIN clock USING (part)
+WHERE windowStart + INTERVAL '1 hour' + INTERVAL '5 minutes' <= clock""")
+def activity_final_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final summaries without the late rows, each window closed by the clock of its partition."""
+    return _kept_windows(spark, _shuffled(spark, sf_dir)).output(spark, "final").drop("batch_id")
+
+
 @query(_alert_sql("VELOCITY"))
 def fraud_velocity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Velocity alerts, each in the micro-batch that crosses the limit."""

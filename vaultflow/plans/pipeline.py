@@ -105,16 +105,15 @@ class Pipeline:
         return ledger.balances_of(self.posted())
 
     @cached_property
-    def balance_table(self) -> tuple[str, StructType]:
-        """Folder and columns of the balances, in folders by account hash (written)."""
-        rows, path = self.balances(), new_folder(self.spark, "balances")
-        tables.write_keyed(rows, "accountId", path)
-        return path, rows.schema
+    def balance_table(self) -> tuple[str, StructType, int]:
+        """Folder and columns of the balances, and the number of folders by account hash that they fill (written)."""
+        rows, path = stage(self.balances(), "balance-rows"), new_folder(self.spark, "balances")
+        return path, rows.schema, tables.write_sized(rows, "accountId", path)
 
     def balance_of(self, account: str) -> DataFrame:
         """Served from the kept state: one folder is opened, nothing is aggregated."""
-        path, schema = self.balance_table
-        return tables.one_key(self.spark, path, schema, "accountId", account)
+        path, schema, parts = self.balance_table
+        return tables.one_key(self.spark, path, schema, "accountId", account, parts)
 
     def enriched(self) -> DataFrame:
         return enrich.enrich(self.posted(), self.account_lookup, self.customer_lookup)

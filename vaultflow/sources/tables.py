@@ -9,8 +9,15 @@ from pyspark.sql import types as T
 from vaultflow.operators.slices import running_max_before
 
 
-# Folders that a keyed table is spread over by the hash of its key.
+# Folders that a small keyed table is spread over by the hash of its key.
 PARTS = 16
+# A keyed table of unknown size gets as many folders as keep about this many rows in each.
+PART_ROWS = 200_000
+
+
+def parts_for(rows: int, part_rows: int = PART_ROWS) -> int:
+    """Folders for a table of so many rows: a power of two, so that the table doubles them as it grows."""
+    return 1 << max(0, -(-rows // part_rows) - 1).bit_length()
 
 
 def part_of(key: Column, parts: int = PARTS) -> Column:
@@ -22,6 +29,18 @@ def write_keyed(df: DataFrame, key: str, path: str, parts: int = PARTS, mode: st
     df.withColumn("part", part_of(F.col(key), parts)).write.mode(mode).partitionBy("part").parquet(path)
 
 
+def write_sized(df: DataFrame, key: str, path: str, part_rows: int = PART_ROWS, mode: str = "error") -> int:
+    """Write a table in as many folders as its number of rows calls for, each by one task and in order of the key; how many.
+
+    What a lookup opens is then bounded by ``part_rows``, not by the table. Keys should be nearly unique: one key is in one folder.
+    ``df`` is read twice, so it should be a written table.
+    """
+    parts = parts_for(df.count(), part_rows)
+    (df.withColumn("part", part_of(F.col(key), parts)).repartition(parts, "part").sortWithinPartitions("part", key)
+     .write.mode(mode).partitionBy("part").parquet(path))
+    return parts
+
+
 def one_key(spark: SparkSession, path: str, schema, key: str, value: str, parts: int = PARTS) -> DataFrame:
     """The row of one key of a keyed table; folder and key are both pushed down to the scan."""
     rows = spark.read.schema(T.StructType(list(schema.fields) + [T.StructField("part", T.IntegerType())])).parquet(path)
