@@ -81,6 +81,33 @@ def test_contaminated_documents(spark, documents, prose):
     assert decontaminate.contaminated(documents([]), bench).count() == 0
 
 
+def test_short_items_and_scripts_without_spaces(spark, documents):
+    items = [(1, "the cat sat down"), (2, "Three short words"), (3, "three SHORT words!"), (4, "..."), (5, ""), (6, None), (7, "zyzzyva"),
+             (8, "今天天气很好我们去公园散步"), (9, "猫が好き"), (10, "สวัสดีครับ"), (11, "mixed 漢字 and latin words here")]
+    rows = [(1, "and then the cat sat down, again THE CAT SAT DOWN."), (2, "the cat sat; up and down"), (3, "three short, words"), (4, "three short" + " x" * 300_000 + " words"),
+            (5, "他说今天天气很好我们去公园散步吧"), (6, "今天天气不好"), (7, "私は猫が好きです zyzzyvas"), (8, "a zyzzyva"), (9, "บอกว่าสวัสดีครับนะ"),
+            (10, "so mixed 漢字 and latin words here it is"), (11, "漢 字"), (12, None), (13, "猫 が 好 き"), (14, "公园散步今天天气很好我们去")]
+    bench = spark.createDataFrame([(*x, 1) for x in items], "item_id long, text string, doc_id int")
+    found = decontaminate.contaminated(documents(rows), bench).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [
+        (1, 1), (3, 2), (3, 3), (5, 8), (7, 9), (8, 7), (9, 10), (10, 11), (13, 9), (14, 8)]
+    assert {(r["item_words"], r["covered_words"], r["longest_tile"], r["coverage"]) for r in found if r["item_id"] in (1, 2)} == {(4, 4, 4, 1.0), (3, 3, 3, 1.0)}
+    some = decontaminate.contaminated(documents(rows), bench, block_bytes=40).collect()
+    assert sorted(map(str, some)) == sorted(map(str, found))
+    assert sorted(r["doc_id"] for r in decontaminate.clean(documents(rows), bench).collect()) == [2, 4, 6, 11, 12]
+
+
+def test_short_items_equal_a_plain_search():
+    rng = random.Random(8)
+    items = [[rng.choice("ab") for _ in range(rng.randint(1, 4))] for _ in range(30)]
+    block = decontaminate.items_of(pa.table({"id": range(30), "text": [" ".join(x) for x in items]}), 5, short=True)
+    texts = [[rng.choice("abc") for _ in range(rng.randint(0, 12))] for _ in range(80)]
+    got = decontaminate.found_in(pa.array([" ".join(t) for t in texts]), block, 5, 0.6)
+    for text, found in zip(texts, got):
+        want = [k for k, x in enumerate(items) if any(text[i:i + len(x)] == x for i in range(len(text)))]
+        assert sorted(f["item_id"] for f in found) == want
+
+
 def hexes(rng, n=40):
     return "".join(rng.choice("0123456789abcdef") for _ in range(n))
 

@@ -3,7 +3,10 @@
 Documents and benchmark items that share a seed (a run of ``min_match`` words) are compared: the longest match of words that
 neither side has used yet is marked as a tile, again and again, until no match of ``min_match`` words is left. Matches are
 found by Karp-Rabin hashes of the runs and extended along diagonals. The share of the item's words under tiles is its coverage;
-moving passages around does not change it much, unlike the longest match.
+moving passages around does not change it much, unlike the longest match. An item of fewer than ``min_match`` words has no seed: it is
+searched as one run of all its words, which must be there as it is.
+
+A word is a run of letters and digits; in scripts that put no spaces between words each character is one.
 
 The benchmark is a stated query set: it is sent to the tasks in blocks of bounded size, and each block is compared with all
 documents. No document is moved.
@@ -35,6 +38,15 @@ PAIRS = 1 << 20
 FRUITLESS = 1024
 
 
+@dataclass
+class Short:
+    """Items of equally few words."""
+    size: int
+    ids: list
+    hashes: np.ndarray  # words of each item, a row per item
+    runs: np.ndarray  # hash of each item's words, ascending
+
+
 @dataclass
 class Items:
     """A block of benchmark items: words of all of them one after another, and their seeds, sorted."""
@@ -45,22 +57,47 @@ class Items:
     seed_at: np.ndarray  # where the places of each seed begin, one more than seeds
     places: np.ndarray  # index of a seed's first word
     filter: np.ndarray  # by the low bits of a hash: is there such a seed
+    short: list[Short]
+
+
+#: Characters of scripts that are written without spaces between words.
+UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
+#: Least first byte of their UTF-8.
+UNSPACED_BYTE = 0xE0
 
 
 def tokens(column: pa.Array) -> Iterator[tuple[int, int, T.Words]]:
     """Lower-case words of letters and digits, for ranges of texts of bounded size."""
-    data, offsets = T.flat(pc.utf8_lower(column))
+    lower = pc.utf8_lower(column)
+    data, offsets = T.flat(lower)
     for low, high in T.groups_of_rows(offsets):
-        yield low, high, T.words(data, offsets[low:high + 1], T.NOT_ALNUM)
+        if (data[offsets[low]:offsets[high]] >= UNSPACED_BYTE).any():
+            yield low, high, T.words(*T.flat(pc.replace_substring_regex(lower.slice(low, high - low), UNSPACED, r" \1 ")), T.NOT_ALNUM)
+        else:
+            yield low, high, T.words(data, offsets[low:high + 1], T.NOT_ALNUM)
+
+
+def _shorts(found: dict[int, list[tuple[object, np.ndarray]]]) -> list[Short]:
+    """Short items by their number of words."""
+    out = []
+    for size, some in sorted(found.items()):
+        hashes = np.stack([h for _, h in some])
+        row, none = np.repeat(np.arange(len(some)), size), np.zeros(hashes.size, np.int64)
+        runs, _ = T.windows(T.Words(row, none, none, hashes.ravel()), size)
+        order = np.argsort(runs, kind="stable")
+        out.append(Short(size, [some[k][0] for k in order], hashes[order], runs[order]))
+    return out
 
 
-def items_of(table: pa.Table, min_match: int) -> Items:
-    """The block with items of at least ``min_match`` words; shorter ones are too short to tell and left out."""
-    ids, first, hashes, runs, places = [], [0], [], [], []
+def items_of(table: pa.Table, min_match: int, short: bool = False) -> Items:
+    """The block with items of at least ``min_match`` words, and with ``short`` those of fewer, but at least one."""
+    ids, first, hashes, runs, places, few = [], [0], [], [], [], {}
     for low, high, w in tokens(table.column(1).combine_chunks()):
         for k in range(low, high):
             own = w.hash[np.searchsorted(w.row, k - low):np.searchsorted(w.row, k - low, "right")]
             if len(own) < min_match:
+                if short and len(own):
+                    few.setdefault(len(own), []).append((table.column(0)[k].as_py(), own))
                 continue
             ids.append(table.column(0)[k].as_py())
             none = np.zeros(len(own), np.int64)
@@ -76,7 +113,22 @@ def items_of(table: pa.Table, min_match: int) -> Items:
     small[seeds & np.uint64(len(small) - 1)] = True
     joined = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
     return Items(ids, np.array(first), joined(hashes, np.uint64), seeds, np.append(at, len(every)),
-                 joined(places, np.int64)[order], small)
+                 joined(places, np.int64)[order], small, _shorts(few))
+
+
+def _short_found(w: T.Words, short: Short) -> Iterator[tuple[int, int]]:
+    """(text, item) for every short item that is in a text, once."""
+    run, first = T.windows(w, short.size)
+    at = np.searchsorted(short.runs, run)
+    upto = np.searchsorted(short.runs, run, "right")
+    while (at < upto).any():  # as often as equal items repeat
+        left = at < upto
+        at, upto, first = at[left], upto[left], first[left]
+        sure = np.ones(len(at), bool)
+        for step in range(short.size):  # word by word, in case two runs have one hash
+            sure &= w.hash[first + step] == short.hashes[at, step]
+        yield from np.unique(np.stack([w.row[first[sure]], at[sure]], 1), axis=0).tolist()
+        at = at + 1
 
 
 def _diagonals(i: np.ndarray, j: np.ndarray, n: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,9 +202,14 @@ def tile(i: np.ndarray, j: np.ndarray, n: np.ndarray, n_item: int, size: int) ->
 def found_in(column: pa.Array, items: Items, size: int, coverage: float) -> list[list[dict]]:
     """For each text, the items of which ``coverage`` or more is under tiles."""
     out: list[list[dict]] = [[] for _ in range(len(column))]
-    if not len(items.seeds):
+    if not len(items.seeds) and not items.short:
         return out
     for low, _, w in tokens(column):
+        for short in items.short:
+            for k, q in _short_found(w, short):
+                out[low + k].append({"item_id": short.ids[q], "item_words": short.size, "covered_words": short.size, "longest_tile": short.size})
+        if not len(items.seeds):
+            continue
         run, first = T.windows(w, size)
         maybe = np.flatnonzero(items.filter[run & np.uint64(len(items.filter) - 1)])
         at = np.minimum(np.searchsorted(items.seeds, run[maybe]), len(items.seeds) - 1)
@@ -183,7 +240,7 @@ def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // block_bytes)
     for k in range(n):
-        yield items_of(named.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).toArrow(), min_match)
+        yield items_of(named.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).toArrow(), min_match, short=True)
 
 
 def match_type(id_type: DataType) -> ArrayType:
@@ -207,8 +264,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, item_words, covered_words, longest_tile, coverage) for every contaminated pair.
 
-    Null and empty texts contain nothing; items with fewer than ``min_match`` words are not searched; equal items and
-    repeated rows each get their pairs; an empty benchmark gives an empty table.
+    Null and empty texts contain nothing; an item with fewer than ``min_match`` words is found where all of them stand in a row, one without
+    words nowhere; equal items and repeated rows each get their pairs; an empty benchmark gives an empty table.
     """
     id_type = benchmark.schema[item_id_col].dataType
     parts = [docs.select(F.col(id_col), F.explode(matches_of(docs, text_col, items, id_type, min_match, coverage)).alias("_m"))
