@@ -59,3 +59,47 @@ def test_long_texts_are_padded_nearly_as_by_the_exact_optimum():
         ends = packing.boundaries(count, np.add.reduceat(lengths, first), lengths[first + count - 1], 4)
         padded.append(int(np.array(ends)[np.searchsorted(ends, lengths)].sum()))
     assert padded[0] <= padded[1] <= padded[0] * (1 + 1 / 2048)
+
+
+def plain_boundaries(count, total, top, buckets):
+    """Every cut tried, the earliest of equally good ones."""
+    m = len(count)
+    rows, tokens = np.append(0, np.cumsum(count)), np.append(0, np.cumsum(total))
+    best, cuts = [0] + [10 ** 18] * m, []
+    for _ in range(min(buckets, m)):
+        now, cut = [10 ** 18] * (m + 1), [0] * (m + 1)
+        for j in range(1, m + 1):
+            now[j], cut[j] = min((best[i] + int(top[j - 1] * (rows[j] - rows[i]) - (tokens[j] - tokens[i])), i) for i in range(j))
+        best, cuts = now, [*cuts, cut]
+    ends, j = [], m
+    for cut in reversed(cuts):
+        ends.append(int(top[j - 1]))
+        j = cut[j]
+    return ends[::-1]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_boundaries_and_ties_are_those_of_trying_every_cut(seed, monkeypatch):
+    rng = np.random.default_rng(seed)
+    monkeypatch.setattr(packing, "STEP", int(rng.integers(1, 200)))
+    m = int(rng.integers(1, 90))
+    top = np.sort(rng.choice(np.arange(3 * m + 3), m, replace=False))
+    count = rng.integers(1, 4, m)
+    for buckets in (1, 2, 5, 8):
+        assert packing.boundaries(count, top * count, top, buckets) == plain_boundaries(count, top * count, top, buckets)
+
+
+def test_many_different_lengths():
+    top = np.arange(200_000)
+    ends = packing.boundaries(np.ones(200_000, np.int64), top, top, 8)
+    assert np.allclose(np.diff([-1, *ends]), 25_000, atol=1)
+
+
+def test_lengths_over_4096_have_the_exact_optimum(spark, documents):
+    lengths = [4097, 4098, 4099, 5001, 5003, 9000, 9001, 9003, 9004, 20_001, 20_002, 20_009]
+    docs = documents([(k, "w " * n) for k, n in enumerate(lengths)])
+    got = packing.pack(docs, packing.n_words(F.col("text")), buckets=6).toPandas()
+    least = min(padding(lengths, [*c, 20_009]) for c in combinations(lengths[:-1], 5))
+    assert (got["padded_length"] - got["length"]).sum() == least
+    near = packing.pack(docs, packing.n_words(F.col("text")), buckets=6, coarse=True).toPandas()
+    assert (near["padded_length"] - near["length"]).sum() > least

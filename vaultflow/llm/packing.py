@@ -3,8 +3,9 @@
 The histogram of lengths over all rows is one aggregate. Dynamic programming over it chooses the bucket boundaries with the
 least padding; every row goes to the smallest boundary that holds it, and batches of a token budget fill up inside each bucket.
 
-The histogram has a cell per length up to 4,096 and then 2,048 cells per doubling, so it has at most some 100,000 cells for any
-input. A boundary is the longest length seen in its cell; the choice is the best one among those boundaries.
+The histogram has a cell per length that occurs, so the boundaries are the best there are. n different lengths need n squared / 2 tokens
+of text, so even 100 TB have at most some millions, and usually some hundred thousand; the driver holds three numbers for each. With ``coarse``
+lengths from 4,096 on share cells, 2,048 per doubling, and a boundary is the longest length of its cell.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from vaultflow.session import stage
 
 BUCKETS = 8
 BUDGET = 32_768
+#: Candidate cuts compared at a time.
+STEP = 1 << 20
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -31,6 +34,37 @@ def cell(length: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftright", length, drop), drop)
 
 
+def _row(best: np.ndarray, rows: np.ndarray, tokens: np.ndarray, top: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least padding of the first j cells with one run more, and where that run begins, for every j.
+
+    Ends are solved from far apart to close together: the best cut of one lies between those of its solved neighbours. The ends of
+    one distance are solved at once, some ``STEP`` candidates at a time.
+    """
+    now, cut = np.full(m + 1, np.iinfo(np.int64).max // 4), np.zeros(m + 1, np.int64)
+    apart = 1 << max(0, m.bit_length() - 1)
+    while apart:
+        ends = np.arange(apart, m + 1, 2 * apart)
+        after = ends + apart
+        low = np.where(ends > apart, cut[ends - apart], 0)
+        high = np.minimum(np.where(after <= m, cut[np.minimum(after, m)], m - 1), ends - 1)
+        many = np.append(0, np.cumsum(high - low + 1))
+        at = 0
+        while at < len(ends):
+            to = max(at + 1, int(np.searchsorted(many, many[at] + STEP, "right")) - 1)
+            size, head = many[at + 1:to + 1] - many[at:to], many[at:to] - many[at]
+            i = np.arange(many[to] - many[at]) + np.repeat(low[at:to] - head, size)
+            j = np.repeat(ends[at:to], size)
+            cost = best[i] + top[j - 1] * (rows[j] - rows[i]) - (tokens[j] - tokens[i])
+            least = np.minimum.reduceat(cost, head)
+            first = np.flatnonzero(cost == np.repeat(least, size))
+            owner = np.searchsorted(head, first, "right") - 1
+            _, once = np.unique(owner, return_index=True)  # the earliest of equal ones
+            now[ends[at:to]], cut[ends[at:to]] = least, i[first[once]]
+            at = to
+        apart //= 2
+    return now, cut
+
+
 def boundaries(count: np.ndarray, total: np.ndarray, top: np.ndarray, buckets: int) -> list[int]:
     """Boundaries of the best split of the cells, in ascending order, into at most ``buckets`` runs.
 
@@ -43,20 +77,8 @@ def boundaries(count: np.ndarray, total: np.ndarray, top: np.ndarray, buckets: i
     best[0] = 0
     cuts = []
     for _ in range(min(buckets, m)):
-        now, cut = np.full(m + 1, np.iinfo(np.int64).max // 4), np.zeros(m + 1, np.int64)
-        todo = [(1, m, 0, m - 1)]
-        while todo:
-            low, high, first, last = todo.pop()
-            if low > high:
-                continue
-            j = (low + high) // 2
-            i = np.arange(first, min(last, j - 1) + 1)
-            cost = best[i] + top[j - 1] * (rows[j] - rows[i]) - (tokens[j] - tokens[i])
-            k = int(cost.argmin())
-            now[j], cut[j] = cost[k], i[k]
-            todo += [(low, j - 1, first, int(i[k])), (j + 1, high, int(i[k]), last)]
+        best, cut = _row(best, rows, tokens, top, m)
         cuts.append(cut)
-        best = now
     found, j = [], m
     for cut in reversed(cuts):
         found.append(int(top[j - 1]))
@@ -64,7 +86,8 @@ def boundaries(count: np.ndarray, total: np.ndarray, top: np.ndarray, buckets: i
     return found[::-1]
 
 
-def pack(rows: DataFrame, length: Column, id_col: str = "doc_id", buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
+def pack(rows: DataFrame, length: Column, id_col: str = "doc_id", buckets: int = BUCKETS, budget: int = BUDGET,
+         coarse: bool = False) -> DataFrame:
     """(doc_id, length, bucket, padded_length, batch, slot) for every row.
 
     Within a bucket rows are taken in order of their id (null first); ``batch`` counts from 0 in each bucket and holds as
@@ -75,7 +98,7 @@ def pack(rows: DataFrame, length: Column, id_col: str = "doc_id", buckets: int =
     narrow = stage(rows.select(F.col(id_col).alias("_id"), F.coalesce(length.cast("bigint"), F.lit(0).cast("bigint")).alias("length")), "measured")
     # ranges of ids, and of lengths where an id repeats: a bucket of any size is numbered range by range
     placed = stage(narrow.repartitionByRange("_id", "length").withColumn("_range", F.spark_partition_id()), "lengths")
-    cells = (placed.groupBy(cell(F.col("length")).alias("c")).agg(F.count("*").alias("n"), F.sum("length").alias("s"), F.max("length").alias("top"))
+    cells = (placed.groupBy((cell(F.col("length")) if coarse else F.col("length")).alias("c")).agg(F.count("*").alias("n"), F.sum("length").alias("s"), F.max("length").alias("top"))
              .orderBy("c").toArrow())
     ends = boundaries(*(cells[c].to_numpy().astype(np.int64) for c in ("n", "s", "top")), buckets) if cells.num_rows else []
     bucket = F.lit(0)
@@ -109,8 +132,7 @@ def oracle(buckets: int = BUCKETS, budget: int = BUDGET) -> str:
                         (select ends from f1 where j = (select max(j) from u))) as ends))"""
     return f"""with l as (
         select doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as length from documents),
-      c as (select (length >> greatest(length(bin(length)) - 12, 0)) << greatest(length(bin(length)) - 12, 0) as c,
-                   count(*) as n, sum(length)::bigint as s, max(length) as top from l group by 1),
+      c as (select length as c, count(*) as n, sum(length)::bigint as s, length as top from l group by length),
       u as (select row_number() over (order by c) as j, top, (sum(n) over (order by c))::bigint as n, (sum(s) over (order by c))::bigint as s from c),
       {', '.join(steps)}, {last},
       k as (select l.*, (select min(bucket) from ends where top >= l.length)::int as bucket from l),
