@@ -129,6 +129,13 @@ def labelled(labels: DataFrame, allowed: Column, most: int, id_col: str = "doc_i
             .select("_id", "y", F.pmod("_h", F.lit(5)).cast("int").alias("part")))
 
 
+def texts_of(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_text, y, part): one text of each chosen id, the smallest where rows share it, so there are no more rows than ids."""
+    # ``chosen`` has at most as many rows of 20 bytes as ids may be learned from
+    found = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
+    return found.groupBy("_id", "y", "part").agg(F.min("_text").alias("_text")).select("_text", "y", "part")
+
+
 def _added(table: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Normal equations of the rows of ``table``: each partition sends one row of sums."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +156,7 @@ def _added(table: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", most: int = TRAIN_ROWS, ridge: float = 1e-4, seed: int = 9) -> Model | None:
-    """Fit on at most ``most`` of the labelled rows for which ``allowed`` holds; None if there are none.
+    """Fit on at most ``most`` of the labelled ids for which ``allowed`` holds, one text each; None if there are none.
 
     Four fifths give the fit and the last fifth the calibration (all of them if a fifth would be empty).
     """
@@ -159,9 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_
     def measured(column: pa.Array) -> pa.Array:
         return pa.array(list(statistics(column)), pa.list_(pa.float64()))
 
-    # ``chosen`` has at most ``most`` rows of 20 bytes
-    rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-            .join(F.broadcast(chosen), "_id").select(measured("_text").alias("x"), "y", "part"))
+    rows = texts_of(docs, chosen, id_col, text_col).select(measured("_text").alias("x"), "y", "part")
     rows = stage(rows.repartition(8), "labelled")
     x = [F.col("x")[k] for k in range(SIZE)]
     first = rows.agg(F.count("*"), *[F.avg(c) for c in x], *[F.stddev_pop(c) for c in x]).first()

@@ -1,6 +1,6 @@
 """Quality rules: plain counts with fixed limits, and a hashed n-gram classifier behind them.
 
-The classifier is a logistic regression over hashed frequencies of words, word pairs, and runs of three and four bytes. It is
+The classifier is a logistic regression over hashed frequencies of words, word pairs, and runs of three and four characters. It is
 trained on labelled rows by full gradients, each the sum of one row of sums per partition, and its scores are calibrated to
 probabilities by a logistic curve through rows that the training did not see.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultflow.llm import text as T
-from vaultflow.llm.quality_classifier import labelled
+from vaultflow.llm.quality_classifier import labelled, texts_of
 from vaultflow.session import stage
 
 #: Buckets of hashed n-grams, shared by all kinds.
@@ -39,22 +39,35 @@ def _bucket(keys: np.ndarray, kind: int) -> np.ndarray:
     return ((keys + np.uint64(kind + 1)) * np.uint64(0x9FB21C651E98DF25) >> np.uint64(64 - BITS)).astype(np.int32)
 
 
-def _byte_grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(kind, row, bucket) of runs of three and four bytes within a text, a piece at a time."""
+def _characters(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where characters begin in UTF-8 bytes, and their bytes as one number each."""
+    inner = (part & 0xC0) == 0x80
+    start = np.flatnonzero(~inner)
+    value = part[start].astype(np.uint64)
+    if inner.any():
+        more = np.ones(len(start), bool)
+        for k in range(1, 4):
+            at = np.minimum(start + k, len(part) - 1)
+            more &= (start + k < len(part)) & inner[at]
+            value = np.where(more, value << np.uint64(8) | part[at], value)
+    return start, value
+
+
+def _character_grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(kind, row, bucket) of runs of three and four characters within a text, a piece at a time."""
     at, end = int(offsets[0]), int(offsets[-1])
     while at < end:
         to = min(at + T.PIECE, end)
-        part = data[at:min(to + 3, end)].astype(np.uint64)
-        row = np.searchsorted(offsets, np.arange(at, to), "right") - 1 if len(offsets) > 2 else np.zeros(to - at, np.int64)
-        left = offsets[row + 1] - np.arange(at, to)
+        start, value = _characters(data[at:min(to + 16, end)])  # four characters have 16 bytes at most
+        row = np.searchsorted(offsets, start + at, "right") - 1
+        own = int(np.searchsorted(start, to - at))
         for kind, size in ((2, 3), (3, 4)):
-            n = min(to - at, len(part) - size + 1)
-            if n > 0:
-                key = part[:n]
-                for k in range(1, size):
-                    key = key << np.uint64(8) | part[k:n + k]
-                whole = left[:n] >= size
-                yield kind, row[:n][whole], _bucket(key[whole], kind)
+            n = max(0, min(own, len(start) - size + 1))
+            key = value[:n]
+            for k in range(1, size):
+                key = key * np.uint64(0x9E3779B97F4A7C15) + value[k:n + k]
+            whole = row[:n] == row[size - 1:n + size - 1]
+            yield kind, row[:n][whole], _bucket(key[whole], kind)
         at = to
 
 
@@ -62,7 +75,7 @@ def _grams(data: np.ndarray, offsets: np.ndarray, w: T.Words) -> Iterator[tuple[
     yield 0, w.row, _bucket(w.hash, 0)
     pair, first = T.windows(w, 2)
     yield 1, w.row[first], _bucket(pair, 1)
-    yield from _byte_grams(data, offsets)
+    yield from _character_grams(data, offsets)
 
 
 def _linear(data: np.ndarray, offsets: np.ndarray, w: T.Words, weights: np.ndarray) -> np.ndarray:
@@ -164,7 +177,7 @@ def _platt(linear: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, f
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         most: int = TRAIN_ROWS, steps: int = STEPS, rate: float = 1.0) -> Model | None:
-    """Train on at most ``most`` labelled rows, four fifths for the weights and one for the calibration; None without labels."""
+    """Train on at most ``most`` labelled ids, one text each, four fifths for the weights and one for the calibration; None without labels."""
     chosen = labelled(labels, F.lit(True), most, id_col, label_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,9 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                         [pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float32())),
                          b.column(1).slice(step, len(found)), b.column(2).slice(step, len(found))], ["at", "x", "y", "part"])
 
-    # ``chosen`` has at most ``most`` rows of 20 bytes
-    found = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
-             .select("_text", "y", "part").mapInArrow(run, "at array<int>, x array<float>, y double, part int"))
+    found = (texts_of(docs, chosen, id_col, text_col).mapInArrow(run, "at array<int>, x array<float>, y double, part int"))
     rows = stage(found.repartition(8), "grams")
     used = rows.where("part < 4")
     weights = np.zeros((1 << BITS) + 1)
