@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from decimal import Decimal
 
+import pytest
 from helpers import ENTRY_DDL, T0, booked, entries, entry, posted, random_entries, replay_ledger
 from pyspark.sql import functions as F
 
@@ -127,6 +128,25 @@ def test_waiting_requests_keep_their_order(spark):
                    11: (1, "VALIDATED", 0), 2: (3, "DEAD_LETTER", 4)}
 
 
+@pytest.mark.parametrize("seed, accounts, ids", [(1, 4, 30), (2, 12, 12), (3, 40, 25)])
+def test_what_waits_equals_a_walk_in_order(spark, seed, accounts, ids):
+    """Stops reach other accounts through repeated ids, over any number of accounts."""
+    r = random.Random(seed)
+    rows = [(seq, r.choice([None, *(f"t{k}" for k in range(ids))]), r.choice([None, *(f"a{k}" for k in range(accounts))]), r.random() < 0.03, r.choice([1, 4]))
+            for seq in range(150)]
+    rows += [(1000 + k, f"chain{(k + 1) // 2}", f"c{k // 2}", k == 0, 1) for k in range(14)]
+    job = jobs.Validation(lambda _: None, new_folder(spark, "t"))
+    held = job._held(spark.createDataFrame(rows, "seq BIGINT, transactionId STRING, accountId STRING, lost BOOLEAN, attempt INT"))
+    stopped, waiting, want = set(), set(), set()
+    for seq, id, account, lost, attempt in rows:
+        if account is not None and (lost and attempt < job.policy.attempts or account in stopped or id in waiting):
+            want.add(seq)
+            stopped.add(account)
+            waiting |= {id} - {None}
+    assert {x.seq for x in held.where("waits").collect()} == want and held.count() == len(rows)
+    assert {1000 + k for k in range(14)} <= want
+
+
 def test_a_batch_of_dead_letters_stops_nothing(spark):
     """Valid, then only dead letters, then a resubmission and rows without an id."""
     def request(seq, id, account):

@@ -18,6 +18,7 @@ from vaultflow.sources import decode, driver_tables, streams, tables
 from vaultflow.streaming import delivery, jobs, windows
 from vaultflow.streaming.record_sink import RecordSink
 from vaultflow.streaming.replay import replay
+from vaultflow.streaming.retention import RetainedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -175,6 +176,17 @@ def retention_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("seq", "transactionId", "accountId", "timestamp"))
 
 
+@query(ORACLES["retention_prune"])
+def retention_dropped_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stream kept in folders by day, where two expiries have dropped what was too old."""
+    kept = RetainedTable(new_folder(spark, "stream-job"), "seq BIGINT, transactionId STRING, accountId STRING, timestamp TIMESTAMP", "timestamp", _KEPT)
+    replay(Pipeline.of(spark, sf_dir).requests().select("seq", "transactionId", "accountId", "timestamp"), "seq", kept.run)
+    now = F.lit(_NOW).cast("timestamp")
+    for at in (now - F.expr("INTERVAL 5 DAYS"), now):
+        kept.expire(spark, at)
+    return kept.rows(spark, now)
+
+
 # -- sinks as projections --------------------------------------------------------------------------
 
 @query(o.q(o.LEDGER, """

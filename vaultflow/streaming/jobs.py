@@ -222,22 +222,32 @@ class Validation:
 
     def _held(self, judged: DataFrame) -> DataFrame:
         """Add ``waits``: the request is to be tried again, or comes after such a one of its account, or repeats the id of one
-        that waits. Each round finds the resubmissions that wait for an earlier request, until there are no more.
+        that waits.
+
+        An account stops at its first waiting request, so only an id with requests on several accounts can make another account stop.
+        Those requests are written apart, narrow, and rounds over them alone carry the stops along; all requests are read once before and once after.
         """
         again = F.col("lost") & (F.col("attempt") < self.policy.attempts)
         first = F.min("seq").alias("stopAt")
         stops = stage(judged.where(again & F.col("accountId").isNotNull()).groupBy(F.col("accountId").alias("_account")).agg(first), "stream-stops")
         if stops.isEmpty():
             return judged.withColumn("waits", F.lit(False))
-        while True:
-            stopped = lookup_join(judged, Lookup(stops, "_account"), "accountId", "stop")
-            held = stage(stopped.withColumn("waits", F.coalesce(F.col("seq") >= F.col("stop.stopAt"), F.lit(False))).drop("stop"), "stream-held")
-            ids = stage(held.where(F.col("waits") & F.col("transactionId").isNotNull()).groupBy(F.col("transactionId").alias("_id")).agg(first), "stream-ids")
-            repeats = lookup_join(held.where(~F.col("waits") & F.col("accountId").isNotNull()), Lookup(ids, "_id"), "transactionId", "first")
+        named = judged.where(F.col("accountId").isNotNull() & F.col("transactionId").isNotNull()).select("seq", "accountId", "transactionId")
+        shared = (named.groupBy(F.col("transactionId").alias("_id")).agg(F.min("accountId").alias("_a"), F.max("accountId").alias("_b"))
+                  .where("_a <> _b").select("_id"))
+        links = stage(named.join(shared, F.col("transactionId") == F.col("_id"), "left_semi"), "stream-links")
+        while not links.isEmpty():
+            met = stage(lookup_join(links, Lookup(stops, "_account"), "accountId", "stop")
+                        .select("seq", "accountId", "transactionId", F.col("stop.stopAt").alias("_stop")), "stream-met")
+            ids = stage(met.where(F.col("seq") >= F.col("_stop")).groupBy(F.col("transactionId").alias("_id")).agg(first), "stream-ids")
+            running = met.where(F.col("_stop").isNull() | (F.col("seq") < F.col("_stop")))
+            repeats = lookup_join(running, Lookup(ids, "_id"), "transactionId", "first")
             more = stage(repeats.where(F.col("seq") > F.col("first.stopAt")).groupBy(F.col("accountId").alias("_account")).agg(first), "stream-more")
             if more.isEmpty():
-                return held
+                break
             stops = stage(stops.unionByName(more).groupBy("_account").agg(F.min("stopAt").alias("stopAt")), "stream-stops")
+        stopped = lookup_join(judged, Lookup(stops, "_account"), "accountId", "stop")
+        return stage(stopped.withColumn("waits", F.coalesce(F.col("seq") >= F.col("stop.stopAt"), F.lit(False))).drop("stop"), "stream-held")
 
     def _deduplicate(self, settled: DataFrame, batch_id: int) -> None:
         spark = settled.sparkSession
