@@ -80,6 +80,65 @@ def test_variants_in_several_passes_give_the_same_links(spark, monkeypatch):
     assert {int(x) for x in whole.ravel()} == {int(x) for x in parts.ravel()}
 
 
+def crowd(seed, n=900):
+    """Fingerprints most of which begin alike, many of them near another one."""
+    rng = random.Random(seed)
+    fps = {(0x8421 << 48) | rng.getrandbits(48) for _ in range(n // 3)} | {rng.getrandbits(64) for _ in range(n // 6)}
+    around = sorted(fps)
+    while len(fps) < n:
+        near = rng.choice(around)
+        for b in rng.sample(range(64), rng.randint(1, 5)):
+            near ^= 1 << b
+        fps.add(near)
+    return sorted(fps)
+
+
+def groups_by_links(fps, links):
+    """The same as ``plain_groups``, from links."""
+    at, group = {f: k for k, f in enumerate(fps)}, list(range(len(fps)))
+    for _ in range(len(fps)):
+        before = list(group)
+        for u, v in links:
+            group[at[u]] = group[at[v]] = min(group[at[u]], group[at[v]])
+        if group == before:
+            break
+    return group
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 30_000, 700])
+def test_parts_cut_in_a_task_form_each_variant_once(at_once, monkeypatch):
+    fps = np.array(crowd(5), np.uint64)
+    monkeypatch.setattr(simhash, "AT_ONCE", at_once)
+    formed, own = [], simhash._formed
+    monkeypatch.setattr(simhash, "_formed", lambda f, lead, left, low, bits: (formed.append(sum(len(low[k]) for k in left)), own(f, lead, left, low, bits))[1])
+    rows = sorted(((int(f) >> 60) ^ m, 2 - m.bit_count(), int(f)) for f in fps for m in simhash._masks([0, 1, 2, 3], 2))
+    part, left, fp = (np.array(c, kind) for c, kind in zip(zip(*rows), (np.uint64, np.int8, np.uint64)))
+    found = list(simhash._colliding(fp, part, left, [simhash._masks(list(range(60)), k) for k in range(3)], 4))
+    links = {tuple(map(int, pair)) for some in found for pair in some}
+    assert sum(formed) == len(fps) * 2081 and (at_once > 700 or max(formed) <= 2 * at_once)
+    assert all(1 <= (u ^ v).bit_count() <= 4 for u, v in links)
+    assert groups_by_links([int(f) for f in fps], links) == plain_groups([int(f) for f in fps], 4)
+
+
+@pytest.mark.parametrize("crowded_rows", [1 << 18, 400, 60])
+def test_crowded_parts_are_cut_before_the_shuffle(spark, monkeypatch, crowded_rows):
+    fps = crowd(6)
+    monkeypatch.setattr(simhash, "CROWDED_ROWS", crowded_rows)
+    table = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)),) for f in fps], "fp long")
+    sizes = simhash._sent(table, 2).groupBy("bits", "part").count().collect()
+    assert {r["bits"] for r in sizes} - {16} == (set() if crowded_rows > 400 else {24} if crowded_rows == 400 else {24, 32})
+    assert max(r["count"] for r in sizes) <= crowded_rows
+    links = {(u & (1 << 64) - 1, v & (1 << 64) - 1) for u, v in simhash.near_pairs(table).collect()}
+    assert groups_by_links(fps, links) == plain_groups(fps, 4)
+
+
+def test_leading_bits_follow_the_number_of_fingerprints():
+    assert [simhash._lead(n, 2) for n in (0, 10 ** 6, 10 ** 7)] == [16, 16, 16]
+    for n in (10 ** 9, 10 ** 10, 10 ** 11):
+        bits = simhash._lead(n, 2)
+        assert n * (1 + bits + bits * (bits - 1) // 2) / 2 ** bits <= simhash.PART_ROWS
+
+
 def test_groups_of_documents(documents, prose):
     one, two = prose(1, 400), prose(2, 400)
     rows = [(5, one), (3, one + " tail"), (9, one), (9, one), (4, two), (7, None), (8, ""), (6, "  \n"), (2, two.upper()), (None, two),

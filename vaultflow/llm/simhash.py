@@ -3,8 +3,11 @@
 Two fingerprints at distance 2r or less have a middle at distance r or less from both. Every distinct fingerprint therefore
 stands for all its variants with up to r flipped bits, and two fingerprints that share a variant are at distance 2r or less.
 Variants are shuffled by their leading bits: a fingerprint travels once for each leading part that its variants have, and the
-task that holds a leading part forms the variants that belong to it. So each variant is compared exactly once, while the rows
-that move are about a tenth of the variants.
+task that holds a leading part forms the variants that belong to it. So each variant is formed and compared exactly once, while the
+rows that move are about a fifteenth of the variants.
+
+How many bits lead follows from the number of fingerprints, so that the mean part stays small. A part that is crowded all the same,
+because many fingerprints begin alike, is cut by further bits, before the shuffle where it has very many rows and in its task otherwise.
 
 Equal texts share a fingerprint and are handled as one, so groups of copies of any size cost one row.
 """
@@ -25,10 +28,15 @@ from vaultflow.llm.components import components
 from vaultflow.session import stage
 
 SEED = 42
-#: Leading bits that variants are shuffled by.
-LEAD = 20
-#: Variants formed at a time in a task, and words hashed at a time.
-AT_ONCE = 1 << 21
+#: Variants are shuffled by this many leading bits, or by as many more as keep the mean part at ``PART_ROWS`` rows.
+LEAD = 16
+PART_ROWS = 1 << 16
+#: A part with more rows than this is cut by ``MORE`` further bits, again and again.
+CROWDED_ROWS = 1 << 18
+MORE = 8
+#: Variants formed at a time in a task (twice as many at most), further bits that a task cuts by, and words hashed at a time.
+AT_ONCE = 1 << 20
+STEP = 4
 WORDS = 1 << 17
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -113,42 +121,99 @@ def _span(variants: np.ndarray, owner: np.ndarray, fps: np.ndarray) -> np.ndarra
     return np.concatenate(kept) if kept else np.zeros((0, 2), np.uint64)
 
 
+def _formed(fps: np.ndarray, lead: np.ndarray, left: np.ndarray, low: list[list[int]], bits: int) -> Iterator[np.ndarray]:
+    """Links among fingerprints of whole parts, all of their variants formed together."""
+    rest = 64 - bits
+    base = (lead.astype(np.uint64) << np.uint64(rest)) | (fps & np.uint64((1 << rest) - 1)) if bits else fps
+    made, owners = [], []
+    for k, masks in enumerate(low):
+        who = np.flatnonzero(left == k)
+        flips = np.array(masks, np.uint64)
+        made.append((base[who][:, None] ^ flips[None, :]).ravel())
+        owners.append(np.repeat(who.astype(np.int32), len(flips)))
+    v, o = np.concatenate(made), np.concatenate(owners)
+    s = np.sort(v)
+    twice = np.unique(s[1:][s[1:] == s[:-1]])
+    if len(twice):
+        at = np.minimum(np.searchsorted(twice, v), len(twice) - 1)
+        hit = twice[at] == v
+        yield _span(v[hit], o[hit], fps)
+
+
 def _colliding(fps: np.ndarray, lead: np.ndarray, left: np.ndarray, low: list[list[int]], bits: int) -> Iterator[np.ndarray]:
-    """Links among fingerprints of one or more leading parts, ``AT_ONCE`` variants at a time.
+    """Links among fingerprints of one or more leading parts of ``bits`` bits, in the order of their parts.
 
-    ``left`` is how many flips remain for the low bits. Where the variants are too many to form at once, each pass forms
-    those of one value of some further bits, so a variant and all its owners are still in the same pass.
+    ``left`` is how many flips remain for the low bits, ``low`` the flips by that number. Parts are worked off in runs of about
+    ``AT_ONCE`` variants. A part with more of them is cut by its next bits in the way that the whole was, so every variant is formed once.
     """
+    if not len(fps):
+        return
     sizes = np.array([len(m) for m in low])[left]
-    passes = 1 << max(0, int(np.ceil(np.log2(max(1, sizes.sum() / AT_ONCE)))))
-    shift = np.uint64(64 - bits - int(np.log2(passes)))
-    base = (lead.astype(np.uint64) << np.uint64(64 - bits)) | (fps & np.uint64((1 << (64 - bits)) - 1))
-    index = np.arange(len(fps))
-    for p in range(passes):
-        made, owners = [], []
-        for k, masks in enumerate(low):
-            who = index[left == k]
-            flips = np.array(masks, np.uint64)
-            step = max(1, AT_ONCE // len(flips))
-            for at in range(0, len(who), step):
-                some = who[at:at + step]
-                v = (base[some][:, None] ^ flips[None, :]).ravel()
-                o = np.repeat(some.astype(np.int32), len(flips))
-                if passes > 1:
-                    here = ((v >> shift) & np.uint64(passes - 1)) == np.uint64(p)
-                    v, o = v[here], o[here]
-                made.append(v)
-                owners.append(o)
-        v, o = np.concatenate(made), np.concatenate(owners)
-        s = np.sort(v)
-        twice = np.unique(s[1:][s[1:] == s[:-1]])
-        if len(twice):
-            at = np.minimum(np.searchsorted(twice, v), len(twice) - 1)
-            hit = twice[at] == v
-            yield _span(v[hit], o[hit], fps)
-
-
-def near_pairs(fps: DataFrame, distance: int = 4, fp_col: str = "fp", lead: int = LEAD) -> DataFrame:
+    starts = np.flatnonzero(np.r_[True, lead[1:] != lead[:-1]])
+    weights = np.add.reduceat(sizes, starts)
+    rest = max(0, 64 - bits - STEP)
+    large = (weights > AT_ONCE) & (bits < 64)
+    run = np.cumsum(np.where(large, 0, weights)) // AT_ONCE
+    of = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(fps)]))
+    for r in np.unique(run[~large]):
+        here = (~large & (run == r))[of]
+        yield from _formed(fps[here], lead[here], left[here], low, bits)
+    if not large.any():
+        return
+    steps = [(m >> rest, m.bit_count()) for m in low[-1] if not m & ((1 << rest) - 1)]
+    lower = [[m for m in masks if m < 1 << rest] for masks in low]
+    for p in np.flatnonzero(large):
+        here = of == p
+        f, n = fps[here], left[here]
+        next_bits = (f >> np.uint64(rest)) & np.uint64((1 << (64 - bits - rest)) - 1)
+        begins = lead[here].astype(np.uint64) << np.uint64(64 - bits - rest)
+        cut = []
+        for m, flips in steps:
+            may = n >= flips
+            cut.append((begins[may] | (next_bits[may] ^ np.uint64(m)), n[may] - flips, f[may]))
+        parts, remain, whose = (np.concatenate(c) for c in zip(*cut))
+        order = np.argsort(parts, kind="stable")
+        yield from _colliding(whose[order], parts[order], remain[order], lower, 64 - rest)
+
+
+def _cut(rows: DataFrame, bits: int, more: int, half: int) -> DataFrame:
+    """Rows (part, left, fp) of parts of ``bits`` bits, sent to every part of ``more`` bits more that variants of theirs have."""
+    flips = F.array(*[F.struct(F.lit(m).cast("bigint").alias("m"), F.lit(m.bit_count()).alias("n")) for m in _masks(list(range(more)), half)])
+    here = F.shiftrightunsigned("fp", 64 - bits - more).bitwiseAND(F.lit((1 << more) - 1).cast("bigint")).bitwiseXOR(F.col("_f.m"))
+    return (rows.withColumn("_f", F.explode(flips)).where(F.col("_f.n") <= F.col("left"))
+            .select(F.shiftleft("part", more).bitwiseOR(here).alias("part"), (F.col("left") - F.col("_f.n")).cast("byte").alias("left"), "fp"))
+
+
+def _lead(n: int, half: int) -> int:
+    """Leading bits for ``n`` fingerprints."""
+    bits = LEAD
+    while bits < 40 and n * len(_masks(list(range(bits)), half)) > PART_ROWS << bits:
+        bits += 1
+    return bits
+
+
+def _sent(one: DataFrame, half: int) -> DataFrame:
+    """(bits, part, left, fp): every fingerprint for each leading part of its variants; crowded parts are longer by some bits."""
+    bits = _lead(one.count(), half)
+    rows = _cut(one.select(F.lit(0).cast("bigint").alias("part"), F.lit(half).cast("byte").alias("left"), "fp"), 0, bits, half)
+    most = one.groupBy(F.shiftrightunsigned("fp", 64 - bits)).count().agg(F.max("count")).first()[0] or 0
+    done = []
+    # no part has more rows than the most common beginning times the parts that one fingerprint is sent to
+    crowded = most * len(_masks(list(range(bits)), half)) > CROWDED_ROWS
+    while crowded and bits + MORE <= 64:
+        many = stage(rows.groupBy("part").count().where(F.col("count") > CROWDED_ROWS).select("part"), "crowded")
+        if many.isEmpty():
+            break
+        done.append(rows.join(many, "part", "left_anti").withColumn("bits", F.lit(bits)))
+        rows = stage(_cut(rows.join(many, "part", "left_semi"), bits, MORE, half), "cut")
+        bits += MORE
+    sent = rows.withColumn("bits", F.lit(bits))
+    for part in done:
+        sent = sent.unionByName(part)
+    return sent.select("bits", "part", "left", "fp")
+
+
+def near_pairs(fps: DataFrame, distance: int = 4, fp_col: str = "fp") -> DataFrame:
     """(u, v): links between distinct fingerprints at ``distance`` bits or less that connect all such fingerprints.
 
     Any two fingerprints at that distance are in one connected part of the result, and every link of the result is
@@ -157,38 +222,40 @@ def near_pairs(fps: DataFrame, distance: int = 4, fp_col: str = "fp", lead: int
     half = distance // 2
     if distance % 2 or half > 4:
         raise ValueError("distance is an even number up to 8")
-    low = [_masks(list(range(64 - lead)), k) for k in range(half + 1)]
-    high = F.array(*[F.struct(F.lit(m).cast("int").alias("m"), F.lit(half - m.bit_count()).cast("byte").alias("left"))
-                     for m in _masks(list(range(lead)), half)])
-    one = fps.select(F.col(fp_col).cast("bigint").alias("fp")).where("fp is not null").distinct()
-    sent = (one.withColumn("_m", F.explode(high))
-            .select(F.shiftrightunsigned("fp", 64 - lead).cast("int").bitwiseXOR(F.col("_m.m")).alias("part"),
-                    F.col("_m.left").alias("left"), "fp"))
+    one = stage(fps.select(F.col(fp_col).cast("bigint").alias("fp")).where("fp is not null").distinct(), "fingerprints-once")
+    kind = np.dtype([("bits", np.int32), ("part", np.uint64), ("left", np.int8), ("fp", np.uint64)])
+    many = AT_ONCE // 16
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low: dict[int, list[list[int]]] = {}
+
         def links(group: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for found in _colliding(group["fp"], group["part"], group["left"], low, lead):
-                if len(found):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, k]).view(np.int64)) for k in (0, 1)], ["u", "v"])
+            for bits in np.unique(group["bits"]).tolist():
+                if bits not in low:
+                    low[bits] = [_masks(list(range(64 - bits)), k) for k in range(half + 1)]
+                own = group[group["bits"] == bits]
+                for found in _colliding(own["fp"], own["part"], own["left"], low[bits], bits):
+                    if len(found):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, k]).view(np.int64)) for k in (0, 1)], ["u", "v"])
 
-        kind = np.dtype([("fp", np.uint64), ("part", np.int32), ("left", np.int8)])
         held = np.zeros(0, kind)
-        many = AT_ONCE // 256
         for b in batches:
             rows = np.zeros(b.num_rows, kind)
-            rows["part"], rows["left"] = b.column(0).to_numpy(), b.column(1).to_numpy()
-            rows["fp"] = b.column(2).to_numpy().view(np.uint64)
+            rows["bits"], rows["left"] = b.column(0).to_numpy(), b.column(2).to_numpy()
+            rows["part"], rows["fp"] = (b.column(k).to_numpy().view(np.uint64) for k in (1, 3))
             held = np.concatenate([held, rows])
-            while len(held) > many and held["part"][0] != held["part"][-1]:
-                # whole parts only: rows arrive sorted by part
-                cut = int(np.searchsorted(held["part"], held["part"][min(many, len(held) - 1)], "left"))
-                cut = cut or int(np.searchsorted(held["part"], held["part"][0], "right"))
-                yield from links(held[:cut])
-                held = held[cut:]
+            if len(held) < many:
+                continue
+            # whole parts only: rows arrive sorted by part
+            last = held[-1]
+            open_rows = int(np.argmax(((held["bits"] != last["bits"]) | (held["part"] != last["part"]))[::-1]))
+            if open_rows:
+                yield from links(held[:-open_rows])
+                held = held[-open_rows:]
         if len(held):
             yield from links(held)
 
-    pairs = sent.repartition("part").sortWithinPartitions("part").mapInArrow(run, "u bigint, v bigint")
+    pairs = _sent(one, half).repartition("bits", "part").sortWithinPartitions("bits", "part").mapInArrow(run, "u bigint, v bigint")
     return pairs.distinct().where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance)
 
 
