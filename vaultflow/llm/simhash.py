@@ -194,8 +194,11 @@ def _lead(n: int, half: int) -> int:
 
 def _sent(one: DataFrame, half: int) -> DataFrame:
     """(bits, part, left, fp): every fingerprint for each leading part of its variants; crowded parts are longer by some bits."""
-    bits = _lead(one.count(), half)
-    rows = _cut(one.select(F.lit(0).cast("bigint").alias("part"), F.lit(half).cast("byte").alias("left"), "fp"), 0, bits, half)
+    n = one.count()
+    bits = _lead(n, half)
+    # fingerprints are narrow, so a file split holds millions of them: tasks are cut by rows, as each becomes many
+    dealt = one.repartition(-(-n // PART_ROWS) or 1, "fp")
+    rows = _cut(dealt.select(F.lit(0).cast("bigint").alias("part"), F.lit(half).cast("byte").alias("left"), "fp"), 0, bits, half)
     most = one.groupBy(F.shiftrightunsigned("fp", 64 - bits)).count().agg(F.max("count")).first()[0] or 0
     done = []
     # no part has more rows than the most common beginning times the parts that one fingerprint is sent to
