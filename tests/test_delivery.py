@@ -82,6 +82,22 @@ def test_what_is_due_is_tried_again(spark, bucket):
         assert got.where("attempt > 1 and batch_id < 5").count() > 20
 
 
+def test_a_queue_of_many_minutes_lies_in_few_folders(spark):
+    r = random.Random(1)
+    rows = [(k, T0 + timedelta(seconds=97 * k, milliseconds=r.randrange(900)), r.randrange(5)) for k in range(300)] + [(300, T0 + timedelta(days=9000), 2)]
+    df = spark.createDataFrame(rows, "id BIGINT, at TIMESTAMP, fails INT")
+    policy = RetryPolicy(attempts=4, first_ms=3_000_000)
+    job = delivery.DueQueue(new_folder(spark, "t"), fails, policy, fatal=(), folders=8)
+    replay(df.where("id < 300"), "id", job.run, 4)
+    replay(df.where("id >= 300"), "id", job.run, 1)
+    got = job.finish(spark).output(spark)
+    assert sorted((x.id, x.attempt, x.at, x.error, x.action, x.nextAt) for x in got.collect()) == tries(rows, policy, ())
+    queue = read_output(spark, f"{job.home}/queue")
+    assert queue.count() > 300 and queue.groupBy("batch_id").agg(F.count_distinct("bucket").alias("n")).where("n > 9").isEmpty()
+    clock = {x.batch_id: x.now for x in read_output(spark, f"{job.home}/clock").collect()}
+    assert all(x.at <= clock[x.batch_id] for x in got.collect())
+
+
 def test_an_empty_queue(spark):
     none = spark.createDataFrame([], "id BIGINT, at TIMESTAMP, fails INT")
     job = delivery.DueQueue(new_folder(spark, "t"), fails)

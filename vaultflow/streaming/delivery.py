@@ -19,6 +19,10 @@ from vaultflow.session import stage
 from vaultflow.streaming.state import commit_batch, last_committed, read_output, run_batches, write_batch
 
 DELIVERED, SKIPPED, RETRY, DEAD_LETTER = "DELIVERED", "SKIPPED", "RETRY", "DEAD_LETTER"
+# Folders of one micro-batch's queue; minutes share a folder where there are more of them.
+FOLDERS = 200
+# Polls of a micro-batch that nothing comes after.
+_ALL_POLLS = 2 ** 31 - 1
 
 
 class Receipts:
@@ -93,21 +97,23 @@ class Receipts:
 class DueQueue:
     """Messages that are tried when they arrive and, after a failure, again when they are due; nothing waits behind them.
 
-    What has to be tried again lies in folders by the minute that it is due in (``bucket_seconds``). A micro-batch opens the folders that have come due
-    and no others, tries what is due in them, puts back the rest, and adds what failed to the folder of its next time. ``now`` of a micro-batch
-    is the latest time ``at`` that arrived so far. Fatal errors, and the last try that the policy allows, end in ``give_up``.
+    What has to be tried again lies in folders by the minute that it is due in (``bucket_seconds``); a micro-batch with rows for more than
+    ``folders`` minutes puts neighbouring ones together, about as many rows in each folder, named by its first minute. A micro-batch opens the folders
+    that have come due and no others, tries what is due in them, puts back the rest, and adds what failed to the folder of its next time. ``now`` of a
+    micro-batch is the latest time ``at`` that arrived so far. Fatal errors, and the last try that the policy allows, end in ``give_up``.
 
     Rows have ``at``, the time of their first try. Output: a row per try with ``attempt``, ``at``, ``error``, ``action`` and ``nextAt``.
     """
 
     def __init__(self, home: str, answer: Callable[[Column], Column], policy: RetryPolicy = ALERT_RETRY, fatal: tuple[str, ...] = ("IllegalArgumentException",),
-                 give_up: str = DEAD_LETTER, bucket_seconds: int = 60):
+                 give_up: str = DEAD_LETTER, bucket_seconds: int = 60, folders: int = FOLDERS):
         self.home = home
         self.answer = answer
         self.policy = policy
         self.fatal = fatal
         self.give_up = give_up
         self.bucket_seconds = bucket_seconds
+        self.folders = folders
 
     def _bucket(self, ts: Column) -> Column:
         return F.floor(F.unix_millis(ts) / (1000 * self.bucket_seconds)).cast("bigint")
@@ -129,6 +135,17 @@ class DueQueue:
                   .parquet(*[f"{self.home}/queue/batch_id={k}" for k in range(batch_id)]))
         return stored if minute is None else stored.where((F.col("batch_id") == batch_id - 1) | (F.col("bucket") > minute))
 
+    def _put(self, rows: DataFrame, path: str) -> None:
+        """Write rows in folders by the minute they are due in, at most ``folders`` of them; rows of a folder come from few tasks."""
+        timed = stage(rows.withColumn("bucket", self._bucket(F.col("at"))), "due-again")
+        shares = [k / self.folders for k in range(self.folders)]
+        low, high, starts = timed.agg(F.min("bucket"), F.max("bucket"), F.percentile_approx("bucket", shares)).first()
+        if low is not None and high - low >= self.folders:
+            # the folder that is named by the last start up to the minute
+            starts = F.lit(sorted({low, *starts}))
+            timed = timed.withColumn("bucket", F.array_max(F.filter(starts, lambda s: s <= F.col("bucket"))))
+        timed.repartitionByRange("bucket", "at").write.mode("overwrite").partitionBy("bucket").parquet(path)
+
     def step(self, batch: DataFrame, batch_id: int, until: Column | None = None) -> None:
         spark = batch.sparkSession
         new = stage(batch.withColumn("attempt", F.lit(1)), "due-new")
@@ -147,7 +164,7 @@ class DueQueue:
         again = (tried.where(F.col("action") == RETRY).withColumn("at", F.col("nextAt")).withColumn("attempt", F.col("attempt") + 1).select(*new.columns)
                  .unionByName(kept))
         # what the last batch put into a minute further on stays in its folder, as long as that minute has not come
-        (again.withColumn("bucket", self._bucket(F.col("at"))).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.home}/queue/batch_id={batch_id}"))
+        self._put(again, f"{self.home}/queue/batch_id={batch_id}")
         write_batch(spark.createDataFrame([(now, minute)], "now TIMESTAMP, minute BIGINT"), f"{self.home}/clock", batch_id)
         commit_batch(spark, self.home, batch_id)
 
