@@ -51,6 +51,16 @@ def test_new_receipts_wait_behind_the_backlog(spark):
     assert sorted((x.seq, x.attempts, x.number) for x in job.finish(spark).output(spark).collect()) == [(1, 4, 1), (2, 1, 2), (3, 1, 1)]
 
 
+def test_the_backlog_left_at_the_end_takes_one_micro_batch(spark):
+    df = spark.range(60).select(F.col("id").alias("seq"), F.col("id").alias("place"), F.lit(0).alias("partition"), (F.col("id") % 6).cast("int").alias("fails"))
+    job = delivery.Receipts(new_folder(spark, "t"), fails, polls=1)
+    job.step(df, 0)
+    got = job.finish(spark).output(spark).collect()
+    assert last_committed(spark, job.home) == 1  # however many failures there are
+    assert sorted((x.seq, x.outcome, x.attempts, x.number) for x in got) == [
+        (k, "SKIPPED" if k % 6 >= 4 else "DELIVERED", min(k % 6, 3) + 1, k + 1) for k in range(60)]
+
+
 def tries(rows, policy, fatal):
     out = []
     for id, at, f in rows:

@@ -43,8 +43,9 @@ class Receipts:
         self.polls = polls
         self.slice_rows = slice_rows
 
-    def step(self, batch: DataFrame, batch_id: int) -> None:
+    def step(self, batch: DataFrame, batch_id: int, polls: int | None = None) -> None:
         spark = batch.sparkSession
+        polls = self.polls if polls is None else polls
         rows = batch.withColumn("tried", F.lit(0))
         done = spark.createDataFrame([], "partition INT, committed BIGINT")
         if batch_id > 0:
@@ -58,8 +59,8 @@ class Receipts:
         counted = stage(rows.withColumn("failures", failures).withColumn("skipped", taken == 0), "receipts")
         placed = running_sum_before(counted, "place", F.col("failures"), "earlier", self.slice_rows, key="partition")
         # a row is reached in one of this batch's polls, and settled in one: a skip ends its poll
-        reached = F.col("earlier") < self.polls
-        settled = reached & F.when(F.col("skipped"), F.col("earlier") + F.col("failures") <= self.polls).otherwise(F.col("earlier") + F.col("failures") < self.polls)
+        reached = F.col("earlier") < polls
+        settled = reached & F.when(F.col("skipped"), F.col("earlier") + F.col("failures") <= polls).otherwise(F.col("earlier") + F.col("failures") < polls)
         placed = stage(placed.withColumn("settled", settled).withColumn("reached", reached), "receipts-placed")
         out = running_sum_before(placed.where("settled"), "place", F.lit(1), "number", self.slice_rows, key="partition")
         positions = stage(done.unionByName(placed.where("settled").groupBy("partition").agg(F.count("*").alias("committed")))
@@ -71,7 +72,7 @@ class Receipts:
                .withColumn("outcome", F.when(F.col("skipped"), SKIPPED).otherwise(DELIVERED)))
         write_batch(out.select(*batch.columns, "outcome", "attempts", "number"), f"{self.home}/delivered", batch_id)
         # the row that the last poll ended at has used up the rest of the polls
-        used = F.when(F.col("reached"), F.lit(self.polls) - F.col("earlier")).otherwise(0).cast("int")
+        used = F.when(F.col("reached"), F.lit(polls) - F.col("earlier")).otherwise(0).cast("int")
         waiting = placed.where(~F.col("settled")).withColumn("tried", F.col("tried") + used)
         write_batch(waiting.select(*batch.columns, "tried"), f"{self.home}/waiting", batch_id)
         write_batch(positions, f"{self.home}/positions", batch_id)
@@ -83,11 +84,11 @@ class Receipts:
         return self.output(rows.sparkSession)
 
     def finish(self, spark: SparkSession) -> "Receipts":
-        """After the stream has ended for good: polls until there is no backlog."""
+        """After the stream has ended for good: polls until there is no backlog. No new row waits for their end, so one micro-batch makes them all."""
         batch_id = last_committed(spark, self.home)
         while batch_id is not None and not (waiting := spark.read.parquet(f"{self.home}/waiting/batch_id={batch_id}")).isEmpty():
             batch_id += 1
-            self.step(waiting.drop("tried").where("false"), batch_id)
+            self.step(waiting.drop("tried").where("false"), batch_id, _ALL_POLLS)
         return self
 
     def output(self, spark: SparkSession) -> DataFrame:
