@@ -75,6 +75,21 @@ def test_no_task_of_a_lookup_holds_a_hot_key(spark):
             spark.conf.set(c, v)
 
 
+def test_facts_without_a_key_do_not_come_to_one_task(spark):
+    facts = spark.range(2000).select(F.col("id").alias("seq"), F.when(F.col("id") % 20 == 0, F.concat(F.lit("k"), F.col("id") % 100)).alias("k"))
+    table = Lookup(spark.createDataFrame([(f"k{i}", i) for i in range(100)], "k STRING, v INT"), "k", 0)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = lookup_join(facts, table, "k", "found")
+        # no guess of Spark makes each task hold a table that was measured as large
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+        tasks = joined.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(t.n for t in tasks) == 2000 and max(t.n for t in tasks) < 1500
+    assert joined.where("found.v is not null").count() == 100
+
+
 @pytest.mark.parametrize("broadcast_bytes", [1000, 0])
 def test_lookup_join(spark, broadcast_bytes):
     facts = spark.createDataFrame([(i, None if i % 4 == 0 else f"k{i % 7}") for i in range(300)], "seq BIGINT, k STRING")

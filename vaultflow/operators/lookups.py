@@ -87,7 +87,8 @@ def with_copies(table: DataFrame, keys: list[Column], hot: DataFrame | None, nam
     """A copy of each row for every salt that facts of its key may have."""
     one = F.lit(0).cast("bigint")
     if hot is None:
-        return table.withColumn(out, one)
+        # always 0, but no constant: Spark would not deal facts by their salt, and all without a key would come to one task
+        return table.withColumn(out, F.pmod(F.xxhash64(*keys), one + 1))
     match = keys[0] == F.col(names[0])
     for k, n in zip(keys[1:], names[1:]):
         match = match & (k == F.col(n))
@@ -96,20 +97,22 @@ def with_copies(table: DataFrame, keys: list[Column], hot: DataFrame | None, nam
 
 
 def lookup_join(facts: DataFrame, lookup: Lookup, fact_key: str, alias: str,
-                how: str = "left", spread_by: str = "seq") -> DataFrame:
+                how: str = "left", spread_by: str = "seq", counted: DataFrame | None = None) -> DataFrame:
     """``facts`` plus a struct column ``alias`` with the matching row of ``lookup``.
 
     A small table is broadcast, so facts do not move. For a large one the facts of each key are counted: only the lookup rows
     of hot keys are copied, as often as their facts need tasks, and facts without a key are dealt out evenly. ``left_anti`` keeps
-    facts without a match and adds no column.
+    facts without a match and adds no column. A table that was measured as large is never broadcast, whatever Spark takes its size for:
+    such a guess goes by compressed files, and each task then holds the whole table. ``counted`` has the keys of
+    ``facts`` at least as often, for counting them without what made ``facts``.
     """
     table = lookup.df.select(F.col(lookup.key).alias("_key"), F.struct("*").alias(alias))
     if how == "left_anti":
         table = table.select("_key")
     if lookup.small:
         return facts.join(F.broadcast(table), F.col(fact_key) == F.col("_key"), how).drop("_key")
-    hot = hot_table(facts, [F.col(fact_key)], ["_hot"], lookup.spread_rows)
+    hot = hot_table(facts if counted is None else counted, [F.col(fact_key)], ["_hot"], lookup.spread_rows)
     salted = with_salt(facts, [F.col(fact_key)], hot, ["_hot"], F.col(spread_by))
     copies = with_copies(table, [F.col("_key")], hot, ["_hot"])
     match = (F.col(fact_key) == F.col("_key")) & (F.col("_salt") == F.col("_copy"))
-    return salted.join(copies, match, how).drop("_key", "_salt", "_copy")
+    return salted.join(copies.hint("merge"), match, how).drop("_key", "_salt", "_copy")
