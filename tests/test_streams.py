@@ -7,11 +7,12 @@ import pytest
 from helpers import ENTRY_DDL, T0, booked, entries, entry, posted, random_entries, replay_ledger
 from pyspark.sql import functions as F
 
-from vaultflow.operators import validation
+from vaultflow.operators import stops, validation
 from vaultflow.operators.lookups import Lookup
 from vaultflow.schemas import BALANCE_DDL, FraudRules
-from vaultflow.session import new_folder
+from vaultflow.session import new_folder, stage
 from vaultflow.streaming import jobs
+from vaultflow.streaming import replay as replay_module
 from vaultflow.streaming.replay import replay
 from vaultflow.streaming.state import StateTable, read_output, write_batch
 
@@ -147,6 +148,36 @@ def test_what_waits_equals_a_walk_in_order(spark, seed, accounts, ids):
     assert {1000 + k for k in range(14)} <= want
 
 
+@pytest.mark.parametrize("slice_rows", [10 ** 6, 40, 7])
+def test_stops_spread_in_few_rounds(spark, monkeypatch, slice_rows):
+    """A chain over 30 accounts, ids in any order, two rows in one place: as a walk in order, and a round sees more than one link of it."""
+    r = random.Random(slice_rows)
+    links = [(2 * k + 5, f"a{(k + 1) // 2}", f"t{k // 2}") for k in range(60)]
+    links += [(r.randrange(300), f"b{r.randrange(30)}", f"u{r.randrange(60)}") for _ in range(300)]
+    first = {"a0": 3, "b1": 20, "b2": 100}
+    rounds = []
+    monkeypatch.setattr(stops, "stage", lambda df, label: (rounds.append(label), stage(df, label))[1])
+    got = {x["_account"]: x.stopAt for x in stops.spread(
+        spark.createDataFrame(links, "seq BIGINT, accountId STRING, transactionId STRING"),
+        spark.createDataFrame(list(first.items()), "_account STRING, stopAt BIGINT"), slice_rows).collect()}
+    want, since, moved = dict(first), {}, True
+    while moved:
+        moved = False
+        for seq, account, id in links:
+            if seq >= want.get(account, seq + 1) or seq > since.get(id, seq):
+                moved |= want.get(account, seq + 1) > seq or since.get(id, seq + 1) > seq
+                want[account], since[id] = min(want.get(account, seq), seq), min(since.get(id, seq), seq)
+    assert got == want and len(want) > 30
+    assert rounds.count("stream-met") <= {10 ** 6: 1, 40: 10, 7: 25}[slice_rows]
+
+
+def test_a_piece_of_a_table_in_one_file_is_read_by_several_tasks(spark, monkeypatch):
+    files = []
+    monkeypatch.setattr(replay_module, "file_stream", lambda s, folder, schema: s.read.schema(schema).parquet(folder))
+    out = replay(spark.range(300_000).coalesce(1), "id", lambda df: (files.append(len(df.inputFiles())), df)[1], 3)
+    assert files == [2, 4, 6] and out.agg(F.count("*"), F.countDistinct("id")).first()[:] == (300_000, 300_000)
+
+
 def test_a_batch_of_dead_letters_stops_nothing(spark):
     """Valid, then only dead letters, then a resubmission and rows without an id."""
     def request(seq, id, account):
