@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vaultflow.operators import memory
+from vaultflow.session import stage
 
 
 def replayed(rows, most, cache=None):
@@ -60,3 +61,11 @@ def test_marks_carried_over(spark):
 def test_no_requests(spark):
     none = spark.createDataFrame([], "seq BIGINT, transactionId STRING, dead BOOLEAN")
     assert memory.marked(none, 5).count() == 0
+
+
+def test_a_short_memory_is_walked_in_many_slices(spark, monkeypatch):
+    slices = []
+    monkeypatch.setattr(memory, "stage", lambda df, label: (slices.append(df.count()) if label == "memory-slices" else None, stage(df, label))[1])
+    rows = spark.range(250_000).select(F.col("id").alias("seq"), F.concat(F.lit("t"), F.col("id") % 70).alias("transactionId"), F.lit(False).alias("dead"))
+    out = memory.marked(rows, 50)
+    assert slices == [3] and out.where("repeat").isEmpty() and out.agg(F.max("number")).first()[0] == 250_000

@@ -25,6 +25,7 @@ from vaultflow.session import stage
 
 # Kinds of rows that a walk reads and writes: what a slice opens with, its requests, what it closes with.
 _OPENING, _REQUEST, _CLOSING = 0, 1, 2
+_SLICE_ROWS = 100_000
 _WALKED_DDL = "slice bigint, kind int, seq bigint, id string, repeat boolean, mark boolean"
 
 
@@ -72,12 +73,14 @@ def _walk(most: int):
     return run
 
 
-def marked(requests: DataFrame, most: int, known: DataFrame | None = None, before: int = 0, slice_rows: int = 1_000_000) -> DataFrame:
+def marked(requests: DataFrame, most: int, known: DataFrame | None = None, before: int = 0, slice_rows: int | None = None) -> DataFrame:
     """(seq, transactionId, repeat, mark, number): of every request whether it is a repeat, whether it is marked, and its mark number. Written.
 
     ``requests`` (seq, transactionId, dead) are in the order of a unique ``seq``; ``dead`` ones are never marked. Earlier ones left ``before``
     marks and ``known`` (transactionId, number), the last mark of each id that is still remembered. A request without an id is no repeat.
+    Slices are many times longer than the memory, so that they settle early, and no longer than a task walks in a second or so.
     """
+    slice_rows = slice_rows or max(_SLICE_ROWS, 100 * most)
     rows = stage(requests.select(slice_of("seq", slice_rows).cast("bigint").alias("slice"), F.lit(_REQUEST).alias("kind"), "seq",
                                  F.col("transactionId").alias("id"), "dead"), "memory-rows")
     order = Window.orderBy("slice")
@@ -124,7 +127,7 @@ def _last_walk(rounds: list[DataFrame]) -> DataFrame:
     return tagged.join(last, ["slice", "round"], "left_semi").drop("round")
 
 
-def dispositions(judged: DataFrame, most: int, dead: Column, duplicate: str, slice_rows: int = 1_000_000) -> DataFrame:
+def dispositions(judged: DataFrame, most: int, dead: Column, duplicate: str, slice_rows: int | None = None) -> DataFrame:
     """``judged`` with ``outcome`` ``duplicate`` and no reason where a request repeats one of the last ``most`` marked ids."""
     found = marked(judged.select("seq", "transactionId", dead.alias("dead")), most, slice_rows=slice_rows).where("repeat").select(F.col("seq").alias("_repeat"))
     again = F.col("_repeat").isNotNull()

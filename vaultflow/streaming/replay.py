@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from vaultflow.session import new_folder
 from vaultflow.sources.streams import file_stream
 
+# A range lies in few files of the table; written in files of so many rows, a piece is read by all tasks that there are.
+FILE_ROWS = 50_000
+
 
 def replay(table: DataFrame, order: str, job: Callable[[DataFrame], DataFrame], pieces: int = 3) -> DataFrame:
     """Let ``table`` arrive in ``pieces`` ranges of ``order`` and run ``job`` after each arrival.
@@ -22,6 +25,7 @@ def replay(table: DataFrame, order: str, job: Callable[[DataFrame], DataFrame],
     result = None
     for i in range(pieces):
         start = low + i * width
-        table.where((F.col(order) >= start) & (F.col(order) < start + width)).write.parquet(f"{folder}/piece-{i}")
+        piece = table.where((F.col(order) >= start) & (F.col(order) < start + width))
+        piece.write.option("maxRecordsPerFile", FILE_ROWS).parquet(f"{folder}/piece-{i}")
         result = job(file_stream(table.sparkSession, f"{folder}/*", table.schema))
     return result
