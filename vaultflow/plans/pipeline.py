@@ -80,7 +80,7 @@ class Pipeline:
     @cached_property
     def processed(self) -> DataFrame:
         """Validated and rejected requests, resubmissions removed (written)."""
-        return stage(validation.first_processed(self.verdicts()), "processed")
+        return validation.write_processed(self.verdicts(), self.requests())
 
     def validated(self) -> DataFrame:
         return validation.validated(self.processed)
