@@ -86,6 +86,30 @@ def test_output_batches_are_idempotent(spark):
     assert read_output(spark, folder).count() == 6
 
 
+def test_moving_accounts_are_merged_once(spark, monkeypatch):
+    """With more customers than may be sent to the tasks, owners are counted over written rows, not by merging the versions again."""
+    facts = posted(spark, [entry(10 * i, f"t{i}", f"A{i % 3}", "DEPOSIT", "5", at=i) for i in range(1, 7)])
+    versions = [("A0", 0, "C0", "CHECKING", "USD", "ACTIVE"), ("A1", 0, "C1", "CHECKING", "USD", "ACTIVE"), ("A1", 50, "C2", "SAVINGS", "USD", "ACTIVE")]
+    changes = spark.createDataFrame(versions, "accountId STRING, seq BIGINT, customerId STRING, accountType STRING, currency STRING, status STRING")
+    customers = spark.createDataFrame([("C0", "Ann", "a@x", "GOLD"), ("C2", "Bo", "b@x", "STANDARD")], "customerId STRING, fullName STRING, email STRING, tier STRING")
+    mixed = facts.select("seq", F.struct("*").alias("fact")).unionByName(changes.select("seq", F.struct("*").alias("version")), allowMissingColumns=True)
+    merged, join = [], jobs.enrich.with_customer
+
+    def with_customer(rows, owners):
+        merged.append("Window" in rows._jdf.queryExecution().optimizedPlan().toString())
+        return join(rows, owners)
+
+    monkeypatch.setattr(jobs.enrich, "with_customer", with_customer)
+    got = []
+    for size in (1 << 20, 0):
+        monkeypatch.setattr(jobs, "Lookup", lambda df, key: Lookup(df, key, broadcast_bytes=size))
+        home = new_folder(spark, "t")
+        rows = replay(mixed, "seq", lambda stream: jobs.enrich_moving(stream, customers, home), 2)
+        got.append(sorted((r.seq, r.customerId, r.accountType, r.customerName) for r in rows.collect()))
+    assert got[0] == got[1] == [(10, "C1", "CHECKING", None), (30, "C0", "CHECKING", "Ann"), (40, "C1", "CHECKING", None), (60, "C0", "CHECKING", "Ann")]
+    assert merged == [True, True, False, False]
+
+
 def test_resubmissions_across_batches(spark):
     def request(seq, id, account="A", amount="5"):
         row = list(entry(seq, id, account, "DEPOSIT", "0", at=seq))

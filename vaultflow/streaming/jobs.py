@@ -162,9 +162,12 @@ def enrich_moving(mixed: DataFrame, customers: DataFrame, home: str, slice_rows:
         rows = stage(batch, "stream-mixed")
         facts, changes = rows.where("fact is not null").select("fact.*"), rows.where("version is not null").select("version.*")
         touched = facts.select("accountId").unionByName(changes.select("accountId")).distinct()
-        known = versions.before(spark, batch_id, _VERSION_DDL, touched).select(*changes.columns)
-        current = tables.as_of(facts, known.unionByName(changes), "accountId", "seq", fields, "account", slice_rows)
-        write_batch(enrich.flat(enrich.with_customer(current.where("account is not null"), owners)), f"{home}/enriched", batch_id)
+        known = stage(versions.before(spark, batch_id, _VERSION_DDL, touched).select(*changes.columns), "stream-versions")
+        current = tables.as_of(facts, known.unionByName(changes), "accountId", "seq", fields, "account", slice_rows).where("account is not null")
+        if not owners.small:
+            # read twice: owners are counted before the join
+            current = stage(current, "stream-current")
+        write_batch(enrich.flat(enrich.with_customer(current, owners)), f"{home}/enriched", batch_id)
         newest = tables.latest(changes, "accountId", F.struct("accountId", "seq", *fields), "seq")
         versions.save(spark, batch_id, _VERSION_DDL, newest)
         commit_batch(spark, home, batch_id)
