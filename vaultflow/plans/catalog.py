@@ -1004,7 +1004,7 @@ def enriched_moving_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = driver_tables.account_changelog(spark, sf_dir).select("accountId", "seq", "customerId", "accountType", "currency", "status")
     facts = p.posted().select("seq", F.struct("*").alias("fact"))
     mixed = facts.unionByName(changes.select("seq", F.struct("*").alias("version")), allowMissingColumns=True)
-    return replay(mixed, "seq", lambda stream: jobs.enrich_moving(stream, p.customers(), home)).drop("batch_id")
+    return replay(mixed, "seq", lambda stream: jobs.enrich_moving(stream, p.customer_lookup.df, home)).drop("batch_id")
 
 
 @query(o.q(o.LEDGER, f"""

@@ -67,11 +67,13 @@ class Pipeline:
 
     @cached_property
     def account_lookup(self) -> Lookup:
-        return Lookup(self.accounts(), "accountId")
+        """Accounts for joins (written: several joins of one query read them)."""
+        return Lookup(stage(self.accounts(), "accounts"), "accountId")
 
     @cached_property
     def customer_lookup(self) -> Lookup:
-        return Lookup(self.customers(), "customerId")
+        """Customers for joins (written)."""
+        return Lookup(stage(self.customers(), "customers"), "customerId")
 
     # -- validation ------------------------------------------------------------------------------
     def verdicts(self) -> DataFrame:
